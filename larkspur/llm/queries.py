@@ -3,9 +3,70 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .bpe import encoded
+from .decontaminate import contaminated
+from .fingerprints import edited_likeness
+from .html_text import extracted
 from .jaccard import jaccard_components
+from .secrets import as_text, base_only, count_of, found_secrets
+from .sharding import placed
 from .tables import table
+from .toxicity import fit_machine, held_out, scored
+
+#: Names of the shards that op1 places documents in.
+SHARDS = [f"shard-{k:03d}" for k in range(64)]
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_shard_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return placed(table(spark, sf_dir, "documents").select("doc_id", "n_chars"), SHARDS)
+
+
+def op2_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extracted(table(spark, sf_dir, "pages"))
+
+
+def op3_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = encoded(table(spark, sf_dir, "documents"), tokenizer_path())
+    return rows.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op5_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = scored(docs, fit_machine(docs, table(spark, sf_dir, "labels")))
+    return rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op6_secret_lexer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = F.col("spans")
+    return found_secrets(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        count_of(s, "assign").alias("n_assign"),
+        count_of(s, "access").alias("n_access"),
+        count_of(s, "hex").alias("n_hex"),
+        F.sha2(as_text(base_only(s)), 256).alias("base_sha256"),
+        as_text(s).alias("spans"),
+    )
+
+
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op9_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_likeness(table(spark, sf_dir, "documents"))
 
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,6 +74,13 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_shard_table": op1_shard_table,
+    "op2_html_main_text": op2_html_main_text,
+    "op3_bpe_chunks": op3_bpe_chunks,
+    "op5_toxicity_fm": op5_toxicity_fm,
+    "op6_secret_lexer": op6_secret_lexer,
+    "op7_decontaminate": op7_decontaminate,
+    "op9_bottom_k": op9_bottom_k,
     "op10_jaccard_join": op10_jaccard_join,
 }
 
