@@ -3,15 +3,18 @@
 A text is cut before white space wherever a rolling hash of the bytes before it says so; equal
 passages of different documents therefore give equal chunks wherever they stand.  Documents are
 dealt by their least chunk hash, so documents with common content meet in a task, and there each
-distinct chunk is encoded once.  Each join of two chunks is then checked: a window across it is
-encoded again and must agree with the tokens on both sides; where it does not, the two chunks are
-encoded as one, until all joins agree.
+distinct chunk is encoded once.  A new chunk is put together from its smallest chunks, those cut
+before every white space, which are encoded once as well.  Joins are then checked: a window across
+each kind of join is encoded whole and must agree with its two sides; where it does not, both sides
+are encoded as one chunk, until all joins agree.
 """
 
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,28 +27,43 @@ from .shingles import U, mix
 
 #: A chunk ends before a white space with this chance, over the hash of the WINDOW bytes before it.
 ONE_IN = 64
-WINDOW = 16
-#: Chunks whose tokens a worker keeps; of more, the older half goes.
-KEPT = 20_000
+WINDOW = 8
+#: Chunks and smallest chunks whose tokens a worker keeps.
+KEPT, KEPT_SMALL = 10_000, 300_000
+_pieces = re.compile(r"[ \t\n\v\f\r]?[^ \t\n\v\f\r]+|[ \t\n\v\f\r]").findall
 _codecs: dict[str, "Codec"] = {}
 
 
 def cuts(data: bytes) -> tuple[np.ndarray, int]:
     """Offsets of the chunks' starts (0 first), and the least hash of the places of cutting."""
-    a = np.frombuffer(data, np.uint8)
-    at = np.flatnonzero(shingles._SPACE[a])
+    at = np.flatnonzero(shingles._SPACE[np.frombuffer(data, np.uint8)])
     at = at[at >= WINDOW]
     if not len(at):
         return np.zeros(1, np.int64), 0
-    h = np.zeros(len(at), U)
-    for k in range(WINDOW):
-        h = h * U(0xD1342543DE82EF95) + shingles._BYTE[a[at - WINDOW + k]]
-    h = mix(h)
+    h = mix(np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))[at - WINDOW])
     cut = h % U(ONE_IN) == 0
     chosen = h[cut] if cut.any() else h
     return np.concatenate(([0], at[cut])), int((chosen.min() >> U(1)).astype(np.int64))
 
 
+class _Kept:
+    """A dictionary of bounded size that keeps what was used lately: two generations."""
+
+    def __init__(self, most: int):
+        self.half, self.young, self.old = most // 2, {}, {}
+
+    def get(self, key: str):
+        found = self.young.get(key)
+        if found is None and (found := self.old.get(key)) is not None:
+            self.put(key, found)
+        return found
+
+    def put(self, key: str, value) -> None:
+        if len(self.young) >= self.half:
+            self.old, self.young = self.young, {}
+        self.young[key] = value
+
+
 class Codec:
     """One tokenizer file with the chunks it has encoded."""
 
@@ -56,69 +74,80 @@ class Codec:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.chunks: dict[str, list[int]] = {}
-        self.joins: dict[str, list[int]] = {}
+        self.plain = None
+        if self.tokenizer.decoder is None:  # decoding is then the tokens with spaces between them
+            n = self.tokenizer.get_vocab_size(with_added_tokens=True)
+            self.plain = [self.tokenizer.id_to_token(i) or "" for i in range(n)]
+        self.chunks, self.small = _Kept(KEPT), _Kept(KEPT_SMALL)
+        self.joins = np.empty(0, U)  # windows seen: three code points in one number
+        self.bad: set[str] = set()
         self.encoded = 0
 
-    def _plain(self, texts: list[str]) -> list[list[int]]:
+    def _encode(self, texts: list[str]) -> list[list[int]]:
         self.encoded += len(texts)
         return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _known(self, kept: dict[str, list[int]], texts: list[str]) -> dict[str, list[int]]:
-        """Tokens of each text, encoding those not yet kept."""
-        new = list(dict.fromkeys(t for t in texts if t not in kept))
-        if len(kept) + len(new) > KEPT:
-            for t in list(kept)[: max(len(kept) // 2, len(kept) + len(new) - KEPT)]:
-                del kept[t]
-            new = list(dict.fromkeys(t for t in texts if t not in kept))
-        found = dict(zip(new, self._plain(new)))
-        out = {t: kept[t] if t in kept else found[t] for t in texts}
-        kept.update(found)
+    def _check_joins(self, texts: list[str]) -> None:
+        """Encode each new window (a character, a white space, a character) whole and in its two
+        parts; windows that differ are no joins."""
+        a = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+        at = np.flatnonzero((a <= 32) & (a >= 9) & ((a <= 13) | (a == 32)))
+        at = at[(at > 0) & (at < len(a) - 1)]
+        wide = lambda x: a[x].astype(U)
+        seen = np.unique(wide(at - 1) << U(42) | wide(at) << U(21) | wide(at + 1))
+        new = np.setdiff1d(seen, self.joins, assume_unique=True)
+        if not len(new):
+            return
+        self.joins = np.union1d(self.joins, new)
+        part = lambda x, shift: chr(int(x) >> shift & 0x1FFFFF)
+        left, right = [part(x, 42) for x in new], [part(x, 21) + part(x, 0) for x in new]
+        both = self._encode([x + y for x, y in zip(left, right)])
+        self.bad |= {x + y for x, y, w, l, r in zip(left, right, both, self._encode(left), self._encode(right)) if l + r != w}
+
+    def _joined(self, parts: list[str]) -> list[str]:
+        """Parts with those made one whose join does not hold."""
+        if not self.bad:
+            return parts
+        out = parts[:1]
+        for part, after in zip(parts[1:], [*parts[2:], ""]):
+            if out[-1][-1:] + (part + after)[:2] in self.bad:
+                out[-1] += part
+            else:
+                out.append(part)
         return out
 
     def encode(self, texts: list[str | None]) -> list[list[int]]:
         """Tokens of whole texts, as the tokenizer gives them without special tokens; null: none."""
+        texts = [t or "" for t in texts]
+        self._check_joins(texts)
         split = []
         for text in texts:
-            data = (text or "").encode("utf-8", "surrogatepass")
+            data = text.encode("utf-8", "surrogatepass")
             at = [*cuts(data)[0].tolist(), len(data)]
-            split.append([data[a:b].decode("utf-8", "surrogatepass") for a, b in zip(at, at[1:])])
-        chunks = self._known(self.chunks, [c for parts in split for c in parts])
-        windows = [[_window(a, b) for a, b in zip(parts, parts[1:])] for parts in split]
-        joins = self._known(self.joins, [w for parts in windows for w in parts])
-        return [self._joined(parts, [chunks[c] for c in parts], [joins[w] for w in seen]) for parts, seen in zip(split, windows)]
-
-    def _joined(self, parts: list[str], ids: list[list[int]], seen: list[list[int]]) -> list[int]:
-        out, last, text = list(ids[0]), ids[0], parts[0]
-        for part, new, window in zip(parts[1:], ids[1:], seen):
-            if agree(last, new, window):
-                out += new
-                last, text = new, part
-                continue
-            del out[len(out) - len(last) :]  # encode both chunks as one and go on from there
-            text += part
-            last = self._plain([text])[0]
-            out += last
-        return out
+            split.append(self._joined([data[a:b].decode("utf-8", "surrogatepass") for a, b in zip(at, at[1:])]))
+        tokens, small = {}, {}
+        for chunk in chain.from_iterable(split):
+            if chunk not in tokens:
+                tokens[chunk] = self.chunks.get(chunk)
+        new = {c: self._joined(_pieces(c)) for c, ids in tokens.items() if ids is None}
+        get = self.small.get
+        for piece in chain.from_iterable(new.values()):
+            if piece not in small:
+                small[piece] = get(piece)
+        unknown = [p for p, ids in small.items() if ids is None]
+        for piece, ids in zip(unknown, self._encode(unknown)):
+            small[piece] = ids = tuple(ids)
+            self.small.put(piece, ids)
+        for chunk, pieces in new.items():
+            tokens[chunk] = ids = list(chain.from_iterable(map(small.__getitem__, pieces)))
+            self.chunks.put(chunk, ids)
+        return [list(chain.from_iterable(map(tokens.__getitem__, parts))) for parts in split]
 
     def decode(self, ids: list[list[int]]) -> list[str]:
-        return self.tokenizer.decode_batch(ids, skip_special_tokens=False)
-
-
-def _window(a: str, b: str) -> str:
-    """The last word of one chunk and the first of the next."""
-    first = max(a.rfind(" ", 0, -1), a.rfind("\n", 0, -1), 0)
-    ends = [x for x in (b.find(" ", 1), b.find("\n", 1)) if x > 0]
-    return a[first:] + (b[: min(ends)] if ends else b)
-
-
-def agree(left: list[int], right: list[int], window: list[int]) -> bool:
-    """Whether a window's tokens are the last ones of `left` followed by the first of `right`."""
-    for k in range(min(len(left), len(window)), -1, -1):
-        rest = len(window) - k
-        if rest <= len(right) and left[len(left) - k :] == window[:k] and right[:rest] == window[k:]:
-            return True
-    return False
+        """Texts of tokens, special ones too, as the tokenizer decodes them."""
+        if self.plain is None:
+            return self.tokenizer.decode_batch(ids, skip_special_tokens=False)
+        return [" ".join(map(self.plain.__getitem__, x)) for x in ids]
 
 
 def codec(path: str) -> Codec:
@@ -155,7 +184,7 @@ def encoded(docs: DataFrame, path: str, text_col: str = "text", keep: tuple[str,
                 part = b.slice(at, 256)
                 ids = own.encode(part.column(part.num_columns - 1).to_pylist())
                 ends = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
-                flat = np.fromiter((i for x in ids for i in x), np.int32, int(ends[-1]))
+                flat = np.fromiter(chain.from_iterable(ids), np.int32, int(ends[-1]))
                 tokens = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], tokens, pa.array(own.decode(ids), pa.string())], schema.names)
 

@@ -18,13 +18,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from .shingles import U, mix
+from .shingles import U
 
 #: Items are handled in blocks of about so many characters, which bounds what tasks receive.
 BLOCK_CHARS = 2_000_000
 _SPACES = np.array([*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000], np.uint32)
 _PIECE = 1 << 18
 _BIG = 1 << 20
+_SPREAD = U(0x9E3779B97F4A7C15)
 
 
 @dataclass(frozen=True)
@@ -60,11 +61,17 @@ def normalized(text: str | None) -> tuple[np.ndarray, np.ndarray]:
 def _grams(a: np.ndarray, q: int) -> np.ndarray:
     if len(a) < q:
         return np.empty(0, U)
-    x = (a.astype(U) + U(1)) * U(0x9E3779B97F4A7C15)
-    h = x[: len(a) - q + 1].copy()
-    for k in range(1, q):
-        h = h * U(0xD1342543DE82EF95) + x[k : len(a) - q + 1 + k]
-    return h ^ (h >> U(29))
+    h, size, step = a.astype(U) + U(0x9E3779B97F4A7C15), 1, 0xD1342543DE82EF95
+    power, out, have = step, None, 0
+    while True:  # polynomial hashes of 1, 2, 4, ... characters, put together to q
+        if q & size:
+            out = h if out is None else out[: len(a) - q + 1] * U(power) + h[have : have + len(a) - q + 1]
+            have += size
+        if 2 * size > q:
+            break
+        h = h[: len(h) - size] * U(power) + h[size:]
+        size, power = 2 * size, power * power % (1 << 64)
+    return out[: len(a) - q + 1]
 
 
 class Block:
@@ -92,14 +99,14 @@ class Block:
         self.first = np.append(first, len(h)).astype(np.int64)
         self.shift = U(64 - 22)
         self.seen = np.zeros(1 << 22, bool)
-        self.seen[mix(self.h) >> self.shift] = True
+        self.seen[self.h * _SPREAD >> self.shift] = True
 
     def _hits(self, a: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Item, item position and text position of every shared q-gram."""
         where, which = [], []
         for at in range(0, max(1, len(a) - self.budget.q + 1), _PIECE):
             h = _grams(a[at : at + _PIECE + self.budget.q - 1], self.budget.q)
-            maybe = np.flatnonzero(self.seen[mix(h) >> self.shift])
+            maybe = np.flatnonzero(self.seen[h * _SPREAD >> self.shift])
             k = np.minimum(np.searchsorted(self.h, h[maybe]), len(self.h) - 1)
             ok = self.h[k] == h[maybe]
             where.append(maybe[ok] + at)
