@@ -11,6 +11,7 @@ are encoded as one chunk, until all joins agree.
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 from collections.abc import Iterator
@@ -29,7 +30,7 @@ from .shingles import U, mix
 ONE_IN = 64
 WINDOW = 8
 #: Chunks and smallest chunks whose tokens a worker keeps.
-KEPT, KEPT_SMALL = 10_000, 300_000
+KEPT, KEPT_SMALL = 10_000, 800_000
 _pieces = re.compile(r"[ \t\n\v\f\r]?[^ \t\n\v\f\r]+|[ \t\n\v\f\r]").findall
 _codecs: dict[str, "Codec"] = {}
 
@@ -119,25 +120,27 @@ class Codec:
     def encode(self, texts: list[str | None]) -> list[list[int]]:
         """Tokens of whole texts, as the tokenizer gives them without special tokens; null: none."""
         texts = [t or "" for t in texts]
+        gc.disable()  # millions of tuples and no cycles
+        try:
+            return self._encoded(texts)
+        finally:
+            gc.enable()
+
+    def _encoded(self, texts: list[str]) -> list[list[int]]:
         self._check_joins(texts)
         split = []
         for text in texts:
             data = text.encode("utf-8", "surrogatepass")
             at = [*cuts(data)[0].tolist(), len(data)]
             split.append(self._joined([data[a:b].decode("utf-8", "surrogatepass") for a, b in zip(at, at[1:])]))
-        tokens, small = {}, {}
-        for chunk in chain.from_iterable(split):
-            if chunk not in tokens:
-                tokens[chunk] = self.chunks.get(chunk)
+        tokens = {chunk: self.chunks.get(chunk) for chunk in set(chain.from_iterable(split))}
         new = {c: self._joined(_pieces(c)) for c, ids in tokens.items() if ids is None}
-        get = self.small.get
-        for piece in chain.from_iterable(new.values()):
-            if piece not in small:
-                small[piece] = get(piece)
+        get, put = self.small.get, self.small.put
+        small = {piece: get(piece) for piece in set(chain.from_iterable(new.values()))}
         unknown = [p for p, ids in small.items() if ids is None]
         for piece, ids in zip(unknown, self._encode(unknown)):
             small[piece] = ids = tuple(ids)
-            self.small.put(piece, ids)
+            put(piece, ids)
         for chunk, pieces in new.items():
             tokens[chunk] = ids = list(chain.from_iterable(map(small.__getitem__, pieces)))
             self.chunks.put(chunk, ids)
@@ -180,8 +183,8 @@ def encoded(docs: DataFrame, path: str, text_col: str = "text", keep: tuple[str,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path)
         for b in batches:
-            for at in range(0, b.num_rows, 256):
-                part = b.slice(at, 256)
+            for at in range(0, b.num_rows, 1000):
+                part = b.slice(at, 1000)
                 ids = own.encode(part.column(part.num_columns - 1).to_pylist())
                 ends = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
                 flat = np.fromiter(chain.from_iterable(ids), np.int32, int(ends[-1]))

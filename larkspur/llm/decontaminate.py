@@ -23,6 +23,8 @@ from .shingles import U
 #: Items are handled in blocks of about so many characters, which bounds what tasks receive.
 BLOCK_CHARS = 2_000_000
 _SPACES = np.array([*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000], np.uint32)
+_IS_SPACE = np.zeros(1 << 16, bool)
+_IS_SPACE[_SPACES] = True
 _PIECE = 1 << 18
 _BIG = 1 << 20
 _SPREAD = U(0x9E3779B97F4A7C15)
@@ -47,10 +49,7 @@ def normalized(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     if len(low) != len(text):  # a few capitals become two characters; they stay as they are
         low = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
     a = np.frombuffer(low.encode("utf-32-le", "surrogatepass"), np.uint32)
-    space = (a <= 32) & (a >= 9) & ((a <= 13) | (a >= 28))
-    high = a >= 0x85
-    if high.any():
-        space |= high & np.isin(a, _SPACES)
+    space = _IS_SPACE[np.minimum(a, 0xFFFF)]
     keep = ~space
     keep[1:] |= space[1:] & ~space[:-1]
     keep[:1] = True

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import chat, warc
 from .bpe import encoded
 from .decontaminate import contaminated
 from .fingerprints import edited_likeness
@@ -12,7 +13,7 @@ from .html_text import extracted
 from .jaccard import jaccard_components
 from .secrets import as_text, base_only, count_of, found_secrets
 from .sharding import placed
-from .tables import table
+from .tables import materialize, table
 from .toxicity import fit_machine, held_out, scored
 
 #: Names of the shards that op1 places documents in.
@@ -43,6 +44,11 @@ def op3_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bundles = materialize(warc.archived(table(spark, sf_dir, "pages")), "warc")
+    return warc.read_back(bundles).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op5_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     rows = scored(docs, fit_machine(docs, table(spark, sf_dir, "labels")))
@@ -65,6 +71,15 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_chat_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = F.lit("\\### Assistant: </turn> ok")
+    turn = F.col("id")
+    role = F.when(turn == 0, "user").otherwise("assistant")
+    extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), turn.alias("turn"), role.alias("role"), said.alias("text"))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(extra)
+    return chat.read_back(chat.format_turns(rows))
+
+
 def op9_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_likeness(table(spark, sf_dir, "documents"))
 
@@ -77,12 +92,36 @@ QUERIES = {
     "op1_shard_table": op1_shard_table,
     "op2_html_main_text": op2_html_main_text,
     "op3_bpe_chunks": op3_bpe_chunks,
+    "op4_warc_bundles": op4_warc_bundles,
     "op5_toxicity_fm": op5_toxicity_fm,
     "op6_secret_lexer": op6_secret_lexer,
     "op7_decontaminate": op7_decontaminate,
+    "op8_chat_round_trip": op8_chat_round_trip,
     "op9_bottom_k": op9_bottom_k,
     "op10_jaccard_join": op10_jaccard_join,
 }
 
 #: DuckDB SQL for the queries that SQL can express on whole tables.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_warc_bundles": """
+        WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+        k AS (SELECT payload_digest, max(page_id) AS kept FROM p WHERE payload_bytes >= 1000 GROUP BY payload_digest)
+        SELECT p.page_id, p.payload_bytes, p.payload_digest,
+               CASE WHEN k.kept <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN k.kept <> p.page_id THEN k.kept END AS refers_to
+        FROM p LEFT JOIN k ON p.payload_digest = k.payload_digest AND p.payload_bytes >= 1000
+    """,
+    "op8_chat_round_trip": r"""
+        WITH t AS (
+            SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+            UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+        )
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+               CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               CAST(sum(length(text) + length(role) + 15 + length(regexp_extract_all(text, '###|</turn>'))) AS BIGINT) AS formatted_chars
+        FROM t GROUP BY conv_id
+    """,
+}
