@@ -24,3 +24,6 @@ def query(sql: str | None = None) -> Callable:
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QUERIES["mart_group"](spark, sf_dir)
+
+
+from . import mart_queries, star_queries  # noqa: E402, F401  registers their queries
