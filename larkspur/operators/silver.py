@@ -55,8 +55,12 @@ def flat_tags(df: DataFrame, key: str = "item", layers: dict[str, str] | None =
     """(key, layer, tag, position) from one array column per layer."""
     layers = layers or {x: f"{x}_notes" for x in LAYERS}
     empty = F.array().cast("array<string>")
-    each = [F.transform(F.coalesce(F.col(c), empty), lambda t, i, x=x: F.struct(F.lit(x).alias("layer"), t.alias("tag"), i.alias("position"))) for x, c in layers.items()]
-    return df.select(key, F.inline(F.concat(*each))).where("tag is not null and tag <> ''")
+
+    def rows(layer: str, column: str) -> Column:
+        row = lambda t, i: F.struct(F.lit(layer).alias("layer"), t.alias("tag"), i.alias("position"))
+        return F.transform(F.coalesce(F.col(column), empty), row)
+
+    return df.select(key, F.inline(F.concat(*(rows(x, c) for x, c in layers.items())))).where("tag is not null and tag <> ''")
 
 
 def axis_kind(axis: Column) -> Column:
