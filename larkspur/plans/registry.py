@@ -26,4 +26,4 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QUERIES["mart_group"](spark, sf_dir)
 
 
-from . import mart_queries, search_queries, similarity_queries, star_queries  # noqa: E402, F401  registers their queries
+from . import mart_queries, page_queries, search_queries, similarity_queries, star_queries  # noqa: E402, F401  registers their queries

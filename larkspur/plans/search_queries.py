@@ -225,14 +225,14 @@ def json_in_text(spark, d):
 
 @query(r"""WITH al AS (SELECT DISTINCT conv_id AS key, lower(split_part(text, ' ', 1) || ' ' || split_part(text, ' ', 2)) AS name FROM conversations WHERE turn = 0),
 ok AS (SELECT key, name AS w FROM al UNION SELECT key, unnest(regexp_split_to_array(name, '[\s/&-]+')) FROM al),
-ph AS (SELECT DISTINCT conv_id AS key, turn, unnest(regexp_extract_all(regexp_replace(upper(text), '[^\x00-\x7F]', '-', 'g'), '\b([A-Z][\w'']*(?:\s+[A-Z0-9][\w'']*)+)', 1)) AS phrase FROM conversations WHERE role = 'assistant'),
+ph AS (SELECT DISTINCT conv_id AS key, turn, unnest(regexp_extract_all(upper(regexp_replace(text, '[^\x00-\x7F]', '-', 'g')), '\b([A-Z][\w'']*(?:\s+[A-Z0-9][\w'']*)+)', 1)) AS phrase FROM conversations WHERE role = 'assistant'),
 bad AS (SELECT key, turn, phrase FROM ph WHERE NOT EXISTS (SELECT 1 FROM ok WHERE ok.key = ph.key AND w = lower(phrase)) AND (SELECT count(*) FROM (SELECT unnest(regexp_split_to_array(lower(phrase), '\s+')) AS u) WHERE length(u) > 2 AND NOT EXISTS (SELECT 1 FROM ok WHERE ok.key = ph.key AND w = u AND length(w) > 2)) + (CASE WHEN (SELECT count(*) FROM (SELECT unnest(regexp_split_to_array(lower(phrase), '\s+')) AS u) WHERE length(u) > 2) = 0 THEN 1 ELSE 0 END) > 0)
 SELECT key, phrase, count(*) AS n FROM bad GROUP BY 1, 2""")
 def ungrounded_names(spark, d):
     c = bind.t(spark, d, "conversations")
     w = F.split("text", " ")
     allowed = c.where("turn = 0").select(F.col("conv_id").alias("key"), F.concat_ws(" ", F.get(w, 0), F.coalesce(F.get(w, 1), F.lit(""))).alias("name"))
-    loud = F.regexp_replace(F.upper("text"), r"[^\x00-\x7F]", "-")
+    loud = F.upper(F.regexp_replace("text", r"[^\x00-\x7F]", "-"))
     rows = dialog.ungrounded(c.where("role = 'assistant'").select(F.col("conv_id").alias("key"), loud.alias("text")), allowed)
     return rows.groupBy("key", "phrase").agg(F.count("*").alias("n"))
 
