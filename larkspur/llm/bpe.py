@@ -11,9 +11,12 @@ are encoded as one chunk, until all joins agree.
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import os
 import re
+import sys
+import threading
 from collections.abc import Iterator
 from itertools import chain
 
@@ -30,7 +33,9 @@ from .shingles import U, mix
 ONE_IN = 64
 WINDOW = 8
 #: Chunks and smallest chunks whose tokens a worker keeps.
-KEPT, KEPT_SMALL = 10_000, 800_000
+KEPT, KEPT_SMALL = 5_000, 800_000
+#: A worker forgets its chunks when no task has asked for so long.
+IDLE_SECONDS = 1.5
 _pieces = re.compile(r"[ \t\n\v\f\r]?[^ \t\n\v\f\r]+|[ \t\n\v\f\r]").findall
 _codecs: dict[str, "Codec"] = {}
 
@@ -79,11 +84,31 @@ class Codec:
         if self.tokenizer.decoder is None:  # decoding is then the tokens with spaces between them
             n = self.tokenizer.get_vocab_size(with_added_tokens=True)
             self.plain = [self.tokenizer.id_to_token(i) or "" for i in range(n)]
-        self.chunks, self.small = _Kept(KEPT), _Kept(KEPT_SMALL)
+        self.ints = list(range(self.tokenizer.get_vocab_size(with_added_tokens=True)))  # one object a token id
+        self.timer: threading.Timer | None = None
+        self.release()
         self.joins = np.empty(0, U)  # windows seen: three code points in one number
         self.bad: set[str] = set()
         self.encoded = 0
 
+    def release(self) -> None:
+        """Forget the chunks and give their memory back to the system."""
+        self.chunks, self.small = _Kept(KEPT), _Kept(KEPT_SMALL)
+        pa.default_memory_pool().release_unused()
+        if sys.platform == "linux":
+            ctypes.CDLL(None).malloc_trim(0)
+
+    def task_begins(self) -> None:
+        if self.timer:
+            self.timer.cancel()
+
+    def task_ends(self) -> None:
+        """Workers live on after a task: the next one may use the chunks, but where none comes soon,
+        others need the memory."""
+        self.timer = threading.Timer(IDLE_SECONDS, self.release)
+        self.timer.daemon = True
+        self.timer.start()
+
     def _encode(self, texts: list[str]) -> list[list[int]]:
         self.encoded += len(texts)
         return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -139,7 +164,7 @@ class Codec:
         small = {piece: get(piece) for piece in set(chain.from_iterable(new.values()))}
         unknown = [p for p, ids in small.items() if ids is None]
         for piece, ids in zip(unknown, self._encode(unknown)):
-            small[piece] = ids = tuple(ids)
+            small[piece] = ids = tuple(map(self.ints.__getitem__, ids))
             put(piece, ids)
         for chunk, pieces in new.items():
             tokens[chunk] = ids = list(chain.from_iterable(map(small.__getitem__, pieces)))
@@ -182,6 +207,7 @@ def encoded(docs: DataFrame, path: str, text_col: str = "text", keep: tuple[str,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path)
+        own.task_begins()
         for b in batches:
             for at in range(0, b.num_rows, 1000):
                 part = b.slice(at, 1000)
@@ -190,5 +216,6 @@ def encoded(docs: DataFrame, path: str, text_col: str = "text", keep: tuple[str,
                 flat = np.fromiter(chain.from_iterable(ids), np.int32, int(ends[-1]))
                 tokens = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], tokens, pa.array(own.decode(ids), pa.string())], schema.names)
+        own.task_ends()
 
     return rows.mapInArrow(run, schema)

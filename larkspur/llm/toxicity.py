@@ -20,6 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructType
 
 _WORD = re.compile(r"\w+")
 #: Words whose buckets a worker keeps.
@@ -155,7 +156,9 @@ def fit_machine(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
 
 
 def scored(docs: DataFrame, machine: Machine, text_col: str = "text", score_col: str = "score") -> DataFrame:
-    """`docs` with its score column; null and empty texts score as texts without terms."""
+    """`docs` with its score column, which replaces one of that name; null and empty texts score as
+    texts without terms."""
+    docs = docs.drop(score_col)
     names = docs.columns
     at, shared = names.index(text_col), docs.sparkSession.sparkContext.broadcast(machine)
 
@@ -165,8 +168,6 @@ def scored(docs: DataFrame, machine: Machine, text_col: str = "text", score_col:
             scores = pa.array([own.score(t) for t in b.column(at).to_pylist()], pa.float64())
             yield pa.RecordBatch.from_arrays([*b.columns, scores], [*names, score_col])
 
-    from pyspark.sql.types import DoubleType, StructType
-
     return docs.mapInArrow(run, StructType([*docs.schema.fields]).add(score_col, DoubleType()))
 
 

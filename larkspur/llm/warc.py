@@ -71,14 +71,15 @@ def parsed(data: bytes, offset: int = 0) -> tuple[dict[str, str], bytes, int]:
 class Bundle:
     """Frames of records, written one after the other."""
 
-    def __init__(self, level: int):
+    def __init__(self, level: int, frame_bytes: int = FRAME_BYTES):
+        self.frame_bytes = frame_bytes
         self.zstd, self.frames, self.sizes, self.entries, self.raw = zstandard.ZstdCompressor(level=level, write_checksum=True), [], [], [], []
 
     def add(self, name: str, data: bytes) -> None:
         at = sum(map(len, self.raw))
         self.entries.append((name, len(self.frames), at, len(data)))
         self.raw.append(data)
-        if at + len(data) >= FRAME_BYTES:
+        if at + len(data) >= self.frame_bytes:
             self._flush()
 
     def _flush(self) -> None:
@@ -130,7 +131,7 @@ def revisits(pages: DataFrame, id_col: str = "page_id", html_col: str = "html")
     return keys.join(kept, ["digest", "n"]).where("id is null or id <> refers_to").select("id", "refers_to")
 
 
-def archived(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", level: int = 3, date: str = "2024-01-01T00:00:00Z") -> DataFrame:
+def archived(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", level: int = 3, date: str = "2024-01-01T00:00:00Z", frame_bytes: int = FRAME_BYTES, bundle_bytes: int = BUNDLE_BYTES) -> DataFrame:
     """Bundles (bundle, content, entries) with one record per page.
 
     A null html is an empty payload.  Of repeated ids with equal payloads each is a response if
@@ -146,7 +147,7 @@ def archived(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", ht
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        bundle, n = Bundle(level), 0
+        bundle, n = Bundle(level, frame_bytes), 0
         name = f"part-{TaskContext.get().partitionId():06d}"
 
         def done() -> pa.RecordBatch:
@@ -158,9 +159,9 @@ def archived(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", ht
             for page, url, html, refers in zip(*(c.to_pylist() for c in b.columns)):
                 payload = html.encode("utf-8", "surrogatepass")
                 bundle.add(record_id(page), record(page, url, payload, hashlib.sha1(payload).hexdigest(), refers, date))
-                if bundle.size() >= BUNDLE_BYTES:
+                if bundle.size() >= bundle_bytes:
                     yield done()
-                    bundle, n = Bundle(level), n + 1
+                    bundle, n = Bundle(level, frame_bytes), n + 1
         if bundle.entries:
             yield done()
 
