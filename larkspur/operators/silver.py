@@ -105,18 +105,17 @@ def resolve_group(items: DataFrame, key: str, name: str, listings: DataFrame, gr
 def analysis_rows(df: DataFrame) -> DataFrame:
     """Records with maps: attribute to strength, axis to percent (the last of repeated names counts,
     missing numbers are zero), and all tags in layer order."""
-    last = lambda a, k, v: F.map_from_entries(F.array_compact(F.transform(F.filter(a, lambda x: x[k].isNotNull()), lambda x: F.struct(x[k], F.coalesce(x[v], F.lit(0.0))))))
-    empty = F.array().cast("array<string>")
-    with_names = last(_last_of_name(F.col("accords")), "name", "width")
-    wear = last(_last_of_name(F.col("when_to_wear")), "name", "percent")
-    tags = F.filter(F.concat(*(F.coalesce(F.col(f"{x}_notes"), empty) for x in LAYERS)), lambda t: t.isNotNull() & (t != ""))
-    return df.withColumns({"attributes": with_names, "axes": wear, "tags": tags})
+    none = F.array().cast("array<string>")
+    tags = F.filter(F.concat(*(F.coalesce(F.col(f"{x}_notes"), none) for x in LAYERS)), lambda t: t.isNotNull() & (t != ""))
+    return df.withColumns({"attributes": _last_wins("accords", "width"), "axes": _last_wins("when_to_wear", "percent"), "tags": tags})
 
 
-def _last_of_name(a: Column) -> Column:
-    """Entries whose name does not occur again later in the array."""
-    later = lambda i: F.transform(F.slice(a, i + 2, F.size(a)), lambda x: x["name"])
-    return F.filter(F.coalesce(a, F.filter(a, lambda x: F.lit(False))), lambda x, i: ~F.coalesce(F.array_contains(later(i), x["name"]), F.lit(False)))
+def _last_wins(column: str, value: str) -> Column:
+    """Map of an array's names to their values, the last entry of a name counting."""
+    pairs = F.transform(F.filter(column, lambda x: x["name"].isNotNull()), lambda x: F.struct(x["name"].alias("k"), F.coalesce(x[value], F.lit(0.0)).alias("v")))
+    names = lambda a: F.transform(a, lambda x: x["k"])
+    kept = F.filter(pairs, lambda x, i: F.coalesce(~F.array_contains(names(F.slice(pairs, i + 2, F.size(pairs))), x["k"]), F.lit(True)))
+    return F.coalesce(F.map_from_entries(kept), F.create_map().cast("map<string,double>"))
 
 
 def merged_directory(df: DataFrame, key: str, priority: str, columns: list[str]) -> DataFrame:
