@@ -246,11 +246,15 @@ def _exact(rule: Rule):
     return run
 
 
+def _few(ids: DataFrame) -> DataFrame:
+    """The ids, to be broadcast if they are few; else their join shuffles."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
     """Those of `pairs` whose sets link, by intersecting the sets themselves."""
     ids = materialize(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "ids")
-    few = ids.count() <= BROADCAST_IDS
-    wanted = docs.join(F.broadcast(ids) if few else ids, "id", "left_semi")
+    wanted = docs.join(_few(ids), "id", "left_semi")
     sets = materialize(wanted.mapInArrow(_set_rows(rule), "id long, hashes binary"), "sets")
     left = pairs.join(sets.toDF("a", "x"), "a")
     return materialize(left.join(sets.toDF("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(_exact(rule), "a long, b long"), "linked")
@@ -267,7 +271,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     sigs = materialize(docs.mapInArrow(_sign(rule), "id long, n long, d1 long, d2 long, keys array<long>, bits binary"), "signatures")
     known = sigs.where("id is not null")
     group = materialize(known.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("id").alias("rep")), "copies")
-    reps = known.where("size(keys) > 0").join(group.select(F.col("rep").alias("id")), "id", "left_semi")
+    copies = known.where("n > 0").select("id", "n", "d1", "d2").join(group, ["n", "d1", "d2"]).where("id <> rep").select("id")
+    copies = materialize(copies.distinct(), "gone")
+    reps = known.where("size(keys) > 0").join(_few(copies), "id", "left_anti")
     rows = reps.select(F.explode("keys").alias("key"), "id").repartition("key").sortWithinPartitions("key", "id")
     tiles = materialize(rows.mapInArrow(_runs, "key long, id long, leader long"), "tiles")
     members = tiles.select("id").distinct()
