@@ -20,10 +20,3 @@ def query(sql: str | None = None) -> Callable:
         return fn
 
     return add
-
-
-def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return QUERIES["mart_group"](spark, sf_dir)
-
-
-from . import mart_queries, page_queries, search_queries, similarity_queries, star_queries  # noqa: E402, F401  registers their queries

@@ -7,7 +7,7 @@ import duckdb
 import pytest
 from conftest import SF
 
-from larkspur.plans.registry import ORACLES, QUERIES
+from larkspur.plans.catalog import ORACLES, QUERIES
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
