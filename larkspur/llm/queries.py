@@ -124,4 +124,18 @@ ORACLE_SQL: dict[str, str] = {
                CAST(sum(length(text) + length(role) + 15 + length(regexp_extract_all(text, '###|</turn>'))) AS BIGINT) AS formatted_chars
         FROM t GROUP BY conv_id
     """,
+    "op10_jaccard_join": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+        ), s AS (
+            SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS g FROM w
+        ), f AS (SELECT doc_id, len(g) AS n, unnest(g) AS x FROM s),
+        p AS (
+            SELECT a.doc_id AS a, b.doc_id AS b FROM f a JOIN f b ON a.x = b.x AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+            GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+        ), e AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
+        r(id, c) AS (SELECT a, b FROM e UNION SELECT r.id, e.b FROM r JOIN e ON e.a = r.c)
+        SELECT doc_id, len(g) AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_id FROM s LEFT JOIN (SELECT id, min(c) AS m FROM r GROUP BY 1) ON id = doc_id
+    """,
 }
