@@ -236,3 +236,23 @@ def test_stream_equals_batch(spark, tmp_path):
     s = {(r.user_id, int(r.start.timestamp())): r.n for r in stream_sessions(spark, SF).collect()}
     b = {(r.user_id, r.start // 1_000_000): r.n for r in idle_sessions(spark, SF).collect()}
     assert s and all(b.get(k) == n for k, n in s.items())
+
+
+def test_retriever_contract(spark):
+    from larkspur.operators.retrieval import Retriever
+
+    items = spark.createDataFrame([(1, "a", 50, "Nam"), (2, "a", 3, "Nữ"), (3, "b", 9, "Nam")], "item long, grp string, votes long, gender string")
+    raw = spark.createDataFrame([(1, "note", "rose", 1.0), (2, "note", "rose", 1.0), (3, "note", "musk", 1.0), (1, "note", "musk", 0.2)], "item long, block string, label string, weight double")
+    idf = spark.createDataFrame([("note", "rose", 2, 1.4), ("note", "musk", 2, 1.4)], "block string, label string, df long, idf double")
+    vectors = spark.createDataFrame([(1, "a", "m", [1.0, 0.0]), (2, "a", "m", [0.9, 0.1]), (3, "b", "m", [0.0, 1.0])], "item long, grp string, model_id string, embedding array<double>")
+    r = Retriever(items, sparse.combined(raw), idf, vectors)
+    asked = spark.createDataFrame([(7, "note", "rose"), (7, "note", "unheard of")], "query long, block string, label string")
+    assert [x.item for x in r.search(asked).orderBy("rank").collect()] == [2, 1]
+    assert [x.item for x in r.search(asked, gender="nam").collect()] == [1] and r.search(asked, min_votes=60).count() == 0
+    dense_q = spark.createDataFrame([(7, [1.0, 0.0])], "query long, embedding array<double>")
+    assert [x.item for x in r.search(dense_q, 2).orderBy("rank").collect()] == [1, 2]
+    assert r.size() == 3 and rows(r.vocabulary("note")) == [("musk",), ("rose",)] and r.similar_groups().count() == 2
+    with pytest.raises(ValueError):
+        r.vocabulary("nope")
+    with pytest.raises(ValueError):
+        Retriever(items, raw, idf).search(dense_q)
