@@ -108,17 +108,30 @@ def query_vector(wanted: DataFrame, weights: DataFrame, known_only: bool = False
     return combined(rows.select("query", "block", "label", F.coalesce("idf", F.lit(1.0)).alias("weight")), "query")
 
 
+def _rest(terms: DataFrame, key: str) -> DataFrame:
+    """(key, a map of its weights in the blocks that select nothing): at most nine entries each."""
+    rows = terms.where(~F.col("block").isin(*SELECTIVE))
+    entry = F.struct(F.concat_ws(":", "block", "label"), "weight")
+    return rows.groupBy(key).agg(F.map_from_entries(F.collect_list(entry)).alias(f"{key[0]}_rest"))
+
+
 def ranked(queries: DataFrame, terms: DataFrame, items: DataFrame, k: int = 10, min_votes: int = 0, exclude_own: bool = False, other_group: DataFrame | None = None) -> DataFrame:
     """The k best items per query by score, then votes, then key; only positive scores.
 
-    Candidates share a selective term with the query; a query without selective terms is scored
-    against every item that shares one of its others.  `items` has item, votes, grp (filters on other
+    Candidates share a selective term with the query; axes and strengths, which nearly all items have,
+    are no join keys but a small map per item, multiplied in for candidates alone.  A query without
+    selective terms is scored against every item that shares one of its others.  `items` has item, votes, grp (filters on other
     columns are filters of `items`); `other_group`: query, grp that results must not have.
     """
-    selective = queries.where(F.col("block").isin(*SELECTIVE))
-    narrow = cosine(selective, terms.where(F.col("block").isin(*SELECTIVE))).select("query", "item")
+    chosen = F.col("block").isin(*SELECTIVE)
+    selective = queries.where(chosen)
+    part = cosine(selective, terms.where(chosen)).withColumnRenamed("score", "part")
+    rest = F.coalesce(F.col("i_rest"), F.create_map().cast("map<string,double>"))
+    other = F.aggregate(F.map_entries(F.coalesce("q_rest", F.create_map().cast("map<string,double>"))), F.lit(0.0), lambda a, e: a + e["value"] * F.coalesce(F.try_element_at(rest, e["key"]), F.lit(0.0)))
+    narrow = part.join(_rest(queries, "query"), "query", "left").join(_rest(terms, "item"), "item", "left")
+    narrow = narrow.select("query", "item", (F.col("part") + other).alias("score"))
     wide = queries.join(selective.select("query").distinct(), "query", "left_anti")
-    scores = cosine(queries, terms).join(narrow, ["query", "item"], "left_semi").union(cosine(wide, terms))
+    scores = narrow.union(cosine(wide, terms))
     rows = scores.where("score > 0").join(items, "item").where(F.coalesce("votes", F.lit(0)) >= min_votes)
     if exclude_own:
         rows = rows.where("query <> item")
