@@ -35,6 +35,8 @@ MARKS = frozenset(
     "modal overlay newsletter subscribe subscription signup sidebar sidebars widget widgets menu nav navbar navigation breadcrumb breadcrumbs "
     "share sharing social related recommended comment comments reply replies respond discussion disqus footer masthead toolbar pagination pager login search".split()
 )
+#: A name like has-sidebar or comments-open tells a state of what holds the article.
+_STATES = frozenset("with has no without is not enabled disabled on off open closed free".split())
 _CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _SPACE = re.compile(r"\s+")
 _WORDS = re.compile(r"[^a-z0-9]+")
@@ -89,11 +91,13 @@ class _Lines(HTMLParser):
     def _marked(self, tag: str, attrs: dict) -> bool:
         if tag == "header":
             return not any(x[0] in ("article", "main") for x in self.stack)
-        if tag in ("html", "body", "article", "main") and not ("comment" in (attrs.get("class") or "")):
+        if not attrs or tag in ("html", "body", "main"):
             return False
-        if not attrs:
-            return False
-        words = _WORDS.split(f"{attrs.get('class') or ''} {attrs.get('id') or ''}".lower())
+        names = f"{attrs.get('class') or ''} {attrs.get('id') or ''}".lower().split()
+        parts = [p for p in map(_WORDS.split, names) if p[0] not in _STATES and p[-1] not in _STATES]
+        if tag == "article":  # a reader's comment may be an article of its own
+            return any(p[0] in ("comment", "comments", "reply") for p in parts)
+        words = [w for p in parts for w in p]
         style = (attrs.get("style") or "").replace(" ", "").lower()
         return (
             any(w in MARKS for w in words)

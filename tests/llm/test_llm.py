@@ -80,6 +80,7 @@ def test_main_text_cases():
     of text that is long enough.</p><ul><li>one<li>two</ul><form><p>Your mail</p></form><aside>side</aside><p>Last.</div><section id="comments"><p>I like this article very much, thank you all</p></section><footer>f</footer></body>"""
     assert html_text.main_text(page) == "T & U\nFirst line of text that is long enough.\none\ntwo\nLast."
     assert [html_text.main_text(x) for x in (None, "", "   ", "<p></p>")] == [""] * 4
+    assert html_text.main_text("<div class='layout has-sidebar'><article class='post comments-open'><p>body</p><article class='comment-7'>I agree</article></article><div class='sidebar'>x</div></div>") == "body"
     assert html_text.main_text("plain words only") == "plain words only"
     assert html_text.main_text("<nav>menu<article><p>body text here</p></article>") == "body text here"
     assert html_text.main_text("<article><header><h1>Head</h1></header><p>a<script>var x='<p>no</p>'</script>b</p></article>") == "Head\nab"
