@@ -33,7 +33,7 @@ from .shingles import U, mix
 ONE_IN = 64
 WINDOW = 8
 #: Chunks and smallest chunks whose tokens a worker keeps.
-KEPT, KEPT_SMALL = 5_000, 800_000
+KEPT, KEPT_SMALL = 5_000, 500_000
 #: A worker forgets its chunks when no task has asked for so long.
 IDLE_SECONDS = 1.5
 _pieces = re.compile(r"[ \t\n\v\f\r]?[^ \t\n\v\f\r]+|[ \t\n\v\f\r]").findall

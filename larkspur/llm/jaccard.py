@@ -6,12 +6,12 @@
    the tile below if it can link with a set there.  Within a tile the hash space is cut into more
    ranges than linked sets can differ in, so linked sets agree on all hashes of at least one
    range (pigeonhole; no link is lost).  The tile key is band, range and the sum of its hashes.
-3. Sets that share a tile key are compared by parity bitmaps: differing bits bound the symmetric
-   difference from below, hence the overlap from above.
-4. Pairs that pass are verified by intersecting the sorted arrays.  First each tile's members are
-   paired with its smallest member only; sets so linked form components, and only members of
-   different components are paired in the second round, so a large group of near copies does not
-   make its square in pairs.
+3. Sets that share a tile key are gathered under the smallest id of the tile, once for all tiles that
+   it leads, and compared by parity bitmaps: differing bits bound the symmetric difference from
+   below, hence the overlap from above.
+4. Pairs that pass are verified by intersecting the sorted arrays.  First members are paired with
+   their leader only; sets so linked form components, and only members of different components are
+   paired in the second round, so a large group of near copies does not make its square in pairs.
 """
 
 from __future__ import annotations
@@ -61,8 +61,8 @@ class Rule:
 
 
 def bitmap(hashes: np.ndarray) -> bytes:
-    """Parity of the hashes in each of w positions, w the power of two from half the size, 64 at least."""
-    w = max(64, 1 << max(0, (len(hashes) // 2 - 1).bit_length()))
+    """Parity of the hashes in each of w positions, w the power of two from twice the size, 64 at least."""
+    w = max(64, 1 << max(0, (2 * len(hashes) - 1).bit_length()))
     odd = np.bincount((mix(hashes) & U(w - 1)).astype(np.int64), minlength=w) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
@@ -181,23 +181,25 @@ def _pass_bound(rule: Rule):
 
 
 def _cross(rule: Rule):
-    """Of rows sorted by tile key: pairs of a tile in different components that the bitmaps allow."""
+    """Of rows sorted by leader: its members' pairs in different components that the bitmaps allow."""
 
-    def tile(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    def group(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         ids, n, comp, bits = (np.concatenate(x) for x in zip(*rows))
         if (comp == comp[0]).all():
             return
-        w = min(map(len, bits))
-        m = np.vstack([_fold(np.frombuffer(x, np.uint8), w) for x in bits])
-        m = m.view(np.uint64)
-        for i in range(len(ids) - 1):
-            rest = slice(i + 1, None)
-            ok = np.flatnonzero((comp[rest] != comp[i]) & _bound(rule, n[rest], n[i], np.zeros(1, np.int64))) + i + 1
-            if len(ok):
-                ok = ok[_bound(rule, n[ok], n[i], np.bitwise_count(m[ok] ^ m[i]).sum(1, dtype=np.int64))]
-            if len(ok):
-                a, b = np.minimum(ids[ok], ids[i]), np.maximum(ids[ok], ids[i])
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+        width = np.array([len(x) for x in bits])
+        order = np.argsort(width, kind="stable")
+        ids, n, comp, bits, width = ids[order], n[order], comp[order], bits[order], width[order]
+        for w in np.unique(width):  # a pair is compared at the smaller of its two widths
+            start, end = np.searchsorted(width, [w, w + 1])
+            m = np.vstack([_fold(np.frombuffer(x, np.uint8), w) for x in bits[start:]]).view(np.uint64)
+            for i in range(start, end):
+                ok = np.flatnonzero((comp[i + 1 :] != comp[i]) & _bound(rule, n[i + 1 :], n[i], np.zeros(1, np.int64))) + i + 1
+                if len(ok):
+                    differ = np.bitwise_count(m[ok - start] ^ m[i - start]).sum(1, dtype=np.int64)
+                    ok = ok[_bound(rule, n[ok], n[i], differ)]
+                if len(ok):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(ids[ok], ids[i])), pa.array(np.maximum(ids[ok], ids[i]))], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, rows = None, []
@@ -211,12 +213,12 @@ def _cross(rule: Rule):
                 if s == e:
                     continue
                 if rows and key[s] != last:
-                    yield from tile(rows)
+                    yield from group(rows)
                     rows = []
                 last = key[s]
                 rows.append([*(c[s:e] for c in cols), bits[s:e]])
         if rows:
-            yield from tile(rows)
+            yield from group(rows)
 
     return run
 
@@ -275,18 +277,18 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     copies = materialize(copies.distinct(), "gone")
     reps = known.where("size(keys) > 0").join(_few(copies), "id", "left_anti")
     rows = reps.select(F.explode("keys").alias("key"), "id").repartition("key").sortWithinPartitions("key", "id")
-    tiles = materialize(rows.mapInArrow(_runs, "key long, id long, leader long"), "tiles")
-    members = tiles.select("id").distinct()
-    bits = materialize(known.select("id", "n", "bits").join(members, "id", "left_semi").dropDuplicates(["id"]), "bits")
+    led = rows.mapInArrow(_runs, "key long, id long, leader long").select("leader", "id").distinct()
+    led = materialize(led, "led")
+    bits = materialize(known.select("id", "n", "bits").join(_few(materialize(led.select("id").distinct(), "members")), "id", "left_semi").dropDuplicates(["id"]), "bits")
 
-    star = tiles.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
+    star = led.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b"))
     star = star.join(bits.toDF("a", "n", "x"), "a").join(bits.toDF("b", "m", "y"), "b").select("a", "b", "n", "m", "x", "y")
     star = materialize(star.mapInArrow(_pass_bound(rule), "a long, b long"), "star")
     links = _verified(star, docs, rule)
     found = components(links)
 
     tagged = bits.join(found, "id", "left").select("id", "n", F.coalesce("component", "id").alias("comp"), "bits")
-    cross = tiles.select("key", "id").join(tagged, "id").select("key", "id", "n", "comp", "bits")
+    cross = led.withColumnRenamed("leader", "key").join(tagged, "id").select("key", "id", "n", "comp", "bits")
     cross = cross.repartition("key").sortWithinPartitions("key").mapInArrow(_cross(rule), "a long, b long")
     cross = materialize(cross.distinct().join(star, ["a", "b"], "left_anti"), "cross")
     more = _verified(cross, docs, rule)
