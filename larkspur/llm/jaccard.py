@@ -10,8 +10,11 @@
    it leads, and compared by parity bitmaps: differing bits bound the symmetric difference from
    below, hence the overlap from above.
 4. Pairs that pass are verified by intersecting the sorted arrays.  First members are paired with
-   their leader only; sets so linked form components, and only members of different components are
-   paired in the second round, so a large group of near copies does not make its square in pairs.
+   their leader only; sets so linked form components, and a group is done when all of its members but
+   the leader are in one.  Large groups that are not done repeat this with the least ids of their
+   largest components (of equal ones by hash) as leaders while that helps, so near copies do not make their square in pairs.
+5. What remains is compared exhaustively, members of different components only, large groups in
+   pairs of blocks that are dealt over the tasks.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
@@ -30,6 +33,10 @@ from .tables import materialize
 
 #: Broadcast the ids whose sets are fetched while there are at most so many (8 bytes each).
 BROADCAST_IDS = 1 << 20
+#: Groups of more members get rounds of so many new leaders, as long as a round leaves at most this share of their rows.
+SMALL, LEADERS, HELPS = 64, 8, 0.75
+#: Members of a large group are compared in pairs of blocks of about so many.
+BLOCK = 512
 
 
 @dataclass(frozen=True)
@@ -181,20 +188,22 @@ def _pass_bound(rule: Rule):
 
 
 def _cross(rule: Rule):
-    """Of rows sorted by leader: its members' pairs in different components that the bitmaps allow."""
+    """Of rows sorted by key and cell: the pairs in different components (and of different sides, if the
+    cell has two) that the bitmaps allow."""
 
     def group(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        ids, n, comp, bits = (np.concatenate(x) for x in zip(*rows))
+        ids, n, comp, side, bits = (np.concatenate(x) for x in zip(*rows))
         if (comp == comp[0]).all():
             return
         width = np.array([len(x) for x in bits])
         order = np.argsort(width, kind="stable")
-        ids, n, comp, bits, width = ids[order], n[order], comp[order], bits[order], width[order]
+        ids, n, comp, side, bits, width = ids[order], n[order], comp[order], side[order], bits[order], width[order]
         for w in np.unique(width):  # a pair is compared at the smaller of its two widths
             start, end = np.searchsorted(width, [w, w + 1])
             m = np.vstack([_fold(np.frombuffer(x, np.uint8), w) for x in bits[start:]]).view(np.uint64)
             for i in range(start, end):
-                ok = np.flatnonzero((comp[i + 1 :] != comp[i]) & _bound(rule, n[i + 1 :], n[i], np.zeros(1, np.int64))) + i + 1
+                other = (comp[i + 1 :] != comp[i]) & ((side[i + 1 :] != side[i]) | (side[i] < 0))
+                ok = np.flatnonzero(other & _bound(rule, n[i + 1 :], n[i], np.zeros(1, np.int64))) + i + 1
                 if len(ok):
                     differ = np.bitwise_count(m[ok - start] ^ m[i - start]).sum(1, dtype=np.int64)
                     ok = ok[_bound(rule, n[ok], n[i], differ)]
@@ -204,18 +213,18 @@ def _cross(rule: Rule):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, rows = None, []
         for b in batches:
-            key = b.column(0).to_numpy(zero_copy_only=False)
-            cols = [b.column(i).to_numpy(zero_copy_only=False) for i in (1, 2, 3)]
+            key, cell = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            cols = [b.column(i).to_numpy(zero_copy_only=False) for i in (2, 3, 4, 5)]
             bits = np.empty(len(key), object)
-            bits[:] = b.column(4).to_pylist()
-            cut = np.concatenate(([0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]))
+            bits[:] = b.column(6).to_pylist()
+            cut = np.concatenate(([0], np.flatnonzero((key[1:] != key[:-1]) | (cell[1:] != cell[:-1])) + 1, [len(key)]))
             for s, e in zip(cut[:-1], cut[1:]):
                 if s == e:
                     continue
-                if rows and key[s] != last:
+                if rows and (key[s], cell[s]) != last:
                     yield from group(rows)
                     rows = []
-                last = key[s]
+                last = key[s], cell[s]
                 rows.append([*(c[s:e] for c in cols), bits[s:e]])
         if rows:
             yield from group(rows)
@@ -262,6 +271,31 @@ def _verified(pairs: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
     return materialize(left.join(sets.toDF("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(_exact(rule), "a long, b long"), "linked")
 
 
+def _allowed(pairs: DataFrame, bits: DataFrame, rule: Rule) -> DataFrame:
+    """Those of `pairs` (a, b) that the bitmaps allow."""
+    both = pairs.join(bits.toDF("a", "n", "x"), "a").join(bits.toDF("b", "m", "y"), "b").select("a", "b", "n", "m", "x", "y")
+    return materialize(both.mapInArrow(_pass_bound(rule), "a long, b long"), "star")
+
+
+def _open(rest: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows key, id, comp, size of the groups whose members are of two components or more."""
+    tagged = materialize(rest.select("key", "id").join(found, "id", "left").select("key", "id", F.coalesce("component", "id").alias("comp")), "tagged")
+    size = tagged.groupBy("key").agg(F.count("*").alias("size"), F.min("comp").alias("least"), F.max("comp").alias("most"))
+    size = materialize(size.where("least < most").select("key", "size"), "open")
+    return materialize(tagged.join(_few(size), "key"), "rest")
+
+
+def _cells(rest: DataFrame) -> DataFrame:
+    """The rows of each group once for each pair of blocks that they take part in: key, cell, id, comp, side
+    (0 and 1 for the blocks of a pair, -1 if it is one block with itself)."""
+    parts = F.ceil(F.col("size") / BLOCK).cast("long")
+    rows = rest.select("key", "id", "comp", parts.alias("parts"), F.pmod(F.xxhash64("id", "key"), parts).alias("block"))
+    rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    cell = F.least("block", "with") * F.col("parts") + F.greatest("block", "with")
+    side = F.when(F.col("block") == F.col("with"), -1).when(F.col("block") < F.col("with"), 0).otherwise(1)
+    return rows.select("key", cell.alias("cell"), "id", "comp", side.cast("long").alias("side"))
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule: Rule = Rule()) -> DataFrame:
     """One row per row of `docs`: id, n_shingles, component_id (smallest id reachable by links).
 
@@ -281,16 +315,27 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     led = materialize(led, "led")
     bits = materialize(known.select("id", "n", "bits").join(_few(materialize(led.select("id").distinct(), "members")), "id", "left_semi").dropDuplicates(["id"]), "bits")
 
-    star = led.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b"))
-    star = star.join(bits.toDF("a", "n", "x"), "a").join(bits.toDF("b", "m", "y"), "b").select("a", "b", "n", "m", "x", "y")
-    star = materialize(star.mapInArrow(_pass_bound(rule), "a long, b long"), "star")
-    links = _verified(star, docs, rule)
+    done = _allowed(led.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")), bits, rule)
+    links = _verified(done, docs, rule)
     found = components(links)
 
-    tagged = bits.join(found, "id", "left").select("id", "n", F.coalesce("component", "id").alias("comp"), "bits")
-    cross = led.withColumnRenamed("leader", "key").join(tagged, "id").select("key", "id", "n", "comp", "bits")
-    cross = cross.repartition("key").sortWithinPartitions("key").mapInArrow(_cross(rule), "a long, b long")
-    cross = materialize(cross.distinct().join(star, ["a", "b"], "left_anti"), "cross")
+    # a leader has met all others of its group, so it takes no further part there
+    rest = _open(led.where("id <> leader").withColumnRenamed("leader", "key"), found)
+    before = None
+    while (n := rest.where(F.col("size") > SMALL).count()) and (before is None or n <= HELPS * before):
+        before, large = n, rest.where(F.col("size") > SMALL)
+        place = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("n"), F.xxhash64("head")))
+        heads = large.groupBy("key", "comp").agg(F.min("id").alias("head"), F.count("*").alias("n")).withColumn("place", place).where(F.col("place") <= LEADERS)
+        heads = materialize(heads.select("key", F.col("comp").alias("own"), "head"), "heads")
+        met = large.join(_few(heads), "key").where("comp <> own").select(F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b")).distinct()
+        pairs = _allowed(met.join(done, ["a", "b"], "left_anti"), bits, rule)
+        done, links = done.union(pairs), links.union(_verified(pairs, docs, rule))
+        found = components(links)
+        rest = _open(rest.join(_few(heads.select("key", F.col("head").alias("id"))), ["key", "id"], "left_anti"), found)
+
+    cross = _cells(rest).join(bits, "id").select("key", "cell", "id", "n", "comp", "side", "bits")
+    cross = cross.repartition("key", "cell").sortWithinPartitions("key", "cell").mapInArrow(_cross(rule), "a long, b long")
+    cross = materialize(cross.distinct().join(done, ["a", "b"], "left_anti"), "cross")
     more = _verified(cross, docs, rule)
     if not more.isEmpty():
         found = components(links.union(more))
