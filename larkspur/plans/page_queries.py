@@ -226,12 +226,17 @@ def flat_csv_lists(spark, d):
 # Streaming forms, run to the end of what is there
 
 
-def _streamed(spark, d, make, mode="append") -> DataFrame:
+def _streamed(spark, d, make, mode="append", ends=False) -> DataFrame:
+    """`ends`: a second run closes the windows that are open after the last event."""
     import uuid
 
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     base = f"{root.rstrip('/')}/larkspur-{uuid.uuid4().hex}"
-    stream = make(jobs.event_stream(spark, f"{d}/events.parquet*"))
+    events = jobs.event_stream(spark, f"{d}/events.parquet*")
+    stream = make(jobs.with_end(events, f"{base}/end") if ends else events)
+    if ends:
+        jobs.to_table(stream, f"{base}/out", f"{base}/state").awaitTermination()
+        jobs.end(events, f"{base}/end")
     if mode == "append":
         jobs.to_table(stream, f"{base}/out", f"{base}/state").awaitTermination()
     else:
@@ -269,12 +274,12 @@ def bursts(spark, d):
 
 @query()
 def stream_bursts(spark, d):
-    return _streamed(spark, d, lambda s: jobs.bursts(s, "user_id", "ts", 4, 86_400, 21_600))
+    return _streamed(spark, d, lambda s: jobs.bursts(s, "user_id", "event_id", "ts", 4, 86_400), ends=True)
 
 
 @query()
 def stream_sessions(spark, d):
-    return _streamed(spark, d, lambda s: jobs.idle_sessions(s, "user_id", "ts"))
+    return _streamed(spark, d, lambda s: jobs.idle_sessions(s, "user_id", "ts"), ends=True)
 
 
 @query()

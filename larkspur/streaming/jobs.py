@@ -3,6 +3,8 @@ new behaviour of the streaming form and are dropped by Spark."""
 
 from __future__ import annotations
 
+import json
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
@@ -23,6 +25,20 @@ def event_stream(spark: SparkSession, path: str, schema=None, files: int | None
     return reader.parquet(path).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+def with_end(events: DataFrame, path: str) -> DataFrame:
+    """The stream and what `end` writes to `path`, so that a last run closes what is open."""
+    spark = events.sparkSession
+    spark.createDataFrame([], events.schema).write.mode("append").parquet(path)
+    return events.unionByName(spark.readStream.schema(events.schema).parquet(path))
+
+
+def end(events: DataFrame, path: str, stamp: str = "ts") -> None:
+    """Marks the end of the stream: a row without a key far after all others, which moves the watermark."""
+    far = events.sparkSession.range(1)
+    cols = [F.lit("2250-01-01").cast(f.dataType).alias(f.name) if f.name == stamp else F.lit(None).cast(f.dataType).alias(f.name) for f in events.schema.fields]
+    far.select(*cols).write.mode("append").parquet(path)
+
+
 def record_stream(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """New JSON lines of a folder; derived tables refresh when files arrive, not by the clock."""
     return spark.readStream.schema(schema).option("recursiveFileLookup", "true").json(path)
@@ -88,10 +104,31 @@ def deltas(df: DataFrame, key: str, stamp: str, value: str) -> DataFrame:
     return rows.groupBy("key").applyInPandasWithState(step, "key long, stamp timestamp, value double, delta double", "at long, last double", "append", GroupStateTimeout.NoTimeout)
 
 
-def bursts(df: DataFrame, key: str, stamp: str, least: int = 4, seconds: int = 900, slide: int = 60, late: str = "15 minutes") -> DataFrame:
-    """Windows in which a key has `least` hits or more."""
-    w = F.window(stamp, f"{seconds} seconds", f"{slide} seconds")
-    return df.withWatermark(stamp, late).groupBy(key, w.alias("w")).agg(F.count("*").alias("hits")).where(F.col("hits") >= least).select(key, F.col("w.start").alias("start"), "hits")
+def bursts(df: DataFrame, key: str, row_id: str, stamp: str, least: int = 4, seconds: int = 900, late: str = "15 minutes") -> DataFrame:
+    """Hits that close a burst, as `batch_bursts` finds them.  A hit is counted once the watermark has passed
+    its second; a key's state is the hits not counted yet and those of the last `seconds` before them."""
+
+    def step(k: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        kept, upto = json.loads(state.get[0]) if state.exists else ([], None)
+        for f in frames:
+            kept += [[pd.Timestamp(t).value // 10**9, None if pd.isna(i) else int(i)] for t, i in zip(f[stamp], f[row_id])]
+        kept.sort(key=lambda r: r[0])
+        at, now = [r[0] for r in kept], state.getCurrentWatermarkMs() // 1000
+        first = 0 if upto is None else bisect_left(at, upto)
+        last = max(first, bisect_left(at, now))  # the seconds before `now` are complete
+        out = [(k[0], kept[i][1], bisect_right(at, at[i]) - bisect_left(at, at[i] - seconds + 1)) for i in range(first, last)]
+        upto = now if upto is None else max(now, upto)
+        kept = kept[bisect_left(at, upto - seconds + 1) :]
+        if kept:
+            state.update((json.dumps([kept, upto]),))
+            state.setTimeoutTimestamp(max(state.getCurrentWatermarkMs() + 1, (min((t for t in at[last:]), default=at[-1] + seconds) + 1) * 1000))
+        elif state.exists:
+            state.remove()
+        yield pd.DataFrame([x for x in out if x[2] >= least], columns=["key", "row", "hits"])
+
+    rows = df.select(F.col(key).cast("long").alias("key"), F.col(row_id).cast("long").alias(row_id), F.col(stamp).alias(stamp)).withWatermark(stamp, late)
+    found = rows.groupBy("key").applyInPandasWithState(step, "key long, row long, hits long", "hits string", "append", GroupStateTimeout.EventTimeTimeout)
+    return found.select(F.col("key").alias(key), F.col("row").alias(row_id), "hits")
 
 
 def batch_bursts(df: DataFrame, key: str, stamp: str, least: int = 4, seconds: int = 900) -> DataFrame:

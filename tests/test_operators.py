@@ -238,6 +238,20 @@ def test_stream_equals_batch(spark, tmp_path):
     assert s and all(b.get(k) == n for k, n in s.items())
 
 
+def test_streams_are_whole(spark, tmp_path):
+    from larkspur.plans.page_queries import bursts, stream_bursts, stream_sessions
+    from larkspur.plans.search_queries import idle_sessions
+
+    # four hits within 24 h but in no window of 6 h steps, a run at the very end, gaps of exactly 6 h
+    hours = [5.9, 12, 20, 29.8, 100, 106, 112.001, 300, 300, 300, 300.5, 301]
+    spark.sql("SELECT inline(array(%s))" % ", ".join(f"struct({k} AS event_id, {u} AS user_id, timestamp_seconds({round(h * 3600)} + 1700006400) AS ts)" for u in (1, 2) for k, h in enumerate(hours, 100 * u))).selectExpr("cast(event_id as long) event_id", "cast(user_id as long) user_id", "cast(ts as timestamp_ntz) ts").write.parquet(f"{tmp_path}/events.parquet")
+    for d in (str(tmp_path), "/root/testdata/sf0.001"):
+        got = stream_bursts(spark, d)
+        assert rows(got.select("user_id", "event_id", "hits")) == rows(bursts(spark, d))
+        s = sorted((r.user_id, int(r.start.timestamp()), r.n) for r in stream_sessions(spark, d).collect())
+        assert s == sorted((r.user_id, r.start // 1_000_000, r.n) for r in idle_sessions(spark, d).collect())
+
+
 def test_retriever_contract(spark):
     from larkspur.operators.retrieval import Retriever
 
