@@ -3,22 +3,17 @@
 A text is cut before white space wherever a rolling hash of the bytes before it says so; equal
 passages of different documents therefore give equal chunks wherever they stand.  Documents are
 dealt by their least chunk hash, so documents with common content meet in a task, and there each
-distinct chunk is encoded once.  A new chunk is put together from its smallest chunks, those cut
-before every white space, which are encoded once as well.  Joins are then checked: a window across
-each kind of join is encoded whole and must agree with its two sides; where it does not, both sides
-are encoded as one chunk, until all joins agree.
+distinct chunk is encoded once.  Joins are then checked: the words on both sides of a join are
+encoded together and must agree with the tokens of the two chunks.  Where they do not, both chunks
+become one, which is encoded again, and its joins are checked in the next round, until all agree.
 """
 
 from __future__ import annotations
 
-import ctypes
-import gc
 import os
-import re
-import sys
-import threading
-from collections.abc import Iterator
-from itertools import chain
+from array import array
+from collections.abc import Callable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -32,18 +27,23 @@ from .shingles import U, mix
 #: A chunk ends before a white space with this chance, over the hash of the WINDOW bytes before it.
 ONE_IN = 64
 WINDOW = 8
-#: Chunks and smallest chunks whose tokens a worker keeps.
-KEPT, KEPT_SMALL = 5_000, 500_000
-#: A worker forgets its chunks when no task has asked for so long.
-IDLE_SECONDS = 1.5
-_pieces = re.compile(r"[ \t\n\v\f\r]?[^ \t\n\v\f\r]+|[ \t\n\v\f\r]").findall
+#: Bytes of chunks, and of joins and their words, that a task keeps.
+KEPT_CHUNKS, KEPT_JOINS = 48 << 20, 16 << 20
+#: Texts are encoded in groups of about so many characters.
+GROUP_CHARS = 1 << 20
+_ENTRY = 400  # bytes of objects an entry has besides its text and tokens
 _codecs: dict[str, "Codec"] = {}
 
 
 def cuts(data: bytes) -> tuple[np.ndarray, int]:
-    """Offsets of the chunks' starts (0 first), and the least hash of the places of cutting."""
-    at = np.flatnonzero(shingles._SPACE[np.frombuffer(data, np.uint8)])
+    """Offsets of the chunks' starts (0 first), and the least hash of the places of cutting.
+
+    Chunks start at a white space (blank, \\t..\\r) that follows another character.
+    """
+    a = np.frombuffer(data, np.uint8)
+    at = np.flatnonzero(shingles._SPACE[a])
     at = at[at >= WINDOW]
+    at = at[a[at - 1] > 32]
     if not len(at):
         return np.zeros(1, np.int64), 0
     h = mix(np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))[at - WINDOW])
@@ -52,21 +52,36 @@ def cuts(data: bytes) -> tuple[np.ndarray, int]:
     return np.concatenate(([0], at[cut])), int((chosen.min() >> U(1)).astype(np.int64))
 
 
+def last_word(chunk: str) -> str:
+    """The end of a chunk: its last word with the white space around it."""
+    bare = chunk.rstrip()
+    word = bare.rsplit(None, 1)[-1] if bare else ""
+    return chunk[len(bare[: len(bare) - len(word)].rstrip()) :]
+
+
+def first_word(chunk: str) -> str:
+    """The beginning of a chunk: its first word with the white space before it."""
+    bare = chunk.lstrip()
+    word = bare.split(None, 1)[0] if bare else ""
+    return chunk[: len(chunk) - len(bare) + len(word)]
+
+
 class _Kept:
-    """A dictionary of bounded size that keeps what was used lately: two generations."""
+    """A dictionary bounded in bytes that keeps what was used lately: two generations."""
 
     def __init__(self, most: int):
-        self.half, self.young, self.old = most // 2, {}, {}
+        self.half, self.size, self.young, self.old = most // 2, 0, {}, {}
 
-    def get(self, key: str):
+    def get(self, key: str) -> bytes | None:
         found = self.young.get(key)
         if found is None and (found := self.old.get(key)) is not None:
             self.put(key, found)
         return found
 
-    def put(self, key: str, value) -> None:
-        if len(self.young) >= self.half:
-            self.old, self.young = self.young, {}
+    def put(self, key: str, value: bytes) -> None:
+        self.size += _ENTRY + 2 * len(key) + len(value)
+        if self.size > self.half:
+            self.old, self.young, self.size = self.young, {}, 0
         self.young[key] = value
 
 
@@ -84,92 +99,66 @@ class Codec:
         if self.tokenizer.decoder is None:  # decoding is then the tokens with spaces between them
             n = self.tokenizer.get_vocab_size(with_added_tokens=True)
             self.plain = [self.tokenizer.id_to_token(i) or "" for i in range(n)]
-        self.ints = list(range(self.tokenizer.get_vocab_size(with_added_tokens=True)))  # one object a token id
-        self.timer: threading.Timer | None = None
+        #: Characters of the texts given, of chunks encoded and of joins encoded; joins that did not agree.
+        self.given = self.encoded = self.joined = self.repaired = 0
         self.release()
-        self.joins = np.empty(0, U)  # windows seen: three code points in one number
-        self.bad: set[str] = set()
-        self.encoded = 0
 
     def release(self) -> None:
-        """Forget the chunks and give their memory back to the system."""
-        self.chunks, self.small = _Kept(KEPT), _Kept(KEPT_SMALL)
-        pa.default_memory_pool().release_unused()
-        if sys.platform == "linux":
-            ctypes.CDLL(None).malloc_trim(0)
-
-    def task_begins(self) -> None:
-        if self.timer:
-            self.timer.cancel()
-
-    def task_ends(self) -> None:
-        """Workers live on after a task: the next one may use the chunks, but where none comes soon,
-        others need the memory."""
-        self.timer = threading.Timer(IDLE_SECONDS, self.release)
-        self.timer.daemon = True
-        self.timer.start()
-
-    def _encode(self, texts: list[str]) -> list[list[int]]:
-        self.encoded += len(texts)
-        return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _check_joins(self, texts: list[str]) -> None:
-        """Encode each new window (a character, a white space, a character) whole and in its two
-        parts; windows that differ are no joins."""
-        a = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
-        at = np.flatnonzero((a <= 32) & (a >= 9) & ((a <= 13) | (a == 32)))
-        at = at[(at > 0) & (at < len(a) - 1)]
-        wide = lambda x: a[x].astype(U)
-        seen = np.unique(wide(at - 1) << U(42) | wide(at) << U(21) | wide(at + 1))
-        new = np.setdiff1d(seen, self.joins, assume_unique=True)
-        if not len(new):
-            return
-        self.joins = np.union1d(self.joins, new)
-        part = lambda x, shift: chr(int(x) >> shift & 0x1FFFFF)
-        left, right = [part(x, 42) for x in new], [part(x, 21) + part(x, 0) for x in new]
-        both = self._encode([x + y for x, y in zip(left, right)])
-        self.bad |= {x + y for x, y, w, l, r in zip(left, right, both, self._encode(left), self._encode(right)) if l + r != w}
-
-    def _joined(self, parts: list[str]) -> list[str]:
-        """Parts with those made one whose join does not hold."""
-        if not self.bad:
-            return parts
-        out = parts[:1]
-        for part, after in zip(parts[1:], [*parts[2:], ""]):
-            if out[-1][-1:] + (part + after)[:2] in self.bad:
-                out[-1] += part
-            else:
-                out.append(part)
-        return out
-
-    def encode(self, texts: list[str | None]) -> list[list[int]]:
+        """Forget what was encoded."""
+        self.chunks, self.joins = _Kept(KEPT_CHUNKS), _Kept(KEPT_JOINS)
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        """Tokens of each text, as the bytes of 32-bit integers."""
+        return [array("i", x.ids).tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _looked_up(self, texts: set[str], kept: _Kept) -> tuple[dict[str, bytes], int]:
+        """Tokens of distinct texts, and the characters of those that had to be encoded."""
+        tokens = {t: kept.get(t) for t in texts}
+        new = [t for t, ids in tokens.items() if ids is None]
+        for t, ids in zip(new, self._encode(new)):
+            tokens[t] = ids
+            kept.put(t, ids)
+        return tokens, sum(map(len, new))
+
+    def _chunk_tokens(self, chunks: set[str]) -> dict[str, bytes]:
+        tokens, n = self._looked_up(chunks, self.chunks)
+        self.encoded += n
+        return tokens
+
+    def _disagree(self, joins: set[tuple[str, str]], tokens: dict[str, bytes]) -> set[tuple[str, str]]:
+        """The joins (left chunk, right chunk) whose words, encoded together, do not give the ends of the
+        two chunks' tokens."""
+        words = {j: (last_word(j[0]), first_word(j[1])) for j in joins}
+        known, n = self._looked_up({w for x, y in words.values() for w in (x, y, x + y)}, self.joins)
+        self.joined += n
+        bad = set()
+        for (a, b), (x, y) in words.items():
+            left, right = known[x], known[y]
+            if known[x + y] != left + right or not (tokens[a].endswith(left) and tokens[b].startswith(right)):
+                bad.add((a, b))
+        return bad
+
+    def encode_arrays(self, texts: list[str | None]) -> list[np.ndarray]:
         """Tokens of whole texts, as the tokenizer gives them without special tokens; null: none."""
-        texts = [t or "" for t in texts]
-        gc.disable()  # millions of tuples and no cycles
-        try:
-            return self._encoded(texts)
-        finally:
-            gc.enable()
-
-    def _encoded(self, texts: list[str]) -> list[list[int]]:
-        self._check_joins(texts)
         split = []
         for text in texts:
-            data = text.encode("utf-8", "surrogatepass")
+            data = (text or "").encode("utf-8", "surrogatepass")
             at = [*cuts(data)[0].tolist(), len(data)]
-            split.append(self._joined([data[a:b].decode("utf-8", "surrogatepass") for a, b in zip(at, at[1:])]))
-        tokens = {chunk: self.chunks.get(chunk) for chunk in set(chain.from_iterable(split))}
-        new = {c: self._joined(_pieces(c)) for c, ids in tokens.items() if ids is None}
-        get, put = self.small.get, self.small.put
-        small = {piece: get(piece) for piece in set(chain.from_iterable(new.values()))}
-        unknown = [p for p, ids in small.items() if ids is None]
-        for piece, ids in zip(unknown, self._encode(unknown)):
-            small[piece] = ids = tuple(map(self.ints.__getitem__, ids))
-            put(piece, ids)
-        for chunk, pieces in new.items():
-            tokens[chunk] = ids = list(chain.from_iterable(map(small.__getitem__, pieces)))
-            self.chunks.put(chunk, ids)
-        return [list(chain.from_iterable(map(tokens.__getitem__, parts))) for parts in split]
+            split.append([data[a:b].decode("utf-8", "surrogatepass") for a, b in pairwise(at)])
+            self.given += len(text or "")
+        tokens = self._chunk_tokens({c for parts in split for c in parts})
+        joins = {j for parts in split for j in pairwise(parts)}
+        checked: set[tuple[str, str]] = set()
+        while bad := self._disagree(joins, tokens):
+            checked |= joins
+            self.repaired += len(bad)
+            split = [_merged(parts, bad) for parts in split]
+            tokens |= self._chunk_tokens({c for parts in split for c in parts if c not in tokens})
+            joins = {j for parts in split for j in pairwise(parts)} - checked
+        return [np.frombuffer(b"".join([tokens[c] for c in parts]), np.int32) for parts in split]
+
+    def encode(self, texts: list[str | None]) -> list[list[int]]:
+        return [ids.tolist() for ids in self.encode_arrays(texts)]
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         """Texts of tokens, special ones too, as the tokenizer decodes them."""
@@ -178,6 +167,17 @@ class Codec:
         return [" ".join(map(self.plain.__getitem__, x)) for x in ids]
 
 
+def _merged(parts: list[str], bad: set[tuple[str, str]]) -> list[str]:
+    """Chunks with those made one whose join does not hold."""
+    out = parts[:1]
+    for left, right in pairwise(parts):
+        if (left, right) in bad:
+            out[-1] += right
+        else:
+            out.append(right)
+    return out
+
+
 def codec(path: str) -> Codec:
     if path not in _codecs:
         _codecs[path] = Codec(path)
@@ -186,16 +186,29 @@ def codec(path: str) -> Codec:
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        least = [cuts((t or "").encode("utf-8", "surrogatepass"))[1] for t in b.column(b.num_columns - 1).to_pylist()]
+        texts = b.column(b.num_columns - 1).to_pylist()
+        least = [cuts((t or "").encode("utf-8", "surrogatepass"))[1] for t in texts]
         yield pa.RecordBatch.from_arrays([*b.columns, pa.array(least, pa.int64())], [*b.schema.names, "__least"])
 
 
+def _groups(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    """Runs of rows of about GROUP_CHARS characters, as (first, number)."""
+    first = total = 0
+    for k, n in enumerate(sizes):
+        total += n
+        if total >= GROUP_CHARS:
+            yield first, k + 1 - first
+            first, total = k + 1, 0
+    if first < len(sizes):
+        yield first, len(sizes) - first
+
+
 def encoded(docs: DataFrame, path: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Per row of `docs`: the kept columns, ids (array<int>), decoded (string).
 
     Null and empty texts give no tokens and an empty string; ids may be null or repeat, each row
     is encoded by itself.  Kept columns named ids or decoded give way to the results.  `path` is a
-    tokenizers file that every executor can open.
+    tokenizers file that every executor can open.  A task forgets its chunks when it ends.
     """
     kept = [c for c in keep if c not in ("ids", "decoded")]
     rows = docs.select(*kept, F.col(text_col).alias("__text"))
@@ -204,18 +217,23 @@ def encoded(docs: DataFrame, path: str, text_col: str = "text", keep: tuple[str,
     # rebalancing splits a partition that a hot passage makes large
     rows = signed.hint("rebalance", "__least").sortWithinPartitions("__least").select(*kept, "__text")
     schema = StructType(fields[:-1]).add("ids", ArrayType(IntegerType())).add("decoded", StringType())
+    return rows.mapInArrow(_run(path, schema.names), schema)
+
 
+def _run(path: str, names: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path)
-        own.task_begins()
-        for b in batches:
-            for at in range(0, b.num_rows, 1000):
-                part = b.slice(at, 1000)
-                ids = own.encode(part.column(part.num_columns - 1).to_pylist())
-                ends = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
-                flat = np.fromiter(chain.from_iterable(ids), np.int32, int(ends[-1]))
-                tokens = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], tokens, pa.array(own.decode(ids), pa.string())], schema.names)
-        own.task_ends()
-
-    return rows.mapInArrow(run, schema)
+        try:
+            for b in batches:
+                texts = b.column(b.num_columns - 1).to_pylist()
+                for first, n in _groups([len(t or "") for t in texts]):
+                    ids = own.encode_arrays(texts[first : first + n])
+                    ends = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
+                    tokens = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))
+                    decoded = pa.array(own.decode([x.tolist() for x in ids]), pa.string())
+                    kept = [c.slice(first, n) for c in b.columns[:-1]]
+                    yield pa.RecordBatch.from_arrays([*kept, tokens, decoded], names)
+        finally:
+            own.release()
+
+    return run

@@ -20,23 +20,25 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.union(least.select("u", F.col("m").alias("v")))
 
 
-def components(links: DataFrame, rounds: int = 60) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """(id, component): the smallest id reachable from each id of `links` (columns a, b).
 
     Null ends and self links are left out.  Each round is two joins on small integer rows and
-    is written to the shared folder; rounds grow with the logarithm of the longest chain.
-    Raises if `rounds` do not suffice.
+    is written to the shared folder; rounds grow with the logarithm of the longest chain and end
+    when a round changes no edge.
     """
     ends = (F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     edges = materialize(links.where("a <> b").select(*ends).distinct(), "links")
-    state = None
-    for _ in range(rounds):
+    n = edges.count()
+    while True:
         # keep rows (u, v) with u > v: large-star over both directions, then small-star
-        edges = materialize(_small_star(_large_star(edges).where("u > v").distinct()).where("u > v").distinct(), "star")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1_000_003)).first()
-        if now == state:
-            parts = edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
-            roots = edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
-            return parts.union(roots)
-        state = now
-    raise RuntimeError(f"components did not settle in {rounds} rounds")
+        star = _small_star(_large_star(edges).where("u > v").distinct()).where("u > v").distinct()
+        after = materialize(star, "star")
+        m = after.count()
+        # both are sets: of one size and with no new edge, they are equal
+        if m == n and after.join(edges, ["u", "v"], "left_anti").isEmpty():
+            break
+        edges, n = after, m
+    parts = edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
+    roots = edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
+    return parts.union(roots)

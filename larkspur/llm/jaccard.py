@@ -7,8 +7,10 @@
    ranges than linked sets can differ in, so linked sets agree on all hashes of at least one
    range (pigeonhole; no link is lost).  The tile key is band, range and the sum of its hashes.
 3. Sets that share a tile key are gathered under the smallest id of the tile, once for all tiles that
-   it leads, and compared by parity bitmaps: differing bits bound the symmetric difference from
-   below, hence the overlap from above.
+   it leads.  Leaders come from an aggregate that combines before its shuffle, and members find
+   theirs by a join that treats hot tiles apart, so no task holds a hot tile.  Pairs are compared by
+   parity bitmaps: differing bits bound the symmetric difference from below, hence the overlap from
+   above.
 4. Pairs that pass are verified by intersecting the sorted arrays.  First members are paired with
    their leader only; sets so linked form components, and a group is done when all of its members but
    the leader are in one.  Large groups that are not done repeat this with the least ids of their
@@ -37,6 +39,8 @@ BROADCAST_IDS = 1 << 20
 SMALL, LEADERS, HELPS = 64, 8, 0.75
 #: Members of a large group are compared in pairs of blocks of about so many.
 BLOCK = 512
+#: A key of more rows is hot: its value is broadcast while there are few such keys.
+HOT = 5_000
 
 
 @dataclass(frozen=True)
@@ -144,29 +148,6 @@ def _sign(rule: Rule):
     return run
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by (key, id), those whose key has two rows or more, with the key's first id."""
-    names, held = ["key", "id", "leader"], None
-    for batch in batches:
-        key, ids = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-        if not len(key):
-            continue
-        if held:
-            key, ids = np.concatenate(([held[0]], key)), np.concatenate(([held[1]], ids))
-        new = np.concatenate(([True], key[1:] != key[:-1]))
-        run, start = np.cumsum(new) - 1, np.flatnonzero(new)
-        size, leader = np.diff(np.append(start, len(key))), ids[start]
-        if held:
-            leader[0] = held[2]
-            size[0] += held[3]
-        many = size[run] > 1
-        held = (key[-1], ids[-1], leader[run[-1]], bool(many[-1]))
-        out = np.flatnonzero(many[:-1])
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key[out], ids[out], leader[run[out]])], names)
-    if held and held[3]:
-        yield pa.RecordBatch.from_arrays([pa.array([x]) for x in held[:3]], names)
-
-
 def _bound(rule: Rule, n: np.ndarray, m: np.ndarray, differ: np.ndarray) -> np.ndarray:
     """Whether sets of n and m hashes may link if at least `differ` hashes are in one of them only."""
     common = np.minimum((n + m - differ) // 2, np.minimum(n, m))
@@ -262,19 +243,47 @@ def _few(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
+def _with_values(rows: DataFrame, values: DataFrame, keys: list[str]) -> DataFrame:
+    """`rows` left-joined with one row of `values` per key, which has the key's number of rows as size.
+
+    Few values are broadcast.  Of many, those of hot keys are broadcast, if they are few, and the
+    others meet their rows in a shuffle that the hot keys' rows take no part in.
+    """
+    if values.count() <= BROADCAST_IDS:
+        return rows.join(F.broadcast(values), keys, "left")
+    hot = values.where(F.col("size") > HOT)
+    if hot.count() > BROADCAST_IDS:
+        return rows.join(values, keys, "left")
+    known = rows.join(F.broadcast(hot), keys, "left")
+    cold = values.where(F.col("size") <= HOT)
+    others = known.where("size is null").select(rows.columns).join(cold, keys, "left")
+    return known.where("size is not null").unionByName(others)
+
+
+def _led(reps: DataFrame) -> DataFrame:
+    """(leader, id): who shares a tile with whom, each tile under its least id; reps: id, keys."""
+    rows = reps.select(F.explode("keys").alias("key"), "id")
+    tiles = rows.groupBy("key").agg(F.min("id").alias("leader"), F.max("id").alias("last"), F.count("*").alias("size"))
+    tiles = materialize(tiles.where("leader < last"), "tiles")
+    # two members stand in the aggregate itself; only larger tiles are joined back
+    pairs = tiles.where("size = 2").select("leader", F.explode(F.array("leader", "last")).alias("id"))
+    large = _with_values(rows, tiles.where("size > 2").select("key", "leader", "size"), ["key"])
+    return materialize(pairs.union(large.where("leader is not null").select("leader", "id")).distinct(), "led")
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
     """Those of `pairs` whose sets link, by intersecting the sets themselves."""
     ids = materialize(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "ids")
     wanted = docs.join(_few(ids), "id", "left_semi")
     sets = materialize(wanted.mapInArrow(_set_rows(rule), "id long, hashes binary"), "sets")
-    left = pairs.join(sets.toDF("a", "x"), "a")
-    return materialize(left.join(sets.toDF("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(_exact(rule), "a long, b long"), "linked")
+    both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b").select("a", "b", "x", "y")
+    return materialize(both.mapInArrow(_exact(rule), "a long, b long").distinct(), "linked")
 
 
 def _allowed(pairs: DataFrame, bits: DataFrame, rule: Rule) -> DataFrame:
     """Those of `pairs` (a, b) that the bitmaps allow."""
     both = pairs.join(bits.toDF("a", "n", "x"), "a").join(bits.toDF("b", "m", "y"), "b").select("a", "b", "n", "m", "x", "y")
-    return materialize(both.mapInArrow(_pass_bound(rule), "a long, b long"), "star")
+    return materialize(both.mapInArrow(_pass_bound(rule), "a long, b long").distinct(), "star")
 
 
 def _open(rest: DataFrame, found: DataFrame) -> DataFrame:
@@ -300,22 +309,23 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """One row per row of `docs`: id, n_shingles, component_id (smallest id reachable by links).
 
     Null and empty texts and texts without words have no shingles and link with nothing; a row
-    with a null id keeps a null component.  Repeated ids count as one document if their texts
-    are equal.  Other columns of `docs` are ignored.
+    with a null id keeps a null component.  A repeated id is one node of the links: rows that share
+    it link by any of their texts.  Other columns of `docs` are ignored.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     sigs = materialize(docs.mapInArrow(_sign(rule), "id long, n long, d1 long, d2 long, keys array<long>, bits binary"), "signatures")
-    known = sigs.where("id is not null")
-    group = materialize(known.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("id").alias("rep")), "copies")
-    copies = known.where("n > 0").select("id", "n", "d1", "d2").join(group, ["n", "d1", "d2"]).where("id <> rep").select("id")
-    copies = materialize(copies.distinct(), "gone")
-    reps = known.where("size(keys) > 0").join(_few(copies), "id", "left_anti")
-    rows = reps.select(F.explode("keys").alias("key"), "id").repartition("key").sortWithinPartitions("key", "id")
-    led = rows.mapInArrow(_runs, "key long, id long, leader long").select("leader", "id").distinct()
-    led = materialize(led, "led")
-    bits = materialize(known.select("id", "n", "bits").join(_few(materialize(led.select("id").distinct(), "members")), "id", "left_semi").dropDuplicates(["id"]), "bits")
-
-    done = _allowed(led.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")), bits, rule)
+    known = sigs.where("id is not null and n > 0")
+    same = ["n", "d1", "d2"]
+    groups = known.groupBy(*same).agg(F.min("id").alias("rep"), F.count("*").alias("size")).where("size > 1")
+    groups = materialize(groups, "copies")
+
+    reps = _with_values(known.where("size(keys) > 0"), groups, same).where("rep is null or rep = id").select("id", "n", "keys", "bits")
+    led = _led(reps)
+    members = materialize(led.select("id").distinct(), "members")
+    bits = materialize(reps.join(_few(members), "id", "left_semi").select("id", "n", "bits").distinct(), "bits")
+
+    star = led.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b"))
+    done = _allowed(star, bits, rule)
     links = _verified(done, docs, rule)
     found = components(links)
 
@@ -324,14 +334,13 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     before = None
     while (n := rest.where(F.col("size") > SMALL).count()) and (before is None or n <= HELPS * before):
         before, large = n, rest.where(F.col("size") > SMALL)
-        place = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("n"), F.xxhash64("head")))
-        heads = large.groupBy("key", "comp").agg(F.min("id").alias("head"), F.count("*").alias("n")).withColumn("place", place).where(F.col("place") <= LEADERS)
-        heads = materialize(heads.select("key", F.col("comp").alias("own"), "head"), "heads")
+        heads = _heads(large)
         met = large.join(_few(heads), "key").where("comp <> own").select(F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b")).distinct()
         pairs = _allowed(met.join(done, ["a", "b"], "left_anti"), bits, rule)
         done, links = done.union(pairs), links.union(_verified(pairs, docs, rule))
         found = components(links)
-        rest = _open(rest.join(_few(heads.select("key", F.col("head").alias("id"))), ["key", "id"], "left_anti"), found)
+        led_by = heads.select("key", F.col("head").alias("id"))
+        rest = _open(rest.join(_few(led_by), ["key", "id"], "left_anti"), found)
 
     cross = _cells(rest).join(bits, "id").select("key", "cell", "id", "n", "comp", "side", "bits")
     cross = cross.repartition("key", "cell").sortWithinPartitions("key", "cell").mapInArrow(_cross(rule), "a long, b long")
@@ -339,10 +348,23 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     more = _verified(cross, docs, rule)
     if not more.isEmpty():
         found = components(links.union(more))
-
-    named = group.join(found.withColumnRenamed("id", "rep"), "rep", "left")
-    named = named.select("n", "d1", "d2", F.coalesce("component", "rep").alias("component_id"))
-    with_set = known.where("n > 0").select("id", "n", "d1", "d2").join(named, ["n", "d1", "d2"])
-    without = sigs.where("id is null or n = 0").select("id", "n", F.col("id").alias("component_id"))
-    out = with_set.select("id", "n", "component_id").union(without)
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+    return _labelled(sigs, groups, found).toDF(id_col, "n_shingles", "component_id")
+
+
+def _heads(large: DataFrame) -> DataFrame:
+    """(key, own, head): the least ids of the largest components of each group, LEADERS of them."""
+    order = Window.partitionBy("key").orderBy(F.desc("n"), F.xxhash64("head"))
+    heads = large.groupBy("key", "comp").agg(F.min("id").alias("head"), F.count("*").alias("n"))
+    heads = heads.withColumn("place", F.row_number().over(order)).where(F.col("place") <= LEADERS)
+    return materialize(heads.select("key", F.col("comp").alias("own"), "head"), "heads")
+
+
+def _labelled(sigs: DataFrame, groups: DataFrame, found: DataFrame) -> DataFrame:
+    """(id, n, component) of every row: that of its group of copies, else that of its id, else its id."""
+    rep = groups.join(found.withColumnRenamed("id", "rep"), "rep", "left")
+    named = materialize(rep.select("n", "d1", "d2", "size", F.coalesce("component", "rep").alias("of_copies")), "named")
+    rows = _with_values(sigs.where("id is not null and n > 0").select("id", "n", "d1", "d2"), named, ["n", "d1", "d2"])
+    single = rows.where("of_copies is null").select("id", "n").join(_few(found), "id", "left")
+    single = single.select("id", "n", F.coalesce("component", "id"))
+    without = sigs.where("id is null or n = 0").select("id", "n", F.col("id"))
+    return rows.where("of_copies is not null").select("id", "n", "of_copies").union(single).union(without)

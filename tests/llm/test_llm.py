@@ -163,7 +163,7 @@ def test_archive_round_trip(spark):
         if r.payload_bytes > 1000:
             assert r.payload_digest == hashlib.sha1(big.encode()).hexdigest() and r.payload_bytes == len(big.encode())
     e = bundles[0].entries[-1]
-    headers, payload = warc.read_record(bytes(bundles[0].content), e.frame, e.offset)
+    (headers, payload), = warc.picked(bytes(bundles[0].content), [(e.frame, e.offset)])
     assert headers["WARC-Record-ID"] == e.record_id and len(payload) == int(headers["X-Payload-Length"]) or headers["WARC-Type"] == "revisit"
     import zstandard
 
@@ -172,6 +172,38 @@ def test_archive_round_trip(spark):
     assert warc.read_back(warc.archived(df.limit(0))).count() == 0
 
 
+@pytest.mark.parametrize("broadcast", [10**6, -1])
+def test_revisits_go_by_payload(spark, monkeypatch, broadcast):
+    """Repeated and null ids with different payloads: one record a page, nothing lost."""
+    monkeypatch.setattr(warc, "BROADCAST_REPEATED", broadcast)
+    a, b, c = ("a" * 1200, "b" * 1200, "c" * 1200)
+    rows = [(9, a), (5, a), (5, b), (8, b), (9, a), (None, a), (None, b), (None, c), (7, c + "x"), (None, "d" * 1500), (None, "d" * 1500), (1, "s"), (2, "s"), (None, None)]
+    df = spark.createDataFrame([(k, "u", h) for k, h in rows], "page_id long, url string, html string")
+    bundles = materialize(warc.archived(df), "w")
+    got = sorted(((r.page_id, r.payload_digest, r.record_type, r.refers_to) for r in warc.read_back(bundles).collect()), key=repr)
+    sha = lambda t: hashlib.sha1((t or "").encode()).hexdigest()
+    largest = {h: max((k for k, o in rows if o == h and k is not None), default=None) for _, h in rows if h and len(h) >= 1000 and sum(o == h for _, o in rows) > 1}
+    refers = lambda k, h: largest.get(h) if largest.get(h) != k else None
+    assert got == sorted(((k, sha(h), "response" if refers(k, h) is None else "revisit", refers(k, h)) for k, h in rows), key=repr)
+    stored = {bytes(r.payload).decode() for r in warc.read_records(bundles, df.select("page_id")).where("record_type = 'response'").collect()}
+    assert stored == {h or "" for _, h in rows}
+
+
+def test_records_by_the_index(spark, monkeypatch):
+    rows = [(k, f"http://h/{k}", f"page {k} " * 50, 0) for k in range(40)] + [(3, "again", "other", 0), (None, "n", "no id", 0)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, content int")
+    bundles = materialize(warc.archived(df, frame_bytes=1500, bundle_bytes=3000), "w")
+    asked = spark.createDataFrame([(3, "x"), (3, "x"), (17, "x"), (None, "x"), (999, "x")], "page_id long, bundle string")
+    got = sorted(((r.page_id, r.url, bytes(r.payload).decode()) for r in warc.read_records(bundles, asked).collect()), key=repr)
+    assert got == sorted(((k, u, h) for k, u, h, _ in rows if k in (3, 17, None)), key=repr)
+    assert warc.read_records(bundles, asked.limit(0)).count() == 0
+    opened, read = [], warc.read_frame
+    monkeypatch.setattr(warc, "read_frame", lambda c, f: opened.append(f) or read(c, f))
+    one = bundles.orderBy("bundle").first()
+    e = one.entries[-1]
+    assert e.frame > 0 and len(list(warc.picked(bytes(one.content), [(e.frame, e.offset)]))) == 1 and opened == [e.frame]
+
+
 def test_damaged_payload_raises(spark):
     b = warc.Bundle(3)
     b.add("x", warc.record(1, "u", b"abc", "0" * 40, None, "d"))
