@@ -5,6 +5,7 @@ import html as html_lib
 import itertools
 import random
 import re
+import time
 
 import pytest
 
@@ -86,6 +87,35 @@ def test_main_text_cases():
     assert html_text.main_text("<article><header><h1>Head</h1></header><p>a<script>var x='<p>no</p>'</script>b</p></article>") == "Head\nab"
 
 
+def test_names_are_features_only():
+    """A part of a name is no mark, a mark as a whole is one; neither decides alone."""
+    page = '<body><nav><a href="/">m</a></nav><article><h1>T</h1><p class="social-history">Some history.</p><div class="share-buttons">Share it</div><p>b</p></article></body>'
+    assert html_text.main_text(page) == "T\nSome history.\nb"
+    page = '<body><div class="siteNav"><a href="/">m</a></div><div id="search-results"><p>content of the page here</p><p>more</p></div><footer>f</footer></body>'
+    assert html_text.main_text(page) == "content of the page here\nmore"
+    page = "<body><div><ul>" + "".join(f"<li><a href='/{k}'>go {k}</a></li>" for k in range(8)) + "</ul></div><div><h2>Head of it</h2>" + "<p>A paragraph of the text, long enough to tell.</p>" * 4 + "</div><div>tiny</div></body>"
+    assert html_text.main_text(page).startswith("Head of it\nA paragraph") and "go 1" not in html_text.main_text(page) and "tiny" not in html_text.main_text(page)
+
+
+def test_ratio_chooses_the_region(spark, monkeypatch):
+    """Without an article element the text is still found; with a constant ratio and no names it is not."""
+    pages = [r.html for r in table(spark, SF, "pages").collect()]
+    bare = [h.replace("<article>", "<div>").replace("</article>", "</div>") for h in pages]
+    assert [html_text.main_text(h) for h in bare] == [html_text.main_text(h) for h in pages]
+    nameless = [re.sub(r"<(/?)(?:nav|footer)>", r"<\1div>", h).replace(' class="ad"', "") for h in bare]
+    right = [html_text.main_text(a) == html_text.main_text(b) for a, b in zip(nameless, pages)]
+    monkeypatch.setattr(html_text, "ratio", lambda line: 1.0)
+    constant = [html_text.main_text(a) == html_text.main_text(b) for a, b in zip(nameless, pages)]
+    assert sum(right) > 0.7 * len(pages) and sum(constant) < 0.2 * sum(right)
+
+
+@pytest.mark.parametrize("html", ["<div>" * 40_000 + "deep", "<div><p>a" * 20_000, "<span>" * 20_000 + "<p>x</b>" * 20_000, "<article>" * 5000 + "x</main>" * 20_000, "word " * 400_000, "<nav>" * 20_000 + "<article>y"])
+def test_deep_and_long_pages_take_linear_time(html):
+    began = time.process_time()
+    assert html_text.main_text(html)
+    assert time.process_time() - began < 10
+
+
 def test_extracted_columns(spark):
     df = spark.createDataFrame([(1, "u", None, "old"), (None, None, "<p>a b</p>", "old"), (1, "u", "<p>a b</p>" * 3, "old")], "page_id long, url string, html string, text string")
     got = html_text.extracted(df, keep=("page_id", "url", "text"))
