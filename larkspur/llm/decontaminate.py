@@ -3,52 +3,60 @@
 A passage within e edits of an item of m characters keeps at least m + 1 - q (e + 1) of its
 q-grams, and all of them on at most e + 1 neighbouring diagonals (text position minus item
 position).  Per document, q-grams shared with the items are counted in overlapping bands of
-diagonals; bands that reach the bound are verified by a banded alignment.  Texts are compared
-lower-cased with white-space runs as one space.  Nothing is shuffled: documents are only mapped,
-against one block of the items at a time.
+diagonals; bands that reach the bound are verified by a banded alignment.  Short items are searched
+exactly and as whole words, those shorter than q by grams of their own length.  Texts are compared
+with each letter lower-cased by itself and white-space runs as one space.  Nothing is shuffled:
+documents are only mapped, against one block of the items at a time.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Row
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from .shingles import U
+from .tables import materialize
 
 #: Items are handled in blocks of about so many characters, which bounds what tasks receive.
 BLOCK_CHARS = 2_000_000
 _SPACES = np.array([*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000], np.uint32)
 _IS_SPACE = np.zeros(1 << 16, bool)
 _IS_SPACE[_SPACES] = True
-_PIECE = 1 << 18
+#: Texts are searched in pieces of about so many characters, with at most about so many shared q-grams each.
+_PIECE, _MOST_HITS = 1 << 16, 1 << 22
 _BIG = 1 << 20
 _SPREAD = U(0x9E3779B97F4A7C15)
 
 
 @dataclass(frozen=True)
 class Budget:
-    """q-gram length, edits allowed per item character, and the shortest item that is searched."""
+    """q-gram length, edits allowed per item character, and the length below which an item is searched
+    exactly, as whole words."""
 
     q: int = 8
     rate: float = 0.1
     least: int = 32
 
     def edits(self, m: int) -> int:
-        return max(0, min(int(self.rate * m), (m - self.q) // self.q))
+        return 0 if m < self.least else max(0, min(int(self.rate * m), (m - self.q) // self.q))
+
+
+def folded(text: str) -> str:
+    """Each letter in lower case by itself, whatever stands around it; İ, whose small form has two
+    characters, stays."""
+    return "İ".join(part.replace("Σ", "σ").lower() for part in text.split("İ"))
 
 
 def normalized(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Lower-cased code points with white-space runs as one space, and each one's offset in the text."""
-    text = text or ""
-    low = text.lower()
-    if len(low) != len(text):  # a few capitals become two characters; they stay as they are
-        low = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
-    a = np.frombuffer(low.encode("utf-32-le", "surrogatepass"), np.uint32)
+    """Folded code points with white-space runs as one space, and each one's offset in the text."""
+    a = np.frombuffer(folded(text or "").encode("utf-32-le", "surrogatepass"), np.uint32)
     space = _IS_SPACE[np.minimum(a, 0xFFFF)]
     keep = ~space
     keep[1:] |= space[1:] & ~space[:-1]
@@ -57,6 +65,13 @@ def normalized(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     return np.where(space[at], 32, a[at]).astype(np.uint32), at
 
 
+def stripped(text: str | None) -> np.ndarray:
+    """Normalized code points without white space at the ends."""
+    a = normalized(text)[0]
+    start, end = int(len(a) > 0 and a[0] == 32), len(a) - int(len(a) > 1 and a[-1] == 32)
+    return a[start:end]
+
+
 def _grams(a: np.ndarray, q: int) -> np.ndarray:
     if len(a) < q:
         return np.empty(0, U)
@@ -74,53 +89,95 @@ def _grams(a: np.ndarray, q: int) -> np.ndarray:
 
 
 class Block:
-    """The q-grams of a block of items, and the search for them in texts."""
+    """A block of items, and the search for them in texts."""
 
     def __init__(self, items: list[Row], budget: Budget):
         self.budget, self.ids, self.text = budget, [], []
+        by_q: dict[int, list[int]] = {}
         for item_id, text in sorted(items, key=lambda r: (str(r[0]), r[1] or "")):
-            a = normalized(text)[0]
-            while len(a) and a[-1] == 32:
-                a = a[:-1]
-            a = a[1:] if len(a) and a[0] == 32 else a
-            if len(a) >= max(budget.least, budget.q):
+            a = stripped(text)
+            if len(a):
+                by_q.setdefault(min(budget.q, len(a)), []).append(len(self.ids))
                 self.ids.append(item_id)
                 self.text.append(a)
-        self.m = np.array([len(a) for a in self.text], np.int64)
+        self.parts = [_Part(q, of, [self.text[k] for k in of], budget) for q, of in sorted(by_q.items())]
+
+    def find(self, texts: list[str | None]) -> list[tuple[int, int, int, int, int, int]]:
+        """(text, item, start, end, edits, shared q-grams) of each passage of an item in each text."""
+        found = []
+        for n, text in enumerate(texts):
+            if text:
+                a, at = normalized(text)
+                for part in self.parts:
+                    if len(a) >= part.q:
+                        found += part.places(n, a, at)
+        places, found = found, []
+        for k in range(0, len(places), 256):
+            for part in self.parts:
+                found += part.aligned([p[1:] for p in places[k : k + 256] if p[0] is part])
+        best: dict[tuple[int, int, int], tuple] = {}
+        for x in found:  # overlapping bands find one passage twice
+            key = (x[0], x[1], x[3])
+            if key not in best or x[4] < best[key][4]:
+                best[key] = x
+        return sorted(best.values())
+
+
+class _Part:
+    """The items of a block that are searched by grams of one length."""
+
+    def __init__(self, q: int, numbers: list[int], texts: list[np.ndarray], budget: Budget):
+        self.q, self.numbers, self.text, self.least = q, numbers, texts, budget.least
+        self.m = np.array([len(a) for a in texts], np.int64)
         self.e = np.array([budget.edits(m) for m in self.m], np.int64)
-        self.need = self.m + 1 - budget.q * (self.e + 1)
-        grams = [_grams(a, budget.q) for a in self.text]
-        h = np.concatenate(grams) if grams else np.empty(0, U)
+        self.need = self.m + 1 - q * (self.e + 1)
+        grams = [_grams(a, q) for a in texts]
+        h = np.concatenate(grams)
         order = np.argsort(h, kind="stable")
         self.item = np.repeat(np.arange(len(grams)), [len(g) for g in grams])[order].astype(np.int64)
-        self.pos = np.concatenate([np.arange(len(g)) for g in grams])[order] if grams else np.empty(0, np.int64)
+        self.pos = np.concatenate([np.arange(len(g)) for g in grams])[order]
         self.h, first = np.unique(h[order], return_index=True)
         self.first = np.append(first, len(h)).astype(np.int64)
         self.shift = U(64 - 22)
         self.seen = np.zeros(1 << 22, bool)
         self.seen[self.h * _SPREAD >> self.shift] = True
 
-    def _hits(self, a: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Item, item position and text position of every shared q-gram."""
+    def _pieces(self, a: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Text positions and gram numbers of the shared q-grams, piece by piece.
+
+        Pieces overlap by the longest passage, so each passage lies in one whole.
+        """
+        over = int((self.m + 2 * self.e).max()) + self.q
         where, which = [], []
-        for at in range(0, max(1, len(a) - self.budget.q + 1), _PIECE):
-            h = _grams(a[at : at + _PIECE + self.budget.q - 1], self.budget.q)
+        for at in range(0, len(a) - self.q + 1, _PIECE):
+            h = _grams(a[at : at + _PIECE + self.q - 1], self.q)
             maybe = np.flatnonzero(self.seen[h * _SPREAD >> self.shift])
             k = np.minimum(np.searchsorted(self.h, h[maybe]), len(self.h) - 1)
             ok = self.h[k] == h[maybe]
             where.append(maybe[ok] + at)
             which.append(k[ok])
         where, which = np.concatenate(where), np.concatenate(which)
+        weight = np.cumsum(self.first[which + 1] - self.first[which])
+        start = 0
+        while start < len(where):
+            before = weight[start - 1] if start else 0
+            end = int(np.searchsorted(weight, before + _MOST_HITS, "right"))
+            end = max(end, int(np.searchsorted(where, where[start] + 2 * over)))
+            yield where[start:end], which[start:end]
+            if end >= len(where):
+                break
+            start = max(start + 1, int(np.searchsorted(where, where[end] - over)))
+
+    def _hits(self, where: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Item, item position and text position of every shared q-gram of a piece."""
         n = self.first[which + 1] - self.first[which]
         entry = np.repeat(self.first[which] - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
         return self.item[entry], self.pos[entry], np.repeat(where, n)
 
-    def bands(self, a: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+    def bands(self, where: np.ndarray, which: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
         """(item, least diagonal, largest diagonal, shared q-grams) of the bands that reach the bound."""
-        if not len(self.h) or len(a) < self.budget.q:
-            return
-        item, i, j = self._hits(a)
-        enough = np.bincount(item, minlength=len(self.ids)) >= self.need
+        item, i, j = self._hits(where, which)
+        enough = np.bincount(item, minlength=len(self.m)) >= self.need
         keep = enough[item]
         if not keep.any():
             return
@@ -138,29 +195,28 @@ class Block:
             t, s = int(of[k]), max(int(self.e[of[k]]), 8)
             yield t, int(b[k]) * s, int(b[k] + 2) * s, int(count[k])
 
-    def find(self, texts: list[str | None]) -> list[tuple[int, int, int, int, int, int]]:
-        """(text, item, start, end, edits, shared q-grams) of each passage of an item in each text."""
-        places, found = [], []
-        for n, text in enumerate(texts):
-            if text and len(text) >= self.budget.q:
-                a, at = normalized(text)
-                merged: list[list[int]] = []
-                for t, lo, hi, count in self.bands(a):
-                    if merged and merged[-1][0] == t and lo <= merged[-1][2] and hi - merged[-1][1] <= 6 * max(int(self.e[t]), 8):
-                        merged[-1][2:] = [hi, max(merged[-1][3], count)]
-                    else:
-                        merged.append([t, lo, hi, count])
-                places += [(n, t, lo - int(self.e[t]), hi + int(self.e[t]), count, a, at) for t, lo, hi, count in merged]
-        for k in range(0, len(places), 256):
-            found += self._aligned(places[k : k + 256])
-        best: dict[tuple[int, int, int], tuple] = {}
-        for x in found:  # overlapping bands find one passage twice
-            key = (x[0], x[1], x[3])
-            if key not in best or x[4] < best[key][4]:
-                best[key] = x
-        return sorted(best.values())
-
-    def _aligned(self, places: list[tuple]) -> list[tuple[int, int, int, int, int, int]]:
+    def places(self, n: int, a: np.ndarray, at: np.ndarray) -> Iterator[tuple]:
+        """(part, text, item, least and largest diagonal, shared q-grams, text, offsets) to be aligned."""
+        for where, which in self._pieces(a):
+            merged: list[list[int]] = []
+            for t, lo, hi, count in self.bands(where, which):
+                if self.m[t] < self.least:  # exact: each diagonal of the band by itself
+                    yield from ((self, n, t, d, d, count, a, at) for d in self._exact(t, lo, hi, a))
+                elif merged and merged[-1][0] == t and lo <= merged[-1][2] and hi - merged[-1][1] <= 6 * max(int(self.e[t]), 8):
+                    merged[-1][2:] = [hi, max(merged[-1][3], count)]
+                else:
+                    merged.append([t, lo, hi, count])
+            yield from ((self, n, t, lo - int(self.e[t]), hi + int(self.e[t]), count, a, at) for t, lo, hi, count in merged)
+
+    def _exact(self, t: int, lo: int, hi: int, a: np.ndarray) -> list[int]:
+        """Where a short item stands in the text as whole words, of the places lo to hi."""
+        item = self.text[t]
+        inside = lambda k: 0 <= k < len(a) and chr(a[k]).isalnum()
+        ends = lambda d: not (inside(d - 1) and inside(d)) and not (inside(d + len(item) - 1) and inside(d + len(item)))
+        return [d for d in range(max(0, lo), min(hi, len(a) - len(item)) + 1) if np.array_equal(a[d : d + len(item)], item) and ends(d)]
+
+    def aligned(self, places: list[tuple]) -> list[tuple[int, int, int, int, int, int]]:
+        """The passages of `places` within the items' edits."""
         if not places:
             return []
         items = [self.text[p[1]] for p in places]
@@ -180,7 +236,7 @@ class Block:
         for k, end, off in zip(good, ends, begin):
             n, t, _, _, count, a, at = places[k]
             first = max(0, end - (len(items[k]) + int(off) - e))
-            out.append((n, t, int(at[first]), int(at[min(end, len(at)) - 1]) + 1, int(cost[k]), count))
+            out.append((n, self.numbers[t], int(at[first]), int(at[min(end, len(at)) - 1]) + 1, int(cost[k]), count))
         return out
 
 
@@ -216,50 +272,66 @@ def _banded(items: list[np.ndarray], windows: list[np.ndarray], cost: np.ndarray
     return best, where
 
 
-def blocks(items: DataFrame, id_col: str, text_col: str, budget: Budget) -> Iterator[Block]:
-    """The items in blocks of bounded size; an item may not exceed a block."""
-    items = items.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("text is not null")
+def blocks(items: DataFrame, id_col: str, text_col: str, budget: Budget) -> list[Callable[[], Block]]:
+    """Makers of the items' blocks, each of bounded size; an item may not exceed a block."""
+    items = items.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("text is not null")
     total = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     n = max(1, -(-total // BLOCK_CHARS))
-    for k in range(n):
-        yield Block(items.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k).collect(), budget)
+    part = lambda k: items.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k)
+    return [lambda k=k: Block(part(k).collect(), budget) for k in range(n)]
 
 
-def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", budget: Budget = Budget()) -> DataFrame:
+def _in_blocks(spark: SparkSession, found: list[Callable[[], Block]], step: Callable[[Broadcast], DataFrame]) -> Iterator[DataFrame]:
+    """`step` for each block.  Where there are several, its result is written and the block released
+    before the next one is made, so that driver and tasks hold one at a time."""
+    for make in found:
+        shared = spark.sparkContext.broadcast(make())
+        out = step(shared)
+        if len(found) > 1:
+            out = materialize(out, "block")
+            shared.destroy()
+        yield out
+
+
+def contaminated(
+    docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", budget: Budget = Budget()
+) -> DataFrame:
     """One row per passage: document id, item id, start and end (code points of the document's
     text), edits, shared_qgrams.
 
-    Null and empty texts and items have no passages; items shorter than `budget.least` are not
-    searched; a row that occurs twice reports its passages twice.  A null id is kept.
+    Null and empty texts and items have no passages; items shorter than `budget.least` are found
+    where they stand exactly, as whole words; a row that occurs twice reports its passages twice.
+    Null ids, of documents and of items, are kept.  Other columns are ignored.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    out = None
-    for block in blocks(items, item_id, item_text, budget):
-        shared = docs.sparkSession.sparkContext.broadcast(block)
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+    def step(shared: Broadcast) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            names = ["id", "item", "start", "end", "edits", "shared_qgrams"]
             for b in batches:
-                found = shared.value.find(b.column(1).to_pylist())
-                cols = list(zip(*found)) or [[]] * 6
+                cols = list(zip(*shared.value.find(b.column(1).to_pylist()))) or [[]] * 6
                 ids = b.column(0).take(pa.array(cols[0], pa.int64()))
-                what = pa.array([int(shared.value.ids[t]) for t in cols[1]], pa.int64())
-                yield pa.RecordBatch.from_arrays([ids, what, *(pa.array(c, pa.int64()) for c in cols[2:])], ["id", "item", "start", "end", "edits", "shared_qgrams"])
+                what = pa.array([shared.value.ids[t] for t in cols[1]], pa.int64())
+                yield pa.RecordBatch.from_arrays([ids, what, *(pa.array(c, pa.int64()) for c in cols[2:])], names)
 
-        part = docs.mapInArrow(run, "id long, item long, start long, end long, edits long, shared_qgrams long")
-        out = part if out is None else out.union(part)
-    return out.withColumnsRenamed({"id": id_col, "item": item_id})
+        return docs.mapInArrow(run, "id long, item long, start long, end long, edits long, shared_qgrams long")
+
+    parts = _in_blocks(docs.sparkSession, blocks(items, item_id, item_text, budget), step)
+    return reduce(DataFrame.union, parts).toDF(id_col, item_id, "start", "end", "edits", "shared_qgrams")
 
 
 def decontaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", budget: Budget = Budget()) -> DataFrame:
     """The rows of `docs` that hold no passage of any item, unchanged."""
-    at = docs.columns.index(text_col)
-    for block in blocks(items, item_id, item_text, budget):
-        shared = docs.sparkSession.sparkContext.broadcast(block)
+    at, kept = docs.columns.index(text_col), [docs]
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+    def step(shared: Broadcast) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 hit = {x[0] for x in shared.value.find(b.column(at).to_pylist())}
                 yield b.filter(pa.array([k not in hit for k in range(b.num_rows)], pa.bool_()))
 
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+        return kept[-1].mapInArrow(run, docs.schema)
+
+    for part in _in_blocks(docs.sparkSession, blocks(items, item_id, item_text, budget), step):
+        kept.append(part)
+    return kept[-1]

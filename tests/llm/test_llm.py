@@ -144,16 +144,60 @@ def test_encoding_is_the_librarys(name):
         assert c.decode(got) == [t.decode(x, skip_special_tokens=False) for x in got]
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_encoding_of_odd_texts(name, monkeypatch):
+    """20,000 texts of characters that tokenizers treat in special ways, with many places of cutting."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(bpe, "ONE_IN", 2)
+    path = public_tokenizers.path(name)
+    t, c = Tokenizer.from_file(path), bpe.Codec(path)
+    rng = random.Random(8)
+    alphabet = [*"ab1Zß  \t\n\r\v\f\x1c\x85\xa0　中́é'İΣ.", "'s", "'ll", "<|endoftext|>", "<|startoftext|>", "😀", "\u2028", "  ", "word ", " other"]
+    texts = ["\r  \r1ß\r\x1cZ\x85中́\x1c中　\n\n"] + ["".join(rng.choices(alphabet, k=rng.randint(1, 60))) for _ in range(20_000)]
+    want = [x.ids for x in t.encode_batch_fast(texts, add_special_tokens=False)]
+    for first in range(0, len(texts), 2000):
+        assert c.encode(texts[first : first + 2000]) == want[first : first + 2000]
+
+
+def test_joins_are_repaired(monkeypatch):
+    """Cuts that the tokenizer does not like are found and mended, also where one mending leads to another."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    def everywhere(data):
+        return np.array([k for k in range(len(data)) if k == 0 or data[k] < 0x80 and data[k - 1] < 0x80 and k % 3 == 0]), 0
+
+    monkeypatch.setattr(bpe, "cuts", everywhere)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    t, c = Tokenizer.from_file(path), bpe.Codec(path)
+    texts = ["international  understanding\n\n  of   words", "aaaaaaaaaaaaaaaa", "x " * 50, "don't stop 12345678"]
+    assert c.encode(texts) == [t.encode(x, add_special_tokens=False).ids for x in texts] and c.repaired > 0
+
+
 def test_chunks_are_reused():
     import public_tokenizers
 
     c = bpe.Codec(public_tokenizers.path("word_bpe_49k.json"))
     rng = random.Random(1)
-    text = " ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(1000))
+    text = " ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(4000))
     c.encode([text])
     first = c.encoded
-    c.encode(["prefix words here " + text])
-    assert c.encoded - first < 30
+    assert first == len(text)
+    c.encode(["prefix words here " + text, text[:9000] + " changed " + text[9009:], text])
+    assert c.encoded - first < 0.1 * len(text) and c.repaired == 0
+    c.release()
+    c.encode([text])
+    assert c.encoded - first > len(text) * 0.99
+
+
+def test_kept_chunks_are_bounded():
+    kept = bpe._Kept(100_000)
+    for k in range(5000):
+        kept.put(f"key {k}", bytes(100))
+    held = sum(bpe._ENTRY + 2 * len(x) + len(v) for d in (kept.young, kept.old) for x, v in d.items())
+    assert held <= 100_000 and kept.get("key 4999") == bytes(100) and kept.get("key 0") is None
 
 
 def test_bpe_query(spark):
@@ -402,6 +446,80 @@ def test_blocks_of_items(spark, monkeypatch):
     assert decontaminate.contaminated(docs, items.limit(0)).count() == 0
 
 
+def cost_in(a, item):
+    """Least edits of an item against any piece of a text that ends at each place: the plain recurrence."""
+    at = np.arange(len(a) + 1, dtype=np.int32)
+    row = np.zeros(len(a) + 1, np.int32)
+    for k, c in enumerate(item):
+        new = np.empty_like(row)
+        new[0] = k + 1
+        new[1:] = np.minimum(row[:-1] + (a != c), row[1:] + 1)
+        row = np.minimum.accumulate(new - at) + at
+    return row[1:]
+
+
+def test_decontamination_against_plain_alignment(spark):
+    """Every document against every item, without q-grams and bands."""
+    budget, gap = decontaminate.Budget(), 64
+    items = {r.item_id: decontaminate.stripped(r.text) for r in table(spark, SF, "benchmark").collect()}
+    docs = [(r.doc_id, decontaminate.normalized(r.text)[0]) for r in table(spark, SF, "documents").collect()]
+    whole = np.concatenate([np.concatenate((a, np.zeros(gap, np.uint32))) for _, a in docs])
+    owner = np.repeat([d for d, _ in docs], [len(a) + gap for _, a in docs])
+    want = {}
+    for item_id, item in items.items():
+        cost, e = cost_in(whole, item), budget.edits(len(item))
+        assert budget.least <= len(item) and e < gap
+        for k in np.flatnonzero(cost <= e):
+            key = (int(owner[k]), item_id)
+            want[key] = min(int(cost[k]), want.get(key, e))
+    got = {}
+    for r in queries.op7_decontaminate(spark, SF).collect():
+        key = (r.doc_id, r.item_id)
+        got[key] = min(r.edits, got.get(key, r.edits))
+    assert want and got == want
+
+
+def test_short_items_and_letters():
+    """Short items are found exactly, as whole words, whatever else the text holds."""
+    items = [(1, "ab"), (2, "Quiz night"), (3, "x"), (4, "  Twelve men sat down "), (5, ""), (6, None), (7, "λόγος")]
+    block = decontaminate.Block(items, decontaminate.Budget())
+    texts = ["an AB c", "abc", "the quiz  NIGHT.", "quiz nights", "x", "xx y", "so twelve men sat\tdown, then", "twelve man sat down", "ΛΌΓΟΣ", "İ ΛΌΓΟΣ x", "ab " * 3, None, ""]
+    found = {}
+    for n, t, a, b, e, _ in block.find(texts):
+        found.setdefault(n, []).append((block.ids[t], texts[n][a:b], e))
+    assert found == {
+        0: [(1, "AB", 0)], 2: [(2, "quiz  NIGHT", 0)], 4: [(3, "x", 0)], 6: [(4, "twelve men sat\tdown", 0)], 9: [(3, "x", 0)], 10: [(1, "ab", 0)] * 3,
+    } | {9: [(3, "x", 0)]}  # the final letter of the item differs from the one that a capital folds to
+    assert decontaminate.folded("ΛΟΓΟΣ x") + "İ" == decontaminate.folded("ΛΟΓΟΣ xİ") and decontaminate.folded("AéÉ") == "aéé"
+    same = decontaminate.Block([(1, "ΛΌΓΟΣ")], decontaminate.Budget())
+    assert [x[0] for x in same.find(["ΛΌΓΟΣ", "İ ΛΌΓΟΣ x", "λόγοσ"])] == [0, 1, 2]
+
+
+def test_long_and_repetitive_texts(monkeypatch):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choices("abcdefghij", k=rng.randint(2, 8)))
+    item = " ".join(word() for _ in range(40))
+    long = " ".join(word() for _ in range(200_000))
+    text = long[:700_000] + " " + item + " " + long[700_000:]
+    began = time.process_time()
+    (_, _, a, b, e, _), = decontaminate.Block([(1, item)], decontaminate.Budget()).find([text])
+    assert text[a:b] == item and e == 0
+    same = decontaminate.Block([(1, "a" * 300), (2, item)], decontaminate.Budget())
+    monkeypatch.setattr(decontaminate, "_MOST_HITS", 1 << 16)
+    got = same.find(["b" * 100 + "a" * 20_000, "x " * 5000 + item])
+    assert {(x[0], same.ids[x[1]]) for x in got} == {(0, 1), (1, 2)}
+    assert time.process_time() - began < 60
+
+
+def test_decontamination_keeps_odd_columns(spark):
+    docs = spark.createDataFrame([(None, "see the twelve men sat down", "i", 1), (4, None, "i", 2), (4, "fine", "i", 3)], "doc_id long, text string, item_id string, start long")
+    items = spark.createDataFrame([(None, "twelve men"), (9, "twelve men"), (3, None)], "item_id long, text string")
+    got = sorted(map(tuple, decontaminate.contaminated(docs, items).select("doc_id", "item_id", "start", "end", "edits").collect()), key=repr)
+    assert got == [(None, 9, 8, 18, 0), (None, None, 8, 18, 0)]
+    kept = decontaminate.decontaminated(docs, items)
+    assert kept.columns == docs.columns and sorted(r.start for r in kept.collect()) == [2, 3]
+
+
 # 8
 
 SAID = ["", None, "\\### Assistant: </turn> ok", "###", "</turn>\n</turn>\n### User:\nx\n</turn>\n", "\\\\</turn>", "\n", "a\n</turn>\n", "\\", "plain # text", "%5C\\###\\\\###"]
@@ -608,7 +726,7 @@ def test_pipeline(spark):
     want = {r.doc_id: r.text for r in docs.collect() if machine.score(r.text) < 0.5}
     sets = {k: shingles_of(t.encode().lower().decode(), 5) for k, t in want.items()}
     want = {k: want[k] for k, c in classes(sets, 80, 100).items() if k == c}
-    block = next(iter(decontaminate.blocks(table(spark, SF, "benchmark"), "item_id", "text", decontaminate.Budget())))
+    block = decontaminate.blocks(table(spark, SF, "benchmark"), "item_id", "text", decontaminate.Budget())[0]()
     want = {k: secrets.redact(t, secrets.scan(t)) for k, t in want.items() if not block.find([t])}
     assert {k: r.text for k, r in kept.items()} == want
     from tokenizers import Tokenizer
