@@ -18,7 +18,9 @@ WIDTH = 5
 _RANGE = float(1 << 63)
 #: Ids are dealt into at most so many buckets, so the table of their first ids stays under 32 MB.
 MAX_BUCKETS = 1_000_000
-ROWS_PER_BUCKET = 1000
+ROWS_PER_BUCKET = 100
+#: Buckets lie between so many quantiles of the ids (a power of two).
+QUANTILES = 1024
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -73,10 +75,34 @@ def digest(a: Column) -> Column:
 def merge_by(df: DataFrame, keys: list[str], sketch_col: str, k: int = K) -> DataFrame:
     """One sketch per group.  Equal hashes fold before the first shuffle and a group is cut to k
     hashes in each task before the second (the window's group limit)."""
-    rows = df.select(*keys, F.explode(sketch_col).alias("hash"))
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy("hash"))
-    least = rows.distinct().withColumn("rank", rank).where(F.col("rank") <= k)
-    return least.groupBy(*keys).agg(F.sort_array(F.collect_list("hash")).alias(sketch_col))
+    rows = df.select(F.struct(*keys).alias("__key"), F.explode(sketch_col).alias("__hash"))
+    rank = F.row_number().over(Window.partitionBy("__key").orderBy("__hash"))
+    least = rows.distinct().withColumn("__rank", rank).where(F.col("__rank") <= k)
+    merged = least.groupBy("__key").agg(F.sort_array(F.collect_list("__hash")).alias("__sketch"))
+    return merged.select(*(F.col("__key")[c].alias(c) for c in keys), F.col("__sketch").alias(sketch_col))
+
+
+def _bucket(ids: DataFrame) -> Column | None:
+    """Bucket of `__id`: an interval between quantiles of the ids, cut into equal steps; null without ids.
+
+    Quantiles follow the ids wherever they lie close together or far apart.
+    """
+    shares = [k / QUANTILES for k in range(QUANTILES + 1)]
+    n, found = ids.agg(F.count("*"), F.percentile_approx("__id", shares, 8 * QUANTILES)).first()
+    if not n:
+        return None
+    steps = max(1, min(MAX_BUCKETS, n // ROWS_PER_BUCKET) // QUANTILES)
+    bounds = F.lit(found)
+    halves = F.array(*(F.lit(QUANTILES >> k) for k in range(1, QUANTILES.bit_length())))
+    step = lambda at, half: F.when(F.get(bounds, at + half) <= F.col("__id"), at + half).otherwise(at)
+    at = F.aggregate(halves, F.lit(0), step)  # binary search: the last quantile that is no larger
+
+    def inside(at: Column) -> Column:
+        low, high = F.get(bounds, at), F.get(bounds, at + 1)
+        share = (F.col("__id") - low) / F.greatest(high - low, F.lit(1))
+        return at.cast("long") * steps + F.greatest(F.least(F.floor(share * steps), F.lit(steps - 1)), F.lit(0))
+
+    return _let(at, inside)
 
 
 def with_next(df: DataFrame, id_col: str, carry: list[str]) -> DataFrame:
@@ -86,24 +112,29 @@ def with_next(df: DataFrame, id_col: str, carry: list[str]) -> DataFrame:
     Ids are dealt into buckets by value, the smallest row of each bucket is copied to the bucket
     before, and a window over each bucket looks one row ahead; no task holds the whole order.
     Rows with a null id have no next row and are none; repeated ids follow each other in the order
-    of the carried columns.
+    of the carried columns.  Other columns stay, whatever their names; one named next_<column> is
+    replaced.
     """
-    ids = df.select(F.col(id_col).cast("long").alias("id")).where("id is not null")
-    n, low, quantiles = ids.agg(F.count("*"), F.min("id"), F.percentile_approx("id", [0.05, 0.95], 1000)).first()
-    buckets = max(1, min(MAX_BUCKETS, n // ROWS_PER_BUCKET))
-    width = max(1, int((quantiles[1] - quantiles[0]) / 0.9 / buckets)) if n else 1
-    at = (F.least(F.greatest((F.col(id_col) - (quantiles[0] if n else 0)) / width, F.lit(-buckets / 20.0)), F.lit(buckets * 1.05))).cast("long")
-    firsts = ids.withColumnRenamed("id", id_col).groupBy(at.alias("bucket")).agg(F.min(id_col).alias("first"))
-    order = Window.orderBy("bucket")  # at most 1.1 MAX_BUCKETS rows of two integers
-    last = F.max("bucket").over(Window.partitionBy())
-    firsts = firsts.select("first", F.coalesce(F.lag("bucket").over(order), last).alias("before"), (F.lag("bucket").over(order).isNull()).alias("wraps"))
-    rows = df.join(F.broadcast(firsts), F.col(id_col) == F.col("first"), "left")
-    own = F.struct(at.alias("bucket"), F.lit(False).alias("copy"), F.lit(False).alias("wraps"))
-    copy = F.when(F.col("first").isNotNull(), F.struct(F.col("before").alias("bucket"), F.lit(True).alias("copy"), F.col("wraps").alias("wraps")))
-    rows = rows.withColumn("place", F.explode(F.array_compact(F.array(own, copy)))).drop("first", "before", "wraps")
-    look = Window.partitionBy(F.col("place.bucket")).orderBy("place.wraps", id_col, "place.copy", *carry)
-    nexts = {f"next_{c}": F.when(F.col(id_col).isNotNull(), F.lead(c).over(look)) for c in carry}
-    return rows.withColumns(nexts).where("not place.copy").drop("place")
+    nexts = [f"next_{c}" for c in carry]
+    kept = [c for c in df.columns if c not in nexts]
+    rows = df.select(F.struct(*kept).alias("__row"), F.col(id_col).cast("long").alias("__id"))
+    ids = rows.select("__id").where("__id is not null")
+    bucket = _bucket(ids)
+    if bucket is None:
+        return df.select(*kept, *(F.lit(None).cast(df.schema[c].dataType).alias(n) for c, n in zip(carry, nexts)))
+    firsts = ids.groupBy(bucket.alias("__bucket")).agg(F.min("__id").alias("__first"))
+    order = Window.orderBy("__bucket")  # at most 1.1 MAX_BUCKETS rows of two integers
+    before, last = F.lag("__bucket").over(order), F.max("__bucket").over(Window.partitionBy())
+    firsts = firsts.select("__first", F.coalesce(before, last).alias("__before"), before.isNull().alias("__wraps"))
+    rows = rows.join(F.broadcast(firsts), F.col("__id") == F.col("__first"), "left")
+    place = lambda at, copy, wraps: F.struct(at.alias("bucket"), copy.alias("copy"), wraps.alias("wraps"))
+    own = place(bucket, F.lit(False), F.lit(False))
+    copy = F.when(F.col("__first").isNotNull(), place(F.col("__before"), F.lit(True), F.col("__wraps")))
+    rows = rows.select("__row", "__id", F.explode(F.array_compact(F.array(own, copy))).alias("__place"))
+    look = Window.partitionBy("__place.bucket").orderBy("__place.wraps", "__id", "__place.copy", *(F.col("__row")[c] for c in carry))
+    ahead = {f"__{n}": F.when(F.col("__id").isNotNull(), F.lead(F.col("__row")[c]).over(look)) for c, n in zip(carry, nexts)}
+    rows = rows.withColumns(ahead).where("not __place.copy")
+    return rows.select(*(F.col("__row")[c].alias(c) for c in kept), *(F.col(f"__{n}").alias(n) for n in nexts))
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, k: int = K) -> DataFrame:

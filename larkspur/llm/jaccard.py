@@ -31,14 +31,15 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .shingles import U, mix, shingle_sets
-from .tables import materialize
+from .tables import materialize, scratch
 
 #: Broadcast the ids whose sets are fetched while there are at most so many (8 bytes each).
 BROADCAST_IDS = 1 << 20
 #: Groups of more members get rounds of so many new leaders, as long as a round leaves at most this share of their rows.
 SMALL, LEADERS, HELPS = 64, 8, 0.75
-#: Members of a large group are compared in pairs of blocks of about so many.
-BLOCK = 512
+#: Members of a large group are compared in pairs of blocks; there are up to PARTS blocks of BLOCK members or
+#: more, and more blocks than that once they would have MOST members.
+BLOCK, PARTS, MOST = 128, 64, 2048
 #: A key of more rows is hot: its value is broadcast while there are few such keys.
 HOT = 5_000
 
@@ -297,7 +298,8 @@ def _open(rest: DataFrame, found: DataFrame) -> DataFrame:
 def _cells(rest: DataFrame) -> DataFrame:
     """The rows of each group once for each pair of blocks that they take part in: key, cell, id, comp, side
     (0 and 1 for the blocks of a pair, -1 if it is one block with itself)."""
-    parts = F.ceil(F.col("size") / BLOCK).cast("long")
+    block = F.least(F.greatest(F.lit(float(BLOCK)), F.col("size") / PARTS), F.lit(float(MOST)))
+    parts = F.ceil(F.col("size") / block).cast("long")
     rows = rest.select("key", "id", "comp", parts.alias("parts"), F.pmod(F.xxhash64("id", "key"), parts).alias("block"))
     rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     cell = F.least("block", "with") * F.col("parts") + F.greatest("block", "with")
@@ -313,6 +315,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     it link by any of their texts.  Other columns of `docs` are ignored.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    with scratch(docs.sparkSession) as stays:
+        return stays(_components(docs, rule), "components").toDF(id_col, "n_shingles", "component_id")
+
+
+def _components(docs: DataFrame, rule: Rule) -> DataFrame:
     sigs = materialize(docs.mapInArrow(_sign(rule), "id long, n long, d1 long, d2 long, keys array<long>, bits binary"), "signatures")
     known = sigs.where("id is not null and n > 0")
     same = ["n", "d1", "d2"]
@@ -348,7 +355,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     more = _verified(cross, docs, rule)
     if not more.isEmpty():
         found = components(links.union(more))
-    return _labelled(sigs, groups, found).toDF(id_col, "n_shingles", "component_id")
+    return _labelled(sigs, groups, found)
 
 
 def _heads(large: DataFrame) -> DataFrame:

@@ -10,9 +10,11 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -73,7 +75,8 @@ def base_spans(text: str) -> list[Span]:
 
 
 def assignments(text: str) -> Iterator[tuple[str, list[tuple[str, str, int, int]]]]:
-    """(name, values) of each assignment; a value is ("string" | "word", content, start, end)."""
+    """(name, values) of each assignment; a value is ("string" | "word", content, start, end).  Without
+    values the name is given something that is no literal."""
     tokens = [(m.lastgroup, m[0], m.start(), m.end()) for m in _TOKEN.finditer(text)]
     k = 0
     while k < len(tokens):
@@ -101,8 +104,7 @@ def assignments(text: str) -> Iterator[tuple[str, list[tuple[str, str, int, int]
             k += 1
             more = k < len(tokens) and tokens[k][1] == "+" and tokens[k][0] == "op"
             k += more
-        if values:
-            yield name, values
+        yield name, values
 
 
 def lexed_spans(text: str, least: float = 0.75) -> list[Span]:
@@ -110,32 +112,42 @@ def lexed_spans(text: str, least: float = 0.75) -> list[Span]:
     low = text.lower()
     if not any(g in low for g in _GATES):
         return []
-    known: dict[str, list[tuple[str, int, int]]] = {}
-    out = []
+    known: dict[str, dict[tuple[int, int], str]] = {}
+    out: dict[tuple[int, int], Span] = {}
     for name, values in assignments(text):
-        literals, flow = [], False
+        literals: dict[tuple[int, int], str] = {}
+        flow = False
         for kind, content, a, b in values:
             if kind == "word" and content in known:
-                literals += known[content]
+                literals |= known[content]
                 flow = True
             elif kind == "string" or re.search(r"\d", content):
-                literals.append((content, a, b))
+                literals[a, b] = content
+        known.pop(name, None)  # whatever the name stood for before
         if not literals:
             continue
         known[name] = literals
-        score = sensitivity(name) * strength("".join(x[0] for x in literals))
+        score = sensitivity(name) * strength("".join(literals.values()))
         if score >= least:
-            out += [Span("flow" if flow else "lexed", a, b, name, round(score, 4)) for _, a, b in literals if b > a]
-    return out
+            for a, b in literals:
+                if b > a:
+                    out[a, b] = Span("flow" if flow else "lexed", a, b, name, round(score, 4))
+    return list(out.values())
 
 
 def scan(text: str | None) -> list[Span]:
     """All spans of a text, by start and then kind; lexed spans that a base span covers are left out."""
     if not text:
         return []
-    base = base_spans(text)
-    more = {(s.start, s.end): s for s in lexed_spans(text) if not any(b.start <= s.start and s.end <= b.end for b in base)}
-    return sorted(base + list(more.values()), key=lambda s: (s.start, KINDS.index(s.kind), s.end))
+    base = sorted(base_spans(text), key=lambda s: s.start)
+    starts, ends = [s.start for s in base], list(accumulate((s.end for s in base), max))
+
+    def covered(s: Span) -> bool:  # by one of the base spans that start no later
+        k = bisect_right(starts, s.start)
+        return k > 0 and ends[k - 1] >= s.end
+
+    more = [s for s in lexed_spans(text) if not covered(s)]
+    return sorted(base + more, key=lambda s: (s.start, KINDS.index(s.kind), s.end))
 
 
 def redact(text: str | None, spans: list[Span]) -> str | None:

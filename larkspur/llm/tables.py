@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +22,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_local: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder of `spark.checkpoint.dir`; in a local session without one, a temporary folder.
 
@@ -28,16 +34,38 @@ def shared_dir(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
         raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    root = tempfile.mkdtemp(prefix="spark-larkspur-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if context.applicationId not in _local:
+        _local[context.applicationId] = tempfile.mkdtemp(prefix="spark-larkspur-")
+    return _local[context.applicationId]
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write `df` to the shared folder and read it back: cuts lineage and survives lost executors."""
+_scratch: ContextVar[str | None] = ContextVar("scratch", default=None)
+
+
+def _written(df: DataFrame, name: str, folder: str | None) -> DataFrame:
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/larkspur-{uuid.uuid4().hex}/{name}"
+    path = f"{folder or shared_dir(spark)}/larkspur-{uuid.uuid4().hex}/{name}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write `df` to the shared folder and read it back: cuts lineage and survives lost executors."""
+    return _written(df, name, _scratch.get())
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """What is materialized inside is removed at the end; the given function writes what is to stay."""
+    outer = _scratch.get()
+    folder = f"{outer or shared_dir(spark)}/larkspur-{uuid.uuid4().hex}"
+    token = _scratch.set(folder)
+    try:
+        yield lambda df, name: _written(df, name, outer)
+    finally:
+        _scratch.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)

@@ -22,23 +22,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
+from .tables import materialize
+
 _WORD = re.compile(r"\w+")
 #: Words whose buckets a worker keeps.
-KEPT_WORDS = 500_000
+KEPT_WORDS = 150_000
 
 
 @dataclass(frozen=True)
 class Fit:
-    """Bound of the sample, buckets, informative terms at most and their least likelihood ratio, factors."""
+    """Bounds of the sample in rows and in bytes of terms, buckets, informative terms at most and their least
+    likelihood ratio, factors; steps, rate and decay of the fit, and the weight of a toxic row in it."""
 
     rows: int = 12_000
+    bytes: int = 48 << 20
     buckets: int = 1 << 20
     terms: int = 4096
-    ratio: float = 20.0
+    ratio: float = 10.0
     factors: int = 8
     steps: int = 300
     rate: float = 0.05
     decay: float = 1e-3
+    toxic: float = 1.5
 
 
 def word_terms(word: str, buckets: int) -> list[int]:
@@ -108,6 +113,7 @@ def train(bags: list[np.ndarray], y: np.ndarray, fit: Fit) -> Machine:
     chosen = informative(bags, y, fit)
     at = [np.searchsorted(chosen, b[np.isin(b, chosen)]) for b in bags]
     row, col = np.repeat(np.arange(len(at)), [len(x) for x in at]), np.concatenate(at).astype(np.int64)
+    weight = np.where(y > 0, fit.toxic, 1.0) / len(y)
     rng = np.random.default_rng(11)
     w0, w, v = np.log(p / (1 - p)), np.zeros(len(chosen)), rng.normal(0, 0.05, (len(chosen), fit.factors))
     sums = lambda x: np.stack([np.bincount(row, x[:, f], len(y)) for f in range(x.shape[1])], 1)
@@ -116,7 +122,7 @@ def train(bags: list[np.ndarray], y: np.ndarray, fit: Fit) -> Machine:
         vc = v[col]
         s = sums(vc)
         z = w0 + np.bincount(row, w[col], len(y)) + 0.5 * ((s**2).sum(1) - np.bincount(row, (vc**2).sum(1), len(y)))
-        err = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) / len(y)
+        err = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) * weight
         gw = np.bincount(col, err[row], len(chosen)) + fit.decay * w / len(chosen)
         pull = err[row][:, None] * (s[row] - vc)
         gv = np.stack([np.bincount(col, pull[:, f], len(chosen)) for f in range(fit.factors)], 1) + fit.decay * v / len(chosen)
@@ -136,12 +142,20 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def fit_machine(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", fit: Fit = Fit()) -> Machine:
-    """Learn from the labelled rows that are not held out, of which at most about `fit.rows`, chosen
-    by a hash of the id.  Null labels are left out."""
-    usable = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where(F.col("y").isNotNull() & F.col("id").isNotNull() & ~held_out(F.col("id")))
-    total = usable.count()
-    part = usable.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int((1 << 20) * min(1.0, fit.rows / max(total, 1))))
+def fit_machine(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", fit: Fit = Fit()
+) -> Machine:
+    """Learn from the labelled rows that are not held out, of which about `fit.rows` at most, chosen by a
+    hash of the id, and of these as many as have about `fit.bytes` of terms.
+
+    Null labels are left out; of several labels of an id the largest counts; each row of `docs` with a
+    labelled id is learnt from, repeated ones too.
+    """
+    usable = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y"))
+    usable = usable.where(F.col("y").isNotNull() & F.col("id").isNotNull() & ~held_out(F.col("id")))
+    usable = usable.groupBy("id").agg(F.max("y").alias("y"))
+    share = lambda seed, part: F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1 << 20)) < int((1 << 20) * min(1.0, part))
+    part = usable.where(share(0, fit.rows / max(usable.count(), 1)))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(part), "id").select("id", "text", "y")
     buckets = fit.buckets
 
@@ -150,7 +164,9 @@ def fit_machine(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
             found = [text_terms(t, buckets).tobytes() for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), b.column(2).cast(pa.int32()), pa.array(found, pa.binary())], ["id", "y", "bag"])
 
-    sample = rows.mapInArrow(bags, "id long, y int, bag binary").toArrow().sort_by("id")
+    found = materialize(rows.mapInArrow(bags, "id long, y int, bag binary"), "bags")
+    size = found.agg(F.coalesce(F.sum(F.length("bag")), F.lit(0))).first()[0]
+    sample = found.where(share(1, fit.bytes / max(size, 1))).toArrow().sort_by([("id", "ascending"), ("y", "ascending")])
     y = (sample.column("y").to_numpy() > 0).astype(float)
     return train([np.frombuffer(x.as_py(), np.int32) for x in sample.column("bag")], y, fit)
 

@@ -14,7 +14,7 @@ import numpy as np  # noqa: E402
 from conftest import SF  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from larkspur.llm import bpe, chat, decontaminate, fingerprints, html_text, jaccard, queries, secrets, sharding, shingles, toxicity, warc  # noqa: E402
+from larkspur.llm import bpe, chat, decontaminate, fingerprints, html_text, jaccard, queries, secrets, sharding, shingles, tables, toxicity, warc  # noqa: E402
 from larkspur.llm.components import components  # noqa: E402
 from larkspur.llm.tables import materialize, table  # noqa: E402
 
@@ -58,11 +58,36 @@ def test_placement_against_python(spark):
 
 
 def test_whole_table_is_placed(spark):
-    got = queries.op1_shard_table(spark, SF)
-    t = sharding.lookup_table(queries.SHARDS)
-    assert got.count() == table(spark, SF, "documents").count()
-    for r in got.limit(50).collect():
-        assert r.shard == queries.SHARDS[t[r.slot]]
+    """Every row against the turns played out in Python."""
+    n, names = sharding.SLOTS, queries.SHARDS
+    table_of, taken = {}, 0
+
+    def preferences(name):
+        d = hashlib.sha256(name.encode()).digest()
+        first, skip = int.from_bytes(d[:8], "big"), int.from_bytes(d[8:16], "big") % (n - 1) + 1
+        return ((first + k * skip) % n for k in range(n))
+
+    orders = [preferences(name) for name in names]
+    while taken < n:
+        for name, order in zip(names, orders):
+            if taken < n:
+                slot = next(x for x in order if x not in table_of)
+                table_of[slot], taken = name, taken + 1
+    ids = {r.doc_id for r in table(spark, SF, "documents").collect()}
+    got = queries.op1_shard_table(spark, SF).collect()
+    assert {r.doc_id for r in got} == ids and len(got) == len(ids)
+    for r in got:
+        slot = int(hashlib.md5(str(r.doc_id).encode()).hexdigest()[:15], 16) % n
+        assert (r.slot, r.shard) == (slot, table_of[slot])
+
+
+def test_shards_are_written(spark, tmp_path):
+    df = spark.createDataFrame([(k, "x" * (k % 7), "old") for k in range(300)] + [(None, "n", "old")], "doc_id long, text string, shard string")
+    sharding.write_shards(df, str(tmp_path / "out"), ["a", "b", "c"], files=2)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    want = {(r.doc_id, r.text, r.shard) for r in sharding.placed(df, ["a", "b", "c"]).collect()}
+    assert {(r.doc_id, r.text, r.shard) for r in back.collect()} == want and back.count() == 301
+    assert sorted(x.name for x in (tmp_path / "out").iterdir() if x.is_dir()) == ["shard=a", "shard=b", "shard=c"]
 
 
 # 2
@@ -322,11 +347,72 @@ def test_toxicity_without_labels(spark):
     assert one.score("a") < 0.5
 
 
+def naive_score(m, text):
+    """The definition: every pair of the text's informative terms, one after the other."""
+    at = sorted({m.row[t] for t in toxicity.text_terms(text, m.buckets).tolist() if t in m.row})
+    z = m.w0 + sum(float(m.w[i]) for i in at)
+    z += sum(float(np.dot(m.v[i], m.v[j])) for i, j in itertools.combinations(at, 2))
+    return 1 / (1 + np.exp(-z))
+
+
+def test_scores_are_the_pair_sums(spark):
+    docs = table(spark, SF, "documents").select("doc_id", "text")
+    m = toxicity.fit_machine(docs, table(spark, SF, "labels"))
+    assert len(m.w) > 0
+    for r in toxicity.scored(docs, m).collect():
+        assert abs(r.score - naive_score(m, r.text)) < 1e-9
+
+
+def test_fit_against_plain_gradients():
+    """One step of the fit against numerical gradients of the loss, term by term."""
+    rng = random.Random(6)
+    words = ["aa", "bb", "cc", "dd"]
+    texts = [" ".join(w for w in words if rng.random() < 0.6) for _ in range(60)]
+    y = np.array([float("aa" in t and "bb" in t) for t in texts])
+    fit = toxicity.Fit(ratio=0.0, factors=2, steps=1)
+    bags = [toxicity.text_terms(t, fit.buckets) for t in texts]
+    start = toxicity.train(bags, y, toxicity.Fit(ratio=0.0, factors=2, steps=0))
+    after = toxicity.train(bags, y, fit)
+
+    def loss(m):
+        z = np.array([naive_score(m, t) for t in texts])
+        weight = np.where(y > 0, fit.toxic, 1.0) / len(y)
+        decay = fit.decay / len(m.w) * ((m.w**2).sum() + (m.v**2).sum()) / 2
+        return -(weight * (y * np.log(z) + (1 - y) * np.log(1 - z))).sum() + decay
+
+    for name in ("w", "v"):
+        x, moved = getattr(start, name), getattr(after, name) - getattr(start, name)
+        for at in np.ndindex(x.shape):
+            keep, ends = x[at], []
+            for h in (1e-5, -1e-5):
+                x[at] = keep + h
+                ends.append(loss(start))
+            x[at] = keep
+            slope = (ends[0] - ends[1]) / 2e-5
+            if abs(slope) > 1e-5:  # the first step of the method goes one rate down the slope
+                assert abs(moved[at] + np.sign(slope) * fit.rate) < 1e-3 * fit.rate + 1e-4
+
+
+def test_toxicity_sample_is_bounded(spark):
+    docs = docs_of(spark, ["bad words " + " ".join(f"w{k}x{j}" for j in range(300)) for k in range(80)] + ["x"] * 20)
+    labels = spark.range(100).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("toxic"))
+    sizes = []
+    keep, toxicity_train = toxicity.train, lambda bags, y, fit: sizes.append(sum(b.nbytes for b in bags)) or keep(bags, y, fit)
+    toxicity.train = toxicity_train
+    try:
+        toxicity.fit_machine(docs, labels.union(labels).union(labels), fit=toxicity.Fit(bytes=40_000))
+        toxicity.fit_machine(docs, labels)
+        toxicity.fit_machine(docs, labels.union(labels.withColumn("toxic", F.lit(0))))
+    finally:
+        toxicity.train = keep
+    assert 0 < sizes[0] < 60_000 < sizes[1] == sizes[2]
+
+
 def test_toxicity_held_out_accuracy(spark):
     d = SF.replace("0.001", "0.1")
     rows = queries.op5_toxicity_fm(spark, d).join(table(spark, d, "labels"), "doc_id").where("held_out")
     hit, wrong, n = rows.select(*(F.count_if(F.expr(x)) for x in ("predicted = 1 and toxic = 1", "predicted = 1 and toxic = 0", "toxic = 1"))).first()
-    assert hit / n >= 0.85 and wrong <= 0.05 * n
+    assert hit / n >= 0.9 and wrong <= 0.05 * n
 
 
 # 6
@@ -364,6 +450,27 @@ def test_lexer_adds_names_and_flow():
     assert secrets.scan(None) == secrets.scan("") == [] and secrets.redact(None, []) is None
 
 
+def test_names_are_bound_anew():
+    lexed = lambda t: [t[s.start : s.end] for s in secrets.scan(t) if s.kind in ("lexed", "flow")]
+    first = "x = 'Zx9-kd82!LLq0-88aa'\n"
+    assert lexed(first + "password = x\n") == ["Zx9-kd82!LLq0-88aa"]
+    for between in ("x = load()\n", "x = y\n", "x = (1)\n", "x = 'name'\n"):
+        assert lexed(first + between + "password = x\n") == []
+    assert lexed(first + "x = x + x\n" * 200 + "password = x\n") == ["Zx9-kd82!LLq0-88aa"]
+
+
+def test_secrets_of_long_texts_take_linear_time():
+    line = "token{k} = abcdefghijkl{k:06d}\nmy_secret_{k} = \"Zx9!kd82-LL{k:06d}\"\n"
+    times = []
+    for n in (4000, 16_000):
+        text = "".join(line.format(k=k) for k in range(n))
+        began = time.process_time()
+        spans = secrets.scan(text)
+        times.append(time.process_time() - began)
+        assert len(spans) == 2 * n and secrets.redact(text, spans).count("removed]") == 2 * n
+    assert times[1] < 10 * times[0] + 1
+
+
 def test_secret_query_against_brute_force(spark):
     texts = {r.doc_id: r.text for r in table(spark, SF, "documents").collect()}
     for r in queries.op6_secret_lexer(spark, SF).collect():
@@ -589,8 +696,10 @@ def test_sketches_merge(spark):
 def test_next_document(spark, monkeypatch):
     monkeypatch.setattr(fingerprints, "ROWS_PER_BUCKET", 3)
     ids = [5, -20, 7, 8, 9, 100, 101, 102, 1 << 40, 11, 13, 17]
-    df = spark.createDataFrame([(i, f"t{i}", 0) for i in ids] + [(None, "n", 0)], "doc_id long, text string, first int").drop("first")
-    got = {r.doc_id: r.next_text for r in fingerprints.with_next(df, "doc_id", ["text"]).collect()}
+    df = spark.createDataFrame([(i, f"t{i}", *range(5)) for i in ids] + [(None, "n", *range(5))], "doc_id long, text string, first int, before int, wraps int, place int, bucket int")
+    rows = fingerprints.with_next(df, "doc_id", ["text"])
+    assert rows.columns == [*df.columns, "next_text"] and {tuple(r)[2:7] for r in rows.collect()} == {(0, 1, 2, 3, 4)}
+    got = {r.doc_id: r.next_text for r in rows.collect()}
     order = sorted(ids)
     assert got == {a: f"t{b}" for a, b in zip(order, order[1:] + order[:1])} | {None: None}
     one = fingerprints.edited_likeness(docs_of(spark, ["a b c d e f"])).first()
@@ -599,6 +708,29 @@ def test_next_document(spark, monkeypatch):
     assert [r.n_chars for r in odd] == [0, 0, 9] and odd[0].near_next == 1.0 and odd[1].near_next == 0.0 and odd[0].fingerprint == ""
 
 
+def test_clusters_of_ids_are_split(spark, monkeypatch):
+    """Two ranges of ids far apart: buckets follow the ids, not their values."""
+    monkeypatch.setattr(fingerprints, "ROWS_PER_BUCKET", 10)
+    monkeypatch.setattr(fingerprints, "QUANTILES", 64)
+    df = spark.range(3000).select(F.when(F.col("id") < 1500, F.col("id")).otherwise(F.col("id") + 10**15).alias("doc_id"), F.col("id").cast("string").alias("text"))
+    ids = df.select(F.col("doc_id").alias("__id"))
+    sizes = [r["count"] for r in ids.groupBy(fingerprints._bucket(ids).alias("b")).count().collect()]
+    assert max(sizes) <= 120 and len(sizes) > 60
+    got = {r.doc_id: r.next_text for r in fingerprints.with_next(df, "doc_id", ["text"]).collect()}
+    order = [k if k < 1500 else k + 10**15 for k in range(3000)]
+    assert got == {a: str(k + 1 if k < 2999 else 0) for k, a in enumerate(order)}
+
+
+def test_sketches_with_odd_names_and_long_texts(spark):
+    long = " ".join(f"w{k}" for k in range(200_000))
+    df = spark.createDataFrame([("x", 1, long), ("x", 2, "w1 w2 w3 w4 w5 w6"), (None, 3, "a b c d e f")], "hash string, rank int, text string").withColumn("s", fingerprints.sketch(F.col("text")))
+    got = {r["hash"]: r.s for r in fingerprints.merge_by(df, ["hash"], "s").collect()}
+    own = {r["rank"]: r.s for r in df.collect()}
+    assert got["x"] == sorted(set(own[1]) | set(own[2]))[:128] and got[None] == own[3]
+    n = df.where("rank = 1").select(fingerprints.distinct_shingles(F.col("s"))).first()[0]
+    assert abs(n / 199_996 - 1) < 0.35
+
+
 def test_fingerprints_are_native(spark):
     plan = queries.op9_bottom_k(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
@@ -698,6 +830,32 @@ def test_jaccard_large_group(spark, monkeypatch, small, leaders, block):
         assert made["cross"] + made["star"] < 2 * 8 * 200
 
 
+def test_intermediate_tables_are_removed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "shared_dir", lambda session: f"file://{tmp_path}/shared")
+    got = jaccard.jaccard_components(docs_of(spark, near_texts(3, 40, 4)))
+    assert got.count() == 24 and {x.name for x in (tmp_path / "shared").glob("*/*")} == {"components"}
+
+
+def test_jaccard_rows_that_share_an_id(spark):
+    """Each row links by its own text; a repeated id is one node."""
+    base = [f"w{k}" for k in range(60)]
+    near, other = base[:58] + ["x", "y"], [f"v{k}" for k in range(60)]
+    rows = [(1, other), (5, base), (5, other[:59] + ["z"]), (7, near), (9, ["q"] * 5), (None, base)]
+    df = spark.createDataFrame([(k, " ".join(t)) for k, t in rows], "doc_id long, text string")
+    got = sorted(((r.doc_id or 0), r.component_id) for r in jaccard.jaccard_components(df, rule=jaccard.Rule(3, 80, 100)).collect())
+    assert got == [(0, None), (1, 1), (5, 1), (5, 1), (7, 1), (9, 9)]
+
+
+@pytest.mark.parametrize("ids,hot", [(-1, 3), (0, 10**6), (2, 3)])
+def test_jaccard_without_broadcasts(spark, monkeypatch, ids, hot):
+    """The ways for many values: hot keys apart, or a plain shuffle."""
+    monkeypatch.setattr(jaccard, "BROADCAST_IDS", ids)
+    monkeypatch.setattr(jaccard, "HOT", hot)
+    texts = near_texts(8, 40, 8) + ["the same text in many rows of it"] * 9
+    got = {r.doc_id: r.component_id for r in jaccard.jaccard_components(docs_of(spark, texts)).collect()}
+    assert got == classes({k: shingles_of(t, 3) for k, t in enumerate(texts)}, 90, 100)
+
+
 def test_long_words_and_pieces(monkeypatch):
     monkeypatch.setattr(shingles, "GROUP_BYTES", 64)
     text = "word " * 40 + "x" * 500 + " tail end"
