@@ -25,13 +25,21 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by five-word shingles at 0.8 or more, the one with the smallest id stays."""
+    """Of documents linked by five-word shingles at 0.8 or more, the one with the smallest id stays.
+
+    Rows that share an id or have none, and are equal in text, count once too.
+    """
     bounded_batches(spark)
     parts = jaccard_components(docs, rule=Rule(width=5, num=80, den=100))
     gone = materialize(parts.where("component_id <> doc_id").select("doc_id").distinct(), "gone")
     small = gone.count() <= BROADCAST_IDS
-    kept = docs.join(F.broadcast(gone) if small else gone, "doc_id", "left_anti")
-    return kept.select(docs.columns)
+    kept = docs.join(F.broadcast(gone) if small else gone, "doc_id", "left_anti").select(docs.columns)
+    shared = materialize(parts.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("of")), "shared")
+    if shared.isEmpty():
+        return kept
+    same = F.col("doc_id").eqNullSafe(F.col("of"))
+    of_one, others = (kept.join(shared, same, how).select(docs.columns) for how in ("left_semi", "left_anti"))
+    return others.union(of_one.dropDuplicates(["doc_id", "text"]))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,14 +51,15 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """All documents stay; secrets in their texts are replaced by marks and n_chars follows."""
     bounded_batches(spark)
     out = redacted(docs)
-    return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
+    return out.withColumn("n_chars", F.length("text").cast(out.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents stay, with ids and n_tokens."""
     bounded_batches(spark)
     kept = tuple(c for c in docs.columns if c not in ("ids", "decoded", "n_tokens"))
-    return encoded(docs, tokenizer_path(), keep=kept).drop("decoded").withColumn("n_tokens", F.size("ids").cast("long"))
+    rows = encoded(docs, tokenizer_path(), keep=kept).drop("decoded")
+    return rows.withColumn("n_tokens", F.size("ids").cast("long"))
 
 
 STAGES = [
