@@ -25,7 +25,7 @@ from . import shingles
 from .shingles import U, mix
 
 #: A chunk ends before a white space with this chance, over the hash of the WINDOW bytes before it.
-ONE_IN = 64
+ONE_IN = 128
 WINDOW = 8
 #: Bytes of chunks, and of joins and their words, that a task keeps.
 KEPT_CHUNKS, KEPT_JOINS = 48 << 20, 16 << 20
