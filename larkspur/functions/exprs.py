@@ -80,9 +80,12 @@ def season(day: Column) -> Column:
 
 
 def sequential_bin(value: Column, low: Column, high: Column, steps: int) -> Column:
-    """Which of `steps` equal steps between low and high a value falls in; the middle for an empty range."""
-    at = F.floor((value - low) / F.nullif(high - low, F.lit(0)) * steps).cast("int")
-    return F.coalesce(F.least(F.greatest(at, F.lit(0)), F.lit(steps - 1)), F.lit(steps // 2))
+    """The step, 0 to steps - 1, nearest to a value's place between low and high, halves to the even one;
+    0 for an empty range, null for a null value."""
+    share = (value - low).cast("double") / (high - low).cast("double")
+    at = F.bround(share * (steps - 1), 0).cast("int")
+    near = F.least(F.greatest(at, F.lit(0)), F.lit(steps - 1))
+    return F.when(value.isNotNull(), F.when(high > low, near).otherwise(0))
 
 
 def divergence_bin(z: Column) -> Column:

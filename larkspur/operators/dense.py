@@ -47,19 +47,33 @@ def documents(rows: DataFrame, key: str) -> DataFrame:
     return rows.select(key, doc.alias("document")).where(F.col(key).isNotNull() & (F.col("document") != ""))
 
 
+def hashed_vector(text: Column, dimensions: int = DIMENSIONS) -> Column:
+    """Unit bag-of-words vector: each token adds +1 or -1 at a place, both from its md5; zero without tokens.
+
+    Tokens become codes (place, sign); sorted among one of each code, the places of the codes give
+    their numbers.
+    """
+    number = lambda h, at, n: F.conv(F.substring(h, at, n), 16, 10).cast("long")
+    code = lambda h: number(h, 1, 8) % dimensions * 2 + number(h, 9, 2) % 2
+    tokens = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(f"({TOKEN})"), 1)
+    each = F.sequence(F.lit(0), F.lit(2 * dimensions)).cast("array<bigint>")
+    codes = F.sort_array(F.concat(F.transform(tokens, lambda t: code(F.md5(t.cast("binary")))), each))
+    let = lambda value, body: F.get(F.transform(F.array(value), body), 0)
+    starts = let(codes, lambda c: F.transform(each, lambda k: F.array_position(c, k)))
+    at = lambda s, k: F.get(s, k.cast("int"))
+    places = F.sequence(F.lit(0), F.lit(2 * dimensions - 2), F.lit(2))
+    sums = let(starts, lambda s: F.transform(places, lambda k: (2 * at(s, k + 1) - at(s, k) - at(s, k + 2)).cast("double")))
+
+    def unit(v: Column) -> Column:
+        norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x))
+        return let(norm, lambda n: F.transform(v, lambda x: F.when(n > 0, x / n).otherwise(0.0)))
+
+    return let(sums, unit)
+
+
 def hashed(df: DataFrame, key: str, text: str, dimensions: int = DIMENSIONS) -> DataFrame:
-    """Unit bag-of-words vectors: each token adds +1 or -1 at a place, both from its md5; a text
-    without tokens has a zero vector.  One row per key; the shuffle carries at most `dimensions`
-    sums per text."""
-    token = F.explode(F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(f"({TOKEN})"), 1))
-    h = F.md5(F.col("token").cast("binary"))
-    place = (F.conv(F.substring(h, 1, 8), 16, 10).cast("long") % dimensions).cast("int")
-    sign = F.when(F.conv(F.substring(h, 9, 2), 16, 10).cast("int") % 2 == 0, 1.0).otherwise(-1.0)
-    sums = df.select(key, token.alias("token")).select(key, place.alias("place"), sign.alias("s")).groupBy(key, "place").agg(F.sum("s").alias("v"))
-    grouped = sums.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("place", "v"))).alias("m"), F.sqrt(F.sum(F.col("v") ** 2)).alias("norm"))
-    at = F.transform(F.sequence(F.lit(0), F.lit(dimensions - 1)), lambda i: F.coalesce(F.try_element_at("m", i) / F.nullif(F.col("norm"), F.lit(0.0)), F.lit(0.0)))
-    zero = F.array_repeat(F.lit(0.0), dimensions)
-    return df.select(key).distinct().join(grouped.select(key, at.alias("embedding")), key, "left").select(key, F.coalesce("embedding", zero).alias("embedding"))
+    """(key, embedding) of every row by `hashed_vector`; repeated and null keys keep their rows."""
+    return df.select(key, hashed_vector(F.col(text), dimensions).alias("embedding"))
 
 
 def embedded(docs: DataFrame, key: str, text: str, model: Embedder, batch: int = 128) -> DataFrame:

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from dataclasses import dataclass, field
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .search import AXIS_PHRASES
+from .sparse import containing
 
 MAX_TEXT, MAX_TURNS, HISTORY, IDLE_HOURS, MAX_SESSIONS, EVIDENCE = 300, 40, 6, 6, 200, 500
 # Words of gender, markers of refining, of pointing at a result, and spelled numbers.
@@ -14,6 +18,21 @@ REFINE = ("hơn", "khác", "còn gì", "còn chai", "thêm", "nữa", "thì sao"
 POINT = ("chai thứ", "chai số", "cái thứ", "cái số", "chai đầu", "cái đầu", "chai cuối", "chai đó", "cái đó", "chai này", "chai trên", "em đó", "chai vừa")
 THAT_ONE = ("chai đó", "cái đó", "chai này", "chai trên", "chai vừa")
 SPELLED = {"đầu": 1, "nhất": 1, "hai": 2, "ba": 3, "tư": 4, "năm": 5}
+SPEAKERS = {"user": "Khách", "assistant": "Bạn"}
+SHOWN = "  (đã hiện cho khách: {})"
+
+
+@dataclass(frozen=True)
+class Pointers:
+    """The words that point at a shown item: before a digit; before the words of the first and last place;
+    before a spelled number; and those that mean the first one.  Places count from 1, or from -1 backwards."""
+
+    before_digits: tuple[str, ...] = ("thứ", "số")
+    before_ends: tuple[str, ...] = ("chai", "cái", "em")
+    ends: dict[str, int] = field(default_factory=lambda: {"đầu": 1, "cuối": -1})
+    before_spelled: tuple[str, ...] = ("thứ", "số", "cái", "chai")
+    spelled: dict[str, int] = field(default_factory=lambda: SPELLED)
+    that_one: tuple[str, ...] = THAT_ONE
 
 
 def _any(low: Column, phrases: tuple[str, ...]) -> Column:
@@ -31,19 +50,28 @@ def slots(df: DataFrame, text: str = "text", axes: dict[str, str] | None = None,
     return df.withColumns({"axes": found, "gender": gender})
 
 
-def pointed(df: DataFrame, text: str = "text", shown: str = "shown") -> Column:
-    """The shown item a text points at: number, first or last, spelled number, "that one"; null if it
-    points nowhere or past the list."""
-    low, s = F.lower(F.trim(F.coalesce(text, F.lit("")))), F.col(shown)
-    at = lambda n: F.when(n > 0, F.get(s, n - 1))
-    number = at(F.nullif(F.regexp_extract(low, r"(?:thứ|số)\s*(\d+)", 1), F.lit("")).try_cast("int"))
-    place = F.regexp_extract(low, r"(?U)(?:chai|cái|em)\s+(đầu|cuối)\b", 1)
-    ends = F.when(place == "đầu", F.get(s, 0)).when(place == "cuối", F.get(s, F.size(s) - 1))
-    spelled = F.create_map(*(F.lit(x) for kv in SPELLED.items() for x in kv))[F.regexp_extract(low, r"(?U)(?:thứ|số|cái|chai)\s+(đầu|nhất|hai|ba|tư|năm)\b", 1)]
-    return F.coalesce(number, ends, at(spelled), F.when(_any(low, THAT_ONE), F.get(s, 0)))
+def _one_of(words: Iterable[str]) -> str:
+    return "(?:" + "|".join(words) + ")"
 
 
-def classified(turns: DataFrame, refine: tuple[str, ...] = REFINE, point: tuple[str, ...] = POINT) -> DataFrame:
+def pointed(df: DataFrame, text: str = "text", shown: str = "shown", words: Pointers = Pointers()) -> Column:
+    """The shown item a text points at: by a digit, an end of the list, a spelled number or as "that one",
+    the first of these that lies in the list; null if there is none."""
+    low, s = F.lower(F.trim(F.coalesce(text, F.lit("")))), F.col(shown)
+    after = lambda lead, found: F.nullif(F.regexp_extract(low, f"(?U){_one_of(lead)}{found}", 1), F.lit(""))
+    place = lambda table: F.create_map(*(F.lit(x) for kv in table.items() for x in kv))
+    whole = lambda lead, table: place(table)[after(lead, rf"\s+({'|'.join(table)})\b")]
+    places = F.array(
+        after(words.before_digits, r"\s*(\d+)").try_cast("int"),
+        whole(words.before_ends, words.ends),
+        whole(words.before_spelled, words.spelled),
+        F.when(_any(low, words.that_one), 1),
+    )
+    inside = F.filter(places, lambda p: (p != 0) & (F.abs(p) <= F.size(s)))
+    return F.when(F.size(inside) > 0, F.try_element_at(s, F.get(inside, 0)))
+
+
+def classified(turns: DataFrame, refine: tuple[str, ...] = REFINE, point: tuple[str, ...] = POINT, words: Pointers = Pointers()) -> DataFrame:
     """Adds action (new, refine, about) and target to user turns.
 
     turns: conv_id, turn, role, text, shown (items listed by an assistant's turn, else null).  A turn
@@ -55,7 +83,7 @@ def classified(turns: DataFrame, refine: tuple[str, ...] = REFINE, point: tuple[
     rows = turns.withColumn("last_shown", F.last(F.when(F.size("shown") > 0, F.col("shown")), ignorenulls=True).over(before))
     rows = rows.withColumn("earlier", F.count(F.when(user, 1)).over(before) > 0)
     low = F.lower(F.trim(F.coalesce("text", F.lit(""))))
-    target = F.when(user & F.col("earlier") & _any(low, point), pointed(rows, "text", "last_shown"))
+    target = F.when(user & F.col("earlier") & _any(low, point), pointed(rows, "text", "last_shown", words))
     action = F.when(~user, None).when(target.isNotNull(), "about").when(F.col("earlier") & _any(low, refine), "refine").otherwise("new")
     return rows.withColumns({"target": target, "action": action}).drop("earlier")
 
@@ -65,19 +93,32 @@ def merged(turns: DataFrame) -> DataFrame:
     replaced when given, text is joined and cut, min_votes is the first one's.
 
     turns: conv_id, turn, action, tags, attributes, axes (arrays), gender, text, min_votes.  A turn
-    about an item takes no part in the fold.
+    about an item takes no part in the fold.  Lists grow only where a turn brings something new, so a
+    conversation's turns carry what is in force, not all that was said.
     """
     t = turns.where(F.col("action").isin("new", "refine"))
     order = Window.partitionBy("conv_id").orderBy("turn")
     t = t.withColumn("segment", F.sum(F.when(F.col("action") == "new", 1).otherwise(0)).over(order))
     so_far = Window.partitionBy("conv_id", "segment").orderBy("turn").rowsBetween(Window.unboundedPreceding, 0)
-    union = lambda c: F.array_distinct(F.flatten(F.collect_list(F.coalesce(F.col(c), F.array().cast("array<string>"))).over(so_far)))
-    text = F.substring(F.trim(F.concat_ws(" ", F.collect_list(F.nullif(F.col("text"), F.lit(""))).over(so_far))), 1, MAX_TEXT)
+    none = F.array().cast("array<string>")
+    fresh = lambda c: F.array_except(F.coalesce(F.col(c), none), F.coalesce(F.lag(c).over(order), none))
+    first = F.lag("segment").over(order).eqNullSafe(F.col("segment"))
+    t = t.withColumns({f"__{c}": F.when(first, fresh(c)).otherwise(F.coalesce(F.col(c), none)) for c in ("tags", "attributes")})
+    union = lambda c: F.array_distinct(F.flatten(F.collect_list(F.when(F.size(f"__{c}") > 0, F.col(f"__{c}"))).over(so_far)))
+    said = F.collect_list(F.substring(F.nullif(F.col("text"), F.lit("")), 1, MAX_TEXT)).over(so_far)
+    text = F.substring(F.trim(F.concat_ws(" ", said)), 1, MAX_TEXT)
+    last = lambda value: F.last(value, ignorenulls=True).over(so_far)
     return t.select(
-        "conv_id", "turn", "segment", union("tags").alias("tags"), union("attributes").alias("attributes"),
-        F.last(F.when(F.size("axes") > 0, F.col("axes")), ignorenulls=True).over(so_far).alias("axes"), F.last("gender", ignorenulls=True).over(so_far).alias("gender"),
-        F.nullif(text, F.lit("")).alias("text"), F.first("min_votes").over(so_far).alias("min_votes"),
-    )
+        "conv_id",
+        "turn",
+        "segment",
+        union("tags").alias("tags"),
+        union("attributes").alias("attributes"),
+        last(F.when(F.size("axes") > 0, F.col("axes"))).alias("axes"),
+        last(F.col("gender")).alias("gender"),
+        F.nullif(text, F.lit("")).alias("text"),
+        F.first("min_votes").over(so_far).alias("min_votes"),
+    )
 
 
 def last_search(turns: DataFrame) -> DataFrame:
@@ -86,10 +127,17 @@ def last_search(turns: DataFrame) -> DataFrame:
     return turns.withColumn("last_search", F.last(F.when(F.col("action").isin("new", "refine"), F.col("turn")), ignorenulls=True).over(before))
 
 
-def with_history(turns: DataFrame, n: int = HISTORY) -> DataFrame:
-    """Adds the last n turns as "role: text" lines."""
+def with_history(turns: DataFrame, n: int = HISTORY, speakers: dict[str, str] | None = None, shown: str = SHOWN) -> DataFrame:
+    """Adds the last n turns as "speaker: text" lines; below a turn that showed items, their numbered list,
+    which is what a later turn points at.  turns: conv_id, turn, role, text, shown."""
     before = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(-n, -1)
-    return turns.withColumn("history", F.array_join(F.collect_list(F.concat_ws(": ", "role", "text")).over(before), "\n"))
+    names = speakers or SPEAKERS
+    who = F.coalesce(F.create_map(*(F.lit(x) for kv in names.items() for x in kv))[F.col("role")], F.lit(names["assistant"]))
+    numbered = F.array_join(F.transform("shown", lambda x, i: F.concat((i + 1).cast("string"), F.lit(". "), x)), "; ")
+    head, tail = shown.split("{}")
+    listed = F.when((F.col("role") != "user") & (F.size("shown") > 0), F.concat(F.lit(head), numbered, F.lit(tail)))
+    line = F.concat_ws("\n", F.concat_ws(": ", who, F.coalesce("text", F.lit(""))), listed)
+    return turns.withColumn("history", F.array_join(F.collect_list(line).over(before), "\n"))
 
 
 def newest_turns(turns: DataFrame, n: int = MAX_TURNS) -> DataFrame:
@@ -113,41 +161,97 @@ def kept_sessions(sessions: DataFrame, key: str, n: int = MAX_SESSIONS) -> DataF
 
 def gated(proposed: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """(proposal, label): the exact label, else the shortest one that contains the proposal or is
-    contained in it; proposals without one are dropped.  The distinct proposals, the smaller side,
-    meet a vocabulary."""
+    contained in it; proposals without one are dropped.  Both ways meet by their first letters."""
     p = proposed.select(F.lower(F.trim("proposal")).alias("low"), "proposal").distinct().where("low <> ''")
-    v = vocabulary.select("label").distinct()
-    hit = p.join(v, F.contains("label", "low") | F.contains("low", "label"))
-    by = Window.partitionBy("proposal").orderBy(F.when(F.col("label") == F.col("low"), 0).otherwise(1), F.length("label"), "label")
-    return hit.withColumn("n", F.row_number().over(by)).where("n = 1").select("proposal", "label")
+    v = vocabulary.select("label").where("label <> ''").distinct()
+    inside = containing(p.select(F.col("low").alias("part")).distinct(), v).withColumnRenamed("part", "low")
+    around = containing(v.select(F.col("label").alias("part")), p.select(F.col("low").alias("label")).distinct())
+    around = around.select(F.col("part").alias("label"), F.col("label").alias("low"))
+    hit = p.join(inside.select("label", "low").union(around).distinct(), "low")
+    order = F.struct(F.when(F.col("label") == F.col("low"), 0).otherwise(1), F.length("label"), "label")
+    return hit.groupBy("proposal").agg(F.min_by("label", order).alias("label"))
 
 
 def json_object(text: Column) -> Column:
-    """The first { to the last } of a text."""
-    return F.nullif(F.regexp_extract(text, r"(?s)\{.*\}", 0), F.lit(""))
-
-
-def ungrounded(answers: DataFrame, allowed: DataFrame, key: str = "key", text: str = "text") -> DataFrame:
-    """(key, phrase): capitalised phrases of two words or more in an answer that neither are an allowed
-    name nor consist of words of allowed names; allowed: key, name."""
-    name = F.lower("name")
-    words = F.filter(F.split(name, r"[\s/&-]+"), lambda w: F.length(w) > 2)
-    a = allowed.where("name <> ''").groupBy(key).agg(F.collect_set(name).alias("names"), F.array_distinct(F.flatten(F.collect_set(words))).alias("parts"))
-    phrase = F.explode(F.array_distinct(F.regexp_extract_all(text, F.lit(r"\b([A-Z][\w']*(?:\s+[A-Z0-9][\w']*)+)"), 1))).alias("phrase")
-    rows = answers.select(key, phrase).join(a, key, "left")
-    low = F.lower("phrase")
-    own = F.filter(F.split(low, r"\s+"), lambda w: F.length(w) > 2)
-    ok = F.concat(F.coalesce("names", F.array().cast("array<string>")), F.coalesce("parts", F.array().cast("array<string>")))
-    known = F.array_contains(ok, low) | ((F.size(own) > 0) & (F.size(F.array_except(own, ok)) == 0))
-    return rows.where(~known).select(key, "phrase")
-
-
-def answers(results: DataFrame, words: dict[str, str] | None = None, limit: int = 3) -> DataFrame:
-    """A templated answer per query from its best results: name, group, rating with the strength of its
-    evidence, and reasons in the reader's language; results: query, rank, name, grp, rating, votes, reasons."""
-    table = F.create_map(*(F.lit(x) for kv in (words or {"winter": "mùa đông"}).items() for x in kv))
-    why = F.array_join(F.transform("reasons", lambda r: F.coalesce(table[r], r)), ", ")
-    evidence = F.when(F.coalesce("votes", F.lit(0)) >= EVIDENCE, F.concat(F.format_string("%.2f", "rating"), F.lit("/5"))).when(F.col("rating").isNotNull(), F.concat(F.format_string("%.2f", "rating"), F.lit("/5 (ít lượt)")))
-    line = F.concat_ws(" · ", F.concat(F.col("rank").cast("string"), F.lit(". "), F.col("name")), "grp", evidence, F.nullif(why, F.lit("")))
-    rows = results.where(F.col("rank") <= limit).select("query", F.struct("rank", line.alias("line")).alias("x"))
-    return rows.groupBy("query").agg(F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["line"]), "\n").alias("answer"))
+    """The JSON object that a text holds, from its first { to its last }; null where that is none."""
+    found = F.nullif(F.regexp_extract(text, r"(?s)\{.*\}", 0), F.lit(""))
+    return F.when(F.try_parse_json(found).isNotNull(), found)
+
+
+# Fixed value: what looks like a name, two capitalised words or more; and the words that count in one.
+NAME = r"\b([A-Z][\w']*(?:\s+[A-Z0-9][\w']*)+)"
+LONG_WORD = 3
+
+
+def ungrounded(answers: DataFrame, allowed: DataFrame, key: str = "key", text: str = "text", name: str = NAME, long_word: int = LONG_WORD) -> DataFrame:
+    """(key, phrase): the name-like phrases of an answer that no allowed name covers; allowed: key, name.
+
+    A phrase is covered as a whole name, or if it has long words and each of them is an allowed name or
+    a long word of one.
+    """
+    phrases = answers.select(key, F.explode(F.regexp_extract_all(text, F.lit(name), 1)).alias("phrase")).distinct()
+    names = allowed.where("name <> ''").select(key, F.lower("name").alias("word"))
+    parts = names.select(key, F.explode(F.split("word", r"[\s/&-]+")).alias("word")).where(F.length("word") >= long_word)
+    open_ = phrases.join(names.distinct().withColumnRenamed("word", "low"), (F.lower("phrase") == F.col("low")) & (phrases[key] == names[key]), "left_anti")
+    words = open_.select(key, "phrase", F.explode(F.split(F.lower("phrase"), r"\s+")).alias("word")).where(F.length("word") >= long_word)
+    strange = words.join(names.union(parts).distinct(), [key, "word"], "left_anti").select(key, "phrase")
+    bare = open_.join(words.select(key, "phrase"), [key, "phrase"], "left_anti")
+    return strange.union(bare).distinct()
+
+
+# How a reason is named to the reader, by block and label, and the sentences of an answer.
+LABELS = {
+    "winter": "mùa lạnh", "spring": "mùa xuân", "summer": "mùa nóng", "fall": "mùa thu",
+    "day": "ban ngày", "night": "buổi tối", "longevity": "lưu hương lâu", "sillage": "toả hương rõ",
+}
+BLOCKS = {"acc": "mùi ", "note": "note ", "occ": "hợp ", "str": "", "fam": "họ "}
+SENTENCES = {
+    "unnamed": "chai này",
+    "of": " của {}",
+    "best": "Mình nghĩ {} là sát ý bạn nhất{}.",
+    "sure": "Chai này có {} lượt đánh giá, trung bình {}/5 — khá nhiều người đã dùng.",
+    "unsure": "Mới có {} lượt đánh giá nên điểm {}/5 chưa chắc chắn lắm.",
+    "others": "Cùng hướng đó còn có {}, bạn xem thử bên cạnh.",
+    "and": " và ",
+    "ask": "Bạn thích mùi ngọt ấm hay khô nhẹ hơn?",
+    "nothing": "Mình chưa tìm được chai nào khớp ý này. Bạn thử nói theo note hương (ví dụ oud, vanilla, hoa hồng), hoặc theo lúc dùng — "
+    "mùa lạnh hay nóng, đi làm hay đi tối?",
+}
+
+
+def _filled(sentence: str, *values: Column) -> Column:
+    """A sentence with its {} filled; null if a value is null."""
+    pieces = sentence.split("{}")
+    return F.concat(*(x for piece, value in zip(pieces, [*values, F.lit("")], strict=True) for x in (F.lit(piece), value)))
+
+
+def reason_text(reason: Column, labels: dict[str, str] | None = None, blocks: dict[str, str] | None = None) -> Column:
+    """A reason (block, label) in the reader's words."""
+    table = lambda t: F.create_map(*(F.lit(x) for kv in t.items() for x in kv))
+    head = F.coalesce(table(blocks or BLOCKS)[reason["block"]], F.concat(reason["block"], F.lit(" ")))
+    return F.concat(head, F.coalesce(table(labels or LABELS)[reason["label"]], reason["label"]))
+
+
+def answers(results: DataFrame, queries: DataFrame, sentences: dict[str, str] | None = None, labels: dict[str, str] | None = None) -> DataFrame:
+    """(query, answer): a templated answer per query (query) from its three best results: the best one with
+    its reasons, how sure its rating is, the names of the others, and a question; a sentence of its own
+    for a query without results.
+
+    results: query, rank, name, grp, rating, votes, reasons (array of block, label).
+    """
+    say = SENTENCES | (sentences or {})
+    row = F.struct("rank", "name", "grp", "rating", "votes", "reasons")
+    top = results.where("rank <= 3").groupBy("query").agg(F.array_sort(F.collect_list(row)).alias("top"))
+    first = lambda c: F.get("top", 0)[c]
+    name = F.coalesce(first("name"), F.lit(say["unnamed"]))
+    group = F.coalesce(_filled(say["of"], F.nullif(first("grp"), F.lit(""))), F.lit(""))
+    why = F.array_join(F.transform(F.slice(F.coalesce(first("reasons"), F.array()), 1, 3), lambda r: reason_text(r, labels)), ", ")
+    best = _filled(say["best"], F.concat(name, group), F.when(why != "", F.concat(F.lit(" — "), why)).otherwise(""))
+    number, mean = F.replace(F.format_number(first("votes"), 0), F.lit(","), F.lit(".")), F.format_string("%.2f", first("rating"))
+    rated = first("rating").isNotNull() & (F.coalesce(first("votes"), F.lit(0)) > 0)
+    rating = F.when(rated, F.when(first("votes") >= EVIDENCE, _filled(say["sure"], number, mean)).otherwise(_filled(say["unsure"], number, mean)))
+    names = F.filter(F.transform(F.slice("top", 2, 2), lambda x: x["name"]), lambda n: n.isNotNull())
+    others = F.when(F.size(names) > 0, _filled(say["others"], F.array_join(names, say["and"])))
+    text = F.concat_ws(" ", best, rating, others, F.lit(say["ask"]))
+    rows = queries.select("query").distinct().join(top, "query", "left")
+    return rows.select("query", F.when(F.col("top").isNull(), F.lit(say["nothing"])).otherwise(text).alias("answer"))

@@ -133,6 +133,22 @@ def coverage(catalogue: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
+def coverage_by_key(groups: DataFrame, listings: DataFrame, items: DataFrame) -> DataFrame:
+    """`coverage` by the catalogue's own keys: a group's size is that of the listing under its key, which its
+    name leads to; without a key or with an empty listing it is unknown.
+
+    groups: name, key; listings: key, grp (the group's name in the listing); items: grp, votes.
+    """
+    sizes = listings.where("key is not null").groupBy("key").agg(F.count("*").alias("total"), F.min("grp").alias("grp"))
+    done = items.where("grp is not null").groupBy("grp").agg(F.count("*").alias("detailed"), F.sum(_votes()).alias("n_votes"))
+    names = done.select("grp").union(sizes.select("grp").where("grp is not null")).distinct()
+    keys = groups.where("name is not null").groupBy(F.col("name").alias("grp")).agg(F.min("key").alias("key"))
+    n = F.coalesce("detailed", F.lit(0))
+    rows = names.join(keys, "grp", "left").join(sizes.select("key", "total"), "key", "left").join(done, "grp", "left")
+    share = rounded(100.0 * n / F.col("total"), 1)
+    return rows.select("grp", F.col("total").alias("catalogue_items"), n.alias("detailed"), share.alias("coverage_pct"), F.coalesce("n_votes", F.lit(0)).alias("n_votes"))
+
+
 def tag_pairs(tags: DataFrame, least: int = 2, item: str = "item", tag: str = "tag") -> DataFrame:
     """P(b | a) of tags that `least` items or more have; rows for a and b both ways.
 

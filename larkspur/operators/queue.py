@@ -20,6 +20,12 @@ def upsert(old: DataFrame, new: DataFrame, key: str, coalesced: list[str] = (),
     return o.join(n, key, "full_outer").select(key, *cols, F.col("__old").isNull().alias("is_new"))
 
 
+def group_totals(groups: DataFrame, items: DataFrame, key: str = "grp", total: str = "total") -> DataFrame:
+    """Groups with their number of items, counted anew; zero for those without."""
+    n = items.groupBy(key).agg(F.count("*").alias("__n"))
+    return groups.join(n, key, "left").withColumn(total, F.coalesce("__n", F.lit(0))).drop("__n")
+
+
 def seeded(result: DataFrame) -> DataFrame:
     return result.agg(F.count_if("is_new").alias("added"), F.count("*").alias("seen"))
 

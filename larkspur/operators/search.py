@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .sparse import ATTRIBUTE, TAG, containing, resolved
+
 TOKEN = "[0-9a-zA-ZÀ-ỹ]+"
 # Phrases that name an axis, and words that carry no meaning in a search.
 AXIS_PHRASES = {
@@ -24,6 +26,13 @@ AXIS_PHRASES = {
     "buoi toi": "night",
     "ban ngay": "day",
 }
+#: Of the phrases, those that a search's own text is read by: the ones in full spelling.
+SEARCH_PHRASES = {p: a for p, a in AXIS_PHRASES.items() if not p.isascii()}
+AXES = ("winter", "spring", "summer", "fall", "day", "night")
+STOP_WORDS = (
+    "nước", "hoa", "mùi", "chai", "cho", "của", "và", "với", "có", "nào", "gì", "một", "những", "các", "thì", "là", "đi", "dùng", "hợp", "phù",
+    "tìm", "muốn", "cần", "thơm", "loại", "kiểu", "hơi", "rất", "khá",
+)
 MAX_SEARCH, MAX_CHAT, SHOWN_CAP = 50, 20, 50
 
 
@@ -37,18 +46,22 @@ def route(queries: DataFrame) -> DataFrame:
     return queries.withColumn("route", F.coalesce(r, F.lit("empty")))
 
 
-def read_text(queries: DataFrame, phrases: dict[str, str] | None = None, stop_words: list[str] | None = None) -> DataFrame:
-    """Adds read_axes (by phrases) and tokens (other words, without stop words)."""
+def read_text(
+    queries: DataFrame, phrases: dict[str, str] | None = None, stop_words: tuple[str, ...] | list[str] | None = None, axes: tuple[str, ...] = AXES
+) -> DataFrame:
+    """Adds read_axes and tokens.
+
+    Axes are those that the text names by their own word, then those of its phrases, each once.  Tokens
+    are the distinct words of two letters or more that are no axis and no stop word.
+    """
     low = F.lower(F.coalesce("text", F.lit("")))
-    table = phrases or AXIS_PHRASES
-    axes = F.array_distinct(F.array_compact(F.array(*(F.when(F.contains(low, F.lit(p)), F.lit(a)) for p, a in table.items()))))
-    bare = low
-    for p in sorted(table, key=len, reverse=True):
-        bare = F.replace(bare, F.lit(p), F.lit(" "))
-    words = F.array_distinct(F.regexp_extract_all(bare, F.lit(f"({TOKEN})"), 1))
-    if stop_words:
-        words = F.array_except(words, F.array(*map(F.lit, stop_words)))
-    return queries.withColumns({"read_axes": axes, "tokens": words})
+    words = F.filter(F.regexp_extract_all(low, F.lit(f"({TOKEN})"), 1), lambda w: F.length(w) > 1)
+    table = SEARCH_PHRASES if phrases is None else phrases
+    said = F.filter(words, lambda w: w.isin(*axes))
+    meant = F.array_compact(F.array(*(F.when(F.contains(low, F.lit(p)), F.lit(a)) for p, a in table.items())))
+    left_out = [*axes, *(STOP_WORDS if stop_words is None else stop_words)]
+    tokens = F.array_except(words, F.array(*map(F.lit, left_out)))
+    return queries.withColumns({"read_axes": F.array_distinct(F.concat(said, meant)), "tokens": tokens})
 
 
 def effective_axes(queries: DataFrame) -> DataFrame:
@@ -68,6 +81,19 @@ def matched_terms(queries: DataFrame, vocabulary: DataFrame) -> DataFrame:
     return rows.groupBy("query").agg(pick(F.col("known")).alias("matched"), pick(F.col("token").isNotNull() & F.col("known").isNull()).alias("unknown"))
 
 
+def resolved_terms(queries: DataFrame, weights: DataFrame) -> DataFrame:
+    """(query, matched, unknown): what the tokens stand for in the vocabulary (block, label, df): a tag,
+    exact or the commonest that contains the token, else an attribute likewise; the other tokens."""
+    words = queries.select("query", F.explode_outer("tokens").alias("word"))
+    once = words.where("word is not null").select("word").distinct()
+    of = lambda block: resolved(once.withColumn("block", F.lit(block)), weights).select("word", F.col("label").alias(block))
+    labels = of(TAG).join(of(ATTRIBUTE), "word").select("word", F.coalesce(TAG, ATTRIBUTE).alias("label"))
+    rows = words.join(labels, "word", "left")
+    pick = lambda value: F.array_sort(F.collect_set(value))
+    unknown = F.when(F.col("label").isNull(), F.col("word"))
+    return rows.groupBy("query").agg(pick("label").alias("matched"), pick(unknown).alias("unknown"))
+
+
 def report(resolved: DataFrame) -> DataFrame:
     """Per query, what its words became and which stay unknown; resolved: query, word, label."""
     return resolved.groupBy("query").agg(
@@ -94,11 +120,11 @@ def filled_reasons(results: DataFrame, found: DataFrame, terms: DataFrame, k: in
 
 
 def mentioned_labels(queries: DataFrame, labels: DataFrame, k: int = 24) -> DataFrame:
-    """Labels that contain a token of the query, commonest first.  Labels (label, df) are a vocabulary
-    and are matched per distinct token, not per query."""
+    """Labels that contain a token of the query, commonest first.  Labels (label, df) are matched per
+    distinct token, not per query."""
     tokens = queries.select("query", F.explode("tokens").alias("token"))
-    hit = tokens.select("token").distinct().join(labels, F.contains("label", "token")).select("token", "label", "df")
-    rows = tokens.join(hit, "token").select("query", "label", "df").distinct()
+    hit = containing(tokens.select(F.col("token").alias("part")).distinct(), labels)
+    rows = tokens.join(hit, F.col("token") == F.col("part")).select("query", "label", "df").distinct()
     by = Window.partitionBy("query").orderBy(F.desc("df"), "label")
     return rows.withColumn("place", F.row_number().over(by)).where(F.col("place") <= k)
 
@@ -130,3 +156,13 @@ def filtered(items: DataFrame, gender: str | None = None, min_votes: int = 0) ->
 
 def clamped(limit: Column, most: int = MAX_SEARCH) -> Column:
     return F.greatest(F.lit(1), F.least(F.coalesce(limit, F.lit(10)), F.lit(most)))
+
+
+def chat_query(intents: DataFrame, limit: str = "limit") -> DataFrame:
+    """Which way a conversation's search goes: with tags or attributes by these, without its text; else by
+    its text.  A season alone is a weak signal and stays a filter of either.  The limit is a chat's."""
+    smell = _some("tags") | _some("attributes")
+    none = F.array().cast("array<string>")
+    kept = lambda c: F.when(smell, F.coalesce(F.col(c), none)).otherwise(none)
+    text = F.when(~smell, F.col("text"))
+    return intents.withColumns({"tags": kept("tags"), "attributes": kept("attributes"), "text": text, limit: clamped(F.col(limit), MAX_CHAT)})

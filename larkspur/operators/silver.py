@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from larkspur.functions.exprs import gender_label, to_double, to_int, url_key
 
@@ -21,13 +22,17 @@ ITEM_SCHEMA = (
 
 
 def latest(df: DataFrame, key: Column | str, stamp: str, *order: Column | str) -> DataFrame:
-    """The newest row per key (null stamps oldest); equal stamps fall to the largest of `order`.
+    """The newest row per key; equal stamps fall to the largest of `order`.
+
+    Stamps are compared by their own type, numbers as numbers; null ones are the oldest, beside empty
+    texts where the stamp is a text.
 
     Rows with a null or empty key go.  The window's group limit keeps one row per key and task
     before the shuffle, so a key with many versions is not gathered whole.
     """
     k = F.col(key) if isinstance(key, str) else key
-    by = [F.coalesce(F.col(stamp).cast("string"), F.lit("")).desc(), *((F.col(o) if isinstance(o, str) else o).desc_nulls_last() for o in order)]
+    of = F.coalesce(F.col(stamp), F.lit("")) if isinstance(df.schema[stamp].dataType, StringType) else F.col(stamp)
+    by = [of.desc_nulls_last(), *((F.col(o) if isinstance(o, str) else o).desc_nulls_last() for o in order)]
     rows = df.withColumn("__key", k.cast("string")).where("__key <> ''")
     return rows.withColumn("__n", F.row_number().over(Window.partitionBy("__key").orderBy(*by))).where("__n = 1").drop("__key", "__n")
 
@@ -124,6 +129,11 @@ def merged_directory(df: DataFrame, key: str, priority: str, columns: list[str])
     return df.where(F.col(key) != "").groupBy(key).agg(*firsts)
 
 
+def in_directory_order(df: DataFrame, letter: str, name: str) -> DataFrame:
+    """By letter, those without one last, then by name in any case."""
+    return df.orderBy(F.col(letter).asc_nulls_last(), F.lower(F.coalesce(F.col(name), F.lit(""))))
+
+
 def name_keys(groups: DataFrame, listings: DataFrame, name: str, key: str, order: str) -> DataFrame:
     """lower(trim(name)) to key: the first by order among groups, listings' names as fallback."""
     n = F.lower(F.trim(name)).alias("name")

@@ -74,13 +74,19 @@ def contributions(queries: DataFrame, terms: DataFrame) -> DataFrame:
     return q.join(terms, ["block", "label"]).select("query", "item", "block", "label", (F.col("qw") * F.col("weight")).alias("product"))
 
 
+def page_contributions(page: DataFrame, queries: DataFrame, terms: DataFrame) -> DataFrame:
+    """`contributions` of the results of a page (query, item) alone."""
+    q = page.join(queries.select("query", "block", "label", F.col("weight").alias("qw")), "query")
+    return q.join(terms, ["item", "block", "label"]).select("query", "item", "block", "label", (F.col("qw") * F.col("weight")).alias("product"))
+
+
 def cosine(queries: DataFrame, terms: DataFrame) -> DataFrame:
     return contributions(queries, terms).groupBy("query", "item").agg(F.sum("product").alias("score"))
 
 
 def explained(parts: DataFrame, k: int = 5) -> DataFrame:
     """The k terms that add most to each score."""
-    by = Window.partitionBy("query", "item").orderBy(F.desc("product"), "block", "label")
+    by = Window.partitionBy("query", "item").orderBy(F.desc(F.round("product", 9)), "block", "label")
     return parts.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k)
 
 
@@ -93,10 +99,47 @@ def centroids(terms: DataFrame, groups: DataFrame, least: int = 1) -> DataFrame:
     return unit(means, "grp")
 
 
-def similar_groups(profiles: DataFrame) -> DataFrame:
-    """Cosine of every two groups that share a term; a group is not like itself."""
+def similar_groups(profiles: DataFrame, k: int | None = None, asked: DataFrame | None = None) -> DataFrame:
+    """(query, item, score, rank): the k groups nearest to each group that share a term with it, by cosine;
+    a group is not like itself.  `asked` (query: a group's name) bounds the queries.
+
+    Pass profiles that are stored: they are read twice.
+    """
     q = profiles.withColumnRenamed("grp", "query")
-    return cosine(q, profiles.withColumnRenamed("grp", "item")).where("query <> item and score > 0")
+    if asked is not None:
+        q = q.join(asked.select("query").distinct(), "query", "left_semi")
+    rows = cosine(q, profiles.withColumnRenamed("grp", "item")).where("query <> item and score > 0")
+    by = Window.partitionBy("query").orderBy(F.desc(F.round("score", 9)), "item")
+    rows = rows.withColumn("rank", F.row_number().over(by))
+    return rows if k is None else rows.where(F.col("rank") <= k)
+
+
+def named_groups(asked: DataFrame, groups: DataFrame) -> DataFrame:
+    """(text, grp): the group that each asked text names, in any case: the one of that name, else the first
+    by name that contains it; null without one.  asked: text; groups: grp."""
+    names = groups.select("grp", F.lower("grp").alias("label")).distinct()
+    a = asked.select("text", F.lower(F.trim("text")).alias("part")).distinct()
+    hit = a.join(containing(a.select("part").where("part <> ''").distinct(), names), "part")
+    best = hit.groupBy("text").agg(F.min_by("grp", F.struct(F.when(F.col("label") == F.col("part"), 0).otherwise(1), "grp")).alias("grp"))
+    return asked.select("text").distinct().join(best, "text", "left")
+
+
+#: Parts of words are looked up by their first so many letters.
+GRAM = 3
+
+
+def containing(parts: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows of `labels` (label, ...) with each row of `parts` (part, not empty) that the label contains.
+
+    They meet by equality on the part's first letters, which must stand somewhere in the label, and are
+    then compared; no label meets a part that it shares nothing with.
+    """
+    gram = lambda n: F.substring("part", 1, n)
+    p = parts.withColumn("__gram", gram(GRAM))
+    places = F.sequence(F.lit(1), F.greatest(F.length("label"), F.lit(1)))
+    grams = F.array_distinct(F.flatten(F.transform(places, lambda i: F.array(*(F.substring(F.col("label"), i, F.lit(n)) for n in range(1, GRAM + 1))))))
+    own = labels.withColumn("__gram", F.explode(grams))
+    return own.join(p, "__gram").where(F.contains("label", "part")).drop("__gram")
 
 
 def query_vector(wanted: DataFrame, weights: DataFrame, known_only: bool = False) -> DataFrame:
@@ -150,15 +193,13 @@ def term_sum(wanted: DataFrame, terms: DataFrame, k: int = 10) -> DataFrame:
 
 def resolved(words: DataFrame, weights: DataFrame, exact_first: bool = True) -> DataFrame:
     """(word, block, label): the vocabulary label that each asked word (word, block) stands for: the
-    exact one, else of those that contain it the commonest, then shortest; null label: missing.
-
-    The vocabulary is the smaller side (its terms occur in `MIN_DF` items or more); words are blocked
-    by their block.
-    """
+    exact one, else of those that contain it the commonest, then shortest; null label: missing."""
     w = words.withColumn("asked", F.lower(F.trim("word")))
-    hit = w.join(weights.select("block", "label", "df"), "block").where(F.contains("label", "asked"))
-    order = ([F.when(F.col("label") == F.col("asked"), 0).otherwise(1)] if exact_first else []) + [F.desc("df"), F.length("label"), "label"]
-    best = hit.withColumn("n", F.row_number().over(Window.partitionBy("word", "block").orderBy(*order))).where("n = 1")
+    hit = containing(w.where("asked <> ''").select(F.col("asked").alias("part")).distinct(), weights.select("block", "label", "df"))
+    order = [F.when(F.col("label") == F.col("asked"), 0).otherwise(1)] if exact_first else []
+    order += [F.desc("df"), F.length("label"), "label"]
+    rows = w.join(hit.withColumnRenamed("part", "asked"), ["asked", "block"])
+    best = rows.withColumn("n", F.row_number().over(Window.partitionBy("word", "block").orderBy(*order))).where("n = 1")
     return w.select("word", "block").join(best.select("word", "block", "label"), ["word", "block"], "left")
 
 
@@ -168,19 +209,30 @@ def vocabulary(weights: DataFrame, block: str) -> DataFrame:
     return weights.where(F.col("block") == block).select("label").distinct().orderBy("label")
 
 
+#: Asked texts are broadcast to the items up to so many; more are looked up by their letters.
+FEW_ASKED = 10_000
+
+
 def lookup_items(asked: DataFrame, items: DataFrame, k: int = 8) -> DataFrame:
     """Items per asked text: the item of that key, else those whose name contains it, by votes.
 
-    asked: text; items: key, name, votes.  `asked` is the small side and is the one broadcast.
+    asked: text; items: key, name, votes.
     """
     a = asked.withColumn("low", F.lower(F.trim("text")))
     exact = items.join(a, items["key"].cast("string") == a["low"]).select("text", "key", "name", "votes")
     rest = a.join(exact.select("text").distinct(), "text", "left_anti")
-    like = items.join(F.broadcast(rest), F.contains(F.lower("name"), "low")).select("text", "key", "name", "votes")
+    if rest.count() <= FEW_ASKED:
+        like = items.join(F.broadcast(rest), F.contains(F.lower("name"), "low"))
+    else:
+        own = items.select("key", "name", "votes", F.lower("name").alias("label"))
+        parts = rest.where("low <> ''").select(F.col("low").alias("part")).distinct()
+        like = containing(parts, own).join(rest.withColumnRenamed("low", "part"), "part")
+    like = like.select("text", "key", "name", "votes")
     by = Window.partitionBy("text").orderBy(F.desc(F.coalesce("votes", F.lit(0))), "key")
     return exact.union(like).withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k)
 
 
+# The labels of derived occasions and the levels that give them.
 def derived_occasions(items: DataFrame) -> DataFrame:
     """Labels that follow from strength and season (longevity, sillage, summer, winter); not part of a vector."""
     lon, sil = lookup(F.lower(F.trim("longevity")), LONGEVITY), lookup(F.lower(F.trim("sillage")), SILLAGE)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mart_queries, page_queries, search_queries, similarity_queries, star_queries  # noqa: F401
+from . import mart_queries, page_queries, search_queries, similarity_queries, star_queries, store_queries  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES", "flagship"]

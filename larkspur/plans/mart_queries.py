@@ -144,7 +144,8 @@ def headline_tiles(spark, d):
     return marts.headline(bind.detailed(spark, d), bind.attributes(spark, d), bind.tags(spark, d), bind.t(spark, d, "part"))
 
 
-@query("SELECT p_partkey AS item, CAST(least(greatest(CAST(floor((p_retailprice - lo) / (hi - lo) * 5) AS INT), 0), 4) AS INT) AS step FROM part, (SELECT min(p_retailprice) AS lo, max(p_retailprice) AS hi FROM part)")
+@query("""SELECT p_partkey AS item, CAST(least(greatest(round_even((p_retailprice - lo)::DOUBLE / (hi - lo)::DOUBLE * 4, 0), 0), 4) AS INT) AS step
+FROM part, (SELECT min(p_retailprice) AS lo, max(p_retailprice) AS hi FROM part)""")
 def price_steps(spark, d):
     p = bind.t(spark, d, "part")
     ends = p.agg(F.min("p_retailprice").alias("lo"), F.max("p_retailprice").alias("hi"))
@@ -156,20 +157,35 @@ def common_mean(spark, d):
     return marts.common_mean(bind.items(spark, d), 3)
 
 
-@query("SELECT 'none' AS finding WHERE false")
+@query(with_(ITEMS, "g AS (SELECT grp, count(*) AS n FROM items WHERE grp IS NOT NULL GROUP BY 1)") + """SELECT grp, 'n_items' AS finding, n::DOUBLE AS "left", n + 1.0::DOUBLE AS "right" FROM g WHERE grp LIKE '%1'
+UNION ALL SELECT grp, 'n_items', n::DOUBLE, NULL FROM g WHERE grp LIKE '%2' UNION ALL SELECT grp, 'n_votes', v::DOUBLE, NULL FROM g JOIN (SELECT grp, sum(coalesce(votes, 0)) AS v FROM items GROUP BY 1) USING (grp) WHERE grp LIKE '%2'""")
 def reconcile_two_paths(spark, d):
-    """Window and join formulations of the group mart agree: no finding."""
+    """Window and join formulations of the group mart, the second one with an error and a gap to be found."""
     i = bind.items(spark, d)
-    a = marts.by_group(i).select("grp", "n_items", "rating_weighted")
-    b = marts.by_group(i, share_of_all=True).select("grp", "n_items", "rating_weighted")
-    return quality.reconcile(a, b, ["grp"], ["n_items", "rating_weighted"]).select(F.col("column").alias("finding"))
+    a = marts.by_group(i).select("grp", "n_items", "n_votes")
+    b = marts.by_group(i, share_of_all=True).where("grp not like '%2'").select("grp", F.when(F.col("grp").endswith("1"), F.col("n_items") + 1).otherwise(F.col("n_items")).alias("n_items"), "n_votes")
+    return quality.reconcile(a, b, ["grp"], ["n_items", "n_votes"]).withColumnRenamed("column", "finding")
+
+
+@query(with_(ITEMS, DETAILED, """k AS (SELECT DISTINCT p_brand AS name, CASE WHEN p_brand LIKE '%4' THEN NULL ELSE 'g/' || p_brand END AS key FROM part),
+l AS (SELECT 'g/' || p_brand AS key, p_brand AS grp FROM part WHERE p_brand NOT LIKE '%3'), sz AS (SELECT key, count(*) AS total FROM l GROUP BY 1),
+dn AS (SELECT grp, count(*) AS n, CAST(sum(coalesce(votes, 0)) AS BIGINT) AS v FROM detailed WHERE grp > 'Brand#2' GROUP BY 1)""") + """
+SELECT grp, total AS catalogue_items, coalesce(n, 0) AS detailed, round(100.0::DOUBLE * coalesce(n, 0) / total * 10) / 10 AS coverage_pct, coalesce(v, 0) AS n_votes
+FROM (SELECT grp FROM dn UNION SELECT grp FROM l) LEFT JOIN k ON name = grp LEFT JOIN sz USING (key) LEFT JOIN dn USING (grp)""")
+def mart_coverage_by_key(spark, d):
+    p = bind.t(spark, d, "part").select("p_brand", F.concat(F.lit("g/"), "p_brand").alias("key"))
+    groups = p.select(F.col("p_brand").alias("name"), F.when(~F.col("p_brand").endswith("4"), F.col("key")).alias("key")).distinct()
+    listings = p.where("p_brand not like '%3'").select("key", F.col("p_brand").alias("grp"))
+    return marts.coverage_by_key(groups, listings, bind.detailed(spark, d).where("grp > 'Brand#2'"))
 
 
 def _tables(spark, d):
     return {"items": bind.items(spark, d), "attributes": bind.attributes(spark, d), "axes": bind.axes(spark, d)}
 
 
-@query()
+@query(with_(ITEMS, ATTRIBUTES, AXES) + """SELECT to_json({'overview': {'n_items': count(*), 'n_groups': count(DISTINCT grp), 'n_rated': count(*) FILTER (rating > 0), 'n_votes': CAST(sum(coalesce(votes, 0)) AS BIGINT),
+'with_axis': count(*) FILTER (item IN (SELECT item FROM axes)), 'with_level': count(level), 'with_owners': count(owners)}, 'rows': {'attribute': (SELECT count(DISTINCT attribute) FROM attributes),
+'gender': count(DISTINCT gender), 'group': count(DISTINCT grp), 'season': (SELECT count(DISTINCT axis) FROM axes)}})::VARCHAR AS value FROM items""")
 def metric_registry(spark, d):
     """Rows per metric of the registry, as one JSON text beside the overview."""
     return marts.summary(_tables(spark, d))

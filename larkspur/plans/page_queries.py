@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from larkspur.operators import pages, silver
 from larkspur.sources import bronze, csv_links
+from larkspur.sources.scratch import new_folder
 from larkspur.streaming import jobs
 
 from . import bind
@@ -54,32 +55,54 @@ def page_sections(spark, d):
     return rows.groupBy("page_id").agg(F.count("*").alias("n_sections"))
 
 
-@query("WITH " + _L + " SELECT page_id, link, any_value(text) AS name, false AS in_article FROM k WHERE regexp_matches(href, '^/([^/]+)$') GROUP BY 1, 2")
+@query(r"""WITH x AS (SELECT page_id, url, unnest(string_split(html, '<li')) AS part, generate_subscripts(string_split(html, '<li'), 1) - 1 AS section FROM pages),
+k AS (SELECT page_id, section, regexp_extract(url, '^([a-zA-Z]+://[^/?#]+)', 1) AS root, unnest(regexp_extract_all('<li' || part, '(?is)<a\b[^>]*?\bhref\s*=\s*"(/[^"]*)"[^>]*>(.*?)</a>', 1)) AS href FROM x)
+SELECT page_id, section, root || replace(href, '&amp;', '&') AS link FROM k WHERE regexp_matches(replace(href, '&amp;', '&'), '^/([^/]+)$')""")
 def page_section_links(spark, d):
-    rows = pages.section_links(_pages(spark, d), "^/([^/]+)$", anchor=r"(?is)<(article)")
-    return rows.select("page_id", "link", "name", F.col("anchor").isNotNull().alias("in_article"))
+    """Links by the list entry that they stand in, the page's part before the first entry being 0."""
+    rows = pages.section_links(_pages(spark, d), "^/([^/]+)$", anchor=r"(?is)<(li)")
+    return rows.select("page_id", "section", "link")
 
 
-@query("SELECT p_partkey AS item, trim(split_part(p_name, ' ', 1)) AS name FROM part")
+@query("""SELECT p_partkey AS item, CASE p_size % 5 WHEN 0 THEN split_part(p_name, ' ', 1) WHEN 1 THEN p_name WHEN 2 THEN split_part(p_name, ' ', 1) WHEN 3 THEN p_name || ' form' ELSE p_name END AS name FROM part""")
 def clean_names(spark, d):
+    """Titles with the gender phrases, with and without the group's name, a group that is null or not at the end."""
     p = bind.t(spark, d, "part").withColumn("w", F.split("p_name", " "))
-    title = F.concat(F.get("w", 0), F.lit(" "), F.get("w", 1), F.lit(" for Women and Men 2012"))
-    return p.select(F.col("p_partkey").alias("item"), pages.clean_name(title, F.get("w", 1)).alias("name"))
+    k, last = F.col("p_size") % 5, F.try_element_at("w", F.lit(-1))
+    tail = F.array(*map(F.lit, (" for Women and Men 2012", " FOR men", " for women  eau", " form", "")))
+    group = F.when(k == 0, last).when(k == 1, F.lit(None)).when(k == 2, last).when(k == 3, last).otherwise(F.lit(""))
+    return p.select(F.col("p_partkey").alias("item"), pages.clean_name(F.concat("p_name", F.get(tail, k)), group).alias("name"))
 
 
-@query("SELECT o_orderkey AS item, CASE WHEN o_orderkey % 3 = 0 THEN CAST(year(o_orderdate) AS INT) WHEN o_orderkey % 3 = 1 THEN 2003 END AS year FROM orders")
+@query("""SELECT o_orderkey AS item, CASE o_orderkey % 6 WHEN 0 THEN year(o_orderdate) WHEN 1 THEN 2003 WHEN 2 THEN year(o_orderdate) WHEN 3 THEN 2001 WHEN 4 THEN 2010 END::INT AS year FROM orders""")
 def launch_years(spark, d):
+    """A launch sentence, a title's last year, a description's last year, a link's first, released before others, none."""
     o = bind.t(spark, d, "orders")
-    k, y = F.col("o_orderkey") % 3, F.year("o_orderdate").cast("string")
-    text = F.when(k == 0, F.concat(F.lit("Chris 1947 was launched in "), y, F.lit(". Since 2020 new."))).otherwise(F.lit(None))
-    return o.select(F.col("o_orderkey").alias("item"), pages.year_of(text, F.when(k == 1, "Chris 1947 2003"), F.lit("no year")).alias("year"))
+    k, y = F.col("o_orderkey") % 6, F.year("o_orderdate").cast("string")
+    text = F.when(k == 0, F.concat(F.lit("Chris 1947 was launched in spring "), y, F.lit(". Since 2020 new."))).when(k == 2, F.concat(F.lit("Of 1990 or "), y))
+    text = text.when(k == 4, "Released by X in 2010, launched again in 2012.")
+    title = F.when(k == 1, "Chris 1947 2003").when(k == 5, "Chris 3003")
+    return o.select(F.col("o_orderkey").alias("item"), pages.year_of(text, title, F.when(k == 3, "/2001/2002").otherwise("no year")).alias("year"))
 
 
-@query("SELECT p_partkey AS item, CASE p_size % 3 WHEN 0 THEN 'Floral Woody Musk' WHEN 1 THEN 'Woody' END AS family FROM part")
+@query("""SELECT p_partkey AS item, ['Floral Woody Musk', 'Woody', NULL, 'Citrus', 'Oriental Spicy', NULL, 'Aromatic Fougere'][CAST(p_size % 7 AS INT) + 1] AS family FROM part""")
 def stated_families(spark, d):
-    p = bind.t(spark, d, "part")
-    text = F.when(F.col("p_size") % 3 == 0, "X is a floral  woody musk fragrance for all").when(F.col("p_size") % 3 == 1, "Y is a Woody fragrance").otherwise("Z is a strange fragrance")
-    return p.select(F.col("p_partkey").alias("item"), pages.family_of(text).alias("family"))
+    """Frames with known families in any case and spacing, the longest one, unknown ones and none."""
+    said = ("X is a floral  woody musk fragrance for all", "Y is a Woody fragrance", "Z is a strange fragrance", "It is a CITRUS fragrance. It is a Woody fragrance.",
+            "W is an Oriental Spicy fragrance", "a Woody perfume", "V is an aromatic fougere fragrance")
+    text = F.get(F.array(*map(F.lit, said)), F.col("p_size") % 7)
+    return bind.t(spark, d, "part").select(F.col("p_partkey").alias("item"), pages.family_of(text).alias("family"))
+
+
+@query("""SELECT p_partkey AS item, CASE p_size % 4 WHEN 0 THEN 'Nữ' WHEN 1 THEN 'Nam' WHEN 2 THEN 'Unisex' END AS gender,
+CASE WHEN p_size % 3 = 0 THEN 1000 + p_size WHEN p_size % 3 = 1 THEN p_size END::INT AS comments, CASE WHEN p_size % 5 > 1 THEN 1950 + p_size END::INT AS year FROM part""")
+def listing_fields(spark, d):
+    p, n = bind.t(spark, d, "part"), F.col("p_size")
+    classes = F.when(n % 4 == 0, "a tw-listview-item-female").when(n % 4 == 1, "tw-listview-item tw-listview-item-male b").when(n % 4 == 2, "tw-listview-item-unisex").otherwise("other")
+    comments = F.when(n % 3 == 0, F.format_number(n + 1000, 0)).when(n % 3 == 1, F.concat(F.lit(" "), n.cast("string"))).otherwise("many")
+    year = F.when(n % 5 == 0, "0000").when(n % 5 == 1, "soon").otherwise((n + 1950).cast("string"))
+    rows = p.select(F.col("p_partkey").alias("item"), classes.alias("classes"), comments.alias("comments"), year.alias("year"))
+    return pages.listing_fields(rows).drop("classes")
 
 
 @query("SELECT l_orderkey, l_linenumber, CASE WHEN l_discount * 100 <= 1 THEN round(l_discount * 100, 2) * 100 ELSE round(l_discount * 100, 2) END AS pct FROM lineitem")
@@ -123,9 +146,11 @@ def section_list(spark, d):
     return pages.section_list(_tokens(spark, d), "error")
 
 
-@query("SELECT x.section, coalesce(n, 0) AS n, n IS NULL AS missing FROM (SELECT unnest(['signup', 'view', 'refund']) AS section) x LEFT JOIN (SELECT event_type, count(*) AS n FROM events GROUP BY 1) ON event_type = section")
+@query("""SELECT x.section, coalesce(n, 0) AS n, n IS NULL AS missing, coalesce(f, 0) AS failed FROM (SELECT unnest(['signup', 'view', 'refund']) AS section) x
+LEFT JOIN (SELECT event_type, count(*) AS n FROM events GROUP BY 1) ON event_type = section LEFT JOIN (SELECT event_type AS e, count(*) AS f FROM events WHERE value > 50 AND event_type = 'signup' GROUP BY 1) ON e = section""")
 def section_completeness(spark, d):
-    return pages.completeness(bind.t(spark, d, "events").select(F.col("event_type").alias("section")), ["signup", "view", "refund"])
+    found = bind.t(spark, d, "events").select(F.col("event_type").alias("section"), "value")
+    return pages.completeness(found, ["signup", "view", "refund"], found.where("value > 50 and section = 'signup'"))
 
 
 @query()
@@ -139,10 +164,7 @@ def detail_pages(spark, d):
 
 
 def _scratch(spark: SparkSession, df: DataFrame, name: str, kind: str) -> str:
-    import uuid
-
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    path = f"{root.rstrip('/')}/larkspur-{uuid.uuid4().hex}/{name}"
+    path = f"{new_folder(spark)}/{name}"
     getattr(df.write, kind)(path)
     return path
 
@@ -157,13 +179,7 @@ def _raw(spark, d):
 
 
 def _bronze(spark, d):
-    path = _scratch(spark, _raw(spark, d).select("value"), "raw.jsonl", "text")
-    # text part files end in .txt; the reader takes the folder's files by its own glob
-    base = bronze.StructType.fromDDL(silver.ITEM_SCHEMA)
-    full = bronze.StructType([*base.fields]).add("_corrupt_record", bronze.StringType())
-    rows = spark.read.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
-    kind = bronze.kind_of(*(F.col(f) for _, f in bronze.KINDS))
-    return rows.select(F.when(F.col("_corrupt_record").isNull(), kind).alias("kind"), F.col("_metadata.file_path").alias("file"), *full.fieldNames())
+    return bronze.read_jsonl(spark, _scratch(spark, _raw(spark, d).select("value"), "raw", "text"), files="part-*")
 
 
 @query("""SELECT CASE p_partkey % 4 WHEN 0 THEN 'item' WHEN 1 THEN 'group' WHEN 2 THEN 'listing' ELSE CASE WHEN p_partkey % 8 = 3 THEN 'unknown' ELSE 'malformed' END END AS kind, count(*) AS n FROM part GROUP BY 1""")
@@ -193,9 +209,43 @@ def _csv(spark, d):
     return csv_links.rows_of(csv_links.read_lines(spark, _scratch(spark, o.select(text.alias("value")), "list.csv", "text")))
 
 
-@query("SELECT 'https://a.example.com/c/' || c_custkey AS source, 'https://b.example.net/' || (c_custkey % 9) AS destination FROM customer")
+@query("SELECT 'https://a.example.com/c/' || (c_custkey % 500) AS source, arg_min('https://b.example.net/' || (c_custkey % 9) || '#y', c_custkey) AS destination FROM customer GROUP BY 1")
 def csv_pairs_by_host(spark, d):
-    return csv_links.pairs_by_host(_csv(spark, d), "a.example.com").select("source", "destination")
+    """Sources repeat with other destinations: the first row of each counts, its destination as it stands."""
+    c, k = bind.t(spark, d, "customer"), F.col("c_custkey")
+    first = F.concat(F.lit("https://b.example.net/"), (k % 9).cast("string"), F.lit("#y"))
+    text = F.concat_ws(",", F.concat(F.lit("x "), first), F.concat(F.lit("https://a.example.com/c/"), (k % 500).cast("string"), F.lit("#x")))
+    path = _scratch(spark, c.repartition(1).sortWithinPartitions(k).select(text.alias("value")), "list.csv", "text")
+    return csv_links.pairs_by_host(csv_links.rows_of(csv_links.read_lines(spark, path)), "a.example.com").select("source", "destination")
+
+
+def _headed(spark, d):
+    """Files with a header, written by Spark's CSV writer: number, relative URL, segment, destination."""
+    c, k = bind.t(spark, d, "customer"), F.col("c_custkey")
+    rows = c.select(k.alias("No"), F.concat(F.lit("/c/"), (k % 700).cast("string"), F.lit("#f")).alias("Link"), F.col("c_mktsegment").alias("kind"), F.concat(F.lit("d"), (k % 700 % 9).cast("string")).alias("Goal"))
+    path = f"{new_folder(spark)}/headed"
+    rows.write.option("header", True).option("sep", "|").csv(path)
+    return csv_links.rows_of(csv_links.read_lines(spark, path))
+
+
+@query("SELECT DISTINCT 'https://a.example.com/c/' || (c_custkey % 700) AS source, 'd' || (c_custkey % 700 % 9) AS destination FROM customer")
+def csv_pairs_by_name(spark, d):
+    """Columns by header, in any case; an unknown one is an error."""
+    rows = _headed(spark, d)
+    try:
+        csv_links.pairs_by_column(rows, "no such column")
+    except ValueError:
+        return csv_links.pairs_by_column(rows, "LINK", "goal", "https://a.example.com/x").select("source", "destination")
+    raise AssertionError("an unknown column passed")
+
+
+@query("SELECT 1 AS col, count(*) AS n, count(*) FILTER (c_custkey < 0) AS skipped FROM customer")
+def csv_url_columns(spark, d):
+    """The column with a known header, and the rows below the headers."""
+    rows = _headed(spark, d)
+    col = csv_links.url_columns(rows).select("column").distinct()
+    n = rows.where("not is_header").agg(F.count("*").alias("n"), F.count_if(F.get("cells", 1).isNull()).alias("skipped"))
+    return col.crossJoin(n).select(F.col("column").alias("col"), "n", "skipped")  # one row each
 
 
 @query("SELECT DISTINCT 'https://a.example.com/c/' || c_custkey AS source, 'https://b.example.net/' || (c_custkey % 9) AS destination FROM customer")
@@ -209,10 +259,11 @@ def csv_quoted_cells(spark, d):
     return rows.agg(F.sum(F.when(F.size("cells") == 4, 1).otherwise(0)).cast("long").alias("cells"), F.count_if(F.endswith(F.get("cells", 2), F.lit(";q"))).alias("quoted"))
 
 
-@query("SELECT 'https://c.example.org/' || n_nationkey AS url FROM nation WHERE n_nationkey % 3 <> 0")
+@query("SELECT 'https://c.example.org/' || o_orderkey AS url FROM orders WHERE o_orderkey % 3 <> 0")
 def text_url_list(spark, d):
-    text = F.when(F.col("n_nationkey") % 3 == 0, "# note").otherwise(F.concat(F.lit(" https://c.example.org/"), F.col("n_nationkey").cast("string")))
-    lines = csv_links.read_lines(spark, _scratch(spark, bind.t(spark, d, "nation").select(text.alias("value")), "urls.txt", "text"))
+    k = F.col("o_orderkey")
+    text = F.when(k % 3 == 0, "# note").otherwise(F.concat(F.lit(" https://c.example.org/"), k.cast("string")))
+    lines = csv_links.read_lines(spark, _scratch(spark, bind.t(spark, d, "orders").select(text.alias("value")), "urls.txt", "text"))
     return csv_links.url_list(lines).select("url")
 
 
@@ -228,10 +279,7 @@ def flat_csv_lists(spark, d):
 
 def _streamed(spark, d, make, mode="append", ends=False) -> DataFrame:
     """`ends`: a second run closes the windows that are open after the last event."""
-    import uuid
-
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    base = f"{root.rstrip('/')}/larkspur-{uuid.uuid4().hex}"
+    base = new_folder(spark)
     events = jobs.event_stream(spark, f"{d}/events.parquet*")
     stream = make(jobs.with_end(events, f"{base}/end") if ends else events)
     if ends:
@@ -257,10 +305,7 @@ def stream_deltas(spark, d):
 
 @query("SELECT user_id, event_id FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1")
 def stream_latest(spark, d):
-    import uuid
-
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    base = f"{root.rstrip('/')}/larkspur-{uuid.uuid4().hex}"
+    base = new_folder(spark)
     jobs.upsert_latest(jobs.event_stream(spark, f"{d}/events.parquet*").select("user_id", "event_id", "ts"), f"{base}/out", f"{base}/state", "user_id", "ts", "event_id").awaitTermination()
     return jobs.current(spark, f"{base}/out").select("user_id", "event_id")
 
@@ -272,18 +317,23 @@ def bursts(spark, d):
     return jobs.batch_bursts(e, "user_id", "ts", 4, 86_400).select("user_id", "event_id", "hits")
 
 
-@query()
+@query("""SELECT a.user_id, a.event_id, count(*) AS hits FROM events a JOIN events b ON b.user_id = a.user_id AND epoch(b.ts)::BIGINT BETWEEN epoch(a.ts)::BIGINT - 86399 AND epoch(a.ts)::BIGINT
+GROUP BY 1, 2 HAVING count(*) >= 4""")
 def stream_bursts(spark, d):
     return _streamed(spark, d, lambda s: jobs.bursts(s, "user_id", "event_id", "ts", 4, 86_400), ends=True)
 
 
-@query()
+@query("""WITH g AS (SELECT user_id, ts, event_id, coalesce(epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)) > 6 * 3600000000, true) AS fresh FROM events),
+s AS (SELECT *, sum(CASE WHEN fresh THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS session FROM g)
+SELECT user_id, epoch_us(min(ts)) AS start, count(*) AS n FROM s GROUP BY user_id, session""")
 def stream_sessions(spark, d):
-    return _streamed(spark, d, lambda s: jobs.idle_sessions(s, "user_id", "ts"), ends=True)
+    return _streamed(spark, d, lambda s: jobs.idle_sessions(s, "user_id", "ts"), ends=True).withColumn("start", F.unix_micros("start"))
 
 
-@query()
+@query("""WITH e AS (SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k FROM events WHERE event_type IN ('error', 'purchase')),
+f AS (SELECT user_id AS key, count(*) FILTER (k > coalesce(ok, 0)) AS fail_count FROM e LEFT JOIN (SELECT user_id, max(k) AS ok FROM e WHERE event_type = 'purchase' GROUP BY 1) USING (user_id) GROUP BY 1)
+SELECT key, fail_count, CASE WHEN fail_count = 0 THEN NULL WHEN fail_count = 1 THEN 6 WHEN fail_count = 2 THEN 24 ELSE 72 END::BIGINT AS hours FROM f""")
 def stream_failures(spark, d):
     """A key's state after the last batch is its folded outcome."""
-    rows = _streamed(spark, d, lambda s: jobs.failures(s.where("event_type in ('error', 'purchase')").withColumn("ok", F.col("event_type") == "purchase"), "user_id", "ts"), "update")
-    return rows
+    own = lambda s: s.where("event_type in ('error', 'purchase')").withColumn("ok", F.col("event_type") == "purchase")
+    return _streamed(spark, d, lambda s: jobs.failures(own(s), "user_id", "ts"), "update")
\ No newline at end of file

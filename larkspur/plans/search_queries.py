@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from larkspur.functions.exprs import rounded
@@ -13,6 +14,7 @@ from .registry import query
 
 PHRASES = {"the": "winter", "and": "summer", "que": "fall", "die": "day"}
 STOP = ["of", "to", "in", "a"]
+SAID = ("that", "est", "for", "und")
 
 
 def _queries(spark, d):
@@ -28,10 +30,14 @@ def _queries(spark, d):
 
 _Q = """q AS (SELECT item_id AS query, CASE WHEN item_id % 4 <> 1 THEN text END AS text, CASE WHEN item_id % 7 = 0 THEN 'k' || item_id END AS "like",
 item_id % 3 = 0 AS has_tags, item_id % 5 = 0 AS has_axes FROM benchmark)"""
-_READ = """r AS (SELECT query, text, has_axes, list_filter([CASE WHEN contains(lower(coalesce(text, '')), 'the') THEN 'winter' END, CASE WHEN contains(lower(coalesce(text, '')), 'and') THEN 'summer' END,
-CASE WHEN contains(lower(coalesce(text, '')), 'que') THEN 'fall' END, CASE WHEN contains(lower(coalesce(text, '')), 'die') THEN 'day' END], lambda x: x IS NOT NULL) AS read_axes FROM q),
-tok AS (SELECT DISTINCT query, unnest(regexp_extract_all(replace(replace(replace(replace(lower(coalesce(text, '')), 'the', ' '), 'and', ' '), 'que', ' '), 'die', ' '), '[0-9a-zA-ZÀ-ỹ]+')) AS token FROM q),
-tokens AS (SELECT * FROM tok WHERE token NOT IN ('of', 'to', 'in', 'a'))"""
+_READ = """r AS (SELECT query, has_axes, list_filter(regexp_extract_all(lower(coalesce(text, '')), '[0-9a-zA-ZÀ-ỹ]+'), lambda x: length(x) > 1) AS words,
+list_filter([CASE WHEN contains(lower(coalesce(text, '')), 'the') THEN 'winter' END, CASE WHEN contains(lower(coalesce(text, '')), 'and') THEN 'summer' END,
+CASE WHEN contains(lower(coalesce(text, '')), 'que') THEN 'fall' END, CASE WHEN contains(lower(coalesce(text, '')), 'die') THEN 'day' END], lambda x: x IS NOT NULL) AS meant FROM q),
+tokens AS (SELECT DISTINCT query, token FROM (SELECT query, unnest(words) AS token FROM r) WHERE token NOT IN ('of', 'to', 'in', 'a', 'that', 'est', 'for', 'und'))"""
+
+
+def _read(spark, d):
+    return search.read_text(_queries(spark, d), PHRASES, STOP, SAID)
 
 
 @query(with_(_Q) + "SELECT query, CASE WHEN \"like\" IS NOT NULL THEN 'like' WHEN has_tags THEN 'terms' WHEN trim(coalesce(text, '')) <> '' THEN 'text' WHEN has_axes THEN 'axes' ELSE 'empty' END AS route FROM q")
@@ -39,27 +45,55 @@ def search_routes(spark, d):
     return search.route(_queries(spark, d)).select("query", "route")
 
 
-@query(with_(_Q, _READ) + "SELECT query, array_to_string(CASE WHEN has_axes THEN ['night'] ELSE read_axes END, ',') AS axes FROM r")
+@query(with_(_Q, _READ) + """SELECT query, CASE WHEN has_axes THEN 'night' ELSE
+array_to_string(list_sort(list_distinct(list_concat(list_filter(words, lambda x: x IN ('that', 'est', 'for', 'und')), meant))), ',') END AS axes FROM r""")
 def search_axes(spark, d):
-    rows = search.effective_axes(search.read_text(_queries(spark, d), PHRASES, STOP))
-    return rows.select("query", F.array_join("use_axes", ",").alias("axes"))
+    rows = search.effective_axes(_read(spark, d))
+    return rows.select("query", F.array_join(F.array_sort("use_axes"), ",").alias("axes"))
 
 
-@query(with_(_Q, _READ, "v AS (SELECT DISTINCT unnest(string_split(lower(text), ' ')) AS label FROM documents WHERE doc_id % 3 = 0)") + """
-SELECT q.query, coalesce(string_agg(token, ' ' ORDER BY token) FILTER (token IN (SELECT label FROM v)), '') AS matched, coalesce(string_agg(token, ' ' ORDER BY token) FILTER (token NOT IN (SELECT label FROM v)), '') AS unknown
+@query(with_(_Q, _READ, "v AS (SELECT DISTINCT unnest(string_split(lower(text), ' ')) AS label FROM documents)") + """
+SELECT q.query, coalesce(string_agg(token, ' ' ORDER BY token) FILTER (token IN (SELECT label FROM v)), '') AS matched,
+coalesce(string_agg(token, ' ' ORDER BY token) FILTER (token NOT IN (SELECT label FROM v)), '') AS unknown
 FROM q LEFT JOIN tokens USING (query) GROUP BY 1""")
 def search_terms(spark, d):
-    v = bind.t(spark, d, "documents").where("doc_id % 3 = 0").select(F.explode(F.split(F.lower("text"), " ")).alias("label"))
-    rows = search.matched_terms(search.read_text(_queries(spark, d), PHRASES, STOP), v)
+    v = bind.t(spark, d, "documents").select(F.explode(F.split(F.lower("text"), " ")).alias("label"))
+    rows = search.matched_terms(_read(spark, d), v)
     return rows.select("query", F.array_join("matched", " ").alias("matched"), F.array_join("unknown", " ").alias("unknown"))
 
 
+_BEST = """SELECT word, label FROM w JOIN idf ON block = '{}' AND contains(label, word)
+QUALIFY row_number() OVER (PARTITION BY word ORDER BY (label = word) DESC, df DESC, length(label), label) = 1"""
+
+
+@query(with_(ATTRIBUTES, TAGS, sim.IDF, """tok AS (SELECT DISTINCT p_partkey AS query,
+unnest(regexp_extract_all(lower(p_name || ' mùi ' || substr(p_name, 2, 3) || ' ' || split_part(p_type, ' ', 1) || ' zzq winter'), '[0-9a-zA-ZÀ-ỹ]+')) AS word FROM part),
+w AS (SELECT DISTINCT word FROM tok WHERE length(word) > 1 AND word NOT IN ('mùi', 'winter'))""", f"n AS ({_BEST.format('note')})", f"a AS ({_BEST.format('acc')})") + """
+SELECT query, coalesce(string_agg(DISTINCT coalesce(n.label, a.label), ',' ORDER BY coalesce(n.label, a.label)), '') AS matched,
+coalesce(string_agg(word, ',' ORDER BY word) FILTER (n.label IS NULL AND a.label IS NULL), '') AS unknown
+FROM tok JOIN w USING (word) LEFT JOIN n USING (word) LEFT JOIN a USING (word) GROUP BY 1""")
+def search_resolved(spark, d):
+    """Words of item names, parts of them and attributes, as searches with the default stop words."""
+    p = bind.t(spark, d, "part")
+    text = F.concat(F.col("p_name"), F.lit(" mùi "), F.substring("p_name", 2, 3), F.lit(" "), F.get(F.split("p_type", " "), 0), F.lit(" zzq winter"))
+    rows = search.resolved_terms(search.read_text(p.select(F.col("p_partkey").alias("query"), text.alias("text"))), sim.idf(spark, d))
+    return rows.select("query", F.array_join("matched", ",").alias("matched"), F.array_join("unknown", ",").alias("unknown"))
+
+
+@query(with_(_Q, "c AS (SELECT *, has_tags AND query % 2 = 0 AS smell FROM q)") + """SELECT query, CASE WHEN smell THEN 't1' ELSE '' END AS tags,
+CASE WHEN NOT smell THEN text END AS text, has_axes, CAST(greatest(1, least(query, 20)) AS BIGINT) AS lim FROM c""")
+def chat_searches(spark, d):
+    q = _queries(spark, d).withColumns({"tags": F.when(F.col("query") % 2 == 0, F.col("tags")), "limit": F.col("query")})
+    rows = search.chat_query(q)
+    return rows.select("query", F.array_join("tags", ",").alias("tags"), "text", (F.size("axes") > 0).alias("has_axes"), F.col("limit").cast("long").alias("lim"))
+
+
 @query(with_(_Q, _READ, "v AS (SELECT word AS label, count(*) AS df FROM (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[0-9a-zA-ZÀ-ỹ]+')) AS word FROM documents) GROUP BY 1 HAVING count(*) >= 20)")
        + "SELECT query, label, place FROM (SELECT query, label, row_number() OVER (PARTITION BY query ORDER BY df DESC, label) AS place FROM (SELECT DISTINCT query, label, df FROM tokens JOIN v ON contains(label, token))) WHERE place <= 24")
 def mentioned_labels(spark, d):
     words = bind.t(spark, d, "documents").select("doc_id", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("([0-9a-zA-ZÀ-ỹ]+)"), 1))).alias("label"))
     v = words.groupBy("label").agg(F.count("*").alias("df")).where("df >= 20")
-    rows = search.mentioned_labels(search.read_text(_queries(spark, d), PHRASES, STOP), v)
+    rows = search.mentioned_labels(_read(spark, d), v)
     return rows.select("query", "label", F.col("place").cast("long").alias("place"))
 
 
@@ -106,18 +140,16 @@ def like_item_seeds(spark, d):
 
 
 @query("""WITH res AS (SELECT user_id AS query, event_id AS item, row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) AS rank FROM events),
-shown AS (SELECT query, item FROM res WHERE rank % 2 = 1 AND query % 5 <> 0), n AS (SELECT query, count(*) AS n FROM shown GROUP BY 1),
+shown AS (SELECT query, item FROM res WHERE rank % 2 = 1 AND query % 5 <> 0 OR query % 6 = 0 AND rank <= 50), n AS (SELECT query, count(*) AS n FROM shown GROUP BY 1),
 lim AS (SELECT DISTINCT user_id AS query, CAST(3 + user_id % 4 AS BIGINT) AS lim FROM events),
 k AS (SELECT query, item, row_number() OVER (PARTITION BY query ORDER BY rank) AS place FROM res JOIN lim USING (query) LEFT JOIN n USING (query) WHERE rank <= least(2 * lim + coalesce(n, 0), 50) AND (query, item) NOT IN (SELECT (query, item) FROM shown))
-SELECT query, item, place FROM k JOIN lim USING (query) WHERE place <= lim""")
+SELECT lim.query, item, place, item IS NULL AS exhausted FROM lim LEFT JOIN k ON k.query = lim.query AND place <= lim""")
 def unseen_results(spark, d):
-    from pyspark.sql import Window
-
     e = bind.t(spark, d, "events").select(F.col("user_id").alias("query"), F.col("event_id").alias("item"), "value")
     res = e.withColumn("rank", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("value"), "item")))
-    shown = res.where("rank % 2 = 1 and query % 5 <> 0").select("query", "item")
+    shown = res.where("rank % 2 = 1 and query % 5 <> 0 or query % 6 = 0 and rank <= 50").select("query", "item")
     lim = e.select("query").distinct().withColumn("limit", 3 + F.col("query") % 4)
-    return search.without_shown(res, shown, lim).where("not exhausted").select("query", "item", F.col("place").cast("long").alias("place"))
+    return search.without_shown(res, shown, lim).select("query", "item", F.col("place").cast("long").alias("place"), "exhausted")
 
 
 @query(with_(ITEMS) + "SELECT item FROM items WHERE lower(gender) = 'nam' AND coalesce(votes, 0) >= 30")
@@ -134,7 +166,11 @@ def clamped_limits(spark, d):
 
 AX = {"the": "winter", "des": "summer", "que": "fall", "die": "day"}
 GE = {"and": "Nam", "la": "Nữ", "der": "Unisex"}
-REFINE, POINT = (" in ", " la ", " die ", " el "), ("number", " of ")
+REFINE, POINT = (" in ", " la ", " die ", " el "), (" the ", " der ", " de ", " que")
+POINTERS = dialog.Pointers(
+    before_digits=("nr",), before_ends=("de", "the", "in"), ends={"la": 1, "and": -1}, before_spelled=("de", "the", "die", "in", "que"),
+    spelled={"la": 1, "que": 2, "of": 3, "und": 9, "is": 2}, that_one=(" der ",),
+)
 
 
 def _turns(spark, d):
@@ -153,22 +189,32 @@ def turn_slots(spark, d):
     return dialog.slots(_turns(spark, d), axes=AX, genders=GE).select("conv_id", "turn", F.array_join("axes", ",").alias("axes"), "gender")
 
 
-_ACT = """b AS (SELECT *, lower(trim(text)) AS low, count(*) FILTER (role = 'user') OVER w > 0 AS earlier FROM s WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-a AS (SELECT *, CASE WHEN role <> 'user' THEN NULL WHEN earlier AND (contains(low, ' in ') OR contains(low, ' la ') OR contains(low, ' die ') OR contains(low, ' el ')) THEN 'refine' ELSE 'new' END AS action FROM b)"""
+_ACT = r"""b AS (SELECT *, lower(trim(text)) AS low, count(*) FILTER (role = 'user') OVER w > 0 AS earlier,
+    last_value(CASE WHEN role = 'assistant' THEN string_split(text, ' ')[1:3] END IGNORE NULLS) OVER w AS sh
+    FROM s WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+pt AS (SELECT *, list_filter([TRY_CAST(nullif(regexp_extract(low, 'nr\s*(\d+)', 1), '') AS INT),
+    CASE regexp_extract(low, '(?:de|the|in)\s+(la|and)(?:[^\pL\pM\pN_]|$)', 1) WHEN 'la' THEN 1 WHEN 'and' THEN -1 END,
+    CASE regexp_extract(low, '(?:de|the|die|in|que)\s+(la|que|of|und|is)(?:[^\pL\pM\pN_]|$)', 1) WHEN 'la' THEN 1 WHEN 'que' THEN 2 WHEN 'of' THEN 3 WHEN 'und' THEN 9 WHEN 'is' THEN 2 END,
+    CASE WHEN contains(low, ' der ') THEN 1 END], lambda x: x IS NOT NULL AND x <> 0 AND abs(x) <= len(sh))[1] AS p FROM b),
+tg AS (SELECT *, CASE WHEN role = 'user' AND earlier AND (contains(low, ' the ') OR contains(low, ' der ') OR contains(low, ' de ') OR contains(low, ' que'))
+    THEN CASE WHEN p > 0 THEN sh[p] ELSE sh[len(sh) + 1 + p] END END AS target FROM pt),
+a AS (SELECT *, CASE WHEN role <> 'user' THEN NULL WHEN target IS NOT NULL THEN 'about'
+    WHEN earlier AND (contains(low, ' in ') OR contains(low, ' la ') OR contains(low, ' die ') OR contains(low, ' el ')) THEN 'refine' ELSE 'new' END AS action FROM tg)"""
 
 
-@query(with_(_SLOTS, _ACT) + "SELECT conv_id, turn, action FROM a WHERE action IS NOT NULL")
+@query(with_(_SLOTS, _ACT) + "SELECT conv_id, turn, action, target FROM a WHERE action IS NOT NULL")
 def turn_actions(spark, d):
-    return dialog.classified(_turns(spark, d), REFINE, POINT).where("action is not null").select("conv_id", "turn", "action")
+    rows = dialog.classified(_turns(spark, d), REFINE, POINT, POINTERS)
+    return rows.where("action is not null").select("conv_id", "turn", "action", "target")
 
 
 def _acted(spark, d):
-    t = dialog.classified(dialog.slots(_turns(spark, d), axes=AX, genders=GE), REFINE, POINT)
+    t = dialog.classified(dialog.slots(_turns(spark, d), axes=AX, genders=GE), REFINE, POINT, POINTERS)
     words = F.slice(F.split("text", " "), 1, 2)
     return t.withColumns({"tags": words, "attributes": F.array().cast("array<string>"), "min_votes": F.col("turn")})
 
 
-@query(with_(_SLOTS, _ACT, """g AS (SELECT *, sum(CASE WHEN action = 'new' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn) AS segment, string_split(text, ' ')[1:2] AS tags FROM a WHERE action IS NOT NULL),
+@query(with_(_SLOTS, _ACT, """g AS (SELECT *, sum(CASE WHEN action = 'new' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn) AS segment, string_split(text, ' ')[1:2] AS tags FROM a WHERE action IN ('new', 'refine')),
 m AS (SELECT conv_id, turn, segment, last_value(CASE WHEN len(axes) > 0 THEN axes END IGNORE NULLS) OVER w AS axes, last_value(gender IGNORE NULLS) OVER w AS gender, substr(trim(string_agg(nullif(text, ''), ' ') OVER w), 1, 300) AS text,
 flatten(list(tags) OVER w) AS tags, first_value(turn) OVER w AS min_votes FROM g WINDOW w AS (PARTITION BY conv_id, segment ORDER BY turn ROWS UNBOUNDED PRECEDING))""") + """
 SELECT conv_id, turn, CAST(segment AS BIGINT) AS segment, array_to_string(list_sort(list_distinct(tags)), ' ') AS tags, array_to_string(axes, ',') AS axes, gender, nullif(text, '') AS text, min_votes FROM m""")
@@ -177,12 +223,14 @@ def merged_slots(spark, d):
     return rows.withColumns({"tags": F.array_join(F.array_sort("tags"), " "), "axes": F.array_join("axes", ",")}).drop("attributes")
 
 
-@query(with_(_SLOTS, _ACT) + "SELECT conv_id, turn, max(CASE WHEN action IS NOT NULL THEN turn END) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last_search FROM a")
+@query(with_(_SLOTS, _ACT) + "SELECT conv_id, turn, max(CASE WHEN action IN ('new', 'refine') THEN turn END) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last_search FROM a")
 def last_searches(spark, d):
     return dialog.last_search(_acted(spark, d)).select("conv_id", "turn", "last_search")
 
 
-@query("SELECT conv_id, turn, md5(coalesce(string_agg(role || ': ' || text, chr(10)) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING), '')) AS history FROM conversations")
+@query("""WITH l AS (SELECT conv_id, turn, CASE role WHEN 'user' THEN 'Khách' ELSE 'Bạn' END || ': ' || coalesce(text, '') || CASE WHEN role = 'assistant' AND text IS NOT NULL THEN
+chr(10) || '  (đã hiện cho khách: ' || array_to_string(list_transform(string_split(text, ' ')[1:3], lambda x, i: i || '. ' || x), '; ') || ')' ELSE '' END AS line FROM conversations)
+SELECT conv_id, turn, md5(coalesce(string_agg(line, chr(10)) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING), '')) AS history FROM l""")
 def turn_history(spark, d):
     return dialog.with_history(_turns(spark, d)).select("conv_id", "turn", F.md5(F.col("history").cast("binary")).alias("history"))
 
@@ -217,9 +265,11 @@ def gated_labels(spark, d):
     return dialog.gated(rows, sim.idf(spark, d))
 
 
-@query("SELECT event_id, '{\"k\": ' || json_extract_string(props, '$.k') || '}' AS body FROM events")
+@query("SELECT event_id, CASE WHEN event_id % 5 > 1 THEN props END AS body FROM events")
 def json_in_text(spark, d):
-    text = F.concat(F.lit("```json\n"), F.col("props"), F.lit("\n``` done"))
+    k = F.col("event_id") % 5
+    broken = F.when(k == 0, F.expr("left(props, length(props) - 1)")).when(k == 1, F.concat(F.lit("{"), F.col("props"))).otherwise(F.col("props"))
+    text = F.concat(F.lit("```json\n"), broken, F.lit("\n``` done"))
     return bind.t(spark, d, "events").select("event_id", dialog.json_object(text).alias("body"))
 
 
@@ -227,25 +277,36 @@ def json_in_text(spark, d):
 ok AS (SELECT key, name AS w FROM al UNION SELECT key, unnest(regexp_split_to_array(name, '[\s/&-]+')) FROM al),
 ph AS (SELECT DISTINCT conv_id AS key, turn, unnest(regexp_extract_all(upper(regexp_replace(text, '[^\x00-\x7F]', '-', 'g')), '\b([A-Z][\w'']*(?:\s+[A-Z0-9][\w'']*)+)', 1)) AS phrase FROM conversations WHERE role = 'assistant'),
 bad AS (SELECT key, turn, phrase FROM ph WHERE NOT EXISTS (SELECT 1 FROM ok WHERE ok.key = ph.key AND w = lower(phrase)) AND (SELECT count(*) FROM (SELECT unnest(regexp_split_to_array(lower(phrase), '\s+')) AS u) WHERE length(u) > 2 AND NOT EXISTS (SELECT 1 FROM ok WHERE ok.key = ph.key AND w = u AND length(w) > 2)) + (CASE WHEN (SELECT count(*) FROM (SELECT unnest(regexp_split_to_array(lower(phrase), '\s+')) AS u) WHERE length(u) > 2) = 0 THEN 1 ELSE 0 END) > 0)
-SELECT key, phrase, count(*) AS n FROM bad GROUP BY 1, 2""")
+SELECT DISTINCT key, phrase FROM bad""")
 def ungrounded_names(spark, d):
     c = bind.t(spark, d, "conversations")
     w = F.split("text", " ")
     allowed = c.where("turn = 0").select(F.col("conv_id").alias("key"), F.concat_ws(" ", F.get(w, 0), F.coalesce(F.get(w, 1), F.lit(""))).alias("name"))
     loud = F.upper(F.regexp_replace("text", r"[^\x00-\x7F]", "-"))
-    rows = dialog.ungrounded(c.where("role = 'assistant'").select(F.col("conv_id").alias("key"), loud.alias("text")), allowed)
-    return rows.groupBy("key", "phrase").agg(F.count("*").alias("n"))
+    return dialog.ungrounded(c.where("role = 'assistant'").select(F.col("conv_id").alias("key"), loud.alias("text")), allowed)
 
 
-@query()
-def templated_answers(spark, d):
-    """Answers for the groups' similar groups, with reasons in the reader's words."""
-    from pyspark.sql import Window
+_WHO = """r AS (SELECT grp AS query, name, grp, rating, votes, item, row_number() OVER (PARTITION BY grp ORDER BY coalesce(votes, 0) DESC, item) AS rank FROM items WHERE item % 3 <> 0 OR grp > 'Brand#3'),
+t AS (SELECT query, max(name) FILTER (rank = 1) AS name, max(rating) FILTER (rank = 1) AS rating, max(votes) FILTER (rank = 1) AS votes, max(item) FILTER (rank = 1) AS item,
+      string_agg(name, ' và ' ORDER BY rank) FILTER (rank IN (2, 3)) AS others FROM r WHERE rank <= 3 GROUP BY 1),
+b AS (SELECT DISTINCT p_brand AS query FROM part UNION ALL SELECT 'none')"""
 
-    s = sparse.similar_groups(sparse.centroids(sim.terms(spark, d), bind.items(spark, d).select("item", "grp"), 2))
-    r = s.withColumn("rank", F.row_number().over(Window.partitionBy("query").orderBy(F.desc(F.round("score", 6)), "item")))
-    rows = r.select("query", "rank", F.col("item").alias("name"), F.col("item").alias("grp"), (5 * F.col("score")).alias("rating"), F.lit(600).alias("votes"), F.array(F.lit("winter"), F.lit("fresh")).alias("reasons"))
-    return dialog.answers(rows)
+
+@query(with_(ITEMS, _WHO) + """SELECT query, CASE WHEN t.item IS NULL THEN 'Mình chưa tìm được chai nào khớp ý này. Bạn thử nói theo note hương (ví dụ oud, vanilla, hoa hồng), hoặc theo lúc dùng — mùa lạnh hay nóng, đi làm hay đi tối?'
+ELSE concat_ws(' ', 'Mình nghĩ ' || coalesce(name, 'chai này') || ' của ' || query || ' là sát ý bạn nhất' || CASE item % 3 WHEN 0 THEN '' WHEN 1 THEN ' — mùi fresh, hợp mùa lạnh, lưu hương lâu' ELSE ' — hợp mùa nóng' END || '.',
+CASE WHEN rating IS NOT NULL AND votes > 0 THEN CASE WHEN votes * 20 >= 500 THEN 'Chai này có ' || replace(format('{:,}', votes * 20), ',', '.') || ' lượt đánh giá, trung bình ' || printf('%.2f', rating) || '/5 — khá nhiều người đã dùng.'
+ELSE 'Mới có ' || votes * 20 || ' lượt đánh giá nên điểm ' || printf('%.2f', rating) || '/5 chưa chắc chắn lắm.' END END,
+'Cùng hướng đó còn có ' || others || ', bạn xem thử bên cạnh.', 'Bạn thích mùi ngọt ấm hay khô nhẹ hơn?') END AS answer FROM b LEFT JOIN t USING (query)""")
+def templated_answers(spark, d):
+    """Each group's answer from its three items with most votes, and one for a group without items."""
+    i = bind.items(spark, d).where("item % 3 <> 0 or grp > 'Brand#3'")
+    by = Window.partitionBy("grp").orderBy(F.desc(F.coalesce("votes", F.lit(0))), "item")
+    why = lambda *pairs: F.array(*(F.struct(F.lit(b).alias("block"), F.lit(x).alias("label")) for b, x in pairs))
+    k = F.col("item") % 3
+    reasons = F.when(k == 1, why(("acc", "fresh"), ("occ", "winter"), ("str", "longevity"), ("str", "sillage"))).when(k == 2, why(("occ", "summer")))
+    rows = i.withColumns({"rank": F.row_number().over(by), "query": F.col("grp"), "reasons": reasons, "votes": F.col("votes") * 20})
+    asked = bind.t(spark, d, "part").select(F.col("p_brand").alias("query")).union(spark.range(1).select(F.lit("none")))
+    return dialog.answers(rows, asked)
 
 
 # Work queue: suppliers are groups, parts items, events outcomes
@@ -285,6 +346,12 @@ def seeded_counts(spark, d):
     return queue.seeded(seeded_groups(spark, d))
 
 
+@query(with_(_WQ) + "SELECT wg.grp, count(item) AS total FROM wg LEFT JOIN wi ON wi.grp = wg.grp AND item % 25 <> 3 AND wg.grp > 'Brand#2' GROUP BY 1")
+def seeded_totals(spark, d):
+    some = _items(spark, d).where("item % 25 <> 3 and grp > 'Brand#2'")
+    return queue.group_totals(_groups(spark, d).select("grp"), some)
+
+
 _NEXT = "nx AS (SELECT grp, rank, priority, name, listing, coalesce(p, 0) AS pending FROM wg LEFT JOIN (SELECT grp, count(*) AS p FROM wi WHERE status = 'pending' GROUP BY 1) USING (grp) WHERE (blocked_until IS NULL OR blocked_until <= '2024-01-15') AND (listing = 'pending' OR coalesce(p, 0) >= 3))"
 
 
@@ -384,10 +451,11 @@ def marked_done(spark, d):
     return queue.mark_done(_items(spark, d), out, "item").select("item", "status", "changed")
 
 
-@query(with_(_WQ) + "SELECT item, CASE WHEN status = 'failed' THEN 'pending' ELSE status END AS status, status = 'failed' AS changed FROM wi")
+@query(with_(_WQ) + """SELECT item, CASE WHEN status = 'failed' THEN 'pending' ELSE status END AS status, CASE WHEN item % 7 = 9 THEN 'x' END AS blocked_until, status = 'failed' OR item % 7 = 0 AS changed FROM wi""")
 def reset_failed(spark, d):
-    rows = _items(spark, d).withColumn("blocked_until", F.lit(None).cast("string"))
-    return queue.reset(rows).select("item", "status", "changed")
+    """Failed items are pending again and blocks are cleared."""
+    rows = _items(spark, d).withColumn("blocked_until", F.when(F.col("item") % 7 == 0, "2024-02-01"))
+    return queue.reset(rows, blocks=True).select("item", "status", "blocked_until", "changed")
 
 
 @query(with_(_WQ, "t AS (SELECT unnest([0, 5, 20, 30, 40]) AS threshold)") + """SELECT threshold, count(*) FILTER (coalesce(comments, 0) >= threshold) AS kept, round(100.0::DOUBLE * sum(CASE WHEN comments >= threshold THEN comments ELSE 0 END) / sum(comments) * 10) / 10 AS mass_pct,

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from larkspur.functions.exprs import rounded
 from larkspur.operators import dense, sparse
+from larkspur.sources.scratch import stored
 
 from . import bind
 from .bind import ATTRIBUTES, AXES, ITEMS, TAGS, with_
@@ -98,13 +99,14 @@ def similar_items_other_group(spark, d):
     return _six(sparse.ranked(_own_queries(spark, d), terms(spark, d), i, min_votes=5, other_group=own).select("query", "item", "score"), "score")
 
 
-@query(with_(*ALL) + """SELECT query, item, block, label, round(p * 1e6) / 1e6 AS product FROM (
-SELECT q.item AS query, t.item, block, label, q.weight * t.weight AS p, row_number() OVER (PARTITION BY q.item, t.item ORDER BY q.weight * t.weight DESC, block, label) AS rank
-FROM terms q JOIN terms t USING (block, label) WHERE q.item % 500 = 0 AND t.item % 50 = 1) WHERE rank <= 3""")
+@query(with_(*ALL, _RANK) + """SELECT query, item, block, label, round(p * 1e6) / 1e6 AS product FROM (
+SELECT rk.query, rk.item, block, label, q.weight * t.weight AS p, row_number() OVER (PARTITION BY rk.query, rk.item ORDER BY round(q.weight * t.weight, 9) DESC, block, label) AS place
+FROM rk JOIN terms q ON q.item = rk.query JOIN terms t USING (block, label) WHERE t.item = rk.item AND rank <= 10) WHERE place <= 3""")
 def explained_scores(spark, d):
-    """The three largest terms of each score of a sample page of results."""
-    q = terms(spark, d).where("item % 500 = 0").withColumnRenamed("item", "query")
-    parts = sparse.contributions(q, terms(spark, d).where("item % 50 = 1"))
+    """The three largest terms of every result of every item whose key divides by 50."""
+    own, all_ = _own_queries(spark, d), stored(terms(spark, d), "terms")
+    page = sparse.ranked(own, all_, bind.items(spark, d).select("item", "votes", "grp"), min_votes=5, exclude_own=True)
+    parts = sparse.page_contributions(page.select("query", "item"), own, all_)
     return _six(sparse.explained(parts, 3).select("query", "item", "block", "label", "product"), "product")
 
 
@@ -113,10 +115,36 @@ def group_profiles(spark, d):
     return _six(sparse.centroids(terms(spark, d), bind.items(spark, d).select("item", "grp"), 2), "weight")
 
 
-@query(with_(*ALL, SMELL) + "SELECT a.grp AS query, b.grp AS item, round(sum(a.weight * b.weight) * 1e6) / 1e6 AS score FROM prof a JOIN prof b USING (block, label) WHERE a.grp <> b.grp GROUP BY 1, 2")
+_NEAR = """near AS (SELECT a.grp AS query, b.grp AS item, sum(a.weight * b.weight) AS score, row_number() OVER (PARTITION BY a.grp ORDER BY round(sum(a.weight * b.weight), 9) DESC, b.grp) AS rank
+FROM prof a JOIN prof b USING (block, label) WHERE a.grp <> b.grp GROUP BY 1, 2 HAVING sum(a.weight * b.weight) > 0)"""
+
+
+def _profiles(spark, d):
+    return stored(sparse.centroids(terms(spark, d), bind.items(spark, d).select("item", "grp"), 2), "profiles")
+
+
+def _ten(rows):
+    return _six(rows.select("query", "item", "score", F.col("rank").cast("long").alias("rank")), "score")
+
+
+@query(with_(*ALL, SMELL, _NEAR) + "SELECT query, item, round(score * 1e6) / 1e6 AS score, rank FROM near WHERE rank <= 10")
 def similar_groups(spark, d):
-    profiles = sparse.centroids(terms(spark, d), bind.items(spark, d).select("item", "grp"), 2)
-    return _six(sparse.similar_groups(profiles), "score")
+    return _ten(sparse.similar_groups(_profiles(spark, d), 10))
+
+
+@query(with_(*ALL, SMELL, _NEAR, """asked(text) AS (SELECT DISTINCT ' ' || upper(p_brand) FROM part WHERE p_size > 40 UNION SELECT DISTINCT substr(p_brand, 3, 6) FROM part UNION SELECT 'no such'),
+gr AS (SELECT DISTINCT grp FROM prof),
+nm AS (SELECT text, grp FROM asked LEFT JOIN gr ON contains(lower(grp), lower(trim(text))) QUALIFY row_number() OVER (PARTITION BY text ORDER BY (lower(grp) = lower(trim(text))) DESC NULLS LAST, grp) = 1)""") + """
+SELECT text, item, round(score * 1e6) / 1e6 AS score, rank FROM nm LEFT JOIN (SELECT * FROM near WHERE rank <= 10) ON query = grp""")
+def similar_named_groups(spark, d):
+    """Groups asked for by name in another case, by a part of it, and one that there is not."""
+    profiles, p = _profiles(spark, d), bind.t(spark, d, "part")
+    asked = p.where("p_size > 40").select(F.concat(F.lit(" "), F.upper("p_brand")).alias("text"))
+    asked = asked.union(p.select(F.substring("p_brand", 3, 6))).union(spark.range(1).select(F.lit("no such"))).distinct()
+    named = sparse.named_groups(asked, profiles)
+    near = sparse.similar_groups(profiles, 10, named.select(F.col("grp").alias("query")).where("query is not null"))
+    rows = named.withColumnRenamed("grp", "query").join(near, "query", "left")
+    return _six(rows.select("text", "item", "score", F.col("rank").cast("long").alias("rank")), "score")
 
 
 _ASKED = "asked(query, block, label) AS (SELECT n_nationkey, 'note', lower(split_part(p_name, ' ', 1)) FROM nation JOIN part ON p_partkey = n_nationkey + 1 UNION ALL SELECT n_nationkey, 'note', 'no such tag' FROM nation UNION ALL SELECT n_nationkey, 'occ', 'winter' FROM nation)"

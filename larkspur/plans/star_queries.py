@@ -28,12 +28,13 @@ def label_lookup(spark, d):
     return bind.t(spark, d, "documents").select("doc_id", F.coalesce(lookup(F.lower("lang"), {"en": "Nam", "fr": "Nữ"}), F.col("lang")).alias("label"))
 
 
-@query("SELECT DISTINCT c_mktsegment AS segment, c_mktsegment AS label FROM customer")
+@query("""SELECT p_partkey AS item, CASE p_size % 7 WHEN 0 THEN 'Nữ' WHEN 1 THEN 'Nam' WHEN 2 THEN 'Unisex' WHEN 3 THEN 'Unisex' WHEN 4 THEN 'Nữ' WHEN 5 THEN 'Gent' END AS label FROM part""")
 def gender_labels(spark, d):
-    """Unknown spellings stay verbatim."""
+    """Spellings that the map has, in any case and spacing; unknown ones stay, blanks are null."""
     from larkspur.functions.exprs import gender_label
 
-    return bind.t(spark, d, "customer").select(F.col("c_mktsegment").alias("segment"), gender_label(F.col("c_mktsegment")).alias("label")).distinct()
+    spelled = F.array(*map(F.lit, (" Women", "MALE", "women  and men", "Unisex ", "nu", " Gent ", "  ")))
+    return bind.t(spark, d, "part").select(F.col("p_partkey").alias("item"), gender_label(F.get(spelled, F.col("p_size") % 7)).alias("label"))
 
 
 @query("SELECT user_id AS key, event_id, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1")

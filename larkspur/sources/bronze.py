@@ -18,14 +18,15 @@ def kind_of(listing: Column, group: Column, item: Column) -> Column:
     return F.when(full(listing), "listing").when(full(group), "group").when(full(item), "item")
 
 
-def read_jsonl(spark: SparkSession, path: str | list[str], schema: str | StructType = ITEM_SCHEMA) -> DataFrame:
+def read_jsonl(spark: SparkSession, path: str | list[str], schema: str | StructType = ITEM_SCHEMA, files: str = "*.jsonl") -> DataFrame:
     """Records of JSON lines under a declared schema: kind, file, the fields, _corrupt_record.
 
-    Blank lines vanish; malformed lines stay with their text in _corrupt_record and no kind.
+    `files` is the pattern of the names of the files to read, in the folder and those in it.  Blank lines vanish; malformed lines stay with their text in _corrupt_record and no kind.
     """
     base = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     full = StructType([*base.fields]).add("_corrupt_record", StringType())
-    rows = spark.read.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.jsonl").json(path)
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record", "recursiveFileLookup": "true", "pathGlobFilter": files}
+    rows = spark.read.schema(full).options(**options).json(path)
     kind = kind_of(*(F.col(f) if f in base.fieldNames() else F.lit(None) for _, f in KINDS))
     return rows.select(F.when(F.col("_corrupt_record").isNull(), kind).alias("kind"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_modification_time").alias("modified"), *full.fieldNames())
 
@@ -93,13 +94,19 @@ def write_gold(tables: dict[str, DataFrame], path: str) -> None:
         df.write.mode("overwrite").parquet(f"{path}/{name}")
 
 
+#: A report of so many rows or fewer is one file.
+ONE_FILE = 1_000_000
+
+
 def write_csv(df: DataFrame, path: str, columns: list[str], bom: bool = True) -> None:
-    """A report of bounded size as one CSV file with a fixed column order; missing columns are empty,
-    others ignored."""
+    """A report as CSV with a fixed column order; missing columns are empty, others ignored.  One file up
+    to ONE_FILE rows, else a file a task, each with the header."""
     out = df.select(*(F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in columns))
     if bom and columns:
         out = out.withColumnRenamed(columns[0], "﻿" + columns[0])
-    out.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    if out.limit(ONE_FILE + 1).count() <= ONE_FILE:
+        out = out.coalesce(1)
+    out.write.mode("overwrite").option("header", True).csv(path)
 
 
 def append_jsonl(df: DataFrame, path: str) -> None:

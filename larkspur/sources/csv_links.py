@@ -13,16 +13,24 @@ URL_HEADERS = ("url", "link", "href", "source_url", "product_url")
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, line, text) without blank lines and byte-order marks."""
-    rows = spark.read.option("recursiveFileLookup", "true").text(path).select(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("line"), F.regexp_replace("value", "^﻿", "").alias("text"))
+    """(file, line, text) without blank lines and byte-order marks.
+
+    Lines are ordered by (start of the block they were read from, number): a large file is read in
+    several blocks, whose tasks have no order of their own.
+    """
+    line = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("number"))
+    text = F.regexp_replace("value", "^\ufeff", "").alias("text")
+    rows = spark.read.option("recursiveFileLookup", "true").text(path).select(F.col("_metadata.file_path").alias("file"), line.alias("line"), text)
     return rows.where(F.trim("text") != "")
 
 
 def delimiters(lines: DataFrame) -> DataFrame:
-    """(file, delimiter): the commonest of the known delimiters, of equal ones the first."""
+    """(file, delimiter, first): the commonest of the known delimiters, of equal ones the first, and the
+    file's first line."""
     n = [F.sum(F.length("text") - F.length(F.replace("text", F.lit(d), F.lit("")))).alias(f"n{k}") for k, d in enumerate(DELIMITERS)]
     ranked = F.array(*(F.struct(F.col(f"n{k}").alias("n"), F.lit(-k).alias("k"), F.lit(d).alias("d")) for k, d in enumerate(DELIMITERS)))
-    return lines.groupBy("file").agg(*n).select("file", F.array_max(ranked)["d"].alias("delimiter"))
+    rows = lines.groupBy("file").agg(*n, F.min("line").alias("first"))
+    return rows.select("file", F.array_max(ranked)["d"].alias("delimiter"), "first")
 
 
 def split_cells(text: Column, delimiter: Column) -> Column:
@@ -33,9 +41,9 @@ def split_cells(text: Column, delimiter: Column) -> Column:
 
 def rows_of(lines: DataFrame) -> DataFrame:
     """(file, line, cells, is_header): a file's first line is its header unless it holds a URL."""
-    cells = lines.join(delimiters(lines), "file").withColumn("cells", split_cells(F.col("text"), F.col("delimiter")))
-    first = F.row_number().over(Window.partitionBy("file").orderBy("line")) == 1
-    return cells.select("file", "line", "cells", (first & ~F.exists("cells", is_url)).alias("is_header"))
+    rows = lines.join(delimiters(lines), "file").withColumn("cells", split_cells(F.col("text"), F.col("delimiter")))
+    header = (F.col("line") == F.col("first")) & ~F.exists("cells", is_url)
+    return rows.select("file", "line", "cells", header.alias("is_header"))
 
 
 def is_url(cell: Column) -> Column:
@@ -58,17 +66,25 @@ def url_columns(rows: DataFrame, named: str | None = None, exclude: int | None =
     return out.select("file", F.coalesce("by_name", "by_count").alias("column"))
 
 
+def _once(pairs: DataFrame) -> DataFrame:
+    """The first row of each source."""
+    by = Window.partitionBy("source").orderBy("file", "line")
+    return pairs.withColumn("n", F.row_number().over(by)).where("n = 1").drop("n")
+
+
 def pairs_by_host(rows: DataFrame, wanted: str, unique: bool = True) -> DataFrame:
-    """(file, line, source, destination): a row's first URL on the wanted host and first on another;
-    fragments cut.  Rows without a source are left out; see `skipped`."""
+    """(file, line, source, destination): a row's first URL on the wanted host, without its fragment, and
+    its first on another host as it stands; rows without a source are left out, see `skipped`.
+
+    With `unique` a source's first row alone counts.
+    """
     urls = F.regexp_extract_all(F.concat_ws(" ", "cells"), F.lit(r"(https?://[^\s\"'<>,;|]+)"), 1)
-    own = lambda u: F.endswith(host(u), F.lit(wanted.lower()))
-    out = rows.where("not is_header").select("file", "line", F.regexp_replace(F.get(F.filter(urls, own), 0), "#.*$", "").alias("source"), F.regexp_replace(F.get(F.filter(urls, lambda u: ~own(u)), 0), "#.*$", "").alias("destination"))
+    own = lambda u: F.contains(host(u), F.lit(wanted.lower()))
+    source = F.regexp_replace(F.get(F.filter(urls, own), 0), "#.*$", "")
+    destination = F.get(F.filter(urls, lambda u: ~own(u)), 0)
+    out = rows.where("not is_header").select("file", "line", source.alias("source"), destination.alias("destination"))
     out = out.where("source is not null")
-    if not unique:
-        return out
-    by = Window.partitionBy("source", "destination").orderBy("file", "line")
-    return out.withColumn("n", F.row_number().over(by)).where("n = 1").drop("n")
+    return _once(out) if unique else out
 
 
 def skipped(rows: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -76,12 +92,36 @@ def skipped(rows: DataFrame, pairs: DataFrame) -> DataFrame:
     return rows.where("not is_header").join(pairs.select("file", "line"), ["file", "line"], "left_anti").agg(F.count("*").alias("skipped"))
 
 
-def pairs_by_column(rows: DataFrame, source: int, destination: int | None = None, base: str = "") -> DataFrame:
-    """Pairs from stated columns, relative sources resolved against `base`, each pair once."""
-    cell = lambda k: F.nullif(F.trim(F.get("cells", k)), F.lit(""))
-    s = resolve(F.lit(base), cell(source)) if base else cell(source)
-    out = rows.where("not is_header").select("file", "line", s.alias("source"), (cell(destination) if destination is not None else F.lit(None).cast("string")).alias("destination")).where("source is not null")
-    return out.groupBy("source", "destination").agg(F.min(F.struct("file", "line")).alias("at")).select("at.file", "at.line", "source", "destination")
+def _place_of(rows: DataFrame, column: int | str, name: str) -> DataFrame:
+    """(file, name): where each file has a column, given by number or by header.  Raises for a file
+    without such a header, and for one without headers."""
+    if isinstance(column, int):
+        return rows.select("file").distinct().withColumn(name, F.lit(column))
+    heads = rows.where("is_header").select("file", F.posexplode("cells").alias("place", "cell"))
+    found = heads.where(F.lower(F.trim("cell")) == column.strip().lower()).groupBy("file").agg(F.min("place").alias(name))
+    without = rows.select("file").distinct().join(found, "file", "left_anti").first()
+    if without:
+        raise ValueError(f"no column {column!r} in {without.file}")
+    return found
+
+
+def pairs_by_column(
+    rows: DataFrame, source: int | str, destination: int | str | None = None, base: str = "", unique: bool = True
+) -> DataFrame:
+    """(file, line, source, destination) from stated columns, by number or header.  Sources that look like
+    URLs count, relative ones resolved against `base` and without fragment; destinations as they stand.
+
+    With `unique` a source's first row alone counts.
+    """
+    rows_ = rows.join(_place_of(rows, source, "__s"), "file")
+    if destination is not None:
+        rows_ = rows_.join(_place_of(rows, destination, "__d"), "file")
+    cell = lambda k: F.nullif(F.trim(F.trim(F.get("cells", F.col(k))), F.lit('"')), F.lit(""))
+    s = F.when(is_url(cell("__s")), cell("__s"))
+    s = F.regexp_replace(resolve(F.lit(base), s) if base else s, "#.*$", "")
+    d = cell("__d") if destination is not None else F.lit(None).cast("string")
+    out = rows_.where("not is_header").select("file", "line", s.alias("source"), d.alias("destination")).where("source is not null")
+    return _once(out) if unique else out
 
 
 def url_list(lines: DataFrame) -> DataFrame:

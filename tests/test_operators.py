@@ -1,5 +1,9 @@
 """Small tables with the cases that decide an operator's rules."""
 
+import os
+from pathlib import Path
+from urllib.parse import urljoin
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -217,7 +221,12 @@ def test_schema_drift_and_freshness(spark, tmp_path):
     a, b = str(tmp_path / "a"), str(tmp_path / "b")
     df.write.parquet(a)
     df.write.parquet(b)
-    assert quality.is_stale(spark.read.parquet(b), spark.read.parquet(a)) in (True, False)
+    for folder, at in ((a, 1_700_000_000), (b, 1_700_000_900)):
+        for f in Path(folder).iterdir():
+            os.utime(f, (at, at))
+    old, new = spark.read.parquet(a), spark.read.parquet(b)
+    assert quality.is_stale(new, old) and not quality.is_stale(old, new) and not quality.is_stale(old, old)
+    assert quality.is_stale(old, new.where("x > 5"))  # nothing derived yet
 
 
 def test_unknown_members(spark):
@@ -233,9 +242,9 @@ def test_stream_equals_batch(spark, tmp_path):
 
     stream = {r.key: r.fail_count for r in stream_failures(spark, SF).collect()}
     assert stream == {r.key: r.fail_count for r in folded_outcomes(spark, SF).collect()}
-    s = {(r.user_id, int(r.start.timestamp())): r.n for r in stream_sessions(spark, SF).collect()}
+    s = {(r.user_id, r.start // 1_000_000): r.n for r in stream_sessions(spark, SF).collect()}
     b = {(r.user_id, r.start // 1_000_000): r.n for r in idle_sessions(spark, SF).collect()}
-    assert s and all(b.get(k) == n for k, n in s.items())
+    assert s and s == b
 
 
 def test_streams_are_whole(spark, tmp_path):
@@ -248,7 +257,7 @@ def test_streams_are_whole(spark, tmp_path):
     for d in (str(tmp_path), "/root/testdata/sf0.001"):
         got = stream_bursts(spark, d)
         assert rows(got.select("user_id", "event_id", "hits")) == rows(bursts(spark, d))
-        s = sorted((r.user_id, int(r.start.timestamp()), r.n) for r in stream_sessions(spark, d).collect())
+        s = sorted((r.user_id, r.start // 1_000_000, r.n) for r in stream_sessions(spark, d).collect())
         assert s == sorted((r.user_id, r.start // 1_000_000, r.n) for r in idle_sessions(spark, d).collect())
 
 
@@ -270,3 +279,112 @@ def test_retriever_contract(spark):
         r.vocabulary("nope")
     with pytest.raises(ValueError):
         Retriever(items, raw, idf).search(dense_q)
+
+
+def test_links_resolve_as_browsers_do(spark):
+    bases = ("http://h.com/a/b/c.html?q=1#f", "http://h.com", "http://h.com/", "https://h.com/a/b/")
+    hrefs = ("?p=2", "#x", "", "../q", "./q", "../../../z", "q/r?x=../y", "/abs/../k", "//o.com/x#y", "http://z.com/a", "..", ".", "../", "a/./b", "mailto:x@y")
+    df = spark.createDataFrame([(b, h) for b in bases for h in hrefs], "b string, h string").select("b", "h", pages.resolve(F.col("b"), F.col("h")).alias("r"))
+    assert all(r.r == urljoin(r.b, r.h).split("#")[0] for r in df.collect())
+    html = "<a href=/k?a=1&amp;b=2>A &amp; B</a><a class=c href=\"q&amp;r\">t</a><a data-href=\"no\" href='z'>u</a>"
+    p = spark.createDataFrame([(1, "http://h/x/", html)], "page_id int, url string, html string")
+    assert rows(pages.all_links(p), "link", "text") == [("http://h/k?a=1&b=2", "A & B"), ("http://h/x/q&r", "t"), ("http://h/x/z", "u")]
+
+
+def test_bins_of_a_scale(spark):
+    values = [(3.9, 2), (0.0, 0), (10.0, 4), (11.0, 4), (-1.0, 0), (1.25, 0), (3.75, 2), (None, None)]
+    df = spark.createDataFrame(values, "v double, want int").select("want", exprs.sequential_bin(F.col("v"), F.lit(0.0), F.lit(10.0), 5).alias("got"))
+    assert all(r.want == r.got for r in df.collect())
+    assert spark.range(1).select(exprs.sequential_bin(F.lit(1.0), F.lit(2.0), F.lit(2.0), 5)).first()[0] == 0
+
+
+def test_stamps_by_their_type(spark):
+    df = spark.createDataFrame([("a", 9, 1), ("a", 10, 2), ("a", None, 3)], "k string, s int, o int")
+    assert rows(silver.latest(df, "k", "s", "o")) == [("a", 10, 2)]
+    text = df.withColumn("s", F.col("s").cast("string"))
+    assert rows(silver.latest(text, "k", "s", "o")) == [("a", "9", 1)]
+    blank = spark.createDataFrame([("a", "", 1), ("a", None, 2)], "k string, s string, o int")
+    assert rows(silver.latest(blank, "k", "s", "o"), "o") == [(2,)]
+
+
+def test_hashed_rows_stay(spark):
+    df = spark.createDataFrame([(1, "rose"), (1, "oud"), (None, "rose"), (2, None)], "k int, t string")
+    got = dense.hashed(df, "k", "t").collect()
+    assert len(got) == 4 and [r.k for r in got].count(1) == 2 and sum(r.k is None for r in got) == 1
+    assert {tuple(r.embedding) for r in got if r.k == 1} != {tuple([0.0] * 64)} and all(len(r.embedding) == 64 for r in got)
+
+
+def test_pairs_by_source_and_by_name(spark, tmp_path):
+    text = "No;Source;Goal\n1;https://a.h/x#1;d1\n2;/x;d2\n3;https://a.h/x;d3\n4;none;d4\n5;https://a.h/z; \n"
+    (tmp_path / "a.csv").write_text(text)
+    (tmp_path / "b.csv").write_text("https://sub.a.h/q,https://other.net/p#keep\nno links,here\n")
+    lines = csv_links.rows_of(csv_links.read_lines(spark, str(tmp_path / "a.csv")))
+    assert rows(csv_links.pairs_by_column(lines, "source", "GOAL", "https://a.h/y/"), "source", "destination") == [("https://a.h/x", "d1"), ("https://a.h/z", None)]
+    assert csv_links.pairs_by_column(lines, 1, 2, "https://a.h/y/", unique=False).count() == 4
+    for bad in (dict(source="nope"), dict(source="source", destination="nope")):
+        with pytest.raises(ValueError, match="nope"):
+            csv_links.pairs_by_column(lines, **bad)
+    other = csv_links.rows_of(csv_links.read_lines(spark, str(tmp_path / "b.csv")))
+    with pytest.raises(ValueError):
+        csv_links.pairs_by_column(other, "source")
+    assert rows(csv_links.pairs_by_host(other, "a.h"), "source", "destination") == [("https://sub.a.h/q", "https://other.net/p#keep")]
+
+
+def test_large_files_keep_their_order(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("first;x\n" + "".join(f"{k};https://a.h/{k}\n" for k in range(20_000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        lines = csv_links.read_lines(spark, str(tmp_path / "a.txt"))
+        assert lines.rdd.getNumPartitions() > 4
+        read = csv_links.rows_of(lines)
+        assert rows(read.where("is_header"), "cells") == [(["first", "x"],)]
+        assert [r.text.split(";")[0] for r in lines.orderBy("line").limit(3).collect()] == ["first", "0", "1"]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_search_text(spark):
+    q = spark.createDataFrame([(1, "Tìm mùi gỗ oud cho mùa đông a winter night"), (2, None)], "query int, text string")
+    got = {r.query: r for r in search.read_text(q).collect()}
+    assert got[1].read_axes == ["winter", "night"] and sorted(got[1].tokens) == ["gỗ", "mùa", "oud", "đông"] and got[2].tokens == []
+    weights = spark.createDataFrame([("note", "oud wood", 9), ("note", "oud", 2), ("acc", "gỗ trầm", 5), ("note", "x", 1)], "block string, label string, df long")
+    r = {x.query: x for x in search.resolved_terms(search.read_text(q), weights).collect()}
+    assert r[1].matched == ["gỗ trầm", "oud"] and r[1].unknown == ["mùa", "đông"] and r[2].matched == r[2].unknown == []
+
+
+def test_containing_is_a_plain_search(spark):
+    words = ["a", "ab", "abc", "rose", "ose", "os", "é", "ééa", "zz", "rose rose"]
+    labels = ["rose", "rosewood", "abcabc", "xé", "ééab", "a", "", "rose rose b"]
+    got = rows(sparse.containing(spark.createDataFrame([(w,) for w in words], "part string"), spark.createDataFrame([(x,) for x in labels], "label string")), "part", "label")
+    assert got == sorted(((w, x) for w in words for x in labels if w in x), key=repr)
+
+
+def test_pointers(spark):
+    said = [("chai thứ 2", "b"), ("chai thứ 9", None), ("chai đầu tiên", "a"), ("cái cuối", "c"), ("chai thứ hai", "b"), ("chai đó có gì", "a"), ("bao nhiêu", None), ("chai thứ 9 đó, chai đó", "a"), ("số năm", None)]
+    df = spark.createDataFrame([(t, ["a", "b", "c"], w) for t, w in said], "text string, shown array<string>, want string")
+    assert all(r.got == r.want for r in df.withColumn("got", dialog.pointed(df)).collect())
+    assert df.limit(1).withColumn("shown", F.array().cast("array<string>")).select(dialog.pointed(df)).first()[0] is None
+
+
+def test_history_shows_the_list(spark):
+    t = spark.createDataFrame([(1, 0, "user", "hi", None), (1, 1, "assistant", "two", ["x", "y"]), (1, 2, "user", None, None)], "conv_id int, turn int, role string, text string, shown array<string>")
+    assert {r.turn: r.history for r in dialog.with_history(t).collect()}[2] == "Khách: hi\nBạn: two\n  (đã hiện cho khách: 1. x; 2. y)"
+
+
+def test_answers(spark):
+    schema = "query int, rank int, name string, grp string, rating double, votes long, reasons array<struct<block:string,label:string>>"
+    r = spark.createDataFrame([(1, 1, "Oud", "G", 4.256, 12345, [("note", "rose"), ("occ", "night")]), (1, 2, "B", "G", None, None, None), (1, 3, "C", None, None, None, None), (1, 4, "D", None, 1.0, 1, None), (2, 1, None, None, 3.0, 7, None)], schema)
+    got = {x.query: x.answer for x in dialog.answers(r, spark.createDataFrame([(1,), (2,), (3,)], "query int")).collect()}
+    assert got[1] == (
+        "Mình nghĩ Oud của G là sát ý bạn nhất — note rose, hợp buổi tối. Chai này có 12.345 lượt đánh giá, trung bình 4.26/5 — khá nhiều người đã dùng. "
+        "Cùng hướng đó còn có B và C, bạn xem thử bên cạnh. Bạn thích mùi ngọt ấm hay khô nhẹ hơn?"
+    )
+    assert got[2].startswith("Mình nghĩ chai này là sát ý bạn nhất. Mới có 7 lượt đánh giá nên điểm 3.00/5") and got[3].startswith("Mình chưa tìm được")
+
+
+def test_directory_order_and_json(spark):
+    df = spark.createDataFrame([("b", "Zed"), (None, "a"), ("b", "alpha"), ("a", None)], "letter string, name string")
+    assert [tuple(r) for r in silver.in_directory_order(df, "letter", "name").collect()] == [("a", None), ("b", "alpha"), ("b", "Zed"), (None, "a")]
+    texts = [('x {"a": {"b": 1}} y', '{"a": {"b": 1}}'), ("no", None), ("{broken", None), ("{a} {", None), ("", None)]
+    j = spark.createDataFrame(texts, "t string, want string").withColumn("got", dialog.json_object(F.col("t")))
+    assert all(r.got == r.want for r in j.collect())
