@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -10,6 +9,8 @@ from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from larkspur.sources.scratch import shared_dir
+
 
 def bounded_batches(spark: SparkSession) -> None:
     """Arrow batches of at most 8 MB, so that a task's memory does not follow the length of texts."""
@@ -22,26 +23,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-_local: dict[str, str] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder of `spark.checkpoint.dir`; in a local session without one, a temporary folder.
-
-    Raises on a cluster whose sessions name no shared folder: a machine-local folder would
-    not be seen by the other executors.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    if context.applicationId not in _local:
-        _local[context.applicationId] = tempfile.mkdtemp(prefix="spark-larkspur-")
-    return _local[context.applicationId]
-
-
 _scratch: ContextVar[str | None] = ContextVar("scratch", default=None)
 
 
