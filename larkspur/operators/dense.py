@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import Protocol
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 # The words of the document sentence.
 SEASON_WORDS = {"winter": "mùa đông", "spring": "mùa xuân", "summer": "mùa hè", "fall": "mùa thu", "day": "ban ngày", "night": "buổi tối"}
 TOKEN = "[0-9a-zA-ZÀ-ỹ]+"
 DIMENSIONS = 64
-#: Query rows of a neighbour search are broadcast in blocks of at most so many.
-QUERY_BLOCK = 2000
+#: Rows of a block of queries and of items in a neighbour search.
+QUERY_BLOCK, ITEM_BLOCK = 1024, 4096
 
 
 class Embedder(Protocol):
@@ -107,39 +111,78 @@ def one_model(df: DataFrame, expected: str | None = None) -> str:
     return found[0]
 
 
-def dot(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
+def _packed(rows: DataFrame, size: int, name: str) -> DataFrame:
+    """Blocks of about `size` rows, each one row with an array of structs.  Hashes of whole rows deal them, so
+    that a repeated key makes no large block."""
+    blocks = max(1, -(-rows.count() // size))
+    block = F.pmod(F.xxhash64(*rows.columns), F.lit(blocks))
+    return rows.groupBy(block.alias("__block")).agg(F.collect_list(F.struct(*rows.columns)).alias(name)).drop("__block")
 
 
-def cosine(a: Column, b: Column) -> Column:
-    """0 where a vector is zero."""
-    return F.coalesce(dot(a, b) / F.nullif(F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)), F.lit(0.0)), F.lit(0.0))
+def _matrix(rows: pa.StructArray) -> np.ndarray:
+    """The rows' vectors to unit length; a null, empty or zero one stays zero."""
+    vectors = rows.field("embedding")
+    sizes = np.diff(vectors.offsets.to_numpy())
+    out = np.zeros((len(rows), max(1, int(sizes.max(initial=0)))))
+    out[np.arange(out.shape[1]) < sizes[:, None]] = vectors.flatten().to_numpy(zero_copy_only=False)
+    norm = np.sqrt((out * out).sum(1))
+    return out / np.where(norm > 0, norm, 1)[:, None]
 
 
-def nearest(queries: DataFrame, items: DataFrame, k: int = 10, exclude_own: bool = True, other_group: bool = False) -> DataFrame:
-    """The exact k nearest items of each query (query, embedding[, grp]) among items (item, embedding[, grp]).
+def _codes(left: pa.Array, right: pa.Array, nulls: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers that are equal where the values are; `nulls` are those of nulls on either side."""
+    both = pa.chunked_array([left, right]).combine_chunks()
+    codes = both.dictionary_encode().indices
+    at = len(left)
+    return tuple(pc.fill_null(part, null).to_numpy() for part, null in ((codes[:at], nulls[0]), (codes[at:], nulls[1])))
 
-    The stated queries go against all rows in broadcast blocks of bounded size; each task keeps k
-    rows per query before the shuffle.
-    """
-    n = queries.count()
-    q = queries.withColumn("norm", F.sqrt(dot(F.col("embedding"), F.col("embedding"))))
-    i = items.withColumn("inorm", F.sqrt(dot(F.col("embedding"), F.col("embedding"))))
-    out, parts = None, max(1, -(-n // QUERY_BLOCK))
-    for part in range(parts):
-        block = q.where(F.pmod(F.xxhash64("query"), F.lit(parts)) == part) if parts > 1 else q
-        a, b = F.broadcast(block).alias("a"), i.alias("b")
-        on = F.lit(True)
+
+def _best(k: int, exclude_own: bool, other_group: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def pair(q: pa.StructArray, i: pa.StructArray) -> pa.RecordBatch:
+        a, b = _matrix(q), _matrix(i)
+        width = min(a.shape[1], b.shape[1])
+        score = a[:, :width] @ b[:, :width].T
+        score = np.copysign(np.floor(np.abs(score) * 1e6 + 0.5) / 1e6, score) + 0.0
         if exclude_own:
-            on = on & (F.col("a.query") != F.col("b.item"))
+            x, y = _codes(q.field("query"), i.field("item"), (-1, -2))
+            score[x[:, None] == y] = -np.inf
         if other_group:
-            on = on & ~F.col("a.grp").eqNullSafe(F.col("b.grp"))
-        score = F.coalesce(dot(F.col("a.embedding"), F.col("b.embedding")) / F.nullif(F.col("a.norm") * F.col("b.inorm"), F.lit(0.0)), F.lit(0.0))
-        rows = b.join(a, on).select("a.query", "b.item", F.round(score, 6).alias("score"))
-        by = Window.partitionBy("query").orderBy(F.desc("score"), "item")
-        best = rows.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k)
-        out = best if out is None else out.union(best)
-    return out
+            x, y = _codes(q.field("grp"), i.field("grp"), (-1, -1))
+            score[x[:, None] == y] = -np.inf
+        place = np.empty(len(i), np.int64)
+        place[pc.sort_indices(i.field("item"), null_placement="at_start").to_numpy()] = np.arange(len(i))
+        of, item = [], []
+        for row, values in enumerate(score):
+            least = np.partition(values, -k)[-k] if len(values) > k else -np.inf
+            found = np.flatnonzero((values >= least) & (values > -np.inf))
+            found = found[np.lexsort((place[found], -values[found]))[:k]]
+            of.append(np.full(len(found), row))
+            item.append(found)
+        of, item = np.concatenate(of), np.concatenate(item)
+        return pa.RecordBatch.from_arrays([q.field("query").take(pa.array(of)), i.field("item").take(pa.array(item)), pa.array(score[of, item])], ["query", "item", "score"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for r in range(b.num_rows):
+                yield pair(b.column(0).slice(r, 1).flatten(), b.column(1).slice(r, 1).flatten())
+
+    return run
+
+
+def nearest(queries: DataFrame, items: DataFrame, k: int = 10, exclude_own: bool = True, other_group: bool = False) -> DataFrame:
+    """The exact k nearest items of each query (query, embedding[, grp]) among items (item, embedding[, grp]):
+    query, item, score (cosine to six digits), rank; of equal scores the smaller item comes first.
+
+    The stated queries go against all rows in pairs of blocks, each pair one matrix product that keeps k
+    rows a query; no block is sent to all tasks, and a pair holds no more than its two blocks.
+    """
+    group = ["grp"] if other_group else []
+    q = _packed(queries.select("query", "embedding", *group), QUERY_BLOCK, "q")
+    i = _packed(items.select("item", "embedding", *group), ITEM_BLOCK, "i")
+    types = StructType([StructField("query", queries.schema["query"].dataType), StructField("item", items.schema["item"].dataType), StructField("score", DoubleType())])
+    rows = q.crossJoin(i).mapInArrow(_best(k, exclude_own, other_group), types)
+    by = Window.partitionBy("query").orderBy(F.desc("score"), "item")
+    return rows.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k)
 
 
 def having_axis(results: DataFrame, axes: DataFrame, wanted: list[str], least: float = 50.0) -> DataFrame:

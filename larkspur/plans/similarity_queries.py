@@ -297,11 +297,12 @@ def vector_centroids(spark, d):
     return _six(c.select("grp", F.posexplode("embedding").alias("place", "v")).withColumn("place", F.col("place").cast("long")), "v")
 
 
-@query("""WITH c AS (SELECT label, list(v ORDER BY place) AS e FROM (SELECT label, place, avg(v::DOUBLE) AS v FROM (SELECT label, unnest(embedding) AS v, generate_subscripts(embedding, 1) AS place FROM embeddings) GROUP BY 1, 2) GROUP BY 1)
-SELECT a.label AS query, b.label AS item, round(list_cosine_similarity(a.e, b.e) * 1e4) / 1e4 AS score FROM c a, c b WHERE a.label <> b.label""")
+@query("""WITH c AS (SELECT label, list(v ORDER BY place) AS e FROM (SELECT label, place, avg(v::DOUBLE) AS v FROM (SELECT label, unnest(embedding) AS v, generate_subscripts(embedding, 1) AS place FROM embeddings) GROUP BY 1, 2) GROUP BY 1),
+s AS (SELECT a.label AS query, b.label AS item, round(list_cosine_similarity(a.e, b.e), 6) AS score FROM c a, c b WHERE a.label <> b.label)
+SELECT query, item, round(score * 1e4) / 1e4 AS score FROM s QUALIFY row_number() OVER (PARTITION BY query ORDER BY score DESC, item) <= 5""")
 def near_groups(spark, d):
-    c = dense.group_centroids(_vectors(spark, d)[1])
-    return dense.near_groups(c, 1000).select("query", "item", rounded(F.col("score"), 4).alias("score"))
+    c = stored(dense.group_centroids(_vectors(spark, d)[1]), "centroids")
+    return dense.near_groups(c, 5).select("query", "item", rounded(F.col("score"), 4).alias("score"))
 
 
 @query()
