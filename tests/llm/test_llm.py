@@ -902,3 +902,34 @@ def test_stages_take_empty_tables_and_extra_columns(spark):
             out = stage(spark, docs, SF)
             assert name and set(docs.columns) <= set(out.columns)
             assert out.count() <= docs.count()
+
+
+def test_stages_with_repeated_and_null_ids(spark):
+    import corpus_pipeline as cp
+
+    same = " ".join(f"w{k}" for k in range(40))
+    near, other = same[:-3] + "zz", " ".join(f"v{k}" for k in range(40))
+    rows = [(5, same), (5, same), (3, near), (7, other), (7, other), (7, "own words"), (None, same), (None, same), (None, None), (None, None), (8, None), (8, ""), (9, "")]
+    docs = spark.createDataFrame([(k, t, "en", "x", 1) for k, t in rows], "doc_id long, text string, lang string, source string, n_chars int")
+    out = cp.one_of_each_group(spark, docs, SF)
+    got = sorted(((r.doc_id, r.text) for r in out.collect()), key=repr)
+    assert out.columns == docs.columns
+    assert got == sorted([(3, near), (7, other), (7, "own words"), (None, same), (None, None), (8, None), (8, ""), (9, "")], key=repr)
+    for name, stage in cp.STAGES:
+        if name != "ngram_jaccard":
+            kept = stage(spark, docs, SF)
+            assert kept.count() == len(rows) and [f.dataType for f in kept.schema.fields[:5]] == [f.dataType for f in docs.schema.fields]
+
+
+def test_long_texts_over_spark(spark):
+    """Chat turns, joins and tokens of texts of a million characters."""
+    rng = random.Random(9)
+    long = " ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(150_000))
+    other = long.replace("a", "b", 50)
+    chats = spark.createDataFrame([(1, 0, "user", long), (1, 1, "assistant", "### " + long)], "conv_id long, turn long, role string, text string")
+    r = chat.read_back(chat.format_turns(chats)).first()
+    assert r.n_turns == 2 and r.loss_chars == len(long) + 4 and r.loss_sha256 == hashlib.sha256(("### " + long).encode()).hexdigest()
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_components(docs_of(spark, [long, other, "x y z w"])).collect()}
+    assert got[0] == (len(shingles_of(long, 3)), 0) and got[1][1] == 0 and got[2] == (2, 2)
+    row = fingerprints.edited_likeness(docs_of(spark, [long, other])).orderBy("doc_id").first()
+    assert row.n_chars == len(long) and row.near_next > 0.9
