@@ -195,19 +195,16 @@ def _cross(rule: Rule):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, rows = None, []
         for b in batches:
-            key, cell = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            cols = [b.column(i).to_numpy(zero_copy_only=False) for i in (2, 3, 4, 5)]
-            bits = np.empty(len(key), object)
-            bits[:] = b.column(6).to_pylist()
-            cut = np.concatenate(([0], np.flatnonzero((key[1:] != key[:-1]) | (cell[1:] != cell[:-1])) + 1, [len(key)]))
-            for s, e in zip(cut[:-1], cut[1:]):
-                if s == e:
-                    continue
-                if rows and (key[s], cell[s]) != last:
+            for r in range(b.num_rows):
+                key, cell, side = (b.column(c)[r].as_py() for c in range(3))
+                if rows and (key, cell) != last:
                     yield from group(rows)
                     rows = []
-                last = key[s], cell[s]
-                rows.append([*(c[s:e] for c in cols), bits[s:e]])
+                last, members = (key, cell), b.column(3).slice(r, 1).flatten()
+                bits = np.empty(len(members), object)
+                bits[:] = members.field("bits").to_pylist()
+                ids, n, comp = (members.field(c).to_numpy() for c in ("id", "n", "comp"))
+                rows.append([ids, n, comp, np.full(len(ids), side), bits])
         if rows:
             yield from group(rows)
 
@@ -295,16 +292,18 @@ def _open(rest: DataFrame, found: DataFrame) -> DataFrame:
     return materialize(tagged.join(_few(size), "key"), "rest")
 
 
-def _cells(rest: DataFrame) -> DataFrame:
-    """The rows of each group once for each pair of blocks that they take part in: key, cell, id, comp, side
-    (0 and 1 for the blocks of a pair, -1 if it is one block with itself)."""
+def _cells(rest: DataFrame, bits: DataFrame) -> DataFrame:
+    """The blocks of each group, packed into one row each, once for each pair of blocks that they take part
+    in: key, cell, side (0 and 1 for the blocks of a pair, -1 if it is one block with itself), members."""
     block = F.least(F.greatest(F.lit(float(BLOCK)), F.col("size") / PARTS), F.lit(float(MOST)))
     parts = F.ceil(F.col("size") / block).cast("long")
-    rows = rest.select("key", "id", "comp", parts.alias("parts"), F.pmod(F.xxhash64("id", "key"), parts).alias("block"))
-    rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    rows = rest.select("key", "id", "comp", parts.alias("parts")).join(bits, "id")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("id", "key"), F.col("parts")))
+    packed = rows.groupBy("key", "parts", "block").agg(F.collect_list(F.struct("id", "n", "comp", "bits")).alias("members"))
+    packed = packed.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     cell = F.least("block", "with") * F.col("parts") + F.greatest("block", "with")
     side = F.when(F.col("block") == F.col("with"), -1).when(F.col("block") < F.col("with"), 0).otherwise(1)
-    return rows.select("key", cell.alias("cell"), "id", "comp", side.cast("long").alias("side"))
+    return packed.select("key", cell.alias("cell"), side.cast("long").alias("side"), "members")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule: Rule = Rule()) -> DataFrame:
@@ -349,8 +348,7 @@ def _components(docs: DataFrame, rule: Rule) -> DataFrame:
         led_by = heads.select("key", F.col("head").alias("id"))
         rest = _open(rest.join(_few(led_by), ["key", "id"], "left_anti"), found)
 
-    cross = _cells(rest).join(bits, "id").select("key", "cell", "id", "n", "comp", "side", "bits")
-    cross = cross.repartition("key", "cell").sortWithinPartitions("key", "cell").mapInArrow(_cross(rule), "a long, b long")
+    cross = _cells(rest, bits).repartition("key", "cell").sortWithinPartitions("key", "cell").mapInArrow(_cross(rule), "a long, b long")
     cross = materialize(cross.distinct().join(done, ["a", "b"], "left_anti"), "cross")
     more = _verified(cross, docs, rule)
     if not more.isEmpty():
