@@ -117,7 +117,8 @@ def with_next(df: DataFrame, id_col: str, carry: list[str]) -> DataFrame:
     """
     nexts = [f"next_{c}" for c in carry]
     kept = [c for c in df.columns if c not in nexts]
-    rows = df.select(F.struct(*kept).alias("__row"), F.col(id_col).cast("long").alias("__id"))
+    own = {c: f"__own_{k}" for k, c in enumerate(kept)}  # plain columns: a window would copy parts of a struct
+    rows = df.select(*(F.col(c).alias(n) for c, n in own.items()), F.col(id_col).cast("long").alias("__id"))
     ids = rows.select("__id").where("__id is not null")
     bucket = _bucket(ids)
     if bucket is None:
@@ -128,13 +129,13 @@ def with_next(df: DataFrame, id_col: str, carry: list[str]) -> DataFrame:
     firsts = firsts.select("__first", F.coalesce(before, last).alias("__before"), before.isNull().alias("__wraps"))
     rows = rows.join(F.broadcast(firsts), F.col("__id") == F.col("__first"), "left")
     place = lambda at, copy, wraps: F.struct(at.alias("bucket"), copy.alias("copy"), wraps.alias("wraps"))
-    own = place(bucket, F.lit(False), F.lit(False))
+    here = place(bucket, F.lit(False), F.lit(False))
     copy = F.when(F.col("__first").isNotNull(), place(F.col("__before"), F.lit(True), F.col("__wraps")))
-    rows = rows.select("__row", "__id", F.explode(F.array_compact(F.array(own, copy))).alias("__place"))
-    look = Window.partitionBy("__place.bucket").orderBy("__place.wraps", "__id", "__place.copy", *(F.col("__row")[c] for c in carry))
-    ahead = {f"__{n}": F.when(F.col("__id").isNotNull(), F.lead(F.col("__row")[c]).over(look)) for c, n in zip(carry, nexts)}
-    rows = rows.withColumns(ahead).where("not __place.copy")
-    return rows.select(*(F.col("__row")[c].alias(c) for c in kept), *(F.col(f"__{n}").alias(n) for n in nexts))
+    rows = rows.select(*own.values(), "__id", F.inline(F.array_compact(F.array(here, copy))).alias("__bucket", "__copy", "__wraps"))
+    look = Window.partitionBy("__bucket").orderBy("__wraps", "__id", "__copy", *(own[c] for c in carry))
+    ahead = {f"__{n}": F.when(F.col("__id").isNotNull(), F.lead(own[c]).over(look)) for c, n in zip(carry, nexts)}
+    rows = rows.withColumns(ahead).where("not __copy")
+    return rows.select(*(F.col(n).alias(c) for c, n in own.items()), *(F.col(f"__{n}").alias(n) for n in nexts))
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, k: int = K) -> DataFrame:
