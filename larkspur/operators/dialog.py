@@ -105,7 +105,7 @@ def merged(turns: DataFrame) -> DataFrame:
     first = F.lag("segment").over(order).eqNullSafe(F.col("segment"))
     t = t.withColumns({f"__{c}": F.when(first, fresh(c)).otherwise(F.coalesce(F.col(c), none)) for c in ("tags", "attributes")})
     union = lambda c: F.array_distinct(F.flatten(F.collect_list(F.when(F.size(f"__{c}") > 0, F.col(f"__{c}"))).over(so_far)))
-    said = F.collect_list(F.substring(F.nullif(F.col("text"), F.lit("")), 1, MAX_TEXT)).over(so_far)
+    said = F.collect_list(F.nullif(F.col("text"), F.lit(""))).over(so_far)
     text = F.substring(F.trim(F.concat_ws(" ", said)), 1, MAX_TEXT)
     last = lambda value: F.last(value, ignorenulls=True).over(so_far)
     return t.select(
