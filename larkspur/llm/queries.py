@@ -101,6 +101,14 @@ QUERIES = {
     "op10_jaccard_join": op10_jaccard_join,
 }
 
+_EITHER_CASE = [*("".join(f"[{c}{c.upper()}]" for c in w) for w in ("password", "passwd", "secret", "token")), "[aA][pP][iI]_?[kK][eE][yY]"]
+_ASSIGN_SQL = f"(?:{'|'.join(_EITHER_CASE)})[\"'']? *[:=] *[\"'']?([A-Za-z0-9+/_.=-]+)"
+#: Patterns in the order of their kinds, and SQL for the length that counts; places come from the pieces between.
+_SECRET_SQL = "\nUNION ALL ".join(
+    f"SELECT doc_id, {k} AS o, '{kind}' AS kind, {least} AS least, '{counted}' AS counted, regexp_extract_all(t, '{pattern}') AS x, string_split_regex(t, '{pattern}') AS s FROM d"
+    for k, (kind, pattern, least, counted) in enumerate((("assign", _ASSIGN_SQL, 12, "value"), ("access", "AKIA[A-Z0-9]+", 18, "all"), ("hex", "[0-9a-f]+", 16, "all")))
+)
+
 #: DuckDB SQL for the queries that SQL can express on whole tables.
 ORACLE_SQL: dict[str, str] = {
     "op4_warc_bundles": """
@@ -111,6 +119,18 @@ ORACLE_SQL: dict[str, str] = {
                CASE WHEN k.kept <> p.page_id THEN k.kept END AS refers_to
         FROM p LEFT JOIN k ON p.payload_digest = k.payload_digest AND p.payload_bytes >= 1000
     """,
+    # the lexer's own spans are none on these tables; where it finds some, this differs in `spans` alone
+    "op6_secret_lexer": f"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), m AS ({_SECRET_SQL}),
+        u AS (SELECT doc_id, o, kind, least, counted, x, s, unnest(range(1, len(x) + 1)) AS i FROM m),
+        a AS (SELECT doc_id, o, kind, x[i] AS w, least, counted, list_sum(list_transform(s[1:i], lambda q: length(q))) + coalesce(list_sum(list_transform(x[1:i - 1], lambda q: length(q))), 0) AS start FROM u),
+        f AS (SELECT doc_id, o, kind, CAST(start AS BIGINT) AS start, CAST(start + length(w) AS BIGINT) AS stop FROM a
+              WHERE length(CASE counted WHEN 'value' THEN regexp_extract(w, '{_ASSIGN_SQL}', 1) ELSE w END) >= least),
+        g AS (SELECT doc_id, count(*) FILTER (o = 0) AS n_assign, count(*) FILTER (o = 1) AS n_access, count(*) FILTER (o = 2) AS n_hex,
+              string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, o) AS spans FROM f GROUP BY 1)
+        SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+               sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN g USING (doc_id)
+    """,
     "op8_chat_round_trip": r"""
         WITH t AS (
             SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
