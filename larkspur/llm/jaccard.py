@@ -341,7 +341,7 @@ def _components(docs: DataFrame, rule: Rule) -> DataFrame:
     while (n := rest.where(F.col("size") > SMALL).count()) and (before is None or n <= HELPS * before):
         before, large = n, rest.where(F.col("size") > SMALL)
         heads = _heads(large)
-        met = large.join(_few(heads), "key").where("comp <> own").select(F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b")).distinct()
+        met = _met(large, heads)
         pairs = _allowed(met.join(done, ["a", "b"], "left_anti"), bits, rule)
         done, links = done.union(pairs), links.union(_verified(pairs, docs, rule))
         found = components(links)
@@ -356,6 +356,15 @@ def _components(docs: DataFrame, rule: Rule) -> DataFrame:
     return _labelled(sigs, groups, found)
 
 
+def _met(large: DataFrame, heads: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each member with the heads of its group's other components, each pair once.  The few
+    heads of a group come to a member as one array."""
+    of_group = heads.groupBy("key").agg(F.collect_list(F.struct("own", "head")).alias("heads"))
+    rows = large.join(_few(of_group), "key").select("id", F.filter("heads", lambda h: h["own"] != F.col("comp"))["head"].alias("others"))
+    rows = rows.select("id", F.explode("others").alias("head"))
+    return rows.select(F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b")).distinct()
+
+
 def _heads(large: DataFrame) -> DataFrame:
     """(key, own, head): the least ids of the largest components of each group, LEADERS of them."""
     order = Window.partitionBy("key").orderBy(F.desc("n"), F.xxhash64("head"))
