@@ -30,18 +30,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
+from .joins import BROADCAST_IDS as BROADCAST_IDS
+from .joins import few, with_values
 from .shingles import U, mix, shingle_sets
 from .tables import materialize, scratch
 
-#: Broadcast the ids whose sets are fetched while there are at most so many (8 bytes each).
-BROADCAST_IDS = 1 << 20
 #: Groups of more members get rounds of so many new leaders, as long as a round leaves at most this share of their rows.
 SMALL, LEADERS, HELPS = 64, 8, 0.75
 #: Members of a large group are compared in pairs of blocks; there are up to PARTS blocks of BLOCK members or
 #: more, and more blocks than that once they would have MOST members.
 BLOCK, PARTS, MOST = 128, 64, 2048
-#: A key of more rows is hot: its value is broadcast while there are few such keys.
-HOT = 5_000
 
 
 @dataclass(frozen=True)
@@ -236,28 +234,6 @@ def _exact(rule: Rule):
     return run
 
 
-def _few(ids: DataFrame) -> DataFrame:
-    """The ids, to be broadcast if they are few; else their join shuffles."""
-    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-
-
-def _with_values(rows: DataFrame, values: DataFrame, keys: list[str]) -> DataFrame:
-    """`rows` left-joined with one row of `values` per key, which has the key's number of rows as size.
-
-    Few values are broadcast.  Of many, those of hot keys are broadcast, if they are few, and the
-    others meet their rows in a shuffle that the hot keys' rows take no part in.
-    """
-    if values.count() <= BROADCAST_IDS:
-        return rows.join(F.broadcast(values), keys, "left")
-    hot = values.where(F.col("size") > HOT)
-    if hot.count() > BROADCAST_IDS:
-        return rows.join(values, keys, "left")
-    known = rows.join(F.broadcast(hot), keys, "left")
-    cold = values.where(F.col("size") <= HOT)
-    others = known.where("size is null").select(rows.columns).join(cold, keys, "left")
-    return known.where("size is not null").unionByName(others)
-
-
 def _led(reps: DataFrame) -> DataFrame:
     """(leader, id): who shares a tile with whom, each tile under its least id; reps: id, keys."""
     rows = reps.select(F.explode("keys").alias("key"), "id")
@@ -265,14 +241,14 @@ def _led(reps: DataFrame) -> DataFrame:
     tiles = materialize(tiles.where("leader < last"), "tiles")
     # two members stand in the aggregate itself; only larger tiles are joined back
     pairs = tiles.where("size = 2").select("leader", F.explode(F.array("leader", "last")).alias("id"))
-    large = _with_values(rows, tiles.where("size > 2").select("key", "leader", "size"), ["key"])
+    large = with_values(rows, tiles.where("size > 2").select("key", "leader", "size"), ["key"])
     return materialize(pairs.union(large.where("leader is not null").select("leader", "id")).distinct(), "led")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
     """Those of `pairs` whose sets link, by intersecting the sets themselves."""
     ids = materialize(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "ids")
-    wanted = docs.join(_few(ids), "id", "left_semi")
+    wanted = docs.join(few(ids), "id", "left_semi")
     sets = materialize(wanted.mapInArrow(_set_rows(rule), "id long, hashes binary"), "sets")
     both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b").select("a", "b", "x", "y")
     return materialize(both.mapInArrow(_exact(rule), "a long, b long").distinct(), "linked")
@@ -289,7 +265,7 @@ def _open(rest: DataFrame, found: DataFrame) -> DataFrame:
     tagged = materialize(rest.select("key", "id").join(found, "id", "left").select("key", "id", F.coalesce("component", "id").alias("comp")), "tagged")
     size = tagged.groupBy("key").agg(F.count("*").alias("size"), F.min("comp").alias("least"), F.max("comp").alias("most"))
     size = materialize(size.where("least < most").select("key", "size"), "open")
-    return materialize(tagged.join(_few(size), "key"), "rest")
+    return materialize(tagged.join(few(size), "key"), "rest")
 
 
 def _cells(rest: DataFrame, bits: DataFrame) -> DataFrame:
@@ -325,10 +301,10 @@ def _components(docs: DataFrame, rule: Rule) -> DataFrame:
     groups = known.groupBy(*same).agg(F.min("id").alias("rep"), F.count("*").alias("size")).where("size > 1")
     groups = materialize(groups, "copies")
 
-    reps = _with_values(known.where("size(keys) > 0"), groups, same).where("rep is null or rep = id").select("id", "n", "keys", "bits")
+    reps = with_values(known.where("size(keys) > 0"), groups, same).where("rep is null or rep = id").select("id", "n", "keys", "bits")
     led = _led(reps)
     members = materialize(led.select("id").distinct(), "members")
-    bits = materialize(reps.join(_few(members), "id", "left_semi").select("id", "n", "bits").distinct(), "bits")
+    bits = materialize(reps.join(few(members), "id", "left_semi").select("id", "n", "bits").distinct(), "bits")
 
     star = led.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b"))
     done = _allowed(star, bits, rule)
@@ -346,7 +322,7 @@ def _components(docs: DataFrame, rule: Rule) -> DataFrame:
         done, links = done.union(pairs), links.union(_verified(pairs, docs, rule))
         found = components(links)
         led_by = heads.select("key", F.col("head").alias("id"))
-        rest = _open(rest.join(_few(led_by), ["key", "id"], "left_anti"), found)
+        rest = _open(rest.join(few(led_by), ["key", "id"], "left_anti"), found)
 
     cross = _cells(rest, bits).repartition("key", "cell").sortWithinPartitions("key", "cell").mapInArrow(_cross(rule), "a long, b long")
     cross = materialize(cross.distinct().join(done, ["a", "b"], "left_anti"), "cross")
@@ -360,7 +336,7 @@ def _met(large: DataFrame, heads: DataFrame) -> DataFrame:
     """Pairs (a, b) of each member with the heads of its group's other components, each pair once.  The few
     heads of a group come to a member as one array."""
     of_group = heads.groupBy("key").agg(F.collect_list(F.struct("own", "head")).alias("heads"))
-    rows = large.join(_few(of_group), "key").select("id", F.filter("heads", lambda h: h["own"] != F.col("comp"))["head"].alias("others"))
+    rows = large.join(few(of_group), "key").select("id", F.filter("heads", lambda h: h["own"] != F.col("comp"))["head"].alias("others"))
     rows = rows.select("id", F.explode("others").alias("head"))
     return rows.select(F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b")).distinct()
 
@@ -377,8 +353,8 @@ def _labelled(sigs: DataFrame, groups: DataFrame, found: DataFrame) -> DataFrame
     """(id, n, component) of every row: that of its group of copies, else that of its id, else its id."""
     rep = groups.join(found.withColumnRenamed("id", "rep"), "rep", "left")
     named = materialize(rep.select("n", "d1", "d2", "size", F.coalesce("component", "rep").alias("of_copies")), "named")
-    rows = _with_values(sigs.where("id is not null and n > 0").select("id", "n", "d1", "d2"), named, ["n", "d1", "d2"])
-    single = rows.where("of_copies is null").select("id", "n").join(_few(found), "id", "left")
+    rows = with_values(sigs.where("id is not null and n > 0").select("id", "n", "d1", "d2"), named, ["n", "d1", "d2"])
+    single = rows.where("of_copies is null").select("id", "n").join(few(found), "id", "left")
     single = single.select("id", "n", F.coalesce("component", "id"))
     without = sigs.where("id is null or n = 0").select("id", "n", F.col("id"))
     return rows.where("of_copies is not null").select("id", "n", "of_copies").union(single).union(without)

@@ -14,16 +14,19 @@ from .jaccard import jaccard_components
 from .secrets import as_text, base_only, count_of, found_secrets
 from .sharding import placed
 from .tables import materialize, table
+from .token_alignment import alignment
 from .toxicity import fit_machine, held_out, scored
+from .url_rules import LINK_HOST, LOWER, RULES, UPPER, Walk, judged
+from .vector_codes import compressed
 
 #: Names of the shards that op1 places documents in.
 SHARDS = [f"shard-{k:03d}" for k in range(64)]
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_shard_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,6 +91,18 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compressed(table(spark, sf_dir, "embeddings"))
+
+
+def op12_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged(table(spark, sf_dir, "pages"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op1_shard_table": op1_shard_table,
     "op2_html_main_text": op2_html_main_text,
@@ -99,6 +114,9 @@ QUERIES = {
     "op8_chat_round_trip": op8_chat_round_trip,
     "op9_bottom_k": op9_bottom_k,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_url_rules": op12_url_rules,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 _EITHER_CASE = [*("".join(f"[{c}{c.upper()}]" for c in w) for w in ("password", "passwd", "secret", "token")), "[aA][pP][iI]_?[kK][eE][yY]"]
@@ -109,6 +127,68 @@ _SECRET_SQL = "\nUNION ALL ".join(
     for k, (kind, pattern, least, counted) in enumerate((("assign", _ASSIGN_SQL, 12, "value"), ("access", "AKIA[A-Z0-9]+", 18, "all"), ("hex", "[0-9a-f]+", 16, "all")))
 )
 
+
+
+def _vector_code_sql(rounds: int = 2) -> str:
+    """Codebooks by rounds: nearest entry of each part, then floor of the mean; floor division of signed sums by hand."""
+    steps = """
+        WITH v AS (SELECT vec_id, label, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS e FROM embeddings
+                   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        p AS (SELECT vec_id, label, part, e[part * (len(e) // 16) + 1 : (part + 1) * (len(e) // 16)] AS x FROM v, range(16) AS r(part)),
+        b0 AS (SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, x AS c FROM p WHERE vec_id IN (SELECT vec_id FROM v ORDER BY 1 LIMIT 64))"""
+    for k in range(rounds + 1):
+        steps += f""",
+        a{k} AS MATERIALIZED (SELECT vec_id, label, part, x, arg_min(entry, d * 64 + entry) AS entry, min(d) AS d FROM (
+            SELECT p.*, entry, list_sum([CAST((i[1] - i[2]) * (i[1] - i[2]) AS BIGINT) FOR i IN list_zip(x, c)]) AS d FROM p JOIN b{k} USING (part)) GROUP BY ALL)"""
+        if k < rounds:
+            steps += f""",
+        m{k} AS (SELECT part, entry, i, CAST((s - ((s % n) + n) % n) // n AS BIGINT) AS c FROM (
+            SELECT part, entry, i, CAST(sum(x[i]) AS BIGINT) AS s, count(*) AS n FROM a{k}, range(1, len(x) + 1) AS r(i) GROUP BY ALL)),
+        n{k} AS (SELECT part, entry, list(c ORDER BY i) AS c FROM m{k} GROUP BY ALL),
+        b{k + 1} AS MATERIALIZED (SELECT part, entry, coalesce(n{k}.c, b{k}.c) AS c FROM b{k} LEFT JOIN n{k} USING (part, entry))"""
+    return steps + f""",
+        f AS (SELECT vec_id, label, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM a{rounds} GROUP BY ALL)
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+               (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) FROM b{rounds}) AS codebooks_sha256
+        FROM f
+    """
+
+
+def _url_rule_sql(walk: Walk = Walk()) -> str:
+    """Rules by a join with their table; each step of the walk is one aggregate."""
+    link = LINK_HOST.replace("'", "''")
+    rules = ", ".join(f"('{r.verdict}', '{r.host}', '{r.path}')" for r in RULES)
+    steps = f"""
+        WITH rules(verdict, rhost, rpath) AS (VALUES {rules}),
+        p AS (SELECT page_id, html, translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), '{UPPER}', '{LOWER}') AS host,
+              regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+        q AS (SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, html FROM p),
+        k AS (SELECT page_id, host, path, max_by(rhost || rpath, length(rhost || rpath)) AS rule, max_by(verdict, length(rhost || rpath)) AS said
+              FROM q LEFT JOIN rules ON ('.' || host) LIKE ('%.' || rhost) AND starts_with(path, rpath) GROUP BY page_id, host, path),
+        hosts AS (SELECT host, count(*) FILTER (said = 'allow') AS allowed, count(*) FILTER (said = 'block') AS blocked FROM k WHERE host <> '' GROUP BY 1),
+        l AS (SELECT host AS src, translate(unnest(regexp_extract_all(html, '{link}', 1)), '{UPPER}', '{LOWER}') AS dst FROM q WHERE host <> ''),
+        family AS (SELECT c.host AS a, d.host AS b FROM hosts c JOIN hosts d ON strpos(c.host, '.') > 0 AND d.host = substr(c.host, strpos(c.host, '.') + 1)),
+        e AS (SELECT DISTINCT * FROM (FROM l UNION ALL SELECT a, b FROM family UNION ALL SELECT b, a FROM family) WHERE src <> dst),
+        w AS (SELECT 'allow' AS kind, src AS host, dst FROM e UNION ALL SELECT 'block', dst, src FROM e),
+        g AS (SELECT kind, host, count(*) AS degree FROM w GROUP BY ALL),
+        s AS (SELECT CASE WHEN allowed > blocked THEN 'allow' ELSE 'block' END AS kind, host FROM hosts WHERE allowed <> blocked),
+        z AS (SELECT kind, host, {walk.mass} // count(*) OVER (PARTITION BY kind) AS seed FROM s),
+        n AS (SELECT kind, host, coalesce(seed, 0) AS seed, coalesce(degree, 0) AS degree FROM g FULL JOIN z USING (kind, host)),
+        r0 AS (SELECT kind, host, seed AS rank, degree FROM n)"""
+    for k in range(walk.steps):
+        steps += f""",
+        r{k + 1} AS MATERIALIZED (SELECT kind, host, CAST(sum(rank) AS BIGINT) AS rank, max(degree) AS degree FROM (
+            SELECT kind, host, seed * {100 - walk.damping} // 100 AS rank, degree FROM n
+            UNION ALL SELECT kind, dst, rank * {walk.damping} // (100 * degree), 0 FROM r{k} JOIN w USING (kind, host)) GROUP BY kind, host)"""
+    return steps + f""",
+        t AS (SELECT host, CAST(coalesce(sum(rank) FILTER (kind = 'allow'), 0) AS BIGINT) AS trust, CAST(coalesce(sum(rank) FILTER (kind = 'block'), 0) AS BIGINT) AS distrust
+              FROM r{walk.steps} GROUP BY 1)
+        SELECT page_id, host, path, rule, coalesce(said, CASE WHEN distrust > 0 AND distrust * {walk.den} >= (trust + distrust) * {walk.num} THEN 'block' ELSE 'allow' END) AS verdict,
+               coalesce(trust, 0) AS trust, coalesce(distrust, 0) AS distrust
+        FROM k LEFT JOIN t USING (host)
+    """
+
+
 #: DuckDB SQL for the queries that SQL can express on whole tables.
 ORACLE_SQL: dict[str, str] = {
     "op4_warc_bundles": """
@@ -158,4 +238,6 @@ ORACLE_SQL: dict[str, str] = {
         r(id, c) AS (SELECT a, b FROM e UNION SELECT r.id, e.b FROM r JOIN e ON e.a = r.c)
         SELECT doc_id, len(g) AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_id FROM s LEFT JOIN (SELECT id, min(c) AS m FROM r GROUP BY 1) ON id = doc_id
     """,
+    "op11_vector_codes": _vector_code_sql(),
+    "op12_url_rules": _url_rule_sql(),
 }

@@ -14,7 +14,7 @@ import numpy as np  # noqa: E402
 from conftest import SF  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from larkspur.llm import bpe, chat, decontaminate, fingerprints, html_text, jaccard, queries, secrets, sharding, shingles, tables, toxicity, warc  # noqa: E402
+from larkspur.llm import bpe, chat, decontaminate, fingerprints, html_text, jaccard, joins, queries, secrets, sharding, shingles, tables, toxicity, warc  # noqa: E402
 from larkspur.llm.components import components  # noqa: E402
 from larkspur.llm.tables import materialize, table  # noqa: E402
 
@@ -849,8 +849,8 @@ def test_jaccard_rows_that_share_an_id(spark):
 @pytest.mark.parametrize("ids,hot", [(-1, 3), (0, 10**6), (2, 3)])
 def test_jaccard_without_broadcasts(spark, monkeypatch, ids, hot):
     """The ways for many values: hot keys apart, or a plain shuffle."""
-    monkeypatch.setattr(jaccard, "BROADCAST_IDS", ids)
-    monkeypatch.setattr(jaccard, "HOT", hot)
+    monkeypatch.setattr(joins, "BROADCAST_IDS", ids)
+    monkeypatch.setattr(joins, "HOT", hot)
     texts = near_texts(8, 40, 8) + ["the same text in many rows of it"] * 9
     got = {r.doc_id: r.component_id for r in jaccard.jaccard_components(docs_of(spark, texts)).collect()}
     assert got == classes({k: shingles_of(t, 3) for k, t in enumerate(texts)}, 90, 100)
