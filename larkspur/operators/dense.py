@@ -185,6 +185,10 @@ def _best(k: int, exclude_own: bool, other_group: bool) -> Callable[[Iterator[pa
     return run
 
 
+def result_types(queries: DataFrame, item: DataType) -> StructType:
+    return StructType([StructField("query", queries.schema["query"].dataType), StructField("item", item), StructField("score", DoubleType())])
+
+
 def nearest(queries: DataFrame, items: DataFrame, k: int = 10, exclude_own: bool = True, other_group: bool = False) -> DataFrame:
     """The exact k nearest items of each query (query, embedding[, grp]) among items (item, embedding[, grp]):
     query, item, score (cosine to six digits), rank; of equal scores the smaller item comes first.
@@ -195,8 +199,7 @@ def nearest(queries: DataFrame, items: DataFrame, k: int = 10, exclude_own: bool
     group = ["grp"] if other_group else []
     q = _packed(queries.select("query", "embedding", *group), QUERY_BLOCK, "q")
     i = _packed(items.select("item", "embedding", *group), ITEM_BLOCK, "i")
-    types = StructType([StructField("query", queries.schema["query"].dataType), StructField("item", items.schema["item"].dataType), StructField("score", DoubleType())])
-    rows = q.crossJoin(i).mapInArrow(_best(k, exclude_own, other_group), types)
+    rows = q.crossJoin(i).mapInArrow(_best(k, exclude_own, other_group), result_types(queries, items.schema["item"].dataType))
     by = Window.partitionBy("query").orderBy(F.desc("score"), "item")
     return rows.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from larkspur.functions.exprs import rounded
-from larkspur.operators import dense, sparse
+from larkspur.operators import dense, postings, sparse, vector_index
 from larkspur.sources.scratch import stored
 
 from . import bind
@@ -74,8 +74,11 @@ def smell_vectors(spark, d):
     return _six(sparse.only_blocks(terms(spark, d)), "weight")
 
 
-def _own_queries(spark, d):
-    return terms(spark, d).where("item % 50 = 0").withColumnRenamed("item", "query")
+def _by_index(spark, d, **how):
+    all_ = stored(terms(spark, d), "terms")
+    own = all_.where("item % 50 = 0").withColumnRenamed("item", "query")
+    items = stored(bind.items(spark, d).select("item", "votes", "grp"), "items")
+    return postings.ranked(own, postings.index(all_), items, sparse.SELECTIVE, min_votes=5, **how)
 
 
 _RANK = """cand AS (SELECT DISTINCT q.item AS query, t.item FROM terms q JOIN terms t USING (block, label) WHERE q.item % 50 = 0 AND block IN ('acc', 'note', 'fam')),
@@ -86,17 +89,15 @@ rk AS (SELECT query, item, score, row_number() OVER (PARTITION BY query ORDER BY
 
 @query(with_(*ALL, _RANK) + "SELECT query, item, round(score * 1e6) / 1e6 AS score, rank FROM rk WHERE rank <= 10")
 def similar_items(spark, d):
-    """Every item whose key divides by 50 against all items."""
-    i = bind.items(spark, d).select("item", "votes", "grp")
-    rows = sparse.ranked(_own_queries(spark, d), terms(spark, d), i, min_votes=5, exclude_own=True)
+    """Every item whose key divides by 50 against all items, by the index."""
+    rows = _by_index(spark, d, exclude_own=True)
     return _six(rows.select("query", "item", "score", F.col("rank").cast("long").alias("rank")), "score")
 
 
 @query(with_(*ALL, _RANK.replace("WHERE query <> item AND", "JOIN (SELECT item AS query, grp AS own FROM items) USING (query) WHERE grp IS DISTINCT FROM own AND")) + "SELECT query, item, round(score * 1e6) / 1e6 AS score FROM rk WHERE rank <= 10")
 def similar_items_other_group(spark, d):
-    i = bind.items(spark, d).select("item", "votes", "grp")
-    own = i.select(F.col("item").alias("query"), "grp")
-    return _six(sparse.ranked(_own_queries(spark, d), terms(spark, d), i, min_votes=5, other_group=own).select("query", "item", "score"), "score")
+    own = bind.items(spark, d).select(F.col("item").alias("query"), "grp")
+    return _six(_by_index(spark, d, other_group=own).select("query", "item", "score"), "score")
 
 
 @query(with_(*ALL, _RANK) + """SELECT query, item, block, label, round(p * 1e6) / 1e6 AS product FROM (
@@ -104,7 +105,8 @@ SELECT rk.query, rk.item, block, label, q.weight * t.weight AS p, row_number() O
 FROM rk JOIN terms q ON q.item = rk.query JOIN terms t USING (block, label) WHERE t.item = rk.item AND rank <= 10) WHERE place <= 3""")
 def explained_scores(spark, d):
     """The three largest terms of every result of every item whose key divides by 50."""
-    own, all_ = _own_queries(spark, d), stored(terms(spark, d), "terms")
+    all_ = stored(terms(spark, d), "terms")
+    own = all_.where("item % 50 = 0").withColumnRenamed("item", "query")
     page = sparse.ranked(own, all_, bind.items(spark, d).select("item", "votes", "grp"), min_votes=5, exclude_own=True)
     parts = sparse.page_contributions(page.select("query", "item"), own, all_)
     return _six(sparse.explained(parts, 3).select("query", "item", "block", "label", "product"), "product")
@@ -273,6 +275,35 @@ def nearest_vectors(spark, d):
     return _ranks(dense.nearest(*_vectors(spark, d)))
 
 
+_RECALL = """WITH r AS ({}) SELECT count(*) AS n_expected, true AS reached FROM r"""
+
+
+def _recall(found, exact):
+    rows = vector_index.recall(found, exact)
+    return rows.select("n_expected", (F.col("recall") >= 0.9).alias("reached"))
+
+
+@query(_RECALL.format(_KNN.format("q.vec_id <> i.vec_id")))
+def indexed_recall(spark, d):
+    """Whether the coarse index finds 0.9 of the exact neighbours."""
+    q, e = _vectors(spark, d)
+    return _recall(vector_index.nearest(q, vector_index.index(e)), dense.nearest(q, e))
+
+
+@query(_RECALL.format(_KNN.format("q.vec_id <> i.vec_id AND q.label IS DISTINCT FROM i.label")))
+def indexed_recall_other_group(spark, d):
+    q, e = _vectors(spark, d)
+    return _recall(vector_index.nearest(q, vector_index.index(e), other_group=True), dense.nearest(q, e, other_group=True))
+
+
+@query(_KNN.format("q.vec_id <> i.vec_id"))
+def indexed_nearest_all_lists(spark, d):
+    """With every list probed the index gives the exact neighbours."""
+    q, e = _vectors(spark, d)
+    found = vector_index.index(e)
+    return _ranks(vector_index.nearest(q, found, probes=len(found.centroids)))
+
+
 @query(_KNN.format("q.vec_id <> i.vec_id AND q.label IS DISTINCT FROM i.label"))
 def nearest_vectors_other_group(spark, d):
     return _ranks(dense.nearest(*_vectors(spark, d), other_group=True))
