@@ -12,10 +12,12 @@ because it has few documents.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
-from collections import Counter
-from collections.abc import Iterator
-from dataclasses import dataclass
+import re
+from array import array
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -26,11 +28,12 @@ from .tables import materialize
 
 #: Texts are tokenised in groups of about so many characters.
 GROUP_CHARS = 1 << 20
-#: Bytes of windows that a task keeps, and what one has besides its texts.
-KEPT, _ENTRY = 64 << 20, 500
+#: Bytes of windows and of groups that a task keeps, and what one has besides its texts.
+KEPT, KEPT_GROUPS, _ENTRY = 96 << 20, 32 << 20, 420
 #: Most pairs whose counts are broadcast (17 bytes each).
 BROADCAST_PAIRS = 1 << 20
 _SPACE_MARK = "▁"
+_LONG_SPACE = re.compile(r"\s{10000}")
 _aligners: dict[tuple[str, str], "Aligner"] = {}
 
 
@@ -41,40 +44,85 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(other)}
 
 
-@dataclass(eq=False, slots=True)
-class Window:
-    """What a window's tokens amount to: its groups as text, how many, and its distinct pairs with their links."""
+#: Fixed value: the pattern that byte-level vocabularies cut texts by before merging.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def ranked_encoder(path: str) -> Callable[[list[str]], list[list[int]]] | None:
+    """An encoder of a byte-level vocabulary whose ids ascend with its merges, which gives the same ids in a
+    third of the time; None for any other file."""
+    import tiktoken
+
+    with open(path, encoding="utf-8") as f:
+        file = json.load(f)
+    before, model = file.get("pre_tokenizer") or {}, file["model"]
+    plain = before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space") and not file.get("normalizer")
+    options = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "fuse_unk", "byte_fallback", "ignore_merges")
+    if not plain or any(model.get(k) for k in options):
+        return None
+    letters, vocabulary = byte_letters(), model["vocab"]
+    merged = ["".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+    special = {t["content"] for t in file.get("added_tokens", [])}
+    if [vocabulary.get(m) for m in merged] != list(range(256, 256 + len(merged))):
+        return None
+    ranks = {bytes(letters[c] for c in t): i for t, i in vocabulary.items() if t not in special}
+    if sorted(ranks.values()) != list(range(256 + len(merged))):
+        return None
+    encoding = tiktoken.Encoding("byte-level", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return lambda texts: [encoding.encode_ordinary(t) for t in texts]
+
+
+class Window(NamedTuple):
+    """What a window's tokens amount to: its groups as text, how many, and the id pairs of its links as int64."""
 
     text: bytes
     groups: int
-    pairs: np.ndarray
-    links: np.ndarray
+    pairs: bytes
 
 
-def aligned(a: list[int], b: list[int], len_a: list[int], len_b: list[int]) -> Window:
-    """Groups and links of two runs of tokens over the same bytes; len_*: bytes of each token.
+def linked(a: list[int], b: list[int], len_a: list[int], len_b: list[int]) -> Window:
+    """A group: two runs of tokens over the same bytes, with no other end in common; len_*: bytes of each token.
 
-    A group ends where both end a token.  Two tokens are linked if their bytes overlap: going along both,
-    each step links the present two and passes the one that ends first, or both.
+    Two tokens are linked if their bytes overlap: going along both, each step links the present two and passes
+    the one that ends first.
     """
-    groups, links = [], Counter()
-    i = k = first_i = first_k = 0
+    links = [a[0] << 32 | b[0]]
+    i = k = 0
     end_a, end_b = len_a[0], len_b[0]
-    while True:
-        links[a[i] << 32 | b[k]] += 1
-        if end_a == end_b:
-            groups.append(",".join(map(str, a[first_i : i + 1])) + "|" + ",".join(map(str, b[first_k : k + 1])))
-            i, k = i + 1, k + 1
-            if i == len(a):
-                break
-            first_i, first_k, end_a, end_b = i, k, end_a + len_a[i], end_b + len_b[k]
-        elif end_a < end_b:
+    while end_a != end_b:
+        if end_a < end_b:
             i += 1
             end_a += len_a[i]
         else:
             k += 1
             end_b += len_b[k]
-    return Window(";".join(groups).encode(), len(groups), np.fromiter(links, np.int64), np.fromiter(links.values(), np.int64))
+        links.append(a[i] << 32 | b[k])
+    text = ",".join(map(str, a)) + "|" + ",".join(map(str, b))
+    return Window(text.encode(), 1, array("q", links).tobytes())
+
+
+class _Kept(dict):
+    """Windows by their ids, bounded in bytes: what was used lately stays, in two generations."""
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.half, self.size, self.old = most // 2, 0, {}
+
+    def __missing__(self, key: tuple[bytes, bytes]) -> Window | None:
+        found = self.old.get(key)
+        if found is not None:
+            self.keep(key, found)
+        return found
+
+    def keep(self, key: tuple[bytes, bytes], window: Window) -> None:
+        size = _ENTRY + len(key[0]) + len(key[1]) + len(window.text) + len(window.pairs)
+        if size > self.half // 8:  # a long run without spaces is not met again
+            return
+        if self.size + size > self.half:
+            self.old, self.size = dict(self), 0
+            self.clear()
+        self[key] = window
+        self.size += size
 
 
 class Aligner:
@@ -85,23 +133,31 @@ class Aligner:
         import sentencepiece
         from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_file(byte_bpe)
-        self.a.no_truncation()
-        self.a.no_padding()
-        self.a.encode_special_tokens = True
+        tokenizer = Tokenizer.from_file(byte_bpe)
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
+        tokenizer.encode_special_tokens = True
+        self.whole = lambda texts: [x.ids for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        self.ranked = ranked_encoder(byte_bpe) or self.whole
         self.b = sentencepiece.SentencePieceProcessor(model_file=piece_bpe)
         letters = byte_letters()
-        n = self.a.get_vocab_size(with_added_tokens=True)
-        self.bytes_a = [bytes(letters[c] for c in self.a.id_to_token(t) or "" if c in letters) for t in range(n)]
+        n = tokenizer.get_vocab_size(with_added_tokens=True)
+        self.bytes_a = [bytes(letters[c] for c in tokenizer.id_to_token(t) or "" if c in letters) for t in range(n)]
         self.bytes_b = [self._piece(t) for t in range(self.b.get_piece_size())]
         self.len_a, self.len_b = (np.array([len(x) for x in side], np.int64) for side in (self.bytes_a, self.bytes_b))
+        self.sizes_a, self.sizes_b = self.len_a.tolist(), self.len_b.tolist()
         self.marked_a, self.marked_b = (np.array([x[:1] == b" " for x in side]) for side in (self.bytes_a, self.bytes_b))
         #: Windows of the texts, and how many of them were aligned anew.
         self.windows = self.fresh = 0
         self.release()
 
     def release(self) -> None:
-        self.kept, self.size = {}, 0
+        self.kept, self.groups = _Kept(KEPT), _Kept(KEPT_GROUPS)
+
+    def encode_a(self, texts: list[str]) -> list[list[int]]:
+        """Ids of the byte-level side.  The faster encoder's pattern has bounded steps, so texts with very long runs
+        of white space go to the other one."""
+        return [(self.whole if _LONG_SPACE.search(t) else self.ranked)([t])[0] for t in texts]
 
     def _piece(self, t: int) -> bytes:
         piece = self.b.id_to_piece(t)
@@ -110,7 +166,7 @@ class Aligner:
     def tokens(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
         """Both id lists of each text; two empty ones where either side's bytes are not those of the text."""
         spaced = [" " + t for t in texts]
-        a = [x.ids for x in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
+        a = self.encode_a(spaced)
         b = self.b.encode(texts, num_threads=1)
         none: tuple[list[int], list[int]] = ([], [])
         return [(x, y) if t and self._same(x, y, s.encode()) else none for t, s, x, y in zip(texts, spaced, a, b)]
@@ -118,43 +174,54 @@ class Aligner:
     def _same(self, a: list[int], b: list[int], data: bytes) -> bool:
         return b"".join(map(self.bytes_a.__getitem__, a)) == data and b"".join(map(self.bytes_b.__getitem__, b)) == data
 
-    def anchors(self, a: np.ndarray, b: np.ndarray) -> tuple[list[int], list[int]]:
-        """Where windows begin and end, as indexes of tokens on both sides."""
+    def cuts(self, a: np.ndarray, b: np.ndarray) -> tuple[list[int], list[int], list[int]]:
+        """Indexes of both sides' tokens where groups begin, closed by the ends, and which of them begin windows.
+
+        A group begins after an end that both sides have, a window where both go on with a space-marked token.
+        """
         end_a, end_b = np.cumsum(self.len_a[a]), np.cumsum(self.len_b[b])
         is_a, is_b = (np.zeros(int(end_a[-1]) + 1, bool) for _ in range(2))
         is_a[end_a], is_b[end_b] = True, True
-        # the next tokens of the ends that both have, the last end left out
-        next_a, next_b = np.flatnonzero(is_b[end_a])[:-1] + 1, np.flatnonzero(is_a[end_b])[:-1] + 1
-        marked = self.marked_a[a[next_a]] & self.marked_b[b[next_b]]
-        return [0, *next_a[marked].tolist(), len(a)], [0, *next_b[marked].tolist(), len(b)]
+        next_a, next_b = np.flatnonzero(is_b[end_a]) + 1, np.flatnonzero(is_a[end_b]) + 1
+        anchor = self.marked_a[a[next_a[:-1]]] & self.marked_b[b[next_b[:-1]]]
+        return [0, *next_a.tolist()], [0, *next_b.tolist()], [0, *(np.flatnonzero(anchor) + 1).tolist(), len(next_a)]
 
     def align(self, a_ids: list[int], b_ids: list[int]) -> list[Window]:
         """The windows of a document in order."""
         a, b = np.array(a_ids, np.int32), np.array(b_ids, np.int32)
-        at_a, at_b = self.anchors(a, b)
+        at_a, at_b, begin = self.cuts(a, b)
         data_a, data_b = a.tobytes(), b.tobytes()
-        out = []
-        i = k = 0
-        for j, m in zip(at_a[1:], at_b[1:]):
-            key = (data_a[4 * i : 4 * j], data_b[4 * k : 4 * m])
-            found = self.kept.get(key)
+        kept, out = self.kept, []
+        i = k = first = 0
+        for last in begin[1:]:
+            j, m = 4 * at_a[last], 4 * at_b[last]
+            key = (data_a[i:j], data_b[k:m])
+            found = kept[key]
             if found is None:
-                found = aligned(a_ids[i:j], b_ids[k:m], self.len_a[a[i:j]].tolist(), self.len_b[b[k:m]].tolist())
-                self._keep(key, found)
+                found = self._composed(at_a[first : last + 1], at_b[first : last + 1], data_a, data_b)
+                kept.keep(key, found)
                 self.fresh += 1
             out.append(found)
-            i, k = j, m
+            i, k, first = j, m, last
         self.windows += len(out)
         return out
 
-    def _keep(self, key: tuple[bytes, bytes], window: Window) -> None:
-        size = _ENTRY + len(key[0]) + len(key[1]) + len(window.text) + 2 * window.pairs.nbytes
-        if size > KEPT // 8:  # a long run without spaces is not met again
-            return
-        if self.size + size > KEPT:
-            self.release()
-        self.kept[key] = window
-        self.size += size
+    def _composed(self, at_a: list[int], at_b: list[int], data_a: bytes, data_b: bytes) -> Window:
+        """A window of its groups, which many windows have in common."""
+        groups, parts = self.groups, []
+        i, k = 4 * at_a[0], 4 * at_b[0]
+        for j, m in zip(at_a[1:], at_b[1:]):
+            key = (data_a[i : 4 * j], data_b[k : 4 * m])
+            found = groups[key]
+            if found is None:
+                a, b = array("i", key[0]).tolist(), array("i", key[1]).tolist()
+                found = linked(a, b, [self.sizes_a[t] for t in a], [self.sizes_b[t] for t in b])
+                groups.keep(key, found)
+            parts.append(found)
+            i, k = 4 * j, 4 * m
+        if len(parts) == 1:
+            return parts[0]
+        return Window(b";".join([p.text for p in parts]), len(parts), b"".join([p.pairs for p in parts]))
 
 
 def aligner(byte_bpe: str, piece_bpe: str) -> Aligner:
@@ -166,15 +233,7 @@ def aligner(byte_bpe: str, piece_bpe: str) -> Aligner:
 
 def totals(windows: list[Window]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct id pairs of a document, ascending, and the links of each."""
-    if not windows:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    times = Counter(windows)
-    pairs = np.concatenate([w.pairs for w in times])
-    links = np.concatenate([w.links * n for w, n in times.items()])
-    order = np.argsort(pairs, kind="stable")
-    pairs, links = pairs[order], links[order]
-    first = np.flatnonzero(np.concatenate(([True], pairs[1:] != pairs[:-1])))
-    return pairs[first], np.add.reduceat(links, first)
+    return np.unique(np.frombuffer(b"".join([w.pairs for w in windows]), np.int64), return_counts=True)
 
 
 _ALIGNED = "id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs array<long>, links array<int>"

@@ -308,6 +308,27 @@ def test_alignment_of_repeats_and_nothing(spark):
     assert align(spark, []) == [] and align(spark, [(1, None)]) == [(1, 0, 0, 0, 0, 0, 0, "")]
 
 
+def test_byte_level_encoder(tmp_path):
+    """The same ids as the tokenizers library, character by character and on long runs; other files are left to it."""
+    import json
+
+    from tokenizers import Tokenizer
+
+    a = Tokenizer.from_file(files()[0])
+    a.encode_special_tokens = True
+    encode = token_alignment.Aligner(*files()).encode_a
+    chars = [chr(c) for c in (*range(0x3000), *range(0x3000, 0x110000, 61)) if not 0xD800 <= c < 0xE000]
+    texts = [f" a{c}b1{c}2 {c}{c} .{c}'s{c} " for c in chars] + ["x" * 300_000, " " * 1_000_000, "\n " * 200_000 + "y", "", "<|endoftext|>"]
+    assert encode(texts) == [x.ids for x in a.encode_batch(texts, add_special_tokens=False)]
+    with open(files()[0], encoding="utf-8") as f:
+        file = json.load(f)
+    file["model"]["merges"][5:7] = file["model"]["merges"][6:4:-1]
+    other = tmp_path / "other.json"
+    other.write_text(json.dumps(file), encoding="utf-8")
+    assert token_alignment.ranked_encoder(str(other)) is None
+    assert token_alignment.ranked_encoder(queries.tokenizer_path("word_bpe_49k.json")) is None
+
+
 def test_windows_are_kept(monkeypatch):
     """Windows of equal ids are aligned once, and again after the kept ones were dropped; joined windows are the whole."""
     tool = token_alignment.Aligner(*files())
@@ -315,15 +336,16 @@ def test_windows_are_kept(monkeypatch):
     (a, b), = tool.tokens([text])
     windows = tool.align(a, b)
     assert tool.windows == len(windows) > 500 and tool.fresh < 20
-    len_a, len_b = tool.len_a[np.array(a)].tolist(), tool.len_b[np.array(b)].tolist()
-    whole = token_alignment.aligned(a, b, len_a, len_b)
-    assert b";".join(w.text for w in windows) == whole.text and sum(w.groups for w in windows) == whole.groups
-    assert [x.tolist() for x in token_alignment.totals(windows)] == [x.tolist() for x in token_alignment.totals([whole])]
-    assert sum(whole.links.tolist()) == len(a) + len(b) - whole.groups
+    text, groups, pairs = b";".join(w.text for w in windows), sum(w.groups for w in windows), b"".join(w.pairs for w in windows)
+    assert len(pairs) // 8 == len(a) + len(b) - groups and text.count(b"|") == groups
+    assert [int(x) for x in text.replace(b"|", b",").replace(b";", b",").split(b",")].count(a[0]) >= a.count(a[0])
+    distinct, links = token_alignment.totals(windows)
+    assert (np.diff(distinct) > 0).all() and links.sum() == len(pairs) // 8
     monkeypatch.setattr(token_alignment, "KEPT", 20_000)
+    monkeypatch.setattr(token_alignment, "KEPT_GROUPS", 10_000)
     tool.release()
     again = tool.align(a, b)
-    assert [w.text for w in again] == [w.text for w in windows] and tool.size <= 20_000
+    assert [w.text for w in again] == [w.text for w in windows] and tool.kept.size <= 10_000
 
 
 def test_alignment_of_a_long_text(spark):
