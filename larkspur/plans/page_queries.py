@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from larkspur.operators import pages, silver
 from larkspur.sources import bronze, csv_links
 from larkspur.sources.scratch import new_folder
-from larkspur.streaming import jobs
+from larkspur.streaming import jobs, upserts
 
 from . import bind
 from .registry import query
@@ -299,7 +299,8 @@ def stream_history(spark, d):
 
 @query("SELECT user_id AS key, ts AS stamp, value, round((value - lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id)) * 1e6) / 1e6 AS delta FROM events")
 def stream_deltas(spark, d):
-    rows = _streamed(spark, d, lambda s: jobs.deltas(s, "user_id", "ts", "value"))
+    """Rows that come in any order: written as the watermark passes them, the last ones at the stream's end."""
+    rows = _streamed(spark, d, lambda s: jobs.deltas(s, "user_id", "ts", "value", "event_id"), ends=True)
     return rows.select("key", F.col("stamp").cast("timestamp_ntz").alias("stamp"), "value", F.round("delta", 6).alias("delta"))
 
 
@@ -307,7 +308,7 @@ def stream_deltas(spark, d):
 def stream_latest(spark, d):
     base = new_folder(spark)
     jobs.upsert_latest(jobs.event_stream(spark, f"{d}/events.parquet*").select("user_id", "event_id", "ts"), f"{base}/out", f"{base}/state", "user_id", "ts", "event_id").awaitTermination()
-    return jobs.current(spark, f"{base}/out").select("user_id", "event_id")
+    return upserts.current(spark, f"{base}/out").select("user_id", "event_id")
 
 
 @query("""SELECT a.user_id, a.event_id, (SELECT count(*) FROM events b WHERE b.user_id = a.user_id AND epoch(b.ts)::BIGINT BETWEEN epoch(a.ts)::BIGINT - 86399 AND epoch(a.ts)::BIGINT) AS hits FROM events a
@@ -334,6 +335,7 @@ def stream_sessions(spark, d):
 f AS (SELECT user_id AS key, count(*) FILTER (k > coalesce(ok, 0)) AS fail_count FROM e LEFT JOIN (SELECT user_id, max(k) AS ok FROM e WHERE event_type = 'purchase' GROUP BY 1) USING (user_id) GROUP BY 1)
 SELECT key, fail_count, CASE WHEN fail_count = 0 THEN NULL WHEN fail_count = 1 THEN 6 WHEN fail_count = 2 THEN 24 ELSE 72 END::BIGINT AS hours FROM f""")
 def stream_failures(spark, d):
-    """A key's state after the last batch is its folded outcome."""
-    own = lambda s: s.where("event_type in ('error', 'purchase')").withColumn("ok", F.col("event_type") == "purchase")
-    return _streamed(spark, d, lambda s: jobs.failures(own(s), "user_id", "ts"), "update")
\ No newline at end of file
+    """A key's state after its last outcome is its folded outcome."""
+    own = lambda s: s.where("event_type in ('error', 'purchase') or user_id is null").withColumn("ok", F.col("event_type") == "purchase")
+    rows = _streamed(spark, d, lambda s: jobs.failures(own(s), "user_id", "ts", "event_id"), ends=True)
+    return silver.latest(rows, "key", "stamp", "row").select("key", "fail_count", "hours")

@@ -8,13 +8,15 @@ from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from larkspur.functions.exprs import rounded
 from larkspur.operators.queue import COOL_HOURS
-from larkspur.operators.silver import latest
+
+from . import upserts
 
 
 def event_stream(spark: SparkSession, path: str, schema=None, files: int | None = None) -> DataFrame:
@@ -52,56 +54,109 @@ def to_table(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     return _once(df, checkpoint).format("parquet").start(path)
 
 
-def upsert_latest(df: DataFrame, path: str, checkpoint: str, key: str, stamp: str, *order: str) -> StreamingQuery:
-    """Keeps the newest row per key: each micro-batch is merged into a new version of the table, and a
-    pointer file names the version, so readers never see a half-written one."""
+def upsert_latest(df: DataFrame, path: str, checkpoint: str, key: str, stamp: str, *order: str, buckets: int = 64) -> StreamingQuery:
+    """Keeps the newest row per key in a bucketed table (`larkspur.streaming.upserts`): a micro-batch rewrites
+    the buckets of its keys alone, and a batch that is run again changes nothing."""
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        now = current(spark, path)
-        both = batch if now is None else now.unionByName(batch)
-        latest(both, key, stamp, *order).write.mode("overwrite").parquet(f"{path}/v{batch_id}")
-        spark.createDataFrame([(batch_id,)], "version long").write.mode("append").parquet(f"{path}/versions")
+        upserts.merge(batch, path, batch_id, key, stamp, *order, buckets=buckets)
 
     return _once(df, checkpoint, "update").foreachBatch(merge).start()
 
 
-def current(spark: SparkSession, path: str) -> DataFrame | None:
-    """The newest version of an upserted table; None before the first."""
-    try:
-        version = spark.read.parquet(f"{path}/versions").agg(F.max("version")).first()[0]
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" in str(e):
-            return None
-        raise
-    return spark.read.parquet(f"{path}/v{version}")
-
-
 def history(df: DataFrame, key: str, stamp: str, late: str = "1 day") -> DataFrame:
     """One row per key and stamp across batches."""
     return df.withWatermark(stamp, late).dropDuplicatesWithinWatermark([key, stamp])
 
 
-def deltas(df: DataFrame, key: str, stamp: str, value: str) -> DataFrame:
-    """Change of the value against the key's snapshot before (null for the first), in arrival order of
-    batches and stamp order within one; rows that are older than the last one seen are left out."""
-
-    def step(k: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        at, last = state.get if state.exists else (None, None)
-        f = pd.concat(list(frames)).sort_values(stamp, kind="stable")
-        out = []
-        for t, v in zip(f[stamp], f[value]):
-            t = pd.Timestamp(t)
-            if at is not None and t.value < at:
-                continue
-            out.append((k[0], t, v, None if last is None else round(v - last, 6)))
-            at, last = t.value, v
-        if at is not None:
-            state.update((at, last))
-        yield pd.DataFrame(out, columns=["key", "stamp", "value", "delta"])
-
-    rows = df.select(F.col(key).alias("key"), F.col(stamp).alias(stamp), F.col(value).cast("double").alias(value))
-    return rows.groupBy("key").applyInPandasWithState(step, "key long, stamp timestamp, value double, delta double", "at long, last double", "append", GroupStateTimeout.NoTimeout)
+class _InOrder(StatefulProcessor):
+    """Rows of a key in order of stamp and row: they are held until the watermark has passed their stamp, so
+    neither their order nor the batch they come in changes the result.
+
+    `start` is a key's first state, `step(state, stamp, row, value)` gives its next one and what to emit, None
+    for nothing.  The state is forgotten `forget` milliseconds after its last stamp, if that is set.
+    """
+
+    def __init__(self, value: str, start: tuple, kinds: str, gives: str, forget: int | None):
+        self.value, self.start, self.kinds, self.forget = value, start, kinds, forget
+        self.schema = "key long, row long, at long, " + gives
+        self.names = [c.split()[0] for c in self.schema.split(", ")]
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.held = handle.getListState("held", f"at long, row long, value {self.value}")
+        self.last = handle.getValueState("last", f"at long, {self.kinds}")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802
+        if key[0] is None:  # the mark of a stream's end, which moves the watermark alone
+            return iter(())
+        new = [(r.at, r.row, r.value) for r in rows]
+        self.held.appendList(new)
+        self.handle.registerTimer(max(min(at for at, _, _ in new) // 1000 + 1, timerValues.getCurrentWatermarkInMs() + 1))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802
+        mark = timerValues.getCurrentWatermarkInMs()
+        held = sorted((tuple(r) for r in self.held.get()), key=lambda r: (r[0], r[1] is not None, r[1]))
+        ready = [r for r in held if r[0] // 1000 < mark]
+        at, *state = self.last.get() if self.last.exists() else (None, *self.start)
+        if ready:
+            for at, row, value in ready:
+                state, out = self.step(state, at, row, value)
+                if out is not None:
+                    yield Row(**dict(zip(self.names, (key[0], row, at, *out))))
+            self.last.update((at, *state))
+        rest = held[len(ready) :]
+        if rest:
+            self.held.put(rest)
+            self.handle.registerTimer(max(rest[0][0] // 1000 + 1, mark + 1))
+            return
+        self.held.clear()
+        if self.forget is None or at is None:
+            return
+        gone = at // 1000 + self.forget
+        if gone < mark:
+            self.last.clear()
+        else:
+            self.handle.registerTimer(gone + 1)
+
+    def close(self) -> None:
+        pass
+
+
+class _Deltas(_InOrder):
+    def step(self, state, at, row, value):
+        (last,) = state
+        known = value is not None and last is not None
+        return (value,), (value, value - last if known else None)
+
+
+class _Failures(_InOrder):
+    def step(self, state, at, row, value):
+        fails = 0 if value else state[0] + 1
+        return (fails,), (fails, COOL_HOURS[min(fails, len(COOL_HOURS)) - 1] if fails else None)
+
+
+def _in_order(df: DataFrame, key: str, stamp: str, row: str, value: Column, processor: _InOrder, late: str) -> DataFrame:
+    """Runs a processor over (key, at in microseconds, row, value); its state store keeps lists and timers."""
+    df.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    rows = df.select(F.col(key).cast("long").alias("key"), F.col(stamp).alias("stamp"), F.unix_micros(F.col(stamp).cast("timestamp")).alias("at"), F.col(row).cast("long").alias("row"), value.alias("value"))
+    rows = rows.where("at is not null").withWatermark("stamp", late)
+    out = rows.groupBy("key").transformWithState(processor, processor.schema, "append", "eventtime")
+    return out.withColumn("stamp", F.timestamp_micros("at")).drop("at")
+
+
+def deltas(df: DataFrame, key: str, stamp: str, value: str, row: str, digits: int = 6, late: str = "1 day", forget: int | None = None) -> DataFrame:
+    """Change of the value against the key's snapshot before, null for the first or beside a null value:
+    key, row, stamp, value, delta.
+
+    As `star.snapshots` in batch: rows of a key are taken in order of stamp and row, whatever batch they come
+    in, and are written once the watermark has passed them.  Only rows later than `late` are left out, as
+    Spark does.  A key's state is its last snapshot and the rows the watermark has not passed; it is
+    kept, or forgotten after `forget` milliseconds without snapshots.  Null keys and stamps are left out.
+    """
+    done = _in_order(df, key, stamp, row, F.col(value).cast("double"), _Deltas("double", (None,), "value double", "value double, change double", forget), late)
+    return done.select("key", "row", "stamp", "value", rounded(F.col("change"), digits).alias("delta"))
 
 
 def bursts(df: DataFrame, key: str, row_id: str, stamp: str, least: int = 4, seconds: int = 900, late: str = "15 minutes") -> DataFrame:
@@ -144,15 +199,9 @@ def idle_sessions(df: DataFrame, key: str, stamp: str, gap: str = "6 hours", lat
     return df.withWatermark(stamp, late).groupBy(key, w.alias("w")).agg(F.count("*").alias("n")).select(key, F.col("w.start").alias("start"), "n")
 
 
-def failures(df: DataFrame, key: str, stamp: str) -> DataFrame:
-    """After each batch, a key's consecutive failures and hours of rest; df has ok (boolean)."""
-
-    def step(k: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        (fails,) = state.get if state.exists else (0,)
-        for ok in pd.concat(list(frames)).sort_values(stamp, kind="stable")["ok"]:
-            fails = 0 if ok else fails + 1
-        state.update((fails,))
-        yield pd.DataFrame([(k[0], fails, COOL_HOURS[min(fails, len(COOL_HOURS)) - 1] if fails else None)], columns=["key", "fail_count", "hours"])
-
-    rows = df.select(F.col(key).alias("key"), stamp, "ok")
-    return rows.groupBy("key").applyInPandasWithState(step, "key long, fail_count long, hours long", "fails long", "update", GroupStateTimeout.NoTimeout)
+def failures(df: DataFrame, key: str, stamp: str, row: str, late: str = "1 day", forget: int | None = None) -> DataFrame:
+    """A key's consecutive failures and hours of rest after each of its outcomes, in order of stamp and row:
+    key, row, stamp, fail_count, hours.  df has ok (boolean); late rows and state as in `deltas`.
+    """
+    ok = F.coalesce(F.col("ok").cast("boolean"), F.lit(False))
+    return _in_order(df, key, stamp, row, ok, _Failures("boolean", (0,), "fails long", "fail_count long, hours long", forget), late)
