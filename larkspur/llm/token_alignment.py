@@ -15,9 +15,8 @@ import hashlib
 import json
 import os
 import re
-from array import array
 from collections.abc import Callable, Iterator
-from typing import NamedTuple
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +27,8 @@ from .tables import materialize
 
 #: Texts are tokenised in groups of about so many characters.
 GROUP_CHARS = 1 << 20
-#: Bytes of windows and of groups that a task keeps, and what one has besides its texts.
-KEPT, KEPT_GROUPS, _ENTRY = 96 << 20, 32 << 20, 420
+#: Bytes of windows that a task keeps, and what one has besides its texts.
+KEPT, _ENTRY = 128 << 20, 420
 #: Most pairs whose counts are broadcast (17 bytes each).
 BROADCAST_PAIRS = 1 << 20
 _SPACE_MARK = "▁"
@@ -72,59 +71,35 @@ def ranked_encoder(path: str) -> Callable[[list[str]], list[list[int]]] | None:
     return lambda texts: [encoding.encode_ordinary(t) for t in texts]
 
 
-class Window(NamedTuple):
+class Window:
     """What a window's tokens amount to: its groups as text, how many, and the id pairs of its links as int64."""
 
-    text: bytes
-    groups: int
-    pairs: bytes
+    __slots__ = ("text", "groups", "pairs")
 
 
-def linked(a: list[int], b: list[int], len_a: list[int], len_b: list[int]) -> Window:
-    """A group: two runs of tokens over the same bytes, with no other end in common; len_*: bytes of each token.
-
-    Two tokens are linked if their bytes overlap: going along both, each step links the present two and passes
-    the one that ends first.
-    """
-    links = [a[0] << 32 | b[0]]
-    i = k = 0
-    end_a, end_b = len_a[0], len_b[0]
-    while end_a != end_b:
-        if end_a < end_b:
-            i += 1
-            end_a += len_a[i]
-        else:
-            k += 1
-            end_b += len_b[k]
-        links.append(a[i] << 32 | b[k])
-    text = ",".join(map(str, a)) + "|" + ",".join(map(str, b))
-    return Window(text.encode(), 1, array("q", links).tobytes())
-
-
-class _Kept(dict):
+class _Kept:
     """Windows by their ids, bounded in bytes: what was used lately stays, in two generations."""
 
     def __init__(self, most: int):
-        super().__init__()
-        self.half, self.size, self.old = most // 2, 0, {}
-
-    def __missing__(self, key: tuple[bytes, bytes]) -> Window | None:
-        found = self.old.get(key)
-        if found is not None:
-            self.keep(key, found)
-        return found
+        self.half, self.size, self.young, self.old = most // 2, 0, {}, {}
 
     def keep(self, key: tuple[bytes, bytes], window: Window) -> None:
         size = _ENTRY + len(key[0]) + len(key[1]) + len(window.text) + len(window.pairs)
         if size > self.half // 8:  # a long run without spaces is not met again
             return
         if self.size + size > self.half:
-            self.old, self.size = dict(self), 0
-            self.clear()
-        self[key] = window
+            self.old, self.young, self.size = self.young, {}, 0
+        self.young[key] = window
         self.size += size
 
 
+def _ranges(first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """All indexes of the ranges, one after the other."""
+    n = last - first
+    ends = np.cumsum(n)
+    return np.arange(int(ends[-1])) + np.repeat(first - (ends - n), n)
+
+
 class Aligner:
     """Both tokenizers, the bytes of their entries and the windows aligned so far."""
 
@@ -145,14 +120,15 @@ class Aligner:
         self.bytes_a = [bytes(letters[c] for c in tokenizer.id_to_token(t) or "" if c in letters) for t in range(n)]
         self.bytes_b = [self._piece(t) for t in range(self.b.get_piece_size())]
         self.len_a, self.len_b = (np.array([len(x) for x in side], np.int64) for side in (self.bytes_a, self.bytes_b))
-        self.sizes_a, self.sizes_b = self.len_a.tolist(), self.len_b.tolist()
+        #: An id in decimal, followed by nothing, a comma, a bar or a semicolon.
+        self.written = [b"%d%s" % (t, mark) for t in range(max(n, len(self.bytes_b))) for mark in (b"", b",", b"|", b";")]
         self.marked_a, self.marked_b = (np.array([x[:1] == b" " for x in side]) for side in (self.bytes_a, self.bytes_b))
         #: Windows of the texts, and how many of them were aligned anew.
         self.windows = self.fresh = 0
         self.release()
 
     def release(self) -> None:
-        self.kept, self.groups = _Kept(KEPT), _Kept(KEPT_GROUPS)
+        self.kept = _Kept(KEPT)
 
     def encode_a(self, texts: list[str]) -> list[list[int]]:
         """Ids of the byte-level side.  The faster encoder's pattern has bounded steps, so texts with very long runs
@@ -174,54 +150,85 @@ class Aligner:
     def _same(self, a: list[int], b: list[int], data: bytes) -> bool:
         return b"".join(map(self.bytes_a.__getitem__, a)) == data and b"".join(map(self.bytes_b.__getitem__, b)) == data
 
-    def cuts(self, a: np.ndarray, b: np.ndarray) -> tuple[list[int], list[int], list[int]]:
-        """Indexes of both sides' tokens where groups begin, closed by the ends, and which of them begin windows.
+    def align(self, docs: list[tuple[list[int], list[int]]]) -> list[list[Window]]:
+        """The windows of each document in order; documents have tokens.
 
-        A group begins after an end that both sides have, a window where both go on with a space-marked token.
+        A group begins after an end that both sides have, a window where both then go on with a space-marked
+        token, and at each document's start.  Windows whose ids were met before are looked up; the others are
+        aligned together.
         """
-        end_a, end_b = np.cumsum(self.len_a[a]), np.cumsum(self.len_b[b])
-        is_a, is_b = (np.zeros(int(end_a[-1]) + 1, bool) for _ in range(2))
-        is_a[end_a], is_b[end_b] = True, True
-        next_a, next_b = np.flatnonzero(is_b[end_a]) + 1, np.flatnonzero(is_a[end_b]) + 1
-        anchor = self.marked_a[a[next_a[:-1]]] & self.marked_b[b[next_b[:-1]]]
-        return [0, *next_a.tolist()], [0, *next_b.tolist()], [0, *(np.flatnonzero(anchor) + 1).tolist(), len(next_a)]
-
-    def align(self, a_ids: list[int], b_ids: list[int]) -> list[Window]:
-        """The windows of a document in order."""
-        a, b = np.array(a_ids, np.int32), np.array(b_ids, np.int32)
-        at_a, at_b, begin = self.cuts(a, b)
+        if not docs:
+            return []
+        a, b = (np.fromiter(chain.from_iterable(d[side] for d in docs), np.int32) for side in (0, 1))
+        tokens = _Tokens(a, b, np.cumsum(self.len_a[a]), np.cumsum(self.len_b[b]))
+        starts = np.cumsum([0, *(len(d[0]) for d in docs)])
+        next_a, next_b = tokens.cut_a[1:-1], tokens.cut_b[1:-1]
+        anchor = self.marked_a[a[next_a]] & self.marked_b[b[next_b]]
+        anchor[np.searchsorted(next_a, starts[1:-1])] = True
+        begin = np.concatenate(([0], np.flatnonzero(anchor) + 1, [len(tokens.cut_a) - 1]))
         data_a, data_b = a.tobytes(), b.tobytes()
-        kept, out = self.kept, []
-        i = k = first = 0
-        for last in begin[1:]:
-            j, m = 4 * at_a[last], 4 * at_b[last]
+        young, old, fresh, first, out = self.kept.young, self.kept.old, {}, [], []
+        at_a, at_b = (4 * tokens.cut_a[begin]).tolist(), (4 * tokens.cut_b[begin]).tolist()
+        i = k = 0
+        for w, (j, m) in enumerate(zip(at_a[1:], at_b[1:])):
             key = (data_a[i:j], data_b[k:m])
-            found = kept[key]
+            found = young.get(key) or fresh.get(key)
             if found is None:
-                found = self._composed(at_a[first : last + 1], at_b[first : last + 1], data_a, data_b)
-                kept.keep(key, found)
-                self.fresh += 1
+                found = fresh[key] = old.get(key) or Window()
+                if not hasattr(found, "text"):
+                    first.append(w)
             out.append(found)
-            i, k, first = j, m, last
-        self.windows += len(out)
-        return out
-
-    def _composed(self, at_a: list[int], at_b: list[int], data_a: bytes, data_b: bytes) -> Window:
-        """A window of its groups, which many windows have in common."""
-        groups, parts = self.groups, []
-        i, k = 4 * at_a[0], 4 * at_b[0]
-        for j, m in zip(at_a[1:], at_b[1:]):
-            key = (data_a[i : 4 * j], data_b[k : 4 * m])
-            found = groups[key]
-            if found is None:
-                a, b = array("i", key[0]).tolist(), array("i", key[1]).tolist()
-                found = linked(a, b, [self.sizes_a[t] for t in a], [self.sizes_b[t] for t in b])
-                groups.keep(key, found)
-            parts.append(found)
-            i, k = 4 * j, 4 * m
-        if len(parts) == 1:
-            return parts[0]
-        return Window(b";".join([p.text for p in parts]), len(parts), b"".join([p.pairs for p in parts]))
+            i, k = j, m
+        if first:
+            self._align_fresh(tokens, [out[w] for w in first], begin[first], begin[np.array(first) + 1])
+        for key, window in fresh.items():
+            self.kept.keep(key, window)
+        self.windows, self.fresh = self.windows + len(out), self.fresh + len(first)
+        of = np.searchsorted(tokens.cut_a[begin], starts)
+        return [out[x:y] for x, y in pairwise(of.tolist())]
+
+    def _align_fresh(self, tokens: "_Tokens", windows: list[Window], first: np.ndarray, last: np.ndarray) -> None:
+        """Groups and links of the windows that stand between these groups.
+
+        Tokens are linked if their bytes overlap: each stretch of bytes between two neighbouring ends, of either
+        side, lies in one token of each, and that is one link.
+        """
+        from_a, to_a, from_b, to_b = tokens.cut_a[first], tokens.cut_a[last], tokens.cut_b[first], tokens.cut_b[last]
+        in_a, in_b = _ranges(from_a, to_a), _ranges(from_b, to_b)
+        a, b, end_a, end_b = tokens.a[in_a], tokens.b[in_b], tokens.end_a[in_a], tokens.end_b[in_b]
+        ends = np.union1d(end_a, end_b)
+        pairs = (a[np.searchsorted(end_a, ends)].astype(np.int64) << 32) | b[np.searchsorted(end_b, ends)]
+        pairs_at = np.searchsorted(ends, tokens.end_a[to_a - 1], "right").tolist()
+
+        # the text lists a group's tokens of one side, then those of the other
+        place = np.concatenate((2 * tokens.group_a[in_a], 2 * tokens.group_b[in_b] + 1))
+        order = np.argsort(place, kind="stable")
+        place = place[order]
+        # what follows a token: 0 nothing (a window's end), 1 a comma, 2 a bar, 3 a semicolon
+        mark = np.full(len(place), 3)
+        mark[:-1][place[1:] == place[:-1]] = 1
+        mark[:-1][(place[1:] == place[:-1] + 1) & (place[:-1] % 2 == 0)] = 2
+        text_at = np.cumsum((to_a - from_a) + (to_b - from_b))
+        mark[text_at - 1] = 0
+        ids = np.concatenate((a, b))[order]
+        written = list(map(self.written.__getitem__, (ids * 4 + mark).tolist()))
+        data, s, e = pairs.tobytes(), 0, 0
+        for window, groups, to, upto in zip(windows, (last - first).tolist(), text_at.tolist(), pairs_at):
+            window.text, window.groups, window.pairs = b"".join(written[s:to]), groups, data[8 * e : 8 * upto]
+            s, e = to, upto
+
+
+class _Tokens:
+    """Tokens of documents one after the other: ids and byte ends of both sides, the groups they stand in, and
+    where these begin, closed by the ends."""
+
+    def __init__(self, a: np.ndarray, b: np.ndarray, end_a: np.ndarray, end_b: np.ndarray):
+        self.a, self.b, self.end_a, self.end_b = a, b, end_a, end_b
+        is_a, is_b = (np.zeros(int(end_a[-1]) + 1, bool) for _ in range(2))
+        is_a[end_a], is_b[end_b] = True, True
+        both_a, both_b = is_b[end_a], is_a[end_b]
+        self.cut_a, self.cut_b = (np.concatenate(([0], np.flatnonzero(x) + 1)) for x in (both_a, both_b))
+        self.group_a, self.group_b = np.cumsum(both_a) - both_a, np.cumsum(both_b) - both_b
 
 
 def aligner(byte_bpe: str, piece_bpe: str) -> Aligner:
@@ -261,9 +268,10 @@ def _align(byte_bpe: str, piece_bpe: str):
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).to_pylist()
             for part in _groups_of(texts):
-                rows = []
-                for a, b in tool.tokens([t or "" for t in texts[part]]):
-                    windows = tool.align(a, b) if a else []
+                rows, tokens = [], tool.tokens([t or "" for t in texts[part]])
+                aligned = iter(tool.align([d for d in tokens if d[0]]))
+                for a, b in tokens:
+                    windows = next(aligned) if a else []
                     pairs, links = totals(windows)
                     digest = hashlib.sha256(b";".join([w.text for w in windows])).hexdigest() if a else ""
                     rows.append((len(a), len(b), sum(w.groups for w in windows), int(links.sum()), digest, pairs, links))
