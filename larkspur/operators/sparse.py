@@ -124,22 +124,45 @@ def named_groups(asked: DataFrame, groups: DataFrame) -> DataFrame:
     return asked.select("text").distinct().join(best, "text", "left")
 
 
-#: Parts of words are looked up by their first so many letters.
+#: Parts of words are looked up by a gram of so many letters.
 GRAM = 3
+#: Most results that a look-up in the dense store gives.
+DENSE_LOOKUP = 10
+
+
+def _grams(text: str, n: int = GRAM):
+    """The distinct grams of a column; none of a text that is shorter."""
+    places = F.sequence(F.lit(1), F.length(text) - (n - 1))
+    each = F.transform(places, lambda i: F.substring(F.col(text), i, F.lit(n)))
+    return F.when(F.length(text) >= n, F.array_distinct(each)).otherwise(F.array().cast("array<string>"))
 
 
 def containing(parts: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows of `labels` (label, ...) with each row of `parts` (part, not empty) that the label contains.
+    """Rows of `labels` (label, ...) with each row of `parts` (part) that the label contains; empty parts are in none.
 
-    They meet by equality on the part's first letters, which must stand somewhere in the label, and are
-    then compared; no label meets a part that it shares nothing with.
+    A part of GRAM letters or more is looked up under the rarest of its grams.  Only grams that some part is
+    looked up by are taken from the labels: a label gives one row for each such gram it holds, so a gram that
+    is in most labels makes rows only if a part has no rarer one.  Shorter parts are looked up under themselves, among the
+    labels' grams of their own length.  What meets is then compared.
     """
-    gram = lambda n: F.substring("part", 1, n)
-    p = parts.withColumn("__gram", gram(GRAM))
-    places = F.sequence(F.lit(1), F.greatest(F.length("label"), F.lit(1)))
-    grams = F.array_distinct(F.flatten(F.transform(places, lambda i: F.array(*(F.substring(F.col("label"), i, F.lit(n)) for n in range(1, GRAM + 1))))))
-    own = labels.withColumn("__gram", F.explode(grams))
-    return own.join(p, "__gram").where(F.contains("label", "part")).drop("__gram")
+    p = parts.where("part <> ''")
+    long = p.where(F.length("part") >= GRAM)
+    # grams of the parts, how many labels have each, and each part's rarest
+    wanted = long.select("part", F.explode(_grams("part")).alias("__gram"))
+    asked = wanted.select("__gram").distinct()
+    in_labels = labels.select("label").distinct().select(F.explode(_grams("label")).alias("__gram"))
+    uses = in_labels.join(asked, "__gram", "left_semi").groupBy("__gram").agg(F.count("*").alias("__df"))
+    rarest = wanted.join(uses, "__gram", "left").groupBy("part").agg(F.min_by("__gram", F.struct(F.coalesce("__df", F.lit(0)), "__gram")).alias("__gram"))
+    keyed = long.join(rarest, "part").withColumn("__n", F.lit(GRAM))
+    keyed = keyed.unionByName(p.where(F.length("part") < GRAM).withColumns({"__gram": F.col("part"), "__n": F.length("part")}))
+    keys = keyed.select("__n", "__gram").distinct()
+    # labels give rows for the keys that they hold: the filter comes before anything else is shuffled
+    own = None
+    for n in range(1, GRAM + 1):
+        of = labels.withColumn("__gram", F.explode(_grams("label", n))).withColumn("__n", F.lit(n))
+        of = of.join(keys.where(F.col("__n") == n), ["__n", "__gram"], "left_semi")
+        own = of if own is None else own.unionByName(of)
+    return own.join(keyed, ["__n", "__gram"]).where(F.contains("label", "part")).drop("__gram", "__n")
 
 
 def query_vector(wanted: DataFrame, weights: DataFrame, known_only: bool = False) -> DataFrame:
@@ -209,25 +232,18 @@ def vocabulary(weights: DataFrame, block: str) -> DataFrame:
     return weights.where(F.col("block") == block).select("label").distinct().orderBy("label")
 
 
-#: Asked texts are broadcast to the items up to so many; more are looked up by their letters.
-FEW_ASKED = 10_000
-
-
 def lookup_items(asked: DataFrame, items: DataFrame, k: int = 8) -> DataFrame:
-    """Items per asked text: the item of that key, else those whose name contains it, by votes.
+    """Items per asked text: the item of that key, else those whose name contains it in any case, by votes.
 
-    asked: text; items: key, name, votes.
+    asked: text; items: key, name, votes.  Null, empty and blank texts find nothing.  The dense store looks up with
+    k = DENSE_LOOKUP.
     """
-    a = asked.withColumn("low", F.lower(F.trim("text")))
+    a = asked.select("text", F.lower(F.trim("text")).alias("low")).where("low <> ''").distinct()
     exact = items.join(a, items["key"].cast("string") == a["low"]).select("text", "key", "name", "votes")
     rest = a.join(exact.select("text").distinct(), "text", "left_anti")
-    if rest.count() <= FEW_ASKED:
-        like = items.join(F.broadcast(rest), F.contains(F.lower("name"), "low"))
-    else:
-        own = items.select("key", "name", "votes", F.lower("name").alias("label"))
-        parts = rest.where("low <> ''").select(F.col("low").alias("part")).distinct()
-        like = containing(parts, own).join(rest.withColumnRenamed("low", "part"), "part")
-    like = like.select("text", "key", "name", "votes")
+    own = items.select("key", "name", "votes", F.lower("name").alias("label"))
+    like = containing(rest.select(F.col("low").alias("part")).distinct(), own)
+    like = like.join(rest.withColumnRenamed("low", "part"), "part").select("text", "key", "name", "votes")
     by = Window.partitionBy("text").orderBy(F.desc(F.coalesce("votes", F.lit(0))), "key")
     return exact.union(like).withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k)
 

@@ -60,10 +60,39 @@ k AS (SELECT page_id, section, regexp_extract(url, '^([a-zA-Z]+://[^/?#]+)', 1)
 SELECT page_id, section, root || replace(href, '&amp;', '&') AS link FROM k WHERE regexp_matches(replace(href, '&amp;', '&'), '^/([^/]+)$')""")
 def page_section_links(spark, d):
     """Links by the list entry that they stand in, the page's part before the first entry being 0."""
-    rows = pages.section_links(_pages(spark, d), "^/([^/]+)$", anchor=r"(?is)<(li)")
+    rows = pages.section_links(_pages(spark, d), "^/([^/]+)$", marks=("li",), with_id=False)
     return rows.select("page_id", "section", "link")
 
 
+@query("WITH " + _L + """ SELECT page_id, link, place FROM (SELECT page_id, link, row_number() OVER (PARTITION BY page_id ORDER BY position) AS place
+FROM (SELECT page_id, link, min(position) AS position FROM k WHERE regexp_matches(href, '^/[a-zA-Z]') GROUP BY 1, 2)) WHERE place <= 2""")
+def page_links_limited(spark, d):
+    """The limit of links a page, as a crawl takes it."""
+    return pages.links(_pages(spark, d), "^/[a-zA-Z]", limit=2).withColumn("place", F.col("place").cast("long"))
+
+
+def _directory(spark, d):
+    """A page a nation with its customers under a heading a segment: numeric references, a > inside an
+    attribute, anchors that are not closed, and a link that stands twice."""
+    k = F.col("c_custkey").cast("string")
+    ref = F.concat(F.lit("&#"), (F.ascii(F.substring(k, 1, 1))).cast("string"), F.lit(";"), F.substring(k, 2, 20))
+    shut = F.when(F.col("c_custkey") % 2 == 0, "</a>").otherwise("")
+    link = F.concat(F.lit("<li><a title='a>b' href=\"/c&#x2F;"), ref, F.lit("?x=1&amp;y=2#top\">"), F.regexp_replace("c_name", "#", "&#x23;"), shut)
+    of = bind.t(spark, d, "customer").select("c_nationkey", "c_mktsegment", "c_custkey", link.alias("link"))
+    part = of.groupBy("c_nationkey", "c_mktsegment").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("c_custkey", "link"))), lambda x: x["link"]), "\n").alias("links"))
+    part = part.select("c_nationkey", "c_mktsegment", F.concat(F.lit("<h2 id='"), F.substring("c_mktsegment", 1, 1), F.lit("'>"), F.col("c_mktsegment"), F.lit("</h2>"), F.col("links"), F.lit("<a href='/c/top'>top<b>most</b></a>")).alias("html"))
+    html = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("c_mktsegment", "html"))), lambda x: x["html"]), "")
+    return part.groupBy(F.col("c_nationkey").alias("page_id")).agg(html.alias("html")).withColumn("url", F.lit("https://a.example.com/index.html"))
+
+
+@query("""SELECT page_id, anchor, link, name, anchor NOT IN ('A', 'B') AS extra FROM (
+SELECT c_nationkey AS page_id, substr(c_mktsegment, 1, 1) AS anchor, 'https://a.example.com/c/' || c_custkey || '?x=1&y=2' AS link, c_name AS name FROM customer
+UNION SELECT c_nationkey, substr(c_mktsegment, 1, 1), 'https://a.example.com/c/top', 'top most' FROM customer)""")
+def page_extra_links(spark, d):
+    """Links by section, and whether the section is one that was expected."""
+    return pages.section_links(_directory(spark, d), "^/c/(.+)$", ["a", "B"]).select("page_id", "anchor", "link", "name", "extra")
+
+
 @query("""SELECT p_partkey AS item, CASE p_size % 5 WHEN 0 THEN split_part(p_name, ' ', 1) WHEN 1 THEN p_name WHEN 2 THEN split_part(p_name, ' ', 1) WHEN 3 THEN p_name || ' form' ELSE p_name END AS name FROM part""")
 def clean_names(spark, d):
     """Titles with the gender phrases, with and without the group's name, a group that is null or not at the end."""
@@ -206,7 +235,7 @@ def bronze_groups(spark, d):
 def _csv(spark, d):
     o = bind.t(spark, d, "customer")
     text = F.concat_ws(";", F.col("c_custkey").cast("string"), F.concat(F.lit("https://a.example.com/c/"), F.col("c_custkey").cast("string"), F.lit("#x")), F.concat(F.lit('"'), F.col("c_mktsegment"), F.lit(';q"')), F.concat(F.lit("https://b.example.net/"), (F.col("c_custkey") % 9).cast("string")))
-    return csv_links.rows_of(csv_links.read_lines(spark, _scratch(spark, o.select(text.alias("value")), "list.csv", "text")))
+    return csv_links.rows_of(csv_links.read_records(spark, _scratch(spark, o.select(text.alias("value")), "list.csv", "text")))
 
 
 @query("SELECT 'https://a.example.com/c/' || (c_custkey % 500) AS source, arg_min('https://b.example.net/' || (c_custkey % 9) || '#y', c_custkey) AS destination FROM customer GROUP BY 1")
@@ -216,7 +245,7 @@ def csv_pairs_by_host(spark, d):
     first = F.concat(F.lit("https://b.example.net/"), (k % 9).cast("string"), F.lit("#y"))
     text = F.concat_ws(",", F.concat(F.lit("x "), first), F.concat(F.lit("https://a.example.com/c/"), (k % 500).cast("string"), F.lit("#x")))
     path = _scratch(spark, c.repartition(1).sortWithinPartitions(k).select(text.alias("value")), "list.csv", "text")
-    return csv_links.pairs_by_host(csv_links.rows_of(csv_links.read_lines(spark, path)), "a.example.com").select("source", "destination")
+    return csv_links.pairs_by_host(csv_links.rows_of(csv_links.read_records(spark, path)), "a.example.com").select("source", "destination")
 
 
 def _headed(spark, d):
@@ -225,7 +254,7 @@ def _headed(spark, d):
     rows = c.select(k.alias("No"), F.concat(F.lit("/c/"), (k % 700).cast("string"), F.lit("#f")).alias("Link"), F.col("c_mktsegment").alias("kind"), F.concat(F.lit("d"), (k % 700 % 9).cast("string")).alias("Goal"))
     path = f"{new_folder(spark)}/headed"
     rows.write.option("header", True).option("sep", "|").csv(path)
-    return csv_links.rows_of(csv_links.read_lines(spark, path))
+    return csv_links.rows_of(csv_links.read_records(spark, path))
 
 
 @query("SELECT DISTINCT 'https://a.example.com/c/' || (c_custkey % 700) AS source, 'd' || (c_custkey % 700 % 9) AS destination FROM customer")
@@ -259,6 +288,19 @@ def csv_quoted_cells(spark, d):
     return rows.agg(F.sum(F.when(F.size("cells") == 4, 1).otherwise(0)).cast("long").alias("cells"), F.count_if(F.endswith(F.get("cells", 2), F.lit(";q"))).alias("quoted"))
 
 
+@query("""SELECT c_custkey AS k, chr(34) || c_mktsegment || chr(34) || CASE c_custkey % 3 WHEN 0 THEN chr(10) WHEN 1 THEN ',' ELSE chr(10) || chr(10) || 'x,' END || 'z' AS note,
+'https://b.example.net/' || c_custkey AS url FROM customer""")
+def csv_line_breaks(spark, d):
+    """Cells with line breaks, blank lines, delimiters and quotes in them, and rows of empty cells between."""
+    k = F.col("c_custkey")
+    inner = F.when(k % 3 == 0, "\n").when(k % 3 == 1, ",").otherwise("\n\nx,")
+    note = F.concat(F.lit('"""'), F.col("c_mktsegment"), F.lit('""'), inner, F.lit('z"'))
+    line = F.concat(k.cast("string"), F.lit(","), note, F.lit(",https://b.example.net/"), k.cast("string"), F.when(k % 5 == 0, '\n,"  ",\n').otherwise(""))
+    rows = csv_links.rows_of(csv_links.read_records(spark, _scratch(spark, bind.t(spark, d, "customer").select(line.alias("value")), "breaks.csv", "text")))
+    cell = lambda i: F.get("cells", i)
+    return rows.where("not is_header").select(cell(0).cast("long").alias("k"), cell(1).alias("note"), cell(2).alias("url"))
+
+
 @query("SELECT 'https://c.example.org/' || o_orderkey AS url FROM orders WHERE o_orderkey % 3 <> 0")
 def text_url_list(spark, d):
     k = F.col("o_orderkey")

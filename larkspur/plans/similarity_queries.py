@@ -209,14 +209,26 @@ def tag_vocabulary(spark, d):
     return sparse.vocabulary(idf(spark, d), "note")
 
 
-@query(with_(ITEMS, "asked AS (SELECT DISTINCT lower(split_part(p_name, ' ', 1)) AS text FROM part UNION SELECT '17')", "ex AS (SELECT text, item AS key, name, votes FROM items JOIN asked ON CAST(item AS VARCHAR) = text)")
-       + """SELECT text, key, rank FROM (SELECT text, key, row_number() OVER (PARTITION BY text ORDER BY coalesce(votes, 0) DESC, key) AS rank FROM (
-SELECT * FROM ex UNION ALL SELECT text, item, name, votes FROM items JOIN asked ON contains(lower(name), text) WHERE text NOT IN (SELECT text FROM ex))) WHERE rank <= 8""")
-def item_lookup(spark, d):
+_LOOKUP = with_(ITEMS, "asked AS (SELECT DISTINCT lower(split_part(p_name, ' ', 1)) AS text FROM part UNION SELECT '17' UNION SELECT ' ' UNION SELECT 'al')", "ex AS (SELECT text, item AS key, name, votes FROM items JOIN asked ON CAST(item AS VARCHAR) = text)") + """SELECT text, key, rank FROM (SELECT text, key, row_number() OVER (PARTITION BY text ORDER BY coalesce(votes, 0) DESC, key) AS rank FROM (
+SELECT * FROM ex UNION ALL SELECT text, item, name, votes FROM items JOIN asked ON contains(lower(name), text) WHERE text <> ' ' AND text NOT IN (SELECT text FROM ex))) WHERE rank <= {}"""
+
+
+def _lookup(spark, d, k):
     i = bind.items(spark, d).withColumnRenamed("item", "key")
     first = F.lower(F.get(F.split("p_name", " "), 0)).alias("text")
-    asked = bind.t(spark, d, "part").select(first).distinct().union(spark.range(1).select(F.lit("17")))
-    return sparse.lookup_items(asked, i).select("text", "key", F.col("rank").cast("long").alias("rank"))
+    more = spark.range(1).select(F.explode(F.array(*map(F.lit, ("17", " ", "al")))))
+    return sparse.lookup_items(bind.t(spark, d, "part").select(first).distinct().union(more), i, k).select("text", "key", F.col("rank").cast("long").alias("rank"))
+
+
+@query(_LOOKUP.format(8))
+def item_lookup(spark, d):
+    """By key, by part of a name, by two letters, and by a blank text, which finds nothing."""
+    return _lookup(spark, d, 8)
+
+
+@query(_LOOKUP.format(10))
+def dense_item_lookup(spark, d):
+    return _lookup(spark, d, sparse.DENSE_LOOKUP)
 
 
 @query(with_(ITEMS, AXES) + """SELECT item, list_filter([CASE WHEN sil <= 1 / 3.0::DOUBLE AND lon >= 0.5 THEN 'công sở' END, CASE WHEN sil >= 2 / 3.0::DOUBLE AND lon >= 0.75 THEN 'tiệc tối' END,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
@@ -94,18 +94,13 @@ def write_gold(tables: dict[str, DataFrame], path: str) -> None:
         df.write.mode("overwrite").parquet(f"{path}/{name}")
 
 
-#: A report of so many rows or fewer is one file.
-ONE_FILE = 1_000_000
-
-
-def write_csv(df: DataFrame, path: str, columns: list[str], bom: bool = True) -> None:
-    """A report as CSV with a fixed column order; missing columns are empty, others ignored.  One file up
-    to ONE_FILE rows, else a file a task, each with the header."""
+def write_csv(df: DataFrame, path: str, columns: list[str], bom: bool = True, files: int | None = 1) -> None:
+    """A report as CSV with a fixed column order; missing columns are empty, others ignored.  It has `files`
+    files, one as a report has; None for one a task, which large results need.  Each has the header."""
     out = df.select(*(F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in columns))
     if bom and columns:
-        out = out.withColumnRenamed(columns[0], "﻿" + columns[0])
-    if out.limit(ONE_FILE + 1).count() <= ONE_FILE:
-        out = out.coalesce(1)
+        out = out.withColumnRenamed(columns[0], "\ufeff" + columns[0])
+    out = out if files is None else out.coalesce(1) if files == 1 else out.repartition(files)
     out.write.mode("overwrite").option("header", True).csv(path)
 
 
@@ -132,11 +127,23 @@ def read_embeddings(spark: SparkSession, path: str, expected: str | None = None)
     return df
 
 
-def load_serving(items: DataFrame, vectors: DataFrame, terms: DataFrame, path: str, dimensions: int) -> None:
-    """Both serving tables written over; raises if an item lacks a vector or one has the wrong length."""
+def _one_each(df: DataFrame, keys: list[str], order: Column) -> DataFrame:
+    """The first row of each key by `order`."""
+    by = Window.partitionBy(*keys).orderBy(order)
+    return df.withColumn("__n", F.row_number().over(by)).where("__n = 1").drop("__n")
+
+
+def load_serving(items: DataFrame, vectors: DataFrame, terms: DataFrame, path: str, dimensions: int, order: str | None = None) -> None:
+    """Both serving tables written over; raises if an item lacks a vector or one has the wrong length.
+
+    Of several vectors of an item the last one stays, of several equal terms the first one, by the column
+    `order` of both tables (when they were loaded, say).  Without one, rows that differ are ordered by their
+    vector or weight, so that the result does not depend on how the tables are stored.
+    """
     lost = items.select("item").join(vectors.select("item"), "item", "left_anti").count()
     wrong = vectors.where(F.size("embedding") != dimensions).count()
     if lost or wrong:
         raise ValueError(f"{lost} items without a vector, {wrong} vectors not of {dimensions} numbers")
-    vectors.dropDuplicates(["item"]).write.mode("overwrite").parquet(f"{path}/vectors")
-    terms.dropDuplicates(["item", "block", "label"]).write.mode("overwrite").parquet(f"{path}/terms")
+    last, first = F.col(order or "embedding").desc_nulls_last(), F.col(order or "weight").asc_nulls_last()
+    _one_each(vectors, ["item"], last).write.mode("overwrite").parquet(f"{path}/vectors")
+    _one_each(terms, ["item", "block", "label"], first).write.mode("overwrite").parquet(f"{path}/terms")
