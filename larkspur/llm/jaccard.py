@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .joins import BROADCAST_IDS as BROADCAST_IDS
-from .joins import few, with_values
+from .joins import dealt, few, with_values
 from .shingles import U, mix, shingle_sets
 from .tables import materialize, scratch
 
@@ -154,15 +154,23 @@ def _bound(rule: Rule, n: np.ndarray, m: np.ndarray, differ: np.ndarray) -> np.n
 
 
 def _pass_bound(rule: Rule):
+    """Of members with the heads of their group: the pairs of different components that the bitmaps allow."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            n, m = (b.column(i).to_numpy(zero_copy_only=False) for i in (2, 3))
-            differ = np.zeros(len(n), np.int64)
-            for i, (x, y) in enumerate(zip(b.column(4).to_pylist(), b.column(5).to_pylist())):
-                x, y = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
-                w = min(len(x), len(y))
-                differ[i] = int(np.bitwise_count(_fold(x, w) ^ _fold(y, w)).sum())
-            yield b.select(["a", "b"]).filter(pa.array(_bound(rule, n, m, differ)))
+        for batch in batches:
+            found: list[tuple[int, int]] = []
+            for me, n, comp, bits, heads in zip(*(batch.column(c).to_pylist() for c in ("id", "n", "comp", "bits", "heads"))):
+                bits = np.frombuffer(bits, np.uint8)
+                for h in heads:
+                    if h["own"] == comp or h["head"] == me:
+                        continue
+                    other = np.frombuffer(h["bits"], np.uint8)
+                    w = min(len(bits), len(other))
+                    differ = int(np.bitwise_count(_fold(bits, w) ^ _fold(other, w)).sum())
+                    if _bound(rule, n, h["n"], differ):
+                        found.append((min(me, h["head"]), max(me, h["head"])))
+            pairs = np.array(found, np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
     return run
 
@@ -250,14 +258,19 @@ def _verified(pairs: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
     ids = materialize(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "ids")
     wanted = docs.join(few(ids), "id", "left_semi")
     sets = materialize(wanted.mapInArrow(_set_rows(rule), "id long, hashes binary"), "sets")
-    both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b").select("a", "b", "x", "y")
+    # the leader of a large group is an end of many pairs
+    both = dealt(pairs, sets.toDF("a", "x"), "a", pairs)
+    both = dealt(both, sets.toDF("b", "y"), "b", pairs).select("a", "b", "x", "y")
     return materialize(both.mapInArrow(_exact(rule), "a long, b long").distinct(), "linked")
 
 
-def _allowed(pairs: DataFrame, bits: DataFrame, rule: Rule) -> DataFrame:
-    """Those of `pairs` (a, b) that the bitmaps allow."""
-    both = pairs.join(bits.toDF("a", "n", "x"), "a").join(bits.toDF("b", "m", "y"), "b").select("a", "b", "n", "m", "x", "y")
-    return materialize(both.mapInArrow(_pass_bound(rule), "a long, b long").distinct(), "star")
+def _met(members: DataFrame, heads: DataFrame, bits: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs (a, b) of members (key, id, comp) with the heads (key, own, head) of their group's other components
+    that the bitmaps allow.  A group's few heads come to its members as one array, large groups in parts."""
+    of_head = heads.join(bits.withColumnRenamed("id", "head"), "head")
+    packed = of_head.groupBy("key").agg(F.collect_list(F.struct("own", "head", "n", "bits")).alias("heads"))
+    rows = dealt(members.select("key", "id", "comp").join(bits, "id"), packed, "key", members)
+    return materialize(rows.select("id", "n", "comp", "bits", "heads").mapInArrow(_pass_bound(rule), "a long, b long").distinct(), "star")
 
 
 def _open(rest: DataFrame, found: DataFrame) -> DataFrame:
@@ -306,8 +319,9 @@ def _components(docs: DataFrame, rule: Rule) -> DataFrame:
     members = materialize(led.select("id").distinct(), "members")
     bits = materialize(reps.join(few(members), "id", "left_semi").select("id", "n", "bits").distinct(), "bits")
 
-    star = led.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b"))
-    done = _allowed(star, bits, rule)
+    leaders = led.select(F.col("leader").alias("key"), F.col("leader").alias("own"), F.col("leader").alias("head")).distinct()
+    star = led.where("id <> leader").select(F.col("leader").alias("key"), "id", F.col("id").alias("comp"))
+    done = _met(star, leaders, bits, rule)
     links = _verified(done, docs, rule)
     found = components(links)
 
@@ -317,8 +331,7 @@ def _components(docs: DataFrame, rule: Rule) -> DataFrame:
     while (n := rest.where(F.col("size") > SMALL).count()) and (before is None or n <= HELPS * before):
         before, large = n, rest.where(F.col("size") > SMALL)
         heads = _heads(large)
-        met = _met(large, heads)
-        pairs = _allowed(met.join(done, ["a", "b"], "left_anti"), bits, rule)
+        pairs = materialize(_met(large, heads, bits, rule).join(done, ["a", "b"], "left_anti"), "new")
         done, links = done.union(pairs), links.union(_verified(pairs, docs, rule))
         found = components(links)
         led_by = heads.select("key", F.col("head").alias("id"))
@@ -332,15 +345,6 @@ def _components(docs: DataFrame, rule: Rule) -> DataFrame:
     return _labelled(sigs, groups, found)
 
 
-def _met(large: DataFrame, heads: DataFrame) -> DataFrame:
-    """Pairs (a, b) of each member with the heads of its group's other components, each pair once.  The few
-    heads of a group come to a member as one array."""
-    of_group = heads.groupBy("key").agg(F.collect_list(F.struct("own", "head")).alias("heads"))
-    rows = large.join(few(of_group), "key").select("id", F.filter("heads", lambda h: h["own"] != F.col("comp"))["head"].alias("others"))
-    rows = rows.select("id", F.explode("others").alias("head"))
-    return rows.select(F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b")).distinct()
-
-
 def _heads(large: DataFrame) -> DataFrame:
     """(key, own, head): the least ids of the largest components of each group, LEADERS of them."""
     order = Window.partitionBy("key").orderBy(F.desc("n"), F.xxhash64("head"))

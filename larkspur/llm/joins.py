@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .tables import materialize
+
 #: Broadcast a table of ids or of values while it has at most so many rows.
 BROADCAST_IDS = 1 << 20
 #: A key of more rows is hot: its value is broadcast while there are few such keys.
@@ -31,3 +33,19 @@ def with_values(rows: DataFrame, values: DataFrame, keys: list[str]) -> DataFram
     cold = values.where(F.col("size") <= HOT)
     others = known.where("size is null").select(rows.columns).join(cold, keys, "left")
     return known.where("size is not null").unionByName(others)
+
+
+def dealt(rows: DataFrame, values: DataFrame, key: str, counted: DataFrame | None = None) -> DataFrame:
+    """`rows` inner-joined with one row of `values` per key; a key of more than HOT rows is dealt over several.
+
+    The values of hot keys are repeated, once for every HOT of their rows, so that no task gets a hot key
+    whole.  `counted` has the keys of `rows` in a stored table; without it `rows` are read twice.
+    """
+    hot = (rows if counted is None else counted).groupBy(key).agg(F.count("*").alias("__n")).where(F.col("__n") > HOT)
+    hot = few(materialize(hot.select(key, F.ceil(F.col("__n") / HOT).cast("long").alias("__parts")), "hot"))
+    one = F.lit(0).cast("long")
+    others = [c for c in rows.columns if c != key]
+    part = F.coalesce(F.pmod(F.xxhash64(*others), F.col("__parts")), one)
+    left = rows.join(hot, key, "left").withColumn("__part", part).drop("__parts")
+    right = values.join(hot, key, "left").withColumn("__part", F.explode(F.coalesce(F.sequence(one, F.col("__parts") - 1), F.array(one))))
+    return left.join(right.drop("__parts"), [key, "__part"]).drop("__part")
