@@ -3,9 +3,10 @@
 A passage within e edits of an item of m characters keeps at least m + 1 - q (e + 1) of its
 q-grams, and all of them on at most e + 1 neighbouring diagonals (text position minus item
 position).  Per document, q-grams shared with the items are counted in overlapping bands of
-diagonals; bands that reach the bound are verified by a banded alignment.  Short items are searched
-exactly and as whole words, those shorter than q by grams of their own length.  Texts are compared
-with each letter lower-cased by itself and white-space runs as one space.  Nothing is shuffled:
+diagonals; bands that reach the bound are verified by a banded alignment.  Edits are one in ten
+characters of an item, whatever its length, and q is shorter for short items, so that the lemma's bound
+stays above zero.  Passages are whole words.  Texts are compared with each letter lower-cased by itself
+and white-space runs as one space.  Nothing is shuffled:
 documents are only mapped, against one block of the items at a time.
 """
 
@@ -37,15 +38,22 @@ _SPREAD = U(0x9E3779B97F4A7C15)
 
 @dataclass(frozen=True)
 class Budget:
-    """q-gram length, edits allowed per item character, and the length below which an item is searched
-    exactly, as whole words."""
+    """q-gram length at most, edits allowed per item character, and whether passages are whole words.
+
+    One rule for every length: the edits follow the length, and so do the q-grams, which are as long as the
+    edits leave some of them whole in any passage.
+    """
 
     q: int = 8
     rate: float = 0.1
-    least: int = 32
+    words: bool = True
 
     def edits(self, m: int) -> int:
-        return 0 if m < self.least else max(0, min(int(self.rate * m), (m - self.q) // self.q))
+        return int(self.rate * m)
+
+    def gram(self, m: int) -> int:
+        """Length of an item's q-grams: m + 1 - q (e + 1) of them stay at least, which is one or more."""
+        return max(1, min(self.q, m // (self.edits(m) + 1)))
 
 
 def folded(text: str) -> str:
@@ -97,7 +105,7 @@ class Block:
         for item_id, text in sorted(items, key=lambda r: (str(r[0]), r[1] or "")):
             a = stripped(text)
             if len(a):
-                by_q.setdefault(min(budget.q, len(a)), []).append(len(self.ids))
+                by_q.setdefault(budget.gram(len(a)), []).append(len(self.ids))
                 self.ids.append(item_id)
                 self.text.append(a)
         self.parts = [_Part(q, of, [self.text[k] for k in of], budget) for q, of in sorted(by_q.items())]
@@ -127,7 +135,7 @@ class _Part:
     """The items of a block that are searched by grams of one length."""
 
     def __init__(self, q: int, numbers: list[int], texts: list[np.ndarray], budget: Budget):
-        self.q, self.numbers, self.text, self.least = q, numbers, texts, budget.least
+        self.q, self.numbers, self.text, self.words = q, numbers, texts, budget.words
         self.m = np.array([len(a) for a in texts], np.int64)
         self.e = np.array([budget.edits(m) for m in self.m], np.int64)
         self.need = self.m + 1 - q * (self.e + 1)
@@ -200,7 +208,7 @@ class _Part:
         for where, which in self._pieces(a):
             merged: list[list[int]] = []
             for t, lo, hi, count in self.bands(where, which):
-                if self.m[t] < self.least:  # exact: each diagonal of the band by itself
+                if not self.e[t]:  # without edits: each diagonal of the band by itself
                     yield from ((self, n, t, d, d, count, a, at) for d in self._exact(t, lo, hi, a))
                 elif merged and merged[-1][0] == t and lo <= merged[-1][2] and hi - merged[-1][1] <= 6 * max(int(self.e[t]), 8):
                     merged[-1][2:] = [hi, max(merged[-1][3], count)]
@@ -209,11 +217,14 @@ class _Part:
             yield from ((self, n, t, lo - int(self.e[t]), hi + int(self.e[t]), count, a, at) for t, lo, hi, count in merged)
 
     def _exact(self, t: int, lo: int, hi: int, a: np.ndarray) -> list[int]:
-        """Where a short item stands in the text as whole words, of the places lo to hi."""
+        """Where an item stands in the text without an edit, of the places lo to hi."""
         item = self.text[t]
-        inside = lambda k: 0 <= k < len(a) and chr(a[k]).isalnum()
-        ends = lambda d: not (inside(d - 1) and inside(d)) and not (inside(d + len(item) - 1) and inside(d + len(item)))
-        return [d for d in range(max(0, lo), min(hi, len(a) - len(item)) + 1) if np.array_equal(a[d : d + len(item)], item) and ends(d)]
+        return [d for d in range(max(0, lo), min(hi, len(a) - len(item)) + 1) if np.array_equal(a[d : d + len(item)], item)]
+
+    def _whole_words(self, a: np.ndarray, first: int, end: int, edits: int) -> bool:
+        """Whether the passage ends at words' ends, or no further from them than two alignments within the edits can
+        end from each other."""
+        return not self.words or all(_to_word_end(a, at, 2 * edits) <= 2 * edits for at in (first, end))
 
     def aligned(self, places: list[tuple]) -> list[tuple[int, int, int, int, int, int]]:
         """The passages of `places` within the items' edits."""
@@ -236,10 +247,27 @@ class _Part:
         for k, end, off in zip(good, ends, begin):
             n, t, _, _, count, a, at = places[k]
             first = max(0, end - (len(items[k]) + int(off) - e))
+            if not self._whole_words(a, first, end, int(self.e[t])):
+                continue
             out.append((n, self.numbers[t], int(at[first]), int(at[min(end, len(at)) - 1]) + 1, int(cost[k]), count))
         return out
 
 
+def _in_word(c: int) -> bool:
+    """Whether a character belongs to words that stand apart from each other: letters and digits, but those of
+    scripts that write without spaces."""
+    return chr(c).isalnum() and (c < 0x0E00 or 0x10A0 <= c < 0x1780 or 0x1800 <= c < 0x2E80)
+
+
+def _to_word_end(a: np.ndarray, at: int, most: int) -> int:
+    """Characters from a place to the nearest one that is not inside a word; more than `most` if none is so near."""
+    for far in range(most + 1):
+        for k in (at - far, at + far):
+            if 0 <= k <= len(a) and not (0 < k < len(a) and _in_word(a[k - 1]) and _in_word(a[k])):
+                return far
+    return most + 1
+
+
 def _window(a: np.ndarray, start: int, size: int) -> np.ndarray:
     out = np.zeros(size, np.uint32)
     lo, hi = max(0, start), min(len(a), start + size)
@@ -299,8 +327,8 @@ def contaminated(
     """One row per passage: document id, item id, start and end (code points of the document's
     text), edits, shared_qgrams.
 
-    Null and empty texts and items have no passages; items shorter than `budget.least` are found
-    where they stand exactly, as whole words; a row that occurs twice reports its passages twice.
+    Null and empty texts and items have no passages; items of fewer characters than allow an edit are
+    found where they stand exactly; a row that occurs twice reports its passages twice.
     Null ids, of documents and of items, are kept.  Other columns are ignored.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))

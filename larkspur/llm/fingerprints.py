@@ -110,19 +110,21 @@ def with_next(df: DataFrame, id_col: str, carry: list[str]) -> DataFrame:
     in the row of the smallest id for the row of the largest.
 
     Ids are dealt into buckets by value, the smallest row of each bucket is copied to the bucket
-    before, and a window over each bucket looks one row ahead; no task holds the whole order.
-    Rows with a null id have no next row and are none; repeated ids follow each other in the order
-    of the carried columns.  Other columns stay, whatever their names; one named next_<column> is
+    before, and a window over each bucket looks one row ahead; no task holds the whole order, but
+    the rows of one id stand in one bucket.  Rows with a null id have no next row, are none, and are not
+    shuffled; repeated ids follow each other in the order of the carried columns.  Other columns stay, whatever their names; one named next_<column> is
     replaced.
     """
     nexts = [f"next_{c}" for c in carry]
     kept = [c for c in df.columns if c not in nexts]
+    without = df.where(F.col(id_col).isNull()).select(*kept, *(F.lit(None).cast(df.schema[c].dataType).alias(n) for c, n in zip(carry, nexts)))
+    df = df.where(F.col(id_col).isNotNull())
     own = {c: f"__own_{k}" for k, c in enumerate(kept)}  # plain columns: a window would copy parts of a struct
     rows = df.select(*(F.col(c).alias(n) for c, n in own.items()), F.col(id_col).cast("long").alias("__id"))
-    ids = rows.select("__id").where("__id is not null")
+    ids = rows.select("__id")
     bucket = _bucket(ids)
     if bucket is None:
-        return df.select(*kept, *(F.lit(None).cast(df.schema[c].dataType).alias(n) for c, n in zip(carry, nexts)))
+        return without
     firsts = ids.groupBy(bucket.alias("__bucket")).agg(F.min("__id").alias("__first"))
     order = Window.orderBy("__bucket")  # at most 1.1 MAX_BUCKETS rows of two integers
     before, last = F.lag("__bucket").over(order), F.max("__bucket").over(Window.partitionBy())
@@ -133,9 +135,9 @@ def with_next(df: DataFrame, id_col: str, carry: list[str]) -> DataFrame:
     copy = F.when(F.col("__first").isNotNull(), place(F.col("__before"), F.lit(True), F.col("__wraps")))
     rows = rows.select(*own.values(), "__id", F.inline(F.array_compact(F.array(here, copy))).alias("__bucket", "__copy", "__wraps"))
     look = Window.partitionBy("__bucket").orderBy("__wraps", "__id", "__copy", *(own[c] for c in carry))
-    ahead = {f"__{n}": F.when(F.col("__id").isNotNull(), F.lead(own[c]).over(look)) for c, n in zip(carry, nexts)}
+    ahead = {f"__{n}": F.lead(own[c]).over(look) for c, n in zip(carry, nexts)}
     rows = rows.withColumns(ahead).where("not __copy")
-    return rows.select(*(F.col(n).alias(c) for c, n in own.items()), *(F.col(f"__{n}").alias(n) for n in nexts))
+    return rows.select(*(F.col(n).alias(c) for c, n in own.items()), *(F.col(f"__{n}").alias(n) for n in nexts)).union(without)
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, k: int = K) -> DataFrame:

@@ -34,10 +34,16 @@ SENSITIVE = {
 }
 _GATES = ("passw", "passphrase", "pwd", "secret", "token", "key", "credential")
 _TOKEN = re.compile(
-    r"""(?P<name>[A-Za-z_][\w-]*(?:\.[A-Za-z_][\w-]*)*)|(?P<string>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`)"""
+    r"""(?P<name>[A-Za-z_][\w-]*(?:\.[A-Za-z_][\w-]*)*)|(?P<quote>["'`])"""
     r"""|(?P<number>\d[\w+/.=-]*)|(?P<op>:=|=>|==|!=|<=|>=|=|:|\+)|(?P<end>[\n;,{}()])|(?P<bracket>[\[\]])|(?P<other>\S)""",
     re.A,
 )
+_STRINGS = {'"': re.compile(r'"(?:[^"\\\n]|\\.)*"'), "'": re.compile(r"'(?:[^'\\\n]|\\.)*'"), "`": re.compile(r"`[^`\n]*`")}
+_WORD = re.compile(r"[A-Za-z0-9+/_.=-]+")
+_PLACEHOLDER = re.compile(r"\s|\$\{|<[a-z_ ]+>|x{4,}|\*{3,}|example|changeme|placeholder", re.I)
+_KINDS = tuple(map(re.compile, ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]")))
+#: Characters before a joint of literals that are looked at again for placeholders that run over it.
+_JOINT = 64
 
 
 @dataclass(frozen=True)
@@ -54,14 +60,92 @@ def sensitivity(name: str) -> float:
     return max((v for k, v in SENSITIVE.items() if k in flat), default=0.0)
 
 
+class _Looks:
+    """What a literal looks like; those of joined literals add up."""
+
+    __slots__ = ("n", "counts", "kinds", "bad", "tail")
+
+    def __init__(self, text: str = ""):
+        self.n, self.counts, self.tail = len(text), Counter(text), text[-_JOINT:]
+        self.kinds = frozenset(k for k, p in enumerate(_KINDS) if p.search(text))
+        self.bad = bool(_PLACEHOLDER.search(text))
+
+    def with_(self, text: str) -> "_Looks":
+        out = _Looks.__new__(_Looks)
+        out.n, out.counts = self.n + len(text), self.counts.copy()
+        out.counts.update(text)
+        out.kinds = self.kinds | {k for k, p in enumerate(_KINDS) if k not in self.kinds and p.search(text)}
+        out.bad = self.bad or bool(_PLACEHOLDER.search(self.tail + text))
+        out.tail = (self.tail + text)[-_JOINT:]
+        return out
+
+    def strength(self) -> float:
+        """0 to 1: length, kinds of characters and entropy, against placeholders and words."""
+        if self.n < 8 or self.bad:
+            return 0.0
+        entropy = -sum(c / self.n * math.log2(c / self.n) for c in self.counts.values())
+        return min(1.0, 0.12 * entropy + 0.15 * len(self.kinds) + 0.01 * min(self.n, 20))
+
+
 def strength(literal: str) -> float:
-    """0 to 1: length, kinds of characters and entropy, against placeholders and words."""
-    if len(literal) < 8 or re.search(r"\s|\$\{|<[a-z_ ]+>|x{4,}|\*{3,}|example|changeme|placeholder", literal, re.I):
-        return 0.0
-    n = len(literal)
-    entropy = -sum(c / n * math.log2(c / n) for c in Counter(literal).values())
-    kinds = sum(bool(re.search(p, literal)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
-    return min(1.0, 0.12 * entropy + 0.15 * kinds + 0.01 * min(n, 20))
+    return _Looks(literal).strength()
+
+
+class _Log:
+    """Literals in the order they were joined, on top of those of `base`.  Names stand for beginnings of it."""
+
+    __slots__ = ("items", "at", "base", "given")
+
+    def __init__(self, base: "_Value | None" = None):
+        self.items: list[tuple[int, int, str]] = []
+        self.at: dict[int, int] = {}
+        self.base, self.given = base, 0
+
+
+class _Value:
+    """What a name stands for: the first n literals of a log.  A literal that is joined goes to the log itself, so
+    a name that grows line by line copies nothing."""
+
+    __slots__ = ("log", "n", "looks")
+
+    def __init__(self, log: _Log, n: int, looks: _Looks):
+        self.log, self.n, self.looks = log, n, looks
+
+    def has(self, start: int) -> bool:
+        value = self
+        while value is not None:
+            if value.log.at.get(start, value.n) < value.n:
+                return True
+            value = value.log.base
+        return False
+
+    def literals(self) -> list[tuple[int, int, str]]:
+        parts, value = [], self
+        while value is not None:
+            parts.append(value.log.items[: value.n])
+            value = value.log.base
+        return [x for part in reversed(parts) for x in part]
+
+
+def _with_literal(value: _Value | None, literal: tuple[int, int, str]) -> _Value:
+    if value is None:
+        log, looks = _Log(), _Looks(literal[2])
+    else:
+        log = value.log if len(value.log.items) == value.n else _Log(value)
+        looks = value.looks.with_(literal[2])
+    log.at[literal[0]] = len(log.items)
+    log.items.append(literal)
+    return _Value(log, len(log.items), looks)
+
+
+def _joined(a: _Value, b: _Value) -> _Value:
+    """The literals of a and then those of b that a has not."""
+    if a.log is b.log:
+        return a if a.n >= b.n else b
+    for literal in b.literals():
+        if not a.has(literal[0]):
+            a = _with_literal(a, literal)
+    return a
 
 
 def base_spans(text: str) -> list[Span]:
@@ -74,10 +158,28 @@ def base_spans(text: str) -> list[Span]:
     return out + [Span("hex", *m.span()) for m in _HEX.finditer(text)]
 
 
+def _tokens(text: str) -> Iterator[tuple[str, str, int, int]]:
+    """(kind, text, start, end) by one pass.  A quote that its line does not close closes no later one of its
+    kind either, as all of them are escaped; so a line is read for its end once."""
+    at, open_until = 0, dict.fromkeys(_STRINGS, 0)
+    while m := _TOKEN.search(text, at):
+        kind, word, a, b = m.lastgroup, m[0], m.start(), m.end()
+        if kind == "quote":
+            kind = "other"
+            if a >= open_until[word]:
+                if string := _STRINGS[word].match(text, a):
+                    kind, word, b = "string", string[0], string.end()
+                else:
+                    end = text.find("\n", a)
+                    open_until[word] = len(text) if end < 0 else end
+        yield kind, word, a, b
+        at = b
+
+
 def assignments(text: str) -> Iterator[tuple[str, list[tuple[str, str, int, int]]]]:
     """(name, values) of each assignment; a value is ("string" | "word", content, start, end).  Without
     values the name is given something that is no literal."""
-    tokens = [(m.lastgroup, m[0], m.start(), m.end()) for m in _TOKEN.finditer(text)]
+    tokens = list(_tokens(text))
     k = 0
     while k < len(tokens):
         kind, word, _, _ = tokens[k]
@@ -96,7 +198,7 @@ def assignments(text: str) -> Iterator[tuple[str, list[tuple[str, str, int, int]
             if kind == "string":
                 values.append(("string", word[1:-1], a + 1, b - 1))
             else:  # a bare word runs on while nothing but word characters follow
-                m = re.compile(r"[A-Za-z0-9+/_.=-]+").match(text, a)
+                m = _WORD.match(text, a)
                 b = m.end() if m else b
                 values.append(("word", text[a:b], a, b))
                 while k + 1 < len(tokens) and tokens[k + 1][2] < b:
@@ -112,26 +214,42 @@ def lexed_spans(text: str, least: float = 0.75) -> list[Span]:
     low = text.lower()
     if not any(g in low for g in _GATES):
         return []
-    known: dict[str, dict[tuple[int, int], str]] = {}
-    out: dict[tuple[int, int], Span] = {}
+    known: dict[str, _Value] = {}
+    joins: dict[tuple[_Log, int, _Log, int], _Value] = {}
+    given: list[tuple[_Value, str, str, float]] = []
     for name, values in assignments(text):
-        literals: dict[tuple[int, int], str] = {}
+        value: _Value | None = None
         flow = False
         for kind, content, a, b in values:
             if kind == "word" and content in known:
-                literals |= known[content]
-                flow = True
+                other = known[content]
+                if value is not None:
+                    key = (value.log, value.n, other.log, other.n)
+                    other = joins[key] if key in joins else joins.setdefault(key, _joined(value, other))
+                value, flow = other, True
             elif kind == "string" or re.search(r"\d", content):
-                literals[a, b] = content
+                value = _with_literal(value, (a, b, content))
         known.pop(name, None)  # whatever the name stood for before
-        if not literals:
+        if value is None:
             continue
-        known[name] = literals
-        score = sensitivity(name) * strength("".join(literals.values()))
+        known[name] = value
+        score = sensitivity(name) * value.looks.strength()
         if score >= least:
-            for a, b in literals:
+            given.append((value, "flow" if flow else "lexed", name, round(score, 4)))
+    return _given_spans(given)
+
+
+def _given_spans(given: list[tuple[_Value, str, str, float]]) -> list[Span]:
+    """One span for each literal that a sensitive name was given, by the last time it was."""
+    out: dict[tuple[int, int], Span] = {}
+    for value, kind, name, score in reversed(given):
+        at: _Value | None = value
+        while at is not None and at.log.given < at.n:  # what a beginning of a log gave, it gave with all below
+            for a, b, _ in at.log.items[at.log.given : at.n]:
                 if b > a:
-                    out[a, b] = Span("flow" if flow else "lexed", a, b, name, round(score, 4))
+                    out.setdefault((a, b), Span(kind, a, b, name, score))
+            at.log.given = at.n
+            at = at.log.base
     return list(out.values())
 
 
