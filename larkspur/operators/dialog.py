@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -88,37 +89,69 @@ def classified(turns: DataFrame, refine: tuple[str, ...] = REFINE, point: tuple[
     return rows.withColumns({"target": target, "action": action}).drop("earlier")
 
 
+class _InForce:
+    """What a conversation's search has gathered so far: bounded but for the conditions themselves."""
+
+    def __init__(self) -> None:
+        self.segment, self.first = 0, None
+        self.clear()
+
+    def clear(self) -> None:
+        self.tags, self.attributes = {}, {}
+        self.axes = self.gender = None
+        self.text, self.more, self.first = "", False, None
+
+    def take(self, action: str, tags, attributes, axes, gender, text, min_votes) -> None:
+        if action == "new":
+            self.segment += 1
+            self.clear()
+        if self.first is None:
+            self.first = (min_votes,)
+        self.tags |= dict.fromkeys(tags or ())
+        self.attributes |= dict.fromkeys(attributes or ())
+        self.axes = axes or self.axes
+        self.gender = self.gender if gender is None else gender
+        if text:
+            whole = (self.text + " " + text).lstrip(" ")
+            self.more = self.more or bool(whole[MAX_TEXT:].strip(" "))
+            self.text = whole[:MAX_TEXT]
+
+    def said(self) -> str | None:
+        """The text so far, trimmed and cut: trailing blanks go unless more follows them."""
+        return (self.text if self.more else self.text.rstrip(" ")) or None
+
+
+def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Turns sorted by conversation and turn, one state at a time."""
+    last, state = None, _InForce()
+    for b in batches:
+        out = []
+        columns = [b.column(c).to_pylist() for c in ("conv_id", "action", "tags", "attributes", "axes", "gender", "text", "min_votes")]
+        for conv, *row in zip(*columns):
+            if last != (conv,):
+                last, state = (conv,), _InForce()
+            state.take(*row)
+            out.append((state.segment, list(state.tags), list(state.attributes), state.axes, state.gender, state.said(), state.first[0]))
+        names = ["segment", "tags", "attributes", "axes", "gender", "text", "min_votes"]
+        strings = pa.list_(pa.string())
+        kinds = [pa.int64(), strings, strings, b.schema.field("axes").type, pa.string(), pa.string(), b.schema.field("min_votes").type]
+        made = [pa.array(c, k) for c, k in zip(zip(*out) if out else [[]] * len(names), kinds)]
+        yield pa.RecordBatch.from_arrays([b.column("conv_id"), b.column("turn"), *made], ["conv_id", "turn", *names])
+
+
 def merged(turns: DataFrame) -> DataFrame:
     """The conditions in force after each search turn: tags and attributes add up, axes and gender are
     replaced when given, text is joined and cut, min_votes is the first one's.
 
     turns: conv_id, turn, action, tags, attributes, axes (arrays), gender, text, min_votes.  A turn
-    about an item takes no part in the fold.  Lists grow only where a turn brings something new, so a
-    conversation's turns carry what is in force, not all that was said.
+    about an item takes no part in the fold.  Sorted turns stream by, with one state: MAX_TEXT characters of
+    text and the conditions that are in force, however many turns a conversation has.
     """
     t = turns.where(F.col("action").isin("new", "refine"))
-    order = Window.partitionBy("conv_id").orderBy("turn")
-    t = t.withColumn("segment", F.sum(F.when(F.col("action") == "new", 1).otherwise(0)).over(order))
-    so_far = Window.partitionBy("conv_id", "segment").orderBy("turn").rowsBetween(Window.unboundedPreceding, 0)
-    none = F.array().cast("array<string>")
-    fresh = lambda c: F.array_except(F.coalesce(F.col(c), none), F.coalesce(F.lag(c).over(order), none))
-    first = F.lag("segment").over(order).eqNullSafe(F.col("segment"))
-    t = t.withColumns({f"__{c}": F.when(first, fresh(c)).otherwise(F.coalesce(F.col(c), none)) for c in ("tags", "attributes")})
-    union = lambda c: F.array_distinct(F.flatten(F.collect_list(F.when(F.size(f"__{c}") > 0, F.col(f"__{c}"))).over(so_far)))
-    said = F.collect_list(F.nullif(F.col("text"), F.lit(""))).over(so_far)
-    text = F.substring(F.trim(F.concat_ws(" ", said)), 1, MAX_TEXT)
-    last = lambda value: F.last(value, ignorenulls=True).over(so_far)
-    return t.select(
-        "conv_id",
-        "turn",
-        "segment",
-        union("tags").alias("tags"),
-        union("attributes").alias("attributes"),
-        last(F.when(F.size("axes") > 0, F.col("axes"))).alias("axes"),
-        last(F.col("gender")).alias("gender"),
-        F.nullif(text, F.lit("")).alias("text"),
-        F.first("min_votes").over(so_far).alias("min_votes"),
-    )
+    t = t.select("conv_id", "turn", "action", "tags", "attributes", "axes", F.col("gender").cast("string").alias("gender"), "text", "min_votes")
+    kind = {f.name: f.dataType.simpleString() for f in t.schema}
+    schema = f"conv_id {kind['conv_id']}, turn {kind['turn']}, segment long, tags array<string>, attributes array<string>, axes {kind['axes']}, gender string, text string, min_votes {kind['min_votes']}"
+    return t.repartition("conv_id").sortWithinPartitions("conv_id", "turn").mapInArrow(_fold, schema)
 
 
 def last_search(turns: DataFrame) -> DataFrame:
@@ -216,6 +249,15 @@ SENTENCES = {
     "ask": "Bạn thích mùi ngọt ấm hay khô nhẹ hơn?",
     "nothing": "Mình chưa tìm được chai nào khớp ý này. Bạn thử nói theo note hương (ví dụ oud, vanilla, hoa hồng), hoặc theo lúc dùng — "
     "mùa lạnh hay nóng, đi làm hay đi tối?",
+    "about": "{}{} thì{}",
+    "why": " {}.",
+    "no reasons": " mình chưa có đủ dữ liệu về mùi của nó.",
+    "its votes": "Có {} lượt đánh giá, trung bình {}/5.",
+    "its few votes": "Mới {} lượt đánh giá nên điểm {}/5 chưa chắc chắn.",
+    "near": "Gần nó nhất là {}.",
+    "compare": "Bạn muốn mình so hai chai này không?",
+    "exhausted": "Với điều kiện này thì mình chưa thấy chai nào khác ngoài {} đã gợi lúc trước. Bạn nới bớt một điều kiện nhé — bỏ mùa, "
+    "hay cho mình thêm một note hương bạn thích?",
 }
 
 
@@ -232,6 +274,46 @@ def reason_text(reason: Column, labels: dict[str, str] | None = None, blocks: di
     return F.concat(head, F.coalesce(table(labels or LABELS)[reason["label"]], reason["label"]))
 
 
+def _rating(row: Column, say: dict[str, str], sure: str, unsure: str) -> Column:
+    """How far the rating of a row (rating, votes) can be trusted; null without one."""
+    number, mean = F.replace(F.format_number(row["votes"], 0), F.lit(","), F.lit(".")), F.format_string("%.2f", row["rating"])
+    rated = row["rating"].isNotNull() & (F.coalesce(row["votes"], F.lit(0)) > 0)
+    return F.when(rated, F.when(row["votes"] >= EVIDENCE, _filled(say[sure], number, mean)).otherwise(_filled(say[unsure], number, mean)))
+
+
+def _of_group(row: Column, say: dict[str, str]) -> Column:
+    return F.coalesce(_filled(say["of"], F.nullif(row["grp"], F.lit(""))), F.lit(""))
+
+
+def _reasons(row: Column, labels: dict[str, str] | None) -> Column:
+    return F.array_join(F.transform(F.slice(F.coalesce(row["reasons"], F.array()), 1, 3), lambda r: reason_text(r, labels)), ", ")
+
+
+def answers_about(seeds: DataFrame, results: DataFrame, sentences: dict[str, str] | None = None, labels: dict[str, str] | None = None) -> DataFrame:
+    """(query, answer): for queries that point at one item, what that item is like, how sure its rating is,
+    which two of its results are nearest, and a question.
+
+    seeds: query, name, grp, rating, votes, reasons (array of block, label), one row a query; results: query, rank,
+    name, the items like it.
+    """
+    say = SENTENCES | (sentences or {})
+    near = results.where("rank <= 2 and name is not null").groupBy("query").agg(F.array_sort(F.collect_list(F.struct("rank", "name"))).alias("near"))
+    rows = seeds.withColumn("seed", F.struct("name", "grp", "rating", "votes", "reasons")).join(near, "query", "left")
+    seed, why = F.col("seed"), _reasons(F.col("seed"), labels)
+    head = _filled(say["about"], F.coalesce(seed["name"], F.lit(say["unnamed"])), _of_group(seed, say), F.when(why != "", _filled(say["why"], why)).otherwise(say["no reasons"]))
+    names = _filled(say["near"], F.nullif(F.array_join(F.transform("near", lambda x: x["name"]), say["and"]), F.lit("")))
+    return rows.select("query", F.concat_ws(" ", head, _rating(seed, say, "its votes", "its few votes"), names, F.lit(say["compare"])).alias("answer"))
+
+
+def answers_exhausted(results: DataFrame, sentences: dict[str, str] | None = None) -> DataFrame:
+    """(query, answer): for queries whose results were all shown before (query, rank, name), which ones these
+    were, and what to give up."""
+    say = SENTENCES | (sentences or {})
+    top = results.where("rank <= 3").groupBy("query").agg(F.array_sort(F.collect_list(F.struct("rank", "name"))).alias("top"))
+    names = F.filter(F.transform("top", lambda x: x["name"]), lambda n: n.isNotNull())
+    return top.select("query", _filled(say["exhausted"], F.array_join(names, ", ")).alias("answer"))
+
+
 def answers(results: DataFrame, queries: DataFrame, sentences: dict[str, str] | None = None, labels: dict[str, str] | None = None) -> DataFrame:
     """(query, answer): a templated answer per query (query) from its three best results: the best one with
     its reasons, how sure its rating is, the names of the others, and a question; a sentence of its own
@@ -244,12 +326,10 @@ def answers(results: DataFrame, queries: DataFrame, sentences: dict[str, str] |
     top = results.where("rank <= 3").groupBy("query").agg(F.array_sort(F.collect_list(row)).alias("top"))
     first = lambda c: F.get("top", 0)[c]
     name = F.coalesce(first("name"), F.lit(say["unnamed"]))
-    group = F.coalesce(_filled(say["of"], F.nullif(first("grp"), F.lit(""))), F.lit(""))
-    why = F.array_join(F.transform(F.slice(F.coalesce(first("reasons"), F.array()), 1, 3), lambda r: reason_text(r, labels)), ", ")
-    best = _filled(say["best"], F.concat(name, group), F.when(why != "", F.concat(F.lit(" — "), why)).otherwise(""))
-    number, mean = F.replace(F.format_number(first("votes"), 0), F.lit(","), F.lit(".")), F.format_string("%.2f", first("rating"))
-    rated = first("rating").isNotNull() & (F.coalesce(first("votes"), F.lit(0)) > 0)
-    rating = F.when(rated, F.when(first("votes") >= EVIDENCE, _filled(say["sure"], number, mean)).otherwise(_filled(say["unsure"], number, mean)))
+    one = F.get("top", 0)
+    why = _reasons(one, labels)
+    best = _filled(say["best"], F.concat(name, _of_group(one, say)), F.when(why != "", F.concat(F.lit(" — "), why)).otherwise(""))
+    rating = _rating(one, say, "sure", "unsure")
     names = F.filter(F.transform(F.slice("top", 2, 2), lambda x: x["name"]), lambda n: n.isNotNull())
     others = F.when(F.size(names) > 0, _filled(say["others"], F.array_join(names, say["and"])))
     text = F.concat_ws(" ", best, rating, others, F.lit(say["ask"]))

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from larkspur.functions.exprs import PRIOR_VOTES, divergence_bin, ratio, rounded, shrunk
 
+from .places import with_place
+
 SEASONS = ("winter", "spring", "summer", "fall")
 Z_FLOOR = 3.0
 
@@ -149,17 +151,32 @@ def coverage_by_key(groups: DataFrame, listings: DataFrame, items: DataFrame) ->
     return rows.select("grp", F.col("total").alias("catalogue_items"), n.alias("detailed"), share.alias("coverage_pct"), F.coalesce("n_votes", F.lit(0)).alias("n_votes"))
 
 
+#: Tags of a set that are paired in one row; larger sets are paired in blocks of so many.
+PAIRED = 256
+
+
 def tag_pairs(tags: DataFrame, least: int = 2, item: str = "item", tag: str = "tag") -> DataFrame:
     """P(b | a) of tags that `least` items or more have; rows for a and b both ways.
 
-    Items' distinct tags are gathered once per item and paired there, so no tag is joined with
-    itself: the work follows the tags per item, not the items per tag.
+    Items' distinct tags are gathered once per item, items with the same tags become one set with their
+    number, and the tags of a set are paired inside it: the work follows the tags of the distinct sets, not the
+    items per tag.  Sets of more than PAIRED tags are paired block by block, and the pairs of blocks dealt over
+    the tasks.
     """
     once = tags.select(F.col(item).alias("item"), F.col(tag).alias("tag")).where("tag is not null").distinct()
     n = once.groupBy("tag").agg(F.count("*").alias("n")).where(F.col("n") >= least)
-    kept = once.join(n.select("tag"), "tag").groupBy("item").agg(F.collect_list("tag").alias("all"))
-    pairs = kept.select(F.explode("all").alias("tag_a"), "all").select("tag_a", F.explode("all").alias("tag_b")).where("tag_a <> tag_b")
-    together = pairs.groupBy("tag_a", "tag_b").agg(F.count("*").alias("together"))
+    kept = once.join(n.select("tag"), "tag").groupBy("item").agg(F.sort_array(F.collect_list("tag")).alias("all"))
+    sets = kept.groupBy("all").agg(F.count("*").alias("items"))
+    small = sets.where(F.size("all") <= PAIRED).select(F.col("all").alias("left"), F.col("all").alias("right"), "items")
+    large = sets.where(F.size("all") > PAIRED).withColumn("blocks", F.ceil(F.size("all") / PAIRED).cast("int"))
+    block = lambda i: F.slice("all", F.col(i) * PAIRED + 1, F.lit(PAIRED))
+    each = F.sequence(F.lit(0), F.col("blocks") - 1)
+    large = large.select("all", "items", "blocks", F.explode(each).alias("i")).select("all", "items", "i", F.explode(each).alias("j"))
+    large = large.select(block("i").alias("left"), block("j").alias("right"), "items", F.xxhash64("all").alias("set"), "i", "j")
+    large = large.repartition("set", "i", "j").select("left", "right", "items")
+    pairs = small.unionByName(large).select(F.explode("left").alias("tag_a"), "right", "items")
+    pairs = pairs.select("tag_a", F.explode("right").alias("tag_b"), "items").where("tag_a <> tag_b")
+    together = pairs.groupBy("tag_a", "tag_b").agg(F.sum("items").alias("together"))
     return together.join(n.toDF("tag_a", "items_with_a"), "tag_a").select(
         "tag_a", "tag_b", "items_with_a", "together", rounded(100.0 * F.col("together") / F.col("items_with_a"), 1).alias("pct_b_given_a")
     )
@@ -254,7 +271,16 @@ def run_metrics(tables: dict[str, DataFrame], names: list[str] | None = None) ->
 
 def in_order(df: DataFrame, main: str | None) -> DataFrame:
     """Descending by the main measure, null as zero, then by the first column."""
-    return df.orderBy(F.coalesce(F.col(main), F.lit(0)).desc(), df.columns[0]) if main else df
+    return df.orderBy(*_order(df, main)) if main else df
+
+
+def _order(df: DataFrame, main: str) -> list[Column]:
+    return [F.coalesce(F.col(main), F.lit(0)).desc(), F.col(df.columns[0]).asc()]
+
+
+def placed(df: DataFrame, main: str) -> DataFrame:
+    """A metric with each row's place in its order, which a stored table does not keep otherwise."""
+    return with_place(df, _order(df, main))
 
 
 def summary(tables: dict[str, DataFrame]) -> DataFrame:

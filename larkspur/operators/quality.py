@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -87,3 +89,46 @@ def is_stale(source: DataFrame, derived: DataFrame) -> bool:
     newest = lambda df: df.select(F.max("_metadata.file_modification_time")).first()[0]
     s, t = newest(source), newest(derived)
     return s is not None and (t is None or s > t)
+
+
+_FINDING = "table string, column string, what string"
+
+
+def warehouse_drift(spark: SparkSession, root: str, declared: dict[str, StructType]) -> DataFrame:
+    """(table, column, what): how the Parquet tables under a folder differ from their declared schemas.
+
+    Footers of all files of a table are read by Spark and merged, so a column that only some files have
+    counts as there, and files of one column with two types are a finding.  Missing and unreadable tables are
+    findings too; a table without any is not in the result.
+    """
+    found: list[tuple[str, str, str]] = []
+    for name, want in declared.items():
+        try:
+            df = spark.read.option("mergeSchema", True).parquet(f"{root}/{name}")
+        except AnalysisException:  # no such folder, or no Parquet in it
+            found += schema_drift(None, want, name)
+            continue
+        except (PySparkException, Py4JJavaError):  # files that are broken or do not go together
+            found.append((name, "", "its files cannot be read together"))
+            continue
+        found += schema_drift(df, want, name)
+    return spark.createDataFrame(found, _FINDING)
+
+
+def file_times(spark: SparkSession, root: str) -> DataFrame:
+    """(table, files, newest): the data files of each table under a folder, by their paths and times alone."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(root)
+    table = F.regexp_extract(F.col("path"), "/([^/]+)/(?:[^/=]+=[^/]*/)*[^/]+$", 1)
+    return files.groupBy(table.alias("table")).agg(F.count("*").alias("files"), F.max("modificationTime").alias("newest"))
+
+
+def stale_tables(spark: SparkSession, root: str, sources: dict[str, list[str]]) -> DataFrame:
+    """(table, source): tables that are older than one they derive from, or have no files while that one has.
+
+    sources: the tables that each table derives from.
+    """
+    times = file_times(spark, root)
+    pairs = spark.createDataFrame([(t, s) for t, of in sources.items() for s in of], "table string, source string")
+    of_source = times.select(F.col("table").alias("source"), F.col("newest").alias("since"))
+    rows = pairs.join(times.select("table", "newest"), "table", "left").join(of_source, "source")
+    return rows.where("newest is null or since > newest").select("table", "source")

@@ -8,6 +8,8 @@ from pyspark.sql.types import StringType
 
 from larkspur.functions.exprs import gender_label, to_double, to_int, url_key
 
+from .places import with_place
+
 SEASON_AXES = ("winter", "spring", "summer", "fall")
 DAY_AXES = ("day", "night")
 LAYERS = ("top", "middle", "base", "general")
@@ -131,7 +133,16 @@ def merged_directory(df: DataFrame, key: str, priority: str, columns: list[str])
 
 def in_directory_order(df: DataFrame, letter: str, name: str) -> DataFrame:
     """By letter, those without one last, then by name in any case."""
-    return df.orderBy(F.col(letter).asc_nulls_last(), F.lower(F.coalesce(F.col(name), F.lit(""))))
+    return df.orderBy(*_directory_order(letter, name))
+
+
+def _directory_order(letter: str, name: str) -> list[Column]:
+    return [F.col(letter).asc_nulls_last(), F.lower(F.coalesce(F.col(name), F.lit(""))).asc()]
+
+
+def directory_places(df: DataFrame, letter: str, name: str, *ties: str) -> DataFrame:
+    """The directory with each row's place in its order, equal names by `ties`."""
+    return with_place(df, [*_directory_order(letter, name), *ties])
 
 
 def name_keys(groups: DataFrame, listings: DataFrame, name: str, key: str, order: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from larkspur.functions.exprs import rounded, sequential_bin
 from larkspur.operators import marts, quality
+from larkspur.operators.places import with_place
 
 from . import bind
 from .bind import ATTRIBUTES, AXES, DETAILED, ITEMS, TAGS, with_
@@ -46,6 +47,20 @@ def metric_attribute(spark, d):
     return marts.by_attribute(bind.items(spark, d), bind.attributes(spark, d), missing_as_zero=True)
 
 
+@query(with_(ITEMS, COMMON3, f"g AS (SELECT gender, {_SUMS} FROM items WHERE gender IS NOT NULL GROUP BY 1)") + """
+SELECT gender, n_items, row_number() OVER (ORDER BY coalesce(n_items, 0) DESC, gender) AS place FROM g""")
+def metric_places(spark, d):
+    """The order of a metric as data: descending by its main measure, equal ones by name."""
+    return marts.placed(marts.by_label(bind.items(spark, d), "gender"), "n_items").select("gender", "n_items", "place")
+
+
+@query("SELECT l_orderkey, l_linenumber, row_number() OVER (ORDER BY l_quantity DESC, l_orderkey, l_linenumber) AS place FROM lineitem")
+def row_places(spark, d):
+    """Places of all rows of a large table, whose leading order has many equal rows."""
+    rows = bind.t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    return with_place(rows, [F.desc("l_quantity"), "l_orderkey", "l_linenumber"]).drop("l_quantity")
+
+
 @query(with_(ITEMS, COMMON3, f"g AS (SELECT gender, {_SUMS} FROM items WHERE gender IS NOT NULL GROUP BY 1)") + f"""
 SELECT gender, n_items, round(100.0::DOUBLE * n_items / (SELECT count(*) FROM items) * 100) / 100 AS share_pct, {_STRICT} AS rating_weighted, CAST(n_votes AS BIGINT) AS n_votes FROM g, common""")
 def metric_gender(spark, d):

@@ -286,7 +286,7 @@ def ungrounded_names(spark, d):
     return dialog.ungrounded(c.where("role = 'assistant'").select(F.col("conv_id").alias("key"), loud.alias("text")), allowed)
 
 
-_WHO = """r AS (SELECT grp AS query, name, grp, rating, votes, item, row_number() OVER (PARTITION BY grp ORDER BY coalesce(votes, 0) DESC, item) AS rank FROM items WHERE item % 3 <> 0 OR grp > 'Brand#3'),
+_WHO = """r AS (SELECT grp AS query, name, grp, rating, votes, item, row_number() OVER (PARTITION BY grp ORDER BY coalesce(votes, 0) DESC, item) AS rank FROM items),
 t AS (SELECT query, max(name) FILTER (rank = 1) AS name, max(rating) FILTER (rank = 1) AS rating, max(votes) FILTER (rank = 1) AS votes, max(item) FILTER (rank = 1) AS item,
       string_agg(name, ' và ' ORDER BY rank) FILTER (rank IN (2, 3)) AS others FROM r WHERE rank <= 3 GROUP BY 1),
 b AS (SELECT DISTINCT p_brand AS query FROM part UNION ALL SELECT 'none')"""
@@ -299,7 +299,7 @@ ELSE 'Mới có ' || votes * 20 || ' lượt đánh giá nên điểm ' || print
 'Cùng hướng đó còn có ' || others || ', bạn xem thử bên cạnh.', 'Bạn thích mùi ngọt ấm hay khô nhẹ hơn?') END AS answer FROM b LEFT JOIN t USING (query)""")
 def templated_answers(spark, d):
     """Each group's answer from its three items with most votes, and one for a group without items."""
-    i = bind.items(spark, d).where("item % 3 <> 0 or grp > 'Brand#3'")
+    i = bind.items(spark, d)
     by = Window.partitionBy("grp").orderBy(F.desc(F.coalesce("votes", F.lit(0))), "item")
     why = lambda *pairs: F.array(*(F.struct(F.lit(b).alias("block"), F.lit(x).alias("label")) for b, x in pairs))
     k = F.col("item") % 3
@@ -309,6 +309,35 @@ def templated_answers(spark, d):
     return dialog.answers(rows, asked)
 
 
+_ABOUT = """r AS (SELECT grp AS query, name, grp, rating, votes, item, row_number() OVER (PARTITION BY grp ORDER BY coalesce(votes, 0) DESC, item) AS rank FROM items),
+t AS (SELECT query, max(name) FILTER (rank = 1) AS name, max(rating) FILTER (rank = 1) AS rating, max(votes) FILTER (rank = 1) AS votes, max(item) FILTER (rank = 1) AS item,
+      string_agg(name, ' và ' ORDER BY rank) FILTER (rank IN (2, 3)) AS near, string_agg(name, ', ' ORDER BY rank) FILTER (rank <= 3) AS shown FROM r WHERE rank <= 3 GROUP BY 1)"""
+
+
+def _by_votes(spark, d):
+    """Items of each group in order of their votes, with reasons by their key."""
+    by = Window.partitionBy("grp").orderBy(F.desc(F.coalesce("votes", F.lit(0))), "item")
+    why = lambda *pairs: F.array(*(F.struct(F.lit(b).alias("block"), F.lit(x).alias("label")) for b, x in pairs))
+    reasons = F.when(F.col("item") % 2 == 1, why(("acc", "fresh"), ("occ", "winter"), ("str", "longevity"), ("str", "sillage")))
+    return bind.items(spark, d).withColumns({"rank": F.row_number().over(by), "query": F.col("grp"), "reasons": reasons, "votes": F.col("votes") * 20})
+
+
+@query(with_(ITEMS, _ABOUT) + """SELECT query, concat_ws(' ', name || ' của ' || query || ' thì' || CASE item % 2 WHEN 1 THEN ' mùi fresh, hợp mùa lạnh, lưu hương lâu.' ELSE ' mình chưa có đủ dữ liệu về mùi của nó.' END,
+CASE WHEN rating IS NOT NULL AND votes > 0 THEN CASE WHEN votes * 20 >= 500 THEN 'Có ' || replace(format('{:,}', votes * 20), ',', '.') || ' lượt đánh giá, trung bình ' || printf('%.2f', rating) || '/5.'
+ELSE 'Mới ' || votes * 20 || ' lượt đánh giá nên điểm ' || printf('%.2f', rating) || '/5 chưa chắc chắn.' END END,
+'Gần nó nhất là ' || near || '.', 'Bạn muốn mình so hai chai này không?') AS answer FROM t""")
+def answers_about_item(spark, d):
+    """Each group's first item described, with the next two as the ones nearest to it."""
+    rows = _by_votes(spark, d)
+    near = rows.where("rank > 1").withColumn("rank", F.col("rank") - 1).select("query", "rank", "name")
+    return dialog.answers_about(rows.where("rank = 1"), near)
+
+
+@query(with_(ITEMS, _ABOUT) + """SELECT query, 'Với điều kiện này thì mình chưa thấy chai nào khác ngoài ' || shown || ' đã gợi lúc trước. Bạn nới bớt một điều kiện nhé — bỏ mùa, hay cho mình thêm một note hương bạn thích?' AS answer FROM t""")
+def answers_when_all_shown(spark, d):
+    return dialog.answers_exhausted(_by_votes(spark, d).select("query", "rank", "name"))
+
+
 # Work queue: suppliers are groups, parts items, events outcomes
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from larkspur.operators import marts, silver
+from larkspur.operators import marts, quality, silver
 from larkspur.operators.retrieval import Retriever
 from larkspur.sources import bronze
 from larkspur.sources.scratch import new_folder
@@ -132,3 +132,27 @@ def retriever_nearest(spark, d):
     none = spark.createDataFrame([], "item long, block string, label string, weight double")
     found = Retriever(items, none, none, e).search(e.where("item % 50 = 0").select(F.col("item").alias("query"), "embedding"), 5, gender="nữ")
     return found.select("query", "item", "score", F.col("rank").cast("long").alias("rank"))
+
+
+@query("""SELECT * FROM (VALUES ('customer', 'c_name', 'missing, declared string'), ('customer', 'c_acctbal', 'string, declared double'), ('customer', 'more', 'not declared, is int'),
+('orders', '', 'the table is missing or cannot be read')) t("table", "column", what)""")
+def dq_drift(spark, d):
+    """Stored tables against their declared schemas: a column that went, one of another type, one that came, and
+    a table that is not there; the third table is as declared."""
+    base = new_folder(spark)
+    tables = {name: bind.t(spark, d, name) for name in ("customer", "supplier", "orders")}
+    tables["customer"].drop("c_name").withColumn("c_acctbal", F.col("c_acctbal").cast("string")).withColumn("more", F.lit(1)).write.parquet(f"{base}/customer")
+    tables["supplier"].repartition(3).write.parquet(f"{base}/supplier")
+    return quality.warehouse_drift(spark, base, {name: df.schema for name, df in tables.items()})
+
+
+@query("""SELECT * FROM (VALUES ('mart', 'customer'), ('none', 'customer'), ('none', 'fact')) t("table", source)""")
+def dq_freshness(spark, d):
+    """A fact that was written after its source, a mart whose source came again, and one never written."""
+    base = new_folder(spark)
+    customer = bind.t(spark, d, "customer")
+    sums = customer.groupBy("c_nationkey").agg(F.sum("c_acctbal").alias("total"))
+    sums.write.parquet(f"{base}/mart")
+    customer.write.partitionBy("c_mktsegment").parquet(f"{base}/customer")
+    sums.write.parquet(f"{base}/fact")
+    return quality.stale_tables(spark, base, {"mart": ["customer"], "fact": ["customer"], "none": ["customer", "fact"]})
