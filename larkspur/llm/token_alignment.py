@@ -180,42 +180,26 @@ class Aligner:
             out.append(found)
             i, k = j, m
         if first:
-            self._align_fresh(tokens, [out[w] for w in first], begin[first], begin[np.array(first) + 1])
+            self._align_fresh(tokens, begin, np.array(first), [out[w] for w in first])
         for key, window in fresh.items():
             self.kept.keep(key, window)
         self.windows, self.fresh = self.windows + len(out), self.fresh + len(first)
         of = np.searchsorted(tokens.cut_a[begin], starts)
         return [out[x:y] for x, y in pairwise(of.tolist())]
 
-    def _align_fresh(self, tokens: "_Tokens", windows: list[Window], first: np.ndarray, last: np.ndarray) -> None:
-        """Groups and links of the windows that stand between these groups.
-
-        Tokens are linked if their bytes overlap: each stretch of bytes between two neighbouring ends, of either
-        side, lies in one token of each, and that is one link.
-        """
-        from_a, to_a, from_b, to_b = tokens.cut_a[first], tokens.cut_a[last], tokens.cut_b[first], tokens.cut_b[last]
-        in_a, in_b = _ranges(from_a, to_a), _ranges(from_b, to_b)
-        a, b, end_a, end_b = tokens.a[in_a], tokens.b[in_b], tokens.end_a[in_a], tokens.end_b[in_b]
-        ends = np.union1d(end_a, end_b)
-        pairs = (a[np.searchsorted(end_a, ends)].astype(np.int64) << 32) | b[np.searchsorted(end_b, ends)]
-        pairs_at = np.searchsorted(ends, tokens.end_a[to_a - 1], "right").tolist()
-
-        # the text lists a group's tokens of one side, then those of the other
-        place = np.concatenate((2 * tokens.group_a[in_a], 2 * tokens.group_b[in_b] + 1))
-        order = np.argsort(place, kind="stable")
-        place = place[order]
-        # what follows a token: 0 nothing (a window's end), 1 a comma, 2 a bar, 3 a semicolon
-        mark = np.full(len(place), 3)
-        mark[:-1][place[1:] == place[:-1]] = 1
-        mark[:-1][(place[1:] == place[:-1] + 1) & (place[:-1] % 2 == 0)] = 2
-        text_at = np.cumsum((to_a - from_a) + (to_b - from_b))
-        mark[text_at - 1] = 0
-        ids = np.concatenate((a, b))[order]
-        written = list(map(self.written.__getitem__, (ids * 4 + mark).tolist()))
-        data, s, e = pairs.tobytes(), 0, 0
-        for window, groups, to, upto in zip(windows, (last - first).tolist(), text_at.tolist(), pairs_at):
-            window.text, window.groups, window.pairs = b"".join(written[s:to]), groups, data[8 * e : 8 * upto]
-            s, e = to, upto
+    def _align_fresh(self, tokens: "_Tokens", begin: np.ndarray, which: np.ndarray, windows: list[Window]) -> None:
+        """Groups and links of `windows`, which are these of the windows that begin with the groups `begin`."""
+        code = tokens.written_order(begin)
+        at = tokens.cut_a[begin] + tokens.cut_b[begin]
+        from_, to = at[which], at[which + 1]
+        written = list(map(self.written.__getitem__, code[_ranges(from_, to)].tolist()))
+        pairs, pair_at = tokens.pairs(begin)
+        data = pairs.tobytes()
+        groups = (begin[which + 1] - begin[which]).tolist()
+        s = 0
+        for window, n, e, x, y in zip(windows, groups, np.cumsum(to - from_).tolist(), (8 * pair_at[which]).tolist(), (8 * pair_at[which + 1]).tolist()):
+            window.text, window.groups, window.pairs = b"".join(written[s:e]), n, data[x:y]
+            s = e
 
 
 class _Tokens:
@@ -223,13 +207,37 @@ class _Tokens:
     where these begin, closed by the ends."""
 
     def __init__(self, a: np.ndarray, b: np.ndarray, end_a: np.ndarray, end_b: np.ndarray):
-        self.a, self.b, self.end_a, self.end_b = a, b, end_a, end_b
-        is_a, is_b = (np.zeros(int(end_a[-1]) + 1, bool) for _ in range(2))
-        is_a[end_a], is_b[end_b] = True, True
-        both_a, both_b = is_b[end_a], is_a[end_b]
+        self.a, self.b, self.end_a = a, b, end_a
+        self.is_a, self.is_b = (np.zeros(int(end_a[-1]) + 1, bool) for _ in range(2))
+        self.is_a[end_a], self.is_b[end_b] = True, True
+        both_a, both_b = self.is_b[end_a], self.is_a[end_b]
         self.cut_a, self.cut_b = (np.concatenate(([0], np.flatnonzero(x) + 1)) for x in (both_a, both_b))
         self.group_a, self.group_b = np.cumsum(both_a) - both_a, np.cumsum(both_b) - both_b
 
+    def pairs(self, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The id pairs of all links in order, and where those of each window begin, closed by their number.
+
+        Tokens are linked if their bytes overlap: each stretch of bytes between two neighbouring ends, of
+        either side, lies in one token of each, and that is one link.
+        """
+        ends = np.flatnonzero(self.is_a | self.is_b)
+        is_a, is_b = self.is_a[ends], self.is_b[ends]
+        pairs = self.a[np.cumsum(is_a) - is_a].astype(np.int64) << 32 | self.b[np.cumsum(is_b) - is_b]
+        last = self.end_a[self.cut_a[begin[1:]] - 1]
+        return pairs, np.concatenate(([0], np.searchsorted(ends, last, "right")))
+
+    def written_order(self, begin: np.ndarray) -> np.ndarray:
+        """Four times each id, and 1 for a comma after it, 2 for a bar, 3 for a semicolon, 0 for nothing at a window's
+        end: a group's tokens of one side, then those of the other."""
+        code = np.empty(len(self.a) + len(self.b), np.int64)
+        for ids, group, before, other in ((self.a, self.group_a, self.cut_b[self.group_a], 2), (self.b, self.group_b, self.cut_a[self.group_b + 1], 3)):
+            mark = np.full(len(ids), other)
+            mark[:-1][group[1:] == group[:-1]] = 1
+            if other == 3:
+                mark[self.cut_b[begin[1:]] - 1] = 0
+            code[np.arange(len(ids)) + before] = ids.astype(np.int64) * 4 + mark
+        return code
+
 
 def aligner(byte_bpe: str, piece_bpe: str) -> Aligner:
     """One per process and pair of files."""
