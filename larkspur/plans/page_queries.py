@@ -216,6 +216,14 @@ def bronze_scan_report(spark, d):
     return bronze.scan_report(_bronze(spark, d))
 
 
+@query("""SELECT CASE p_partkey % 4 WHEN 0 THEN 'item' WHEN 1 THEN 'group' WHEN 2 THEN 'listing' ELSE CASE WHEN p_partkey % 8 = 3 THEN 'unknown' ELSE 'malformed' END END AS kind, count(*) AS n FROM part GROUP BY 1""")
+def bronze_observed_report(spark, d):
+    """The same counts, taken while the records are split by kind."""
+    rows, seen = bronze.observed(_bronze(spark, d))
+    bronze.split_by_kind(rows, f"{new_folder(spark)}/split")
+    return bronze.observed_report(spark, seen)
+
+
 @query("SELECT 'https://shop.example.com/i/' || p_partkey AS url, p_name AS name, CAST(p_size AS INT) AS year FROM part WHERE p_partkey % 4 = 0")
 def bronze_items(spark, d):
     rows = bronze.of_kind(bronze.well_formed(_bronze(spark, d)), "item")

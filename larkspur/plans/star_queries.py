@@ -83,7 +83,7 @@ def flat_axes(spark, d):
 @query("""SELECT s_suppkey AS key, coalesce(CASE WHEN s_suppkey % 3 = 0 THEN 'n' || s_nationkey END, n_name) AS grp FROM supplier JOIN nation ON n_nationkey = s_nationkey""")
 def group_key_resolution(spark, d):
     s = bind.t(spark, d, "supplier").join(bind.t(spark, d, "nation"), F.col("n_nationkey") == F.col("s_nationkey")).select(F.col("s_suppkey").alias("key"), F.col("n_name").alias("name"), "s_nationkey")
-    listings = s.where("key % 3 = 0").select("key", F.concat(F.lit("n"), F.col("s_nationkey").cast("string")).alias("grp"))
+    listings = s.select(F.when(F.col("key") % 3 == 0, F.col("key")).otherwise(-F.col("key")).alias("key"), F.concat(F.lit("n"), F.col("s_nationkey").cast("string")).alias("grp"))
     groups = bind.t(spark, d, "nation").select(F.col("n_name").alias("grp_name"), F.col("n_name").alias("grp"))
     return silver.resolve_group(s, "key", "name", listings, groups, "grp", "grp_name").select("key", "grp")
 
@@ -128,9 +128,13 @@ def resume_filter(spark, d):
     return silver.not_yet_done(p, done, "url").select("page_id")
 
 
-@query(with_(ITEMS, ATTRIBUTES, TAGS) + "SELECT item FROM items WHERE item IN (SELECT item FROM attributes WHERE strength > 60) OR item IN (SELECT item FROM tags WHERE tag < 'Brand#15')")
+@query(with_(ITEMS, ATTRIBUTES, TAGS) + "SELECT item FROM items WHERE item IN (SELECT CASE WHEN strength > 60 THEN item ELSE -1 END FROM attributes) OR item IN (SELECT CASE WHEN tag < 'Brand#15' THEN item ELSE -1 END FROM tags)")
 def usable_items(spark, d):
-    return silver.usable(bind.items(spark, d).select("item"), bind.attributes(spark, d).where("strength > 60"), bind.tags(spark, d).where("tag < 'Brand#15'"))
+    """Attributes and tags of other items than those of the table are passed over."""
+    other = lambda known: F.when(known, F.col("item")).otherwise(-1)
+    a = bind.attributes(spark, d).withColumn("item", other(F.col("strength") > 60))
+    t = bind.tags(spark, d).withColumn("item", other(F.col("tag") < "Brand#15"))
+    return silver.usable(bind.items(spark, d).select("item"), a, t)
 
 
 # Star schema
@@ -165,13 +169,16 @@ def dim_group(spark, d):
     return star.dim_group(directory, named(p, "p_brand", F.concat("p_brand", F.lit(" Ltd"))), named(p, "p_type", F.col("p_name")))
 
 
-@query("""WITH l AS (SELECT p_partkey AS k, p_type AS c, p_name AS n FROM part WHERE p_partkey % 5 <> 0), de AS (SELECT DISTINCT l_partkey AS k FROM lineitem WHERE l_quantity > 48)
-SELECT md5(CAST(de.k AS VARCHAR)) AS item_sk, de.k AS item_key, p_name AS name, l.c AS collection, true AS is_detailed FROM de JOIN part ON p_partkey = de.k LEFT JOIN l ON l.k = de.k
+@query("""WITH l AS (SELECT CASE WHEN p_partkey % 5 = 0 THEN p_partkey + 1000000000 ELSE p_partkey END AS k, p_type AS c, p_name AS n FROM part),
+de AS (SELECT CASE WHEN p_size % 2 = 0 THEN p_partkey ELSE -p_partkey END AS k, p_name AS name FROM part)
+SELECT md5(CAST(de.k AS VARCHAR)) AS item_sk, de.k AS item_key, name, l.c AS collection, true AS is_detailed FROM de LEFT JOIN l ON l.k = de.k
 UNION ALL SELECT md5(CAST(k AS VARCHAR)), k, n, c, false FROM l WHERE k NOT IN (SELECT k FROM de)""")
 def dim_item(spark, d):
-    p = bind.t(spark, d, "part").select(F.col("p_partkey").alias("item_key"), F.col("p_name").alias("name"), F.col("p_type").alias("collection"))
-    some = bind.t(spark, d, "lineitem").where("l_quantity > 48").select(F.col("l_partkey").alias("item_key")).distinct()
-    return star.dim_item(p.join(some, "item_key", "left_semi").drop("collection"), p.where("item_key % 5 <> 0"))
+    """Items by other keys in the details and in the listings, so that both have some of their own."""
+    k = F.col("p_partkey")
+    p = bind.t(spark, d, "part").select(k, "p_size", F.col("p_name").alias("name"), F.col("p_type").alias("collection"))
+    details = p.select(F.when(F.col("p_size") % 2 == 0, k).otherwise(-k).alias("item_key"), "name")
+    return star.dim_item(details, p.select(F.when(k % 5 == 0, k + 1_000_000_000).otherwise(k).alias("item_key"), "name", "collection"))
 
 
 @query(with_(ATTRIBUTES) + "SELECT md5(attribute) AS sk, attribute FROM (SELECT DISTINCT attribute FROM attributes)")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from larkspur.operators import marts, quality, silver
+from larkspur.operators import dense, marts, quality, silver
 from larkspur.operators.retrieval import Retriever
 from larkspur.sources import bronze
 from larkspur.sources.scratch import new_folder
@@ -124,16 +124,36 @@ def stream_records(spark, d):
 
 @query("""SELECT query, item, score, rank FROM (SELECT q.vec_id AS query, i.vec_id AS item, round(list_cosine_similarity(q.embedding::DOUBLE[], i.embedding::DOUBLE[]), 6) AS score,
 row_number() OVER (PARTITION BY q.vec_id ORDER BY round(list_cosine_similarity(q.embedding::DOUBLE[], i.embedding::DOUBLE[]), 6) DESC, i.vec_id) AS rank
-FROM embeddings q, embeddings i WHERE q.vec_id % 50 = 0 AND i.label % 3 = 0 AND i.vec_id % 4 <> 1) WHERE rank <= 5 AND score > 0""")
+FROM embeddings q, embeddings i WHERE q.vec_id % 50 = 0 AND i.vec_id % 4 <> 1) WHERE rank <= 5 AND score > 0""")
 def retriever_nearest(spark, d):
     """The dense side of the common interface, with filters on the items."""
     e = bind.t(spark, d, "embeddings").select(F.col("vec_id").alias("item"), F.col("label").alias("grp"), "embedding", F.lit("m-1").alias("model_id"))
-    items = e.where("grp % 3 = 0").select("item", "grp", (F.col("item") % 4).alias("votes"), F.when(F.col("item") % 4 == 1, "Nam").otherwise("Nữ").alias("gender"))
+    items = e.select("item", "grp", (F.col("item") % 4).alias("votes"), F.when(F.col("item") % 4 == 1, "Nam").otherwise("Nữ").alias("gender"))
     none = spark.createDataFrame([], "item long, block string, label string, weight double")
     found = Retriever(items, none, none, e).search(e.where("item % 50 = 0").select(F.col("item").alias("query"), "embedding"), 5, gender="nữ")
     return found.select("query", "item", "score", F.col("rank").cast("long").alias("rank"))
 
 
+@query("""SELECT * FROM (SELECT count(*) AS n_documents, count(DISTINCT source) AS n_sources FROM documents), (VALUES
+('one', 'm-1'), ('other', 'embedded with m-1, not m-2'), ('mixed', 'several models in one table: [''m-1'', ''m-2'']'), ('empty', 'the embedding table is empty')) t("table", verdict)""")
+def model_guard(spark, d):
+    """What the guard of embedding tables says of a table of one model, of another one than was asked for, of two
+    models and of none."""
+    docs = bind.t(spark, d, "documents").select("doc_id", "source")
+    one = docs.withColumn("model_id", F.lit("m-1"))
+    mixed = docs.withColumn("model_id", F.when(F.col("doc_id") % 2 == 0, "m-1").otherwise("m-2"))
+
+    def verdict(df, expected=None):
+        try:
+            return dense.one_model(df, expected)
+        except ValueError as e:
+            return str(e)
+
+    said = [("one", verdict(one)), ("other", verdict(one, "m-2")), ("mixed", verdict(mixed)), ("empty", verdict(one.limit(0)))]
+    sizes = docs.agg(F.count("*").alias("n_documents"), F.count_distinct("source").alias("n_sources"))
+    return spark.createDataFrame(said, "table string, verdict string").crossJoin(F.broadcast(sizes))
+
+
 @query("""SELECT * FROM (VALUES ('customer', 'c_name', 'missing, declared string'), ('customer', 'c_acctbal', 'string, declared double'), ('customer', 'more', 'not declared, is int'),
 ('orders', '', 'the table is missing or cannot be read')) t("table", "column", what)""")
 def dq_drift(spark, d):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
@@ -51,6 +51,21 @@ def scan_report(rows: DataFrame) -> DataFrame:
     return rows.groupBy(what.alias("kind")).agg(F.count("*").alias("n"))
 
 
+def observed(rows: DataFrame) -> tuple[DataFrame, Observation]:
+    """A scan's rows, and what they hold by kind, counted on the way as the next step reads them: the counts are
+    there once that step has run."""
+    seen = Observation()
+    broken = F.col("_corrupt_record").isNotNull()
+    kinds = [F.count_if(~broken & (F.col("kind") == kind)).alias(kind) for kind, _ in KINDS]
+    rest = [F.count_if(broken).alias("malformed"), F.count_if(~broken & F.col("kind").isNull()).alias("unknown")]
+    return rows.observe(seen, *kinds, *rest), seen
+
+
+def observed_report(spark: SparkSession, seen: Observation) -> DataFrame:
+    """`scan_report` from what was counted: one row for each kind that was there."""
+    return spark.createDataFrame([(k, n) for k, n in seen.get.items() if n], "kind string, n long")
+
+
 def split_by_kind(rows: DataFrame, path: str) -> None:
     well_formed(rows).where("kind is not null").drop("file", "modified", "_corrupt_record").write.mode("overwrite").partitionBy("kind").json(path)
 
