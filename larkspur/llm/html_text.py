@@ -2,9 +2,10 @@
 
 The standard library's parser streams events; block elements cut the page into lines.  Each line has
 the ratio of its text to its tags.  The ratios are smoothed with a Gaussian and set against the
-page's mean, which gives each line a density of 0 to 1.  Element and class names add or take away
-from it, links take away from it; no name decides alone.  Lines at or above the threshold form the
-content clusters: the element whose lines gain most over the threshold, by length, is the content
+page's mean, which gives each line a density of 0 to 1.  Element and class names add to it or take away
+from it, and links take away from it.  A frame element or a name of its kind takes more away than a
+density can give, so such lines are left out whatever their text; among all other lines the densities
+decide.  Lines at or above the threshold form the content clusters: the element whose lines gain most over the threshold, by length, is the content
 region.  Its lines are the text, but for those that names and density together put below the
 threshold (menus, forms, notices, adverts, comments and the like).
 """
