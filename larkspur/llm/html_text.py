@@ -4,8 +4,8 @@ The standard library's parser streams events; block elements cut the page into l
 the ratio of its text to its tags.  The ratios are smoothed with a Gaussian and set against the
 page's mean, which gives each line a density of 0 to 1.  Element and class names add to it or take away
 from it, and links take away from it.  A frame element or a name of its kind takes more away than a
-density can give, so such lines are left out whatever their text; among all other lines the densities
-decide.  Lines at or above the threshold form the content clusters: the element whose lines gain most over the threshold, by length, is the content
+density can give, so such lines are left out whatever their text, unless every line of the page is one; among
+all other lines the densities decide.  Lines at or above the threshold form the content clusters: the element whose lines gain most over the threshold, by length, is the content
 region.  Its lines are the text, but for those that names and density together put below the
 threshold (menus, forms, notices, adverts, comments and the like).
 """
@@ -272,8 +272,15 @@ def main_text(html: str | None) -> str:
     page.cut()
     scores = [d + x.evidence for d, x in zip(densities(page.lines), page.lines)]
     held = content_region(page.lines, scores, page.kinds, page.parents)
-    kept = (x.text for x, score in zip(page.lines, scores) if held[x.region] and not left_out(x, score))
-    return "\n".join(kept)
+    kept = [x.text for x, score in zip(page.lines, scores) if held[x.region] and not left_out(x, score)]
+    return "\n".join(kept or by_density(page.lines))
+
+
+def by_density(lines: list[Line]) -> list[str]:
+    """The text of a page on which names speak against every line, so that they tell nothing apart: the lines at
+    or above the threshold by density alone that are not mostly links, if they hold most of the page's text."""
+    dense = [x.text for x, d in zip(lines, densities(lines)) if d >= THRESHOLD and 2 * x.linked <= len(x.text)]
+    return dense if 2 * sum(map(len, dense)) > sum(len(x.text) for x in lines) else []
 
 
 def extracted(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "url"), html_col: str = "html") -> DataFrame:

@@ -148,6 +148,20 @@ def test_extracted_columns(spark):
     assert html_text.extracted(df.limit(0)).count() == 0
 
 
+def test_pages_that_are_all_frame(monkeypatch):
+    """Names that stand on every line tell nothing apart: the densities decide, and their smoothing."""
+    long = "A paragraph of many words that goes on and on about one thing after another and says enough to be read. "
+    menu = "<ul>" + "".join(f'<li><a href="/{k}">entry {k}</a></li>' for k in range(12)) + "</ul>"
+    for start, end in (("<form>", "</form>"), ('<div id="search">', "</div>"), ("<dialog><label>", "</label></dialog>")):
+        body = f"<p>{long * 3}</p><p>Short one.</p><p>{long * 3}</p>"
+        want = [(long * 3).strip(), "Short one.", (long * 3).strip()]
+        assert html_text.main_text(f"<body>{start}{body}{end}</body>").split("\n") == want
+        assert html_text.main_text(f"<body><nav>{menu}</nav>{start}{body}{end}</body>").split("\n") == want
+    assert html_text.main_text(f"<body><nav>{menu}</nav><footer>Small print</footer></body>") == ""
+    monkeypatch.setattr(html_text, "smoothed", lambda values: values)
+    assert html_text.main_text(f"<form>{body}</form>").split("\n") == [want[0], want[2]]
+
+
 # 3
 
 ODD = ["", None, " ", "Don't stop<|endoftext|>now", "naïve état ﬁ İ  \t x", "a" * 5000, "ab cd\n\n\nef   gh " * 300, "😀 ok " * 40]
