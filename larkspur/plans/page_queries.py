@@ -203,7 +203,11 @@ def _raw(spark, d):
     k = F.col("p_partkey") % 4
     key = F.concat(F.lit("https://shop.example.com/i/"), F.col("p_partkey").cast("string"))
     body = F.when(k == 0, F.to_json(F.struct(key.alias("url"), F.col("p_name").alias("name"), F.col("p_size").cast("string").alias("year"))))
-    body = body.when(k == 1, F.to_json(F.struct(key.alias("brand_url"), F.col("p_brand").alias("brand_name")))).when(k == 2, F.to_json(F.struct(key.alias("brand_url"), key.alias("perfume_url"))))
+    size, brand = F.col("p_size").cast("string"), F.col("p_brand").alias("brand_name")
+    group = F.struct(key.alias("brand_url"), brand, F.substring("p_brand", 7, 1).alias("alphabet"), size.alias("popular_rank"), F.lit("2024-01-02T03:04:05").alias("scraped_at"))
+    year = F.when(F.col("p_size") % 2 == 0, F.col("p_size") + 1970).otherwise(F.lit(None)).cast("string")
+    listing = F.struct(key.alias("brand_url"), key.alias("perfume_url"), F.col("p_name").alias("perfume_name"), brand, F.col("p_type").alias("collection"), year.alias("year"), F.lit("male").alias("gender"), F.col("p_size").cast("long").alias("comments"))
+    body = body.when(k == 1, F.to_json(group)).when(k == 2, F.to_json(listing))
     return p.select("p_partkey", body.otherwise(F.when(F.col("p_partkey") % 8 == 3, '{"note": 1}').otherwise('{"url": "broken')).alias("value"))
 
 
@@ -230,14 +234,16 @@ def bronze_items(spark, d):
     return rows.select("url", "name", F.col("year").try_cast("int").alias("year"))
 
 
-@query("SELECT 'https://shop.example.com/i/' || p_partkey AS perfume_key FROM part WHERE p_partkey % 4 = 2")
+@query("""SELECT u AS perfume_key, u AS perfume_url, u AS brand_key, p_brand AS brand_name, p_name AS perfume_name, p_type AS collection, CAST(CASE WHEN p_size % 2 = 0 THEN p_size + 1970 END AS INT) AS year,
+'Nam' AS gender, CAST(p_size AS BIGINT) AS comments FROM (SELECT *, 'https://shop.example.com/i/' || p_partkey AS u FROM part WHERE p_partkey % 4 = 2)""")
 def bronze_listings(spark, d):
-    return silver.listing_rows(bronze.of_kind(_bronze(spark, d), "listing")).select("perfume_key")
+    return silver.listing_rows(bronze.of_kind(_bronze(spark, d), "listing"))
 
 
-@query("SELECT 'https://shop.example.com/i/' || p_partkey AS brand_key, p_brand AS brand_name FROM part WHERE p_partkey % 4 = 1")
+@query("""SELECT 'https://shop.example.com/i/' || p_partkey AS brand_key, 'https://shop.example.com/i/' || p_partkey AS brand_url, p_brand AS brand_name, substr(p_brand, 7, 1) AS alphabet,
+CAST(p_size AS INT) AS popular_rank, '2024-01-02T03:04:05' AS scraped_at FROM part WHERE p_partkey % 4 = 1""")
 def bronze_groups(spark, d):
-    return silver.group_rows(bronze.of_kind(_bronze(spark, d), "group")).select("brand_key", "brand_name")
+    return silver.group_rows(bronze.of_kind(_bronze(spark, d), "group"))
 
 
 def _csv(spark, d):
