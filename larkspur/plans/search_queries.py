@@ -9,7 +9,7 @@ from larkspur.functions.exprs import rounded
 from larkspur.operators import dialog, queue, search, sparse
 
 from . import bind, similarity_queries as sim
-from .bind import ATTRIBUTES, AXES, ITEMS, TAGS, with_
+from .bind import ATTRIBUTES, ITEMS, TAGS, with_
 from .registry import query
 
 PHRASES = {"the": "winter", "and": "summer", "que": "fall", "die": "day"}

@@ -6,7 +6,6 @@ import random
 
 import duckdb
 import pytest
-from pyspark.sql import functions as F
 
 from larkspur.operators import pages
 from larkspur.sources import csv_links

@@ -11,7 +11,6 @@ from pyspark.sql.types import StructType
 from larkspur.functions import exprs
 from larkspur.operators import dense, dialog, marts, pages, quality, queue, search, silver, sparse, star
 from larkspur.sources import bronze, csv_links
-from larkspur.streaming import jobs
 
 
 def rows(df, *cols):
