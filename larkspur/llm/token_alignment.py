@@ -32,7 +32,9 @@ KEPT, _ENTRY = 128 << 20, 420
 #: Most pairs whose counts are broadcast (17 bytes each).
 BROADCAST_PAIRS = 1 << 20
 _SPACE_MARK = "▁"
-_LONG_SPACE = re.compile(r"\s{10000}")
+#: White space in a row that the faster encoder is not given.
+LONG_SPACE = 10_000
+_LONG_RUN = re.compile(rf"\s{{{LONG_SPACE}}}")
 _aligners: dict[tuple[str, str], "Aligner"] = {}
 
 
@@ -133,7 +135,11 @@ class Aligner:
     def encode_a(self, texts: list[str]) -> list[list[int]]:
         """Ids of the byte-level side.  The faster encoder's pattern has bounded steps, so texts with very long runs
         of white space go to the other one."""
-        return [(self.whole if _LONG_SPACE.search(t) else self.ranked)([t])[0] for t in texts]
+        long = [k for k, t in enumerate(texts) if len(t) >= LONG_SPACE and _LONG_RUN.search(t)]
+        out = self.ranked([t if k not in long else "" for k, t in enumerate(texts)] if long else texts)
+        for k in long:
+            out[k] = self.whole([texts[k]])[0]
+        return out
 
     def _piece(self, t: int) -> bytes:
         piece = self.b.id_to_piece(t)
@@ -174,9 +180,11 @@ class Aligner:
             key = (data_a[i:j], data_b[k:m])
             found = young.get(key) or fresh.get(key)
             if found is None:
-                found = fresh[key] = old.get(key) or Window()
-                if not hasattr(found, "text"):
+                found = old.get(key)
+                if found is None:
+                    found = Window()
                     first.append(w)
+                fresh[key] = found
             out.append(found)
             i, k = j, m
         if first:
