@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +28,10 @@ from .tables import materialize
 _WORD = re.compile(r"\w+")
 #: Words whose buckets a worker keeps.
 KEPT_WORDS = 150_000
+#: The driver counts, and fits, the sample in blocks of about so many terms of whole texts.
+BLOCK_COUNTED, BLOCK_FITTED = 1 << 20, 1 << 17
+#: Buckets whose likelihood ratios are computed at a time.
+BLOCK_BUCKETS = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -89,44 +94,64 @@ class Machine:
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
+def _blocks(sizes: list[int], most: int) -> Iterator[slice]:
+    """Runs of texts of about `most` terms."""
+    first = total = 0
+    for k, n in enumerate(sizes, 1):
+        total += n
+        if total >= most or k == len(sizes):
+            yield slice(first, k)
+            first, total = k, 0
+
+
 def informative(bags: list[np.ndarray], y: np.ndarray, fit: Fit) -> np.ndarray:
     """Buckets by likelihood ratio (G squared) of their presence against the label."""
-    flat = np.concatenate(bags) if bags else np.empty(0, np.int32)
-    label = np.repeat(y, [len(b) for b in bags])
-    a = np.bincount(flat[label == 1], minlength=fit.buckets).astype(float)
-    b = np.bincount(flat[label == 0], minlength=fit.buckets).astype(float)
+    a, b = np.zeros(fit.buckets), np.zeros(fit.buckets)
+    for part in _blocks([len(x) for x in bags], BLOCK_COUNTED):
+        flat = np.concatenate(bags[part])
+        label = np.repeat(y[part] == 1, [len(x) for x in bags[part]])
+        a += np.bincount(flat[label], minlength=fit.buckets)
+        b += np.bincount(flat[~label], minlength=fit.buckets)
     p, n = max(float((y == 1).sum()), 1e-9), max(float((y == 0).sum()), 1e-9)
     g = np.zeros(fit.buckets)
-    for seen, total in ((a, p), (b, n)):
-        for x, share in ((seen, (a + b) / (p + n)), (total - seen, 1 - (a + b) / (p + n))):
-            expect = total * share
-            g += np.where(x > 0, 2 * x * np.log(np.maximum(x, 1e-9) / np.maximum(expect, 1e-9)), 0)
+    for first in range(0, fit.buckets, BLOCK_BUCKETS):
+        of = slice(first, first + BLOCK_BUCKETS)
+        both = (a[of] + b[of]) / (p + n)
+        for seen, total in ((a[of], p), (b[of], n)):
+            for x, share in ((seen, both), (total - seen, 1 - both)):
+                expect = total * share
+                g[of] += np.where(x > 0, 2 * x * np.log(np.maximum(x, 1e-9) / np.maximum(expect, 1e-9)), 0)
     top = np.argsort(-g, kind="stable")[: fit.terms]
     return np.sort(top[(g[top] >= fit.ratio) & (a[top] + b[top] >= 3)])
 
 
 def train(bags: list[np.ndarray], y: np.ndarray, fit: Fit) -> Machine:
-    """Logistic loss, full-batch Adam, fixed seed.  With one label only or no rows: a constant."""
+    """Logistic loss, full-batch Adam, fixed seed; gradients are summed over blocks of texts.  With one label only or no rows: a constant."""
     p = (float(y.sum()) + 0.5) / (len(y) + 1)
     if not len(y) or y.min() == y.max():
         return Machine(fit.buckets, np.empty(0, int), float(np.log(p / (1 - p))) if len(y) else -30.0, np.empty(0), np.empty((0, fit.factors)))
     chosen = informative(bags, y, fit)
-    at = [np.searchsorted(chosen, b[np.isin(b, chosen)]) for b in bags]
-    row, col = np.repeat(np.arange(len(at)), [len(x) for x in at]), np.concatenate(at).astype(np.int64)
+    place = np.full(fit.buckets, -1, np.int32)
+    place[chosen] = np.arange(len(chosen))
+    at = [x[x >= 0] for x in (place[b] for b in bags)]
+    # of each block of texts: which, the text of each of their terms, the terms
+    blocks = [(of, np.repeat(np.arange(of.stop - of.start, dtype=np.int32), [len(x) for x in at[of]]), np.concatenate(at[of])) for of in _blocks([len(x) for x in at], BLOCK_FITTED)]
+    del at
     weight = np.where(y > 0, fit.toxic, 1.0) / len(y)
     rng = np.random.default_rng(11)
     w0, w, v = np.log(p / (1 - p)), np.zeros(len(chosen)), rng.normal(0, 0.05, (len(chosen), fit.factors))
-    sums = lambda x: np.stack([np.bincount(row, x[:, f], len(y)) for f in range(x.shape[1])], 1)
+    by = lambda key, x, n: np.stack([np.bincount(key, x[:, f], n) for f in range(x.shape[1])], 1)
     state = [np.zeros_like(w), np.zeros_like(w), np.zeros_like(v), np.zeros_like(v), 0.0, 0.0]
     for step in range(1, fit.steps + 1):
-        vc = v[col]
-        s = sums(vc)
-        z = w0 + np.bincount(row, w[col], len(y)) + 0.5 * ((s**2).sum(1) - np.bincount(row, (vc**2).sum(1), len(y)))
-        err = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) * weight
-        gw = np.bincount(col, err[row], len(chosen)) + fit.decay * w / len(chosen)
-        pull = err[row][:, None] * (s[row] - vc)
-        gv = np.stack([np.bincount(col, pull[:, f], len(chosen)) for f in range(fit.factors)], 1) + fit.decay * v / len(chosen)
-        g0 = err.sum()
+        g0, gw, gv = 0.0, fit.decay * w / len(chosen), fit.decay * v / len(chosen)
+        for of, row, col in blocks:
+            vc, n = v[col], of.stop - of.start
+            s = by(row, vc, n)
+            z = w0 + np.bincount(row, w[col], n) + 0.5 * ((s**2).sum(1) - np.bincount(row, (vc**2).sum(1), n))
+            err = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[of]) * weight[of]
+            g0 += err.sum()
+            gw += np.bincount(col, err[row], len(chosen))
+            gv += by(col, err[row][:, None] * (s[row] - vc), len(chosen))
         fix = fit.rate * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
         for k, (x, g) in enumerate(((w, gw), (v, gv))):
             state[2 * k] = 0.9 * state[2 * k] + 0.1 * g
@@ -166,9 +191,11 @@ def fit_machine(
 
     found = materialize(rows.mapInArrow(bags, "id long, y int, bag binary"), "bags")
     size = found.agg(F.coalesce(F.sum(F.length("bag")), F.lit(0))).first()[0]
-    sample = found.where(share(1, fit.bytes / max(size, 1))).toArrow().sort_by([("id", "ascending"), ("y", "ascending")])
-    y = (sample.column("y").to_numpy() > 0).astype(float)
-    return train([np.frombuffer(x.as_py(), np.int32) for x in sample.column("bag")], y, fit)
+    sample = found.where(share(1, fit.bytes / max(size, 1))).toArrow()
+    order = pc.sort_indices(sample, [("id", "ascending"), ("y", "ascending")]).to_numpy()
+    y = (sample.column("y").to_numpy()[order] > 0).astype(float)
+    bags = [np.frombuffer(x.as_buffer(), np.int32) for x in sample.column("bag")]  # without copies
+    return train([bags[k] for k in order], y, fit)
 
 
 def scored(docs: DataFrame, machine: Machine, text_col: str = "text", score_col: str = "score") -> DataFrame:

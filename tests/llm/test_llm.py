@@ -422,6 +422,33 @@ def test_toxicity_sample_is_bounded(spark):
     assert 0 < sizes[0] < 60_000 < sizes[1] == sizes[2]
 
 
+def test_toxicity_fit_in_blocks(monkeypatch):
+    """The driver's memory follows a block of the sample, not the sample; the machine does not follow the blocks."""
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    fit = toxicity.Fit(steps=3)
+    y = np.array([float(k % 5 == 0) for k in range(3000)])
+    kinds = rng.permutation(fit.buckets).astype(np.int32)
+    bags = [np.unique(np.concatenate((rng.choice(kinds[:2000], 300), rng.choice(kinds[2000:2600] if t else kinds[2600:4000], 100), rng.choice(kinds, 600)))) for t in y]
+    tracemalloc.start()
+    machine = toxicity.train(bags, y, fit)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(machine.w) > 500 and peak < 80 << 20
+    for most in (1, 1 << 40):
+        monkeypatch.setattr(toxicity, "BLOCK_COUNTED", most)
+        monkeypatch.setattr(toxicity, "BLOCK_FITTED", most)
+        monkeypatch.setattr(toxicity, "BLOCK_BUCKETS", max(most, 1 << 12))
+        few = slice(0, 200) if most == 1 else slice(None)
+        other = toxicity.train(bags[few], y[few], fit)
+        if most > 1:
+            assert other.row == machine.row and np.allclose(other.w, machine.w) and np.allclose(other.v, machine.v) and np.isclose(other.w0, machine.w0)
+            whole = toxicity.train(bags[:200], y[:200], fit)
+            assert whole.row == one_each.row and np.allclose(whole.w, one_each.w) and np.allclose(whole.v, one_each.v)
+        one_each = other
+
+
 def test_toxicity_held_out_accuracy(spark):
     d = SF.replace("0.001", "0.1")
     rows = queries.op5_toxicity_fm(spark, d).join(table(spark, d, "labels"), "doc_id").where("held_out")
