@@ -6,14 +6,19 @@ dealt by their least chunk hash, so documents with common content meet in a task
 distinct chunk is encoded once.  Joins are then checked: the words on both sides of a join are
 encoded together and must agree with the tokens of the two chunks.  Where they do not, both chunks
 become one, which is encoded again, and its joins are checked in the next round, until all agree.
+
+What a chunk holds anew is encoded word by word, each distinct word once a task, where the tokenizer's
+file says that white space parts words (`Words`); other files' chunks are given to the tokenizer whole.
 """
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from array import array
 from collections.abc import Callable, Iterator
-from itertools import pairwise
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +34,8 @@ ONE_IN = 128
 WINDOW = 8
 #: Bytes of chunks, and of joins and their words, that a task keeps.
 KEPT_CHUNKS, KEPT_JOINS = 48 << 20, 16 << 20
+#: Bytes of words that a task keeps, and what one has besides its text and tokens.
+KEPT_WORDS, _WORD = 64 << 20, 200
 #: Texts are encoded in groups of about so many characters.
 GROUP_CHARS = 1 << 20
 _ENTRY = 400  # bytes of objects an entry has besides its text and tokens
@@ -85,6 +92,86 @@ class _Kept:
         self.young[key] = value
 
 
+#: The normalizers and the pattern of files whose words white space parts.
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+END = "</w>"
+#: Words of letters that normalizers change in case alone, and that the pattern leaves whole.
+_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+
+
+class Words:
+    """Tokens of words between white space, each distinct one encoded once until `release`."""
+
+    def __init__(self, whole: Callable[[list[str]], list[bytes]], letters: Callable[[list[str]], list[bytes]]):
+        self.whole, self.letters = whole, letters
+        self.release()
+
+    def release(self) -> None:
+        self.known, self.size = {}, 0
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        split = [t.encode().split() for t in texts]  # at ASCII white space alone
+        if self.size > KEPT_WORDS:
+            self.release()
+        new = set(chain.from_iterable(split)).difference(self.known)
+        plain, other = [], []
+        for w in map(bytes.decode, new):
+            (plain if _LETTERS.fullmatch(w) else other).append(w)
+        for words, encode in ((plain, self.letters), (other, self.whole)):
+            for w, ids in zip(words, encode(words), strict=True):
+                w = w.encode()
+                self.known[w] = ids
+                self.size += _WORD + len(w) + len(ids)
+        known = self.known.__getitem__
+        return [b"".join(map(known, words)) for words in split]
+
+
+def _letters_encoder(path: str) -> Callable[[list[str]], list[bytes]] | None:
+    """An encoder of words of letters for a file of the kind of CLIP's; None for any other file.
+
+    A last letter with END is the letter with a blank after it to the ranked encoder, whose merge comes before all
+    others.  Ids ascend with the merges, so the ranks are the ids.
+    """
+    import tiktoken
+
+    from .token_alignment import byte_letters
+
+    with open(path, encoding="utf-8") as f:
+        file = json.load(f)
+    model, before, normal = file["model"], file.get("pre_tokenizer") or {}, file.get("normalizer") or {}
+    split = {"type": "Split", "pattern": {"Regex": PATTERN}, "behavior": "Removed", "invert": True}
+    levels = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+    same = before == {"type": "Sequence", "pretokenizers": [split, levels]} and normal == {"type": "Sequence", "normalizers": NORMALIZERS}
+    options = ("dropout", "unk_token", "continuing_subword_prefix", "fuse_unk", "byte_fallback", "ignore_merges")
+    added = file.get("added_tokens", [])
+    apart = all(not any(t[k] for k in ("single_word", "lstrip", "rstrip", "normalized")) and not re.search(r"\s", t["content"]) for t in added)
+    if not same or not apart or model["type"] != "BPE" or model.get("end_of_word_suffix") != END or any(model.get(k) for k in options):
+        return None
+    letters, special = byte_letters(), {t["content"] for t in added}
+    vocabulary = {t: k for t, k in model["vocab"].items() if t not in special}
+    merged = ["".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+    firsts = {*letters, *(c + END for c in letters)}
+    if [vocabulary.get(m) for m in merged] != list(range(512, 512 + len(merged))) or {t for t, k in vocabulary.items() if k < 512} != firsts:
+        return None
+    ranks = {bytes(letters[c] for c in t.removesuffix(END)) + b" " * t.endswith(END): k for t, k in vocabulary.items()}
+    if sorted(ranks.values()) != list(range(512 + len(merged))):
+        return None
+    encoding = tiktoken.Encoding("words", pat_str="[^ ]+ ", mergeable_ranks=ranks, special_tokens={})
+    last = np.zeros(len(ranks), bool)
+    last[[k for t, k in vocabulary.items() if t.endswith(END)]] = True
+
+    def encode(words: list[str]) -> list[bytes]:
+        if not words:
+            return []
+        ids = np.array(encoding.encode_ordinary(" ".join(words).lower() + " "), np.int32)
+        ends = ((np.flatnonzero(last[ids]) + 1) * 4).tolist()
+        data = ids.tobytes()
+        return [data[a:b] for a, b in pairwise([0, *ends])]
+
+    return encode
+
+
 class Codec:
     """One tokenizer file with the chunks it has encoded."""
 
@@ -99,6 +186,8 @@ class Codec:
         if self.tokenizer.decoder is None:  # decoding is then the tokens with spaces between them
             n = self.tokenizer.get_vocab_size(with_added_tokens=True)
             self.plain = [self.tokenizer.id_to_token(i) or "" for i in range(n)]
+        letters = _letters_encoder(path)
+        self.words = Words(self._whole, letters) if letters else None
         #: Characters of the texts given, of chunks encoded and of joins encoded; joins that did not agree.
         self.given = self.encoded = self.joined = self.repaired = 0
         self.release()
@@ -106,9 +195,14 @@ class Codec:
     def release(self) -> None:
         """Forget what was encoded."""
         self.chunks, self.joins = _Kept(KEPT_CHUNKS), _Kept(KEPT_JOINS)
+        if self.words:
+            self.words.release()
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         """Tokens of each text, as the bytes of 32-bit integers."""
+        return self.words.encode(texts) if self.words else self._whole(texts)
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
         return [array("i", x.ids).tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _looked_up(self, texts: set[str], kept: _Kept) -> tuple[dict[str, bytes], int]:

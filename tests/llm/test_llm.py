@@ -231,6 +231,56 @@ def test_chunks_are_reused():
     assert c.encoded - first > len(text) * 0.99
 
 
+def test_words_are_encoded_once():
+    """New chunks of known words, letters or not, need no tokenizer; the words kept are bounded."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    t, c = Tokenizer.from_file(path), bpe.Codec(path)
+    rng = random.Random(4)
+    words = ["".join(rng.choices("abcdeéÀß,.'1İ中\u0301", k=rng.randint(1, 9))) for _ in range(900)] + ["don't", "<|endoftext|>"]
+    c.encode([" ".join(words)])
+    given, whole, letters = [], c.words.whole, c.words.letters
+    c.words.whole = lambda x: given.extend(x) or whole(x)
+    c.words.letters = lambda x: given.extend(x) or letters(x)
+    for _ in range(20):
+        text = " \t\n".join(rng.choices(words, k=400))
+        assert c.encode([text]) == [t.encode(text, add_special_tokens=False).ids]
+    assert given == []
+    c.release()
+    assert c.words.size == 0 and c.words.known == {}
+    assert bpe.Codec(public_tokenizers.path("byte_bpe_50k.json")).words is None
+
+
+def test_merges_agree_with_ranks():
+    """The ranked encoder joins the parts with the lowest joint rank, the library the pair of the first merge.  They are the
+    same if the bytes of each merge's result, by the ranks before it, come to that merge's two parts."""
+    import json
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    with open(path, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    rank = {tuple([*t.removesuffix("</w>")][:-1] + [t.removesuffix("</w>")[-1] + "</w>" * t.endswith("</w>")]): k for t, k in model["vocab"].items() if t != "</w>"}
+    flat = lambda parts: tuple(itertools.chain.from_iterable(parts))
+    units = lambda t: [*t[:-5], t[-5:]] if t.endswith("</w>") else [*t]
+    for k, (x, y) in enumerate(model["merges"], 512):
+        parts = [(u,) for u in units(x) + units(y)]
+        while True:
+            best, at = min(((rank.get(flat(parts[i : i + 2]), k), i) for i in range(len(parts) - 1)))
+            if best >= k:
+                break
+            parts[at : at + 2] = [flat(parts[at : at + 2])]
+        assert parts == [tuple(units(x)), tuple(units(y))]
+    t, letters = Tokenizer.from_file(path), bpe._letters_encoder(path)
+    words = [w for w in (x.removesuffix("</w>") for x in model["vocab"]) if bpe._LETTERS.fullmatch(w)]
+    words += [chr(k) for k in range(0x250) if bpe._LETTERS.fullmatch(chr(k))] + ["a" * 5000, "é" * 3000, "Straße" * 500]
+    assert [np.frombuffer(x, np.int32).tolist() for x in letters(words)] == [x.ids for x in t.encode_batch_fast(words, add_special_tokens=False)]
+
+
 def test_kept_chunks_are_bounded():
     kept = bpe._Kept(100_000)
     for k in range(5000):
