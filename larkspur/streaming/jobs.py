@@ -159,6 +159,11 @@ def deltas(df: DataFrame, key: str, stamp: str, value: str, row: str, digits: in
     return done.select("key", "row", "stamp", "value", rounded(F.col("change"), digits).alias("delta"))
 
 
+def _second(stamp: str) -> Column:
+    """The second nearest to a stamp, of two the even one."""
+    return F.rint(F.unix_micros(stamp) / 1e6).cast("long")
+
+
 def bursts(df: DataFrame, key: str, row_id: str, stamp: str, least: int = 4, seconds: int = 900, late: str = "15 minutes") -> DataFrame:
     """Hits that close a burst, as `batch_bursts` finds them.  A hit is counted once the watermark has passed
     its second; a key's state is the hits not counted yet and those of the last `seconds` before them."""
@@ -187,11 +192,13 @@ def bursts(df: DataFrame, key: str, row_id: str, stamp: str, least: int = 4, sec
 
 
 def batch_bursts(df: DataFrame, key: str, stamp: str, least: int = 4, seconds: int = 900) -> DataFrame:
-    """Hits that close a burst: at least so many of the key in the seconds up to each."""
+    """Hits that close a burst: at least so many of the key in the seconds up to each.  A hit counts in the second
+    nearest to its stamp, of two in the even one; those without key or stamp are in no burst."""
     from pyspark.sql import Window
 
-    by = Window.partitionBy(key).orderBy(F.unix_seconds(stamp)).rangeBetween(-(seconds - 1), 0)
-    return df.withColumn("hits", F.count("*").over(by)).where(F.col("hits") >= least)
+    by = Window.partitionBy(key).orderBy(_second(stamp)).rangeBetween(-(seconds - 1), 0)
+    hits = df.where(F.col(key).isNotNull() & F.col(stamp).isNotNull())
+    return hits.withColumn("hits", F.count("*").over(by)).where(F.col("hits") >= least)
 
 
 def idle_sessions(df: DataFrame, key: str, stamp: str, gap: str = "6 hours", late: str = "1 hour") -> DataFrame:

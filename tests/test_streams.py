@@ -3,6 +3,7 @@
 import os
 import random
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -54,6 +55,25 @@ def test_failures_out_of_order(spark, tmp_path):
     assert got == want
 
 
+def odd_hits(spark):
+    """Stamps on either side of half a second, four hits of no user and one without a stamp."""
+    at = lambda *s: [round(x * 1e6) + 1_704_067_200_000_000 for x in s]
+    rows = [(1, t) for t in at(0.4, 2.0, 4.0, 10.6)] + [(2, t) for t in at(0.6, 2.0, 4.0, 10.4)] + [(3, t) for t in at(0.5, 2.0, 4.0, 9.0)]
+    rows += [(4, t) for t in at(1.5, 2.0, 4.0, 11.0)] + [(None, t) for t in at(1, 2, 3, 4)] + [(5, t) for t in at(1, 2, 3)] + [(5, None)]
+    df = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "event_id long, user_id long, us long")
+    return df.select("event_id", "user_id", F.timestamp_micros("us").alias("ts"), F.lit(1.0).alias("value"), F.lit("view").alias("event_type"))
+
+
+def test_bursts_count_nearest_seconds(spark):
+    """User 1's hits of 0.4 and 10.6 s count in seconds 0 and 11, user 2's of 0.6 and 10.4 s in 1 and 10; halves to even ones."""
+    got = jobs.batch_bursts(odd_hits(spark), "user_id", "ts", 4, 10)
+    assert sorted((r.user_id, r.event_id, r.hits) for r in got.collect()) == [(2, 7, 4), (3, 11, 4), (4, 15, 4)]
+    hits = odd_hits(spark).toPandas()  # noqa: F841
+    near = "epoch(b.ts)::BIGINT BETWEEN epoch(a.ts)::BIGINT - 9 AND epoch(a.ts)::BIGINT"
+    sql = f"SELECT a.user_id, a.event_id, count(*) FROM hits a JOIN hits b ON b.user_id = a.user_id AND {near} GROUP BY 1, 2 HAVING count(*) >= 4"
+    assert sorted(duckdb.sql(sql).fetchall()) == [(2, 7, 4), (3, 11, 4), (4, 15, 4)]
+
+
 def test_state_is_forgotten(spark, tmp_path):
     """After `forget` without snapshots a key starts anew; without it the last snapshot stays."""
     df = spark.createDataFrame([(1, 1, 0, 1.0), (2, 1, 3600, 3.0), (3, 2, 90 * 86400, 1.0), (4, 1, 100 * 86400, 7.0)], "event_id long, user_id long, s long, value double")
