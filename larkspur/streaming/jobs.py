@@ -166,14 +166,17 @@ def _second(stamp: str) -> Column:
 
 def bursts(df: DataFrame, key: str, row_id: str, stamp: str, least: int = 4, seconds: int = 900, late: str = "15 minutes") -> DataFrame:
     """Hits that close a burst, as `batch_bursts` finds them.  A hit is counted once the watermark has passed
-    its second; a key's state is the hits not counted yet and those of the last `seconds` before them."""
+    all stamps of its second; a key's state is the hits not counted yet and those of the last `seconds` before them."""
 
     def step(k: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if pd.isna(k[0]):  # the mark of a stream's end, which moves the watermark alone
+            return
         kept, upto = json.loads(state.get[0]) if state.exists else ([], None)
         for f in frames:
-            kept += [[pd.Timestamp(t).value // 10**9, None if pd.isna(i) else int(i)] for t, i in zip(f[stamp], f[row_id])]
+            kept += [[int(s), None if pd.isna(i) else int(i)] for s, i in zip(f["second"], f[row_id])]
         kept.sort(key=lambda r: r[0])
-        at, now = [r[0] for r in kept], state.getCurrentWatermarkMs() // 1000
+        # a second's last stamp is half a second after it
+        at, now = [r[0] for r in kept], (state.getCurrentWatermarkMs() + 499) // 1000
         first = 0 if upto is None else bisect_left(at, upto)
         last = max(first, bisect_left(at, now))  # the seconds before `now` are complete
         out = [(k[0], kept[i][1], bisect_right(at, at[i]) - bisect_left(at, at[i] - seconds + 1)) for i in range(first, last)]
@@ -186,7 +189,8 @@ def bursts(df: DataFrame, key: str, row_id: str, stamp: str, least: int = 4, sec
             state.remove()
         yield pd.DataFrame([x for x in out if x[2] >= least], columns=["key", "row", "hits"])
 
-    rows = df.select(F.col(key).cast("long").alias("key"), F.col(row_id).cast("long").alias(row_id), F.col(stamp).alias(stamp)).withWatermark(stamp, late)
+    rows = df.select(F.col(key).cast("long").alias("key"), F.col(row_id).cast("long").alias(row_id), F.col(stamp).alias(stamp), _second(stamp).alias("second"))
+    rows = rows.where("second is not null").withWatermark(stamp, late)
     found = rows.groupBy("key").applyInPandasWithState(step, "key long, row long, hits long", "hits string", "append", GroupStateTimeout.EventTimeTimeout)
     return found.select(F.col("key").alias(key), F.col("row").alias(row_id), "hits")
 

@@ -74,6 +74,22 @@ def test_bursts_count_nearest_seconds(spark):
     assert sorted(duckdb.sql(sql).fetchall()) == [(2, 7, 4), (3, 11, 4), (4, 15, 4)]
 
 
+def test_stream_bursts_count_nearest_seconds(spark, tmp_path):
+    """The same in three batches, whose watermark stands between the stamps of a second."""
+    got = run_in_batches(spark, odd_hits(spark), f"{tmp_path}/late", lambda s: jobs.bursts(s, "user_id", "event_id", "ts", 4, 10))
+    assert sorted((r.user_id, r.event_id, r.hits) for r in got.collect()) == [(2, 7, 4), (3, 11, 4), (4, 15, 4)]
+    spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/in")
+    stream = jobs.bursts(jobs.with_end(spark.readStream.schema(SCHEMA).parquet(f"{tmp_path}/in"), f"{tmp_path}/end"), "user_id", "event_id", "ts", 2, 1, late="0 seconds")
+    for s in (10.2, 10.3, 10.4, 10.5, 10.6, 11.5, 11.6, 12.4):  # seconds 10, 10, 10, 10, 11, 12, 12, 12
+        row = spark.range(1).select(F.lit(round(s * 10)).cast("long").alias("event_id"), F.lit(1).cast("long").alias("user_id"), F.timestamp_micros(F.lit(round(s * 1e6) + 1_704_067_200_000_000)).alias("ts"), F.lit(1.0).alias("value"), F.lit("view").alias("event_type"))
+        row.write.mode("append").parquet(f"{tmp_path}/in")
+        jobs.to_table(stream, f"{tmp_path}/out", f"{tmp_path}/state").awaitTermination()
+    jobs.end(odd_hits(spark), f"{tmp_path}/end")
+    jobs.to_table(stream, f"{tmp_path}/out", f"{tmp_path}/state").awaitTermination()
+    got = spark.read.schema(stream.schema).parquet(f"{tmp_path}/out")
+    assert sorted((r.event_id, r.hits) for r in got.collect()) == [(102, 4), (103, 4), (104, 4), (105, 4), (115, 3), (116, 3), (124, 3)]
+
+
 def test_state_is_forgotten(spark, tmp_path):
     """After `forget` without snapshots a key starts anew; without it the last snapshot stays."""
     df = spark.createDataFrame([(1, 1, 0, 1.0), (2, 1, 3600, 3.0), (3, 2, 90 * 86400, 1.0), (4, 1, 100 * 86400, 7.0)], "event_id long, user_id long, s long, value double")
