@@ -74,7 +74,7 @@ def shuffled(spark):
     return sum(found.apply(i).shuffleWriteRecords() for i in range(found.size()))
 
 
-@pytest.mark.parametrize("name", ["explained_scores", "similar_items"])
+@pytest.mark.parametrize("name", ["explained_scores", "similar_items", "similar_items_other_group"])
 def test_pairs_of_common_labels_are_not_shuffled(spark, tmp_path, name):
     """120 queries share labels with nearly all of 6,000 items: what is shuffled follows the items, not the pairs."""
     con = hot(tmp_path)
